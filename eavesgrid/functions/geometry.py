@@ -28,6 +28,11 @@ def box_geom(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     return F.array(F.array(ring))
 
 
+def first(array: Column) -> Column:
+    """First element, NULL of an empty array."""
+    return F.get(array, F.lit(0))
+
+
 def points_of(geom: Column) -> Column:
     return F.flatten(F.flatten(geom))
 
@@ -50,7 +55,7 @@ def with_bbox(df: DataFrame, geom: str = "geom") -> DataFrame:
 
 def ring_area(ring: Column) -> Column:
     """Signed shoelace area, counter-clockwise positive, taken relative to the first point."""
-    ox, oy = ring[0]["x"], ring[0]["y"]
+    ox, oy = first(ring)["x"], first(ring)["y"]
     n = F.greatest(F.size(ring) - 1, F.lit(0))
     cross = F.zip_with(
         F.slice(ring, F.lit(1), n),
@@ -73,7 +78,7 @@ def area(geom: Column) -> Column:
 
 def _ring_moments(ring: Column, role: Column) -> Column:
     """(area, first moments) of a ring relative to its first point, with the sign of its role."""
-    ox, oy = ring[0]["x"], ring[0]["y"]
+    ox, oy = first(ring)["x"], first(ring)["y"]
     n = F.greatest(F.size(ring) - 1, F.lit(0))
 
     def edge(a: Column, b: Column) -> Column:
@@ -95,14 +100,14 @@ def _ring_moments(ring: Column, role: Column) -> Column:
         ),
     )
     sign = F.when(role == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-    return F.transform(F.array(total), lambda t: F.struct((t["a"] * sign).alias("a"), t["cx"].alias("cx"), t["cy"].alias("cy")))[0]
+    return first(F.transform(F.array(total), lambda t: F.struct((t["a"] * sign).alias("a"), t["cx"].alias("cx"), t["cy"].alias("cy"))))
 
 
 def centroid(geom: Column) -> Column:
     """``struct<x,y>``: area-weighted centroid over all rings; NULL for a geometry without area."""
     moments = F.flatten(F.transform(geom, lambda part: F.transform(part, lambda r, i: _ring_moments(r, i))))
     # Weighting offsets from the first ring's centroid keeps small shapes exact at large coordinates.
-    rx, ry = moments[0]["cx"], moments[0]["cy"]
+    rx, ry = first(moments)["cx"], first(moments)["cy"]
     zero = F.struct(_zero().alias("a"), _zero().alias("x"), _zero().alias("y"))
     return F.aggregate(
         moments,
@@ -118,13 +123,14 @@ def centroid(geom: Column) -> Column:
 
 def is_box(geom: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     """True where the geometry is exactly its bbox: one part, one ring, four corners in turn."""
-    ring = geom[0][0]
+    part = first(geom)
+    ring = first(part)
     on_corner = F.forall(
         ring, lambda p: ((p["x"] == xmin) | (p["x"] == xmax)) & ((p["y"] == ymin) | (p["y"] == ymax))
     )
     return (
         (F.size(geom) == 1)
-        & (F.size(geom[0]) == 1)
+        & (F.size(part) == 1)
         & (F.size(ring) == 5)
         & on_corner
         & (F.abs(ring_area(ring)) == (xmax - xmin) * (ymax - ymin))
@@ -156,7 +162,7 @@ def from_wkt(wkt: Column) -> Column:
 
     def to_point(text: Column) -> Column:
         xy = F.split(F.trim(F.regexp_replace(text, r"[()]", "")), r"\s+")
-        return point(xy[0].try_cast("double"), xy[1].try_cast("double"))
+        return point(F.get(xy, F.lit(0)).try_cast("double"), F.get(xy, F.lit(1)).try_cast("double"))
 
     geom = F.transform(
         parts,
@@ -166,7 +172,7 @@ def from_wkt(wkt: Column) -> Column:
     )
     good = F.forall(
         points_of(geom), lambda p: p["x"].isNotNull() & p["y"].isNotNull()
-    ) & F.forall(F.flatten(geom), lambda r: (F.size(r) >= 4) & (r[0] == F.element_at(r, -1)))
+    ) & F.forall(F.flatten(geom), lambda r: (F.size(r) >= 4) & (first(r) == F.get(r, F.size(r) - 1)))
     return F.when(wkt.rlike(_WKT) & good, geom)
 
 
@@ -178,6 +184,6 @@ def to_wkt(geom: Column) -> Column:
     def part_text(part: Column) -> Column:
         return F.concat(F.lit("("), F.array_join(F.transform(part, ring_text), ", "), F.lit(")"))
 
-    return F.when(F.size(geom) == 1, F.concat(F.lit("POLYGON "), part_text(geom[0]))).otherwise(
+    return F.when(F.size(geom) == 1, F.concat(F.lit("POLYGON "), part_text(first(geom)))).otherwise(
         F.concat(F.lit("MULTIPOLYGON ("), F.array_join(F.transform(geom, part_text), ", "), F.lit(")"))
     )

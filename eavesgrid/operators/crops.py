@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import BBOX
+from ..functions.geometry import BBOX, first
 from ..functions.kernels import min_rotated_rect
 from .preprocessing import require_columns
 from .spatial_join import bbox_area_is_finite, bbox_join
@@ -56,7 +56,7 @@ def crop_boxes(footprints: DataFrame, catalog: DataFrame, id_col: str = "id") ->
     """
     require_columns(footprints, id_col, "geom", "is_box", *BBOX)
     left = footprints.where(F.col(id_col).isNotNull() & bbox_area_is_finite()).select(
-        F.col(id_col).alias("id"), *BBOX, min_rotated_rect("geom")[0][0].alias("box")
+        F.col(id_col).alias("id"), *BBOX, first(first(min_rotated_rect("geom"))).alias("box")
     )
     right = catalog.select("raster_id", *BBOX, "res", "width", "height", "n_bands")
     pairs = bbox_join(left, right, "id", "raster_id", closed=False)
@@ -128,9 +128,9 @@ def _merged_runs(runs: Column) -> Column:
     kind = "array<struct<c0:int,c1:int>>"
 
     def fold(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
+        last = F.get(acc, F.size(acc) - 1)
         widened = F.concat(
-            F.slice(acc, F.lit(1), F.size(acc) - 1),
+            F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))),
             F.array(F.struct(last["c0"].alias("c0"), F.greatest(last["c1"], s["c1"]).alias("c1"))),
         )
         return F.when((F.size(acc) > 0) & (s["c0"] <= last["c1"] + 1), widened).otherwise(F.concat(acc, F.array(s)))
@@ -231,12 +231,12 @@ def crop_rasters(
         return f["off"] + F.length(f["data"])
 
     def with_gap(f: Column, i: Column) -> Column:
-        before = F.when(i > 0, end(F.col("frags")[i - 1])).otherwise(F.lit(0))
+        before = F.when(i > 0, end(F.get("frags", i - 1))).otherwise(F.lit(0))
         return F.concat(F.repeat(F.lit("00"), f["off"] - before), F.hex(f["data"]))
 
     filled = F.concat(
         F.array_join(F.transform("frags", with_gap), ""),
-        F.repeat(F.lit("00"), total - F.coalesce(end(F.element_at("frags", -1)), F.lit(0))),
+        F.repeat(F.lit("00"), total - F.coalesce(end(F.get("frags", F.size("frags") - 1)), F.lit(0))),
     )
     data = F.when(F.col("frags").isNull(), F.unhex(F.repeat(F.lit("00"), total))).otherwise(F.unhex(filled))
     joined = sized.join(pieces, ["id", "raster_id"], "left")

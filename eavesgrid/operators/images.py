@@ -27,7 +27,7 @@ def image_paths(paths: DataFrame, path_col: str = "path") -> DataFrame:
 
 def class_of(path: Column) -> Column:
     """Name of the folder a file lies in."""
-    return F.element_at(F.split(path, "/"), -2)
+    return F.try_element_at(F.split(path, "/"), F.lit(-2))
 
 
 def inferred_class_names(paths: DataFrame, path_col: str = "path") -> list[str]:

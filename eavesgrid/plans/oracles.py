@@ -194,7 +194,7 @@ ORACLES: dict[str, str] = {
         FROM f CROSS JOIN (SELECT unnest(['parquet', 'csv']) AS fmt)""",
     "crop_manifest": f"{NAMED} SELECT raster_id, suffixed_name, file_name FROM named",
     "write_scores": f"{POST} SELECT building_name, printf('%.7f', score) AS score_text, predicted_class FROM post",
-    "route_by_class": f"{POST} SELECT predicted_class, count(*) AS n, sum(vec_id) AS id_sum FROM post GROUP BY 1",
+    "route_by_class": f"{POST} SELECT predicted_class, count(*) AS n, CAST(sum(vec_id) AS BIGINT) AS id_sum FROM post GROUP BY 1",
     "add_id": "SELECT p_partkey, '75' || (row_number() OVER (ORDER BY p_partkey) - 1) AS \"ID\" FROM part",
     "add_xy": f"""WITH {F} SELECT id, round((xmin + xmax) / 2, 1) AS "X", round((ymin + ymax) / 2, 1) AS "Y" FROM f""",
     "compute_area": f"WITH {F} SELECT id, area FROM f",
@@ -245,19 +245,19 @@ ORACLES: dict[str, str] = {
     "reproject_lambert93": _reproject(),
     "distinct_ids": f"""{CROPS} SELECT raster_id, 'G' || (k // 10) AS id, count(*) AS n_features FROM fr GROUP BY 1, 2""",
     "crop_suffix": f"{NAMED} SELECT id, raster_id, suffix, suffixed_name FROM named",
-    "crop_rasters": f"""{CROPS}, s AS (SELECT id, raster_id, sum(((r - r0) * width + c - c0 + 1) * v) AS checksum FROM px GROUP BY 1, 2)
+    "crop_rasters": f"""{CROPS}, s AS (SELECT id, raster_id, CAST(sum(((r - r0) * width + c - c0 + 1) * v) AS BIGINT) AS checksum FROM px GROUP BY 1, 2)
         SELECT id, raster_id, height, width, height * width AS n_bytes, coalesce(checksum, 0) AS checksum
         FROM crop LEFT JOIN s USING (id, raster_id)""",
-    "zonal_pixels": f"{CROPS} SELECT id, raster_id, count(*) AS n_pixels, sum(v) AS pixel_sum FROM px GROUP BY 1, 2",
+    "zonal_pixels": f"{CROPS} SELECT id, raster_id, count(*) AS n_pixels, CAST(sum(v) AS BIGINT) AS pixel_sum FROM px GROUP BY 1, 2",
     "incremental_crops": f"""{CROPS}, {LEDGER},
         done AS (SELECT id, count(*) AS n FROM fr JOIN ledger USING (raster_id) GROUP BY 1),
         ranked AS (SELECT fr.id, fr.raster_id, row_number() OVER (PARTITION BY fr.id ORDER BY fr.raster_id) - 1 + coalesce(done.n, 0) AS suffix
                    FROM fr LEFT JOIN done ON done.id = fr.id WHERE fr.raster_id NOT IN (SELECT raster_id FROM ledger))
         SELECT id, raster_id, suffix, CASE WHEN suffix = 0 THEN id || '.jpg' ELSE id || '_' || suffix || '.jpg' END AS suffixed_name FROM ranked""",
-    "incremental_stream": f"""{CROPS} SELECT id, count(*) AS n_crops, count(*) - 1 AS last_suffix, sum(height * width) AS n_bytes FROM crop GROUP BY 1""",
+    "incremental_stream": f"""{CROPS} SELECT id, count(*) AS n_crops, count(*) - 1 AS last_suffix, CAST(sum(height * width) AS BIGINT) AS n_bytes FROM crop GROUP BY 1""",
     "tile_grid": f"WITH {BOXES} SELECT box_id, tile_name, min_x, min_y, max_x, max_y FROM grid",
     "prepare_images": f"""{CROPS}, {PREPARED},
-        s AS (SELECT id, raster_id, sum(v * (9 * pos + 6)) AS checksum FROM fit GROUP BY 1, 2)
+        s AS (SELECT id, raster_id, CAST(sum(v * (9 * pos + 6)) AS BIGINT) AS checksum FROM fit GROUP BY 1, 2)
         SELECT id, raster_id, 48 AS n_values, coalesce(checksum, 0) AS checksum FROM crop LEFT JOIN s USING (id, raster_id)""",
     "score_images": f"""{NAMED}, {PREPARED}, s AS (SELECT id, raster_id, sum(v) AS total FROM fit GROUP BY 1, 2),
         p AS (SELECT named.id, 1 / (1 + exp(-(coalesce(total, 0) / CAST(16 AS DOUBLE) - 20) / 10)) AS p
