@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .geometry import GEOM_TYPE, box_geom
+from .geometry import BBOX, GEOM_TYPE, box_geom
 
 # Overlaps of less than a square millimetre are rounding noise at Lambert-93 coordinates.
 AREA_EPS = 1e-6
@@ -41,13 +41,6 @@ class Flat:
         self.row_ring = self.part_ring[self.row_part]
         self.row_pt = self.ring_pt[self.row_ring]
 
-    def rings_of(self, row: int) -> list[np.ndarray]:
-        out = []
-        for r in range(self.row_ring[row], self.row_ring[row + 1]):
-            s, e = self.ring_pt[r], self.ring_pt[r + 1]
-            out.append(np.column_stack([self.x[s:e], self.y[s:e]]))
-        return out
-
     def parts_of(self, row: int) -> list[list[np.ndarray]]:
         out = []
         for p in range(self.row_part[row], self.row_part[row + 1]):
@@ -313,30 +306,77 @@ def convex_hull(points: np.ndarray) -> np.ndarray:
     return np.array(half(pts)[:-1] + half(pts[::-1])[:-1])
 
 
+HULL_FROM = 12  # with more points than this the convex hull is worth computing first
+
+
+def _smallest_boxes(x: np.ndarray, y: np.ndarray, dx: np.ndarray, dy: np.ndarray) -> np.ndarray:
+    """Per row of points the smallest box parallel to one of the row's directions, as (rows, 4, 2) corners.
+
+    Ties go to the lowest angle.  Any direction gives an enclosing box and an edge of the hull gives the smallest, so
+    extra directions do no harm.
+    """
+    angle = np.mod(np.arctan2(dy, dx), np.pi / 2)
+    angle = np.where(angle > np.pi / 2 - 1e-12, 0.0, angle)
+    c, s = np.cos(angle)[:, :, None], np.sin(angle)[:, :, None]
+    u, v = c * x[:, None, :] + s * y[:, None, :], c * y[:, None, :] - s * x[:, None, :]
+    u0, u1, v0, v1 = u.min(2), u.max(2), v.min(2), v.max(2)
+    size = (u1 - u0) * (v1 - v0)
+    near = size <= size.min(1, keepdims=True) * (1 + 1e-12)
+    best = np.where(near, angle, np.inf).argmin(1)
+    pick = np.arange(len(x)), best
+    cc, ss = c[..., 0][pick][:, None], s[..., 0][pick][:, None]
+    cu = np.stack([u0[pick], u1[pick], u1[pick], u0[pick]], 1)
+    cv = np.stack([v0[pick], v0[pick], v1[pick], v1[pick]], 1)
+    return np.stack([cc * cu - ss * cv, ss * cu + cc * cv], 2)
+
+
+def min_rotated_boxes(flat: Flat) -> np.ndarray:
+    """(rows, 4, 2) corners, counter-clockwise, of the smallest enclosing boxes; NaN for rows without points."""
+    out = np.full((flat.rows, 4, 2), np.nan)
+    count = np.diff(flat.row_pt)
+    for n in np.unique(count[count > 0]):
+        rows = np.flatnonzero(count == n)
+        at = flat.row_pt[rows][:, None] + np.arange(n)[None, :]
+        pts = np.stack([flat.x[at], flat.y[at]], 2)
+        if n > HULL_FROM:
+            for row, one in zip(rows, pts):
+                out[row] = min_rotated_box(one)
+            continue
+        rel = pts - pts[:, :1]
+        i, j = np.triu_indices(n, 1) if n > 1 else (np.zeros(1, int), np.zeros(1, int))
+        way = rel[:, j] - rel[:, i]
+        out[rows] = _smallest_boxes(rel[:, :, 0], rel[:, :, 1], way[:, :, 0], way[:, :, 1]) + pts[:, :1]
+    return out
+
+
 def min_rotated_box(points: np.ndarray) -> np.ndarray:
-    """Four corners (counter-clockwise) of the smallest enclosing rectangle; ties go to the lowest angle."""
+    """The same for one set of points, by way of its convex hull."""
     origin = points[0]
     hull = convex_hull(points - origin)
-    if len(hull) < 3:
-        lo, hi = hull[0], hull[-1]
-        return np.array([lo, hi, hi, lo]) + origin
     edge = np.roll(hull, -1, 0) - hull
-    angle = np.unique(np.round(np.mod(np.arctan2(edge[:, 1], edge[:, 0]), np.pi / 2), 12))
-    angle = np.where(angle >= np.round(np.pi / 2, 12), 0.0, angle)
-    angle = np.unique(angle)
-    c, s = np.cos(angle), np.sin(angle)
-    u = np.outer(c, hull[:, 0]) + np.outer(s, hull[:, 1])
-    v = np.outer(c, hull[:, 1]) - np.outer(s, hull[:, 0])
-    u0, u1, v0, v1 = u.min(1), u.max(1), v.min(1), v.max(1)
-    size = (u1 - u0) * (v1 - v0)
-    best = int(np.flatnonzero(size <= size.min() * (1 + 1e-12))[0])
-    cc, ss = c[best], s[best]
-    corners = [(u0[best], v0[best]), (u1[best], v0[best]), (u1[best], v1[best]), (u0[best], v1[best])]
-    return np.array([[cc * p - ss * q, ss * p + cc * q] for p, q in corners]) + origin
+    return _smallest_boxes(hull[None, :, 0], hull[None, :, 1], edge[None, :, 0], edge[None, :, 1])[0] + origin
+
 
+def _to_arrow(geoms: list) -> pa.Array:
+    """Geometry column from rows of parts of closed ring arrays (points x 2), or None."""
+    row_off, part_off, ring_off, rings = [0], [0], [0], []
+    for geom in geoms:
+        for part in geom or ():
+            for ring in part:
+                rings.append(ring)
+                ring_off.append(ring_off[-1] + len(ring))
+            part_off.append(part_off[-1] + len(part))
+        row_off.append(row_off[-1] + len(geom or ()))
+    xy = np.concatenate(rings) if rings else np.zeros((0, 2))
+    x, y = (pa.array(np.ascontiguousarray(xy[:, k])) for k in (0, 1))
+    nested = pa.ListArray.from_arrays(pa.array(ring_off, pa.int32()), pa.StructArray.from_arrays([x, y], ["x", "y"]))
+    nested = pa.ListArray.from_arrays(pa.array(part_off, pa.int32()), nested)
+    missing = pa.array([g is None for g in geoms], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(row_off, pa.int32()), nested, mask=missing).cast(_GEOM_ARROW)
 
-def _as_geom(ring: np.ndarray) -> list:
-    return [[[{"x": float(p[0]), "y": float(p[1])} for p in np.vstack([ring, ring[:1]])]]]
+
+def _closed(ring: np.ndarray) -> np.ndarray:
+    return np.concatenate([ring, ring[:1]])
 
 
 # ---------------------------------------------------------------- buffer
@@ -430,6 +470,65 @@ def buffer_parts(parts: list[list[np.ndarray]], distance: float) -> tuple[list,
     return result, simple
 
 
+def buffer_batch(flat: Flat, distance: np.ndarray) -> tuple[list, np.ndarray]:
+    """Buffered rows (parts of closed rings, None for NULL) and whether each is simple.
+
+    Single rings that grow and have no sharp corner are done together, by number of points; the others one by one.
+    """
+    geoms: list = [None] * flat.rows
+    simple = np.ones(flat.rows, dtype=bool)
+    done = np.zeros(flat.rows, dtype=bool)
+    plain = flat.valid & (np.diff(flat.row_part) == 1) & (np.diff(flat.row_ring) == 1) & (distance > 0)
+    size = np.diff(flat.row_pt) - 1
+    for n in np.unique(size[plain]):
+        if not 3 <= n <= 64:
+            continue
+        rows = np.flatnonzero(plain & (size == n))
+        at = flat.row_pt[rows][:, None] + np.arange(n)[None, :]
+        new, fits, ok = _mitred(np.stack([flat.x[at], flat.y[at]], 2), distance[rows])
+        for k in np.flatnonzero(fits):
+            geoms[rows[k]] = [[new[k]]]
+        simple[rows] = ok
+        done[rows[fits]] = True
+    for row in np.flatnonzero(flat.valid & ~done):
+        parts, ok = buffer_parts(flat.parts_of(row), float(distance[row]))
+        geoms[row] = [[_closed(ring) for ring in part] for part in parts]
+        simple[row] = ok
+    return geoms, simple
+
+
+def _mitred(pts: np.ndarray, distance: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Growing rings of equal length: closed new rings, rows this covers (no sharp corner), and simplicity."""
+    origin = pts[:, :1]
+    p = pts - origin
+    q = np.roll(p, -1, 1)
+    turned = (p[:, :, 0] * q[:, :, 1] - q[:, :, 0] * p[:, :, 1]).sum(1) < 0
+    p = np.where(turned[:, None, None], p[:, ::-1], p)
+    step = np.roll(p, -1, 1) - p
+    length = np.hypot(step[:, :, 0], step[:, :, 1])
+    unit = step / np.where(length == 0, 1.0, length)[:, :, None]
+    normal = np.stack([unit[:, :, 1], -unit[:, :, 0]], 2)
+    before, u0 = np.roll(normal, 1, 1), np.roll(unit, 1, 1)
+    spread = 1 + (before * normal).sum(2)
+    back = spread <= 1e-12
+    spread = np.where(back, 1.0, spread)
+    turn = u0[:, :, 0] * unit[:, :, 1] - u0[:, :, 1] * unit[:, :, 0]
+    sharp = back | ((turn > 0) & (2 / spread > MITRE_LIMIT**2))
+    fits = ~(sharp | (length == 0)).any(1)
+    new = p + (before + normal) * (distance[:, None] / spread)[:, :, None]
+    follow = np.roll(new, -1, 1)
+    ok = (((follow - new) * unit).sum(2) > 0).all(1)
+    n = p.shape[1]
+    i, j = np.triu_indices(n, 2)
+    apart = ~((i == 0) & (j == n - 1))
+    i, j = i[apart], j[apart]
+    if len(i):
+        a, b, c, d = new[:, i], follow[:, i], new[:, j], follow[:, j]
+        ends = [v for corner in (a, b, c, d) for v in (corner[..., 0], corner[..., 1])]
+        ok &= ~_segments_meet(*ends).any(1)
+    return np.concatenate([new, new[:, :1]], 1) + origin, fits, ok
+
+
 # ---------------------------------------------------------------- column builders
 
 _OVERLAP = _CLIP = _INTERSECTS = _OMBB = _BUFFER = None
@@ -457,26 +556,15 @@ def _udfs():
 
     @F.arrow_udf(GEOM_TYPE)
     def ombb(g: pa.Array) -> pa.Array:
-        flat = Flat(g)
-        rows = []
-        for i in range(flat.rows):
-            s, e = flat.row_pt[i], flat.row_pt[i + 1]
-            pts = np.column_stack([flat.x[s:e], flat.y[s:e]])
-            rows.append(_as_geom(min_rotated_box(pts)) if e > s else None)
-        return pa.array(rows, type=_GEOM_ARROW)
+        boxes = min_rotated_boxes(Flat(g))
+        missing = np.isnan(boxes[:, 0, 0])
+        return _to_arrow([None if gone else [[_closed(box)]] for gone, box in zip(missing, boxes)])
 
     @F.arrow_udf(f"struct<geom:{GEOM_TYPE},simple:boolean>")
     def buffered(g: pa.Array, distance: pa.Array) -> pa.Array:
-        flat, dist = Flat(g), distance.to_numpy(zero_copy_only=False)
-        rows = []
-        for i in range(flat.rows):
-            if not flat.valid[i]:
-                rows.append(None)
-                continue
-            parts, simple = buffer_parts(flat.parts_of(i), float(dist[i]))
-            geom = [[_as_geom(ring)[0][0] for ring in part] for part in parts]
-            rows.append({"geom": geom, "simple": simple})
-        return pa.array(rows, type=pa.struct([("geom", _GEOM_ARROW), ("simple", pa.bool_())]))
+        flat = Flat(g)
+        geoms, simple = buffer_batch(flat, distance.to_numpy(zero_copy_only=False))
+        return pa.StructArray.from_arrays([_to_arrow(geoms), pa.array(simple)], ["geom", "simple"], mask=pa.array(~flat.valid))
 
     # Marked nondeterministic so that the optimizer evaluates each once instead of copying it into a filter as well.
     _OVERLAP, _CLIP, _INTERSECTS, _OMBB, _BUFFER = (
@@ -491,6 +579,11 @@ def _span(lo: tuple[Column, Column], hi: tuple[Column, Column]) -> Column:
     return F.least(hi[0], hi[1]) - F.greatest(lo[0], lo[1])
 
 
+def _full_geom(col) -> Column:
+    """Geometry of a row, rebuilt from the bbox for rectangles that were shipped without."""
+    return F.when(col("is_box"), box_geom(*[col(c) for c in BBOX])).otherwise(col("geom"))
+
+
 def overlap_area(a: str, b: str) -> Column:
     """Overlap area of two aliased rows having ``geom, is_box`` and the bbox columns."""
     _udfs()
@@ -498,7 +591,7 @@ def overlap_area(a: str, b: str) -> Column:
     boxes = ca("is_box") & cb("is_box")
     w = F.greatest(_span((ca("xmin"), cb("xmin")), (ca("xmax"), cb("xmax"))), F.lit(0.0))
     h = F.greatest(_span((ca("ymin"), cb("ymin")), (ca("ymax"), cb("ymax"))), F.lit(0.0))
-    exact = _OVERLAP(F.when(~boxes, ca("geom")), F.when(~boxes, cb("geom")))
+    exact = _OVERLAP(F.when(~boxes, _full_geom(ca)), F.when(~boxes, _full_geom(cb)))
     return F.when(boxes, w * h).otherwise(exact)
 
 
@@ -507,7 +600,7 @@ def intersects(a: str, b: str) -> Column:
     _udfs()
     ca, cb = (lambda n: F.col(f"{a}.{n}")), (lambda n: F.col(f"{b}.{n}"))
     boxes = ca("is_box") & cb("is_box")
-    return boxes | _INTERSECTS(F.when(~boxes, ca("geom")), F.when(~boxes, cb("geom")))
+    return boxes | _INTERSECTS(F.when(~boxes, _full_geom(ca)), F.when(~boxes, _full_geom(cb)))
 
 
 def clip_area(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:

@@ -8,16 +8,20 @@ join, so only the pixels of the crops are shuffled, never whole tiles per footpr
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import BBOX, first
 from ..functions.kernels import min_rotated_rect
+from ..session import cut
 from .preprocessing import require_columns
 from .spatial_join import bbox_area_is_finite, bbox_join
 
 RASTER_EXTENSIONS = ("jp2", "tiff")  # Fixed values: file extensions of raster files.
 SPAN_TYPE = "array<struct<r:int,c0:int,c1:int>>"
+FRAG_TYPE = "array<struct<off:int,data:binary>>"
 
 # ---------------------------------------------------------------- catalog
 
@@ -51,8 +55,8 @@ _GRID = ("raster_xmin", "raster_ymax", "res", "width", "height", "n_bands")
 def crop_boxes(footprints: DataFrame, catalog: DataFrame, id_col: str = "id") -> DataFrame:
     """``id, raster_id, box`` and the raster's grid: the oriented box of every footprint that meets a raster.
 
-    Which rasters a footprint meets is decided on its upright bbox; the oriented box is only computed for
-    the rest of the way.
+    Which rasters a footprint meets is decided on its upright bbox.  The oriented box is computed once per footprint and
+    goes through the join in place of the geometry.
     """
     require_columns(footprints, id_col, "geom", "is_box", *BBOX)
     left = footprints.where(F.col(id_col).isNotNull() & bbox_area_is_finite()).select(
@@ -138,6 +142,11 @@ def _merged_runs(runs: Column) -> Column:
     return F.aggregate(F.array_sort(runs), F.array().cast(kind), fold)
 
 
+def ids_are_unique(footprints: DataFrame, id_col: str = "id") -> bool:
+    """Whether no id repeats, from the id column alone."""
+    return footprints.groupBy(id_col).count().where(F.col("count") > 1).isEmpty()
+
+
 def crop_plan(boxes: DataFrame, unique_ids: bool = False) -> DataFrame:
     """One row per (id, raster): the pixel window and the runs inside it.
 
@@ -148,40 +157,42 @@ def crop_plan(boxes: DataFrame, unique_ids: bool = False) -> DataFrame:
     keep = ["id", "raster_id", *_GRID, "r0", "r1", "c0", "c1", "runs"]
     if unique_ids:
         return planned.select(*keep)
-    key = ["id", "raster_id", *_GRID]
-    windows = planned.groupBy(*key).agg(*[fn(c).alias(c) for fn, c in ((F.min, "r0"), (F.max, "r1"), (F.min, "c0"), (F.max, "c1"))])
-    runs = planned.select("id", "raster_id", F.explode("runs").alias("s")).select(
-        "id", "raster_id", "s.r", F.struct("s.c0", "s.c1").alias("run")
+    planned = cut(planned.select(*keep))
+    key = ["id", "raster_id"]
+    same = [F.first(c).alias(c) for c in _GRID]
+    windows = planned.groupBy(*key).agg(*same, F.min("r0").alias("r0"), F.max("r1").alias("r1"), F.min("c0").alias("c0"), F.max("c1").alias("c1"))
+    runs = planned.select(*key, F.explode("runs").alias("s")).select(*key, "s.r", F.struct("s.c0", "s.c1").alias("run"))
+    rows = runs.groupBy(*key, "r").agg(F.collect_set("run").alias("found"))
+    with_row = F.transform(
+        _merged_runs(F.col("found")), lambda m: F.struct(F.col("r").alias("r"), m["c0"].alias("c0"), m["c1"].alias("c1"))
     )
-    runs = runs.groupBy("id", "raster_id", "r").agg(F.collect_set("run").alias("set"))
-    per_crop = runs.select(
-        "id", "raster_id", F.expr("r").alias("r"), _merged_runs(F.col("set")).alias("merged")
-    ).select(
-        "id", "raster_id",
-        F.transform("merged", lambda m: F.struct(F.col("r").alias("r"), m["c0"].alias("c0"), m["c1"].alias("c1"))).alias("p"),
-    ).groupBy("id", "raster_id").agg(F.array_sort(F.flatten(F.collect_list("p"))).alias("runs"))
-    joined = windows.join(per_crop, ["id", "raster_id"], "left")
+    per_crop = rows.select(*key, with_row.alias("p")).groupBy(*key).agg(
+        F.array_sort(F.flatten(F.collect_list("p"))).alias("runs")
+    )
+    joined = windows.join(per_crop, key, "left")
     return joined.withColumn("runs", F.coalesce("runs", F.array().cast(SPAN_TYPE))).select(*keep)
 
 
 # ---------------------------------------------------------------- cutting
 
+_SIZE = ("r0", "c0", "r1", "c1", "n_bands")
+
 
-def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int) -> DataFrame:
-    """One row per (crop, tile) with the bytes of its runs: ``id, raster_id, frags array<struct<off, data>>``.
+def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int, extra: Sequence[str] = ()) -> DataFrame:
+    """One row per (crop, tile) with the bytes of its runs: ``frags array<struct<off, data>>``, and the window.
 
-    ``off`` is the byte position in the finished crop.  The tile side has one row per key, and a tile many
-    footprints share is a skewed key the adaptive join splits on the crop side.
+    ``off`` is the byte position in the finished crop.  Crops without pixels, or whose tile is missing, keep a row with
+    NULL ``frags``.  The tile side has one row per key, and a tile many footprints share is a skewed key the adaptive
+    join splits on the crop side.
     """
     size, bands = F.lit(tile_size), F.col("n_bands")
 
     def cover(lo: Column, hi: Column) -> Column:
-        return F.sequence(F.floor(lo / size).cast("int"), F.floor(hi / size).cast("int"))
+        return F.when(F.size("runs") > 0, F.sequence(F.floor(lo / size).cast("int"), F.floor(hi / size).cast("int")))
 
     wanted = (
-        plan.where(F.size("runs") > 0)
-        .withColumn("tile_row", F.explode(cover(F.col("r0"), F.col("r1"))))
-        .withColumn("tile_col", F.explode(cover(F.col("c0"), F.col("c1"))))
+        plan.withColumn("tile_row", F.explode_outer(cover(F.col("r0"), F.col("r1"))))
+        .withColumn("tile_col", F.explode_outer(cover(F.col("c0"), F.col("c1"))))
         .withColumn("top", F.col("tile_row") * size)
         .withColumn("left", F.col("tile_col") * size)
     )
@@ -190,7 +201,7 @@ def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int) -> DataFra
         lambda s: (s["r"] >= F.col("top")) & (s["r"] < F.col("top") + size)
         & (s["c1"] >= F.col("left")) & (s["c0"] < F.col("left") + size),
     )
-    wanted = wanted.withColumn("runs", inside).where(F.size("runs") > 0)
+    wanted = wanted.withColumn("runs", inside)
     cells = tiles.select("raster_id", "tile_row", "tile_col", "cols", "data")
 
     def piece(s: Column) -> Column:
@@ -200,32 +211,66 @@ def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int) -> DataFra
         off = ((s["r"] - F.col("r0")) * (F.col("c1") - F.col("c0") + 1) + (a - F.col("c0"))) * bands
         return F.struct(off.cast("int").alias("off"), F.substring("data", start + 1, (b - a + 1) * bands).alias("data"))
 
-    joined = wanted.join(cells, ["raster_id", "tile_row", "tile_col"])
-    return joined.select("id", "raster_id", F.transform("runs", piece).alias("frags"))
+    joined = wanted.join(cells, ["raster_id", "tile_row", "tile_col"], "left")
+    frags = F.when(F.col("data").isNotNull(), F.transform("runs", piece))
+    return joined.select("id", "raster_id", *_SIZE, *extra, frags.alias("frags"))
 
 
 def crop_rasters(
-    footprints: DataFrame, catalog: DataFrame, tiles: DataFrame, tile_size: int, id_col: str = "id", unique_ids: bool = False
+    footprints: DataFrame,
+    catalog: DataFrame,
+    tiles: DataFrame,
+    tile_size: int,
+    id_col: str = "id",
+    unique_ids: bool | None = None,
 ) -> DataFrame:
     """``id, raster_id, r0, c0, height, width, n_channels, data``: the crops, black outside the oriented box.
 
-    A footprint too small to hold a pixel centre still has its row, with no pixels.
+    A footprint too small to hold a pixel centre still has its row, with no pixels.  ``unique_ids`` says whether ids may
+    repeat; by default one pass over the ids finds out.
     """
-    plan = crop_plan(crop_boxes(footprints, catalog, id_col), unique_ids)
-    frags = crop_fragments(plan, tiles, tile_size)
-    # All pieces of a crop come to one row; their total size is that of the crop.
-    pieces = frags.groupBy("id", "raster_id").agg(F.array_sort(F.flatten(F.collect_list("frags"))).alias("frags"))
-    sized = plan.select(
-        "id", "raster_id", "r0", "c0",
-        F.greatest(F.col("r1") - F.col("r0") + 1, F.lit(0)).alias("height"),
-        F.greatest(F.col("c1") - F.col("c0") + 1, F.lit(0)).alias("width"),
-        F.col("n_bands").alias("n_channels"),
+    return _assembled(crop_fragments(_plan_of(footprints, catalog, id_col, unique_ids), tiles, tile_size))
+
+
+def named_crops(
+    footprints: DataFrame,
+    catalog: DataFrame,
+    tiles: DataFrame,
+    tile_size: int,
+    id_col: str = "id",
+    unique_ids: bool | None = None,
+    earlier: DataFrame | None = None,
+    with_suffix: bool = True,
+) -> DataFrame:
+    """``crop_rasters`` with the names of ``crop_suffix``.
+
+    Names are given to the plan, before any pixel is cut: pixels are not shuffled by id, and images that are not kept
+    are never cut.
+    """
+    plan = crop_suffix(_plan_of(footprints, catalog, id_col, unique_ids), earlier, with_suffix)
+    names = ("suffix", "file_name", "suffixed_name")
+    return _assembled(crop_fragments(plan, tiles, tile_size, names), names)
+
+
+def _plan_of(footprints: DataFrame, catalog: DataFrame, id_col: str, unique_ids: bool | None) -> DataFrame:
+    if unique_ids is None:
+        unique_ids = ids_are_unique(footprints, id_col)
+    return crop_plan(crop_boxes(footprints, catalog, id_col), unique_ids)
+
+
+def _assembled(frags: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """All pieces of a crop in one row; their total size is that of the crop."""
+    whole = frags.groupBy("id", "raster_id").agg(
+        *[F.first(c).alias(c) for c in (*_SIZE, *extra)],
+        F.array_sort(F.flatten(F.collect_list(F.coalesce("frags", F.array().cast(FRAG_TYPE))))).alias("frags"),
     )
-    blank = (F.col("height") == 0) | (F.col("width") == 0)
-    sized = sized.withColumn("height", F.when(blank, 0).otherwise(F.col("height"))).withColumn(
-        "width", F.when(F.col("height") == 0, 0).otherwise(F.col("width"))
+    blank = (F.col("r1") < F.col("r0")) | (F.col("c1") < F.col("c0"))
+    sized = whole.select(
+        "id", "raster_id", "r0", "c0", *extra, "frags",
+        F.when(blank, 0).otherwise(F.col("r1") - F.col("r0") + 1).alias("height"),
+        F.when(blank, 0).otherwise(F.col("c1") - F.col("c0") + 1).alias("width"),
+        F.col("n_bands").alias("n_channels"),
     )
-    total = F.col("height") * F.col("width") * F.col("n_channels")
 
     def end(f: Column) -> Column:
         return f["off"] + F.length(f["data"])
@@ -234,21 +279,24 @@ def crop_rasters(
         before = F.when(i > 0, end(F.get("frags", i - 1))).otherwise(F.lit(0))
         return F.concat(F.repeat(F.lit("00"), f["off"] - before), F.hex(f["data"]))
 
-    filled = F.concat(
-        F.array_join(F.transform("frags", with_gap), ""),
-        F.repeat(F.lit("00"), total - F.coalesce(end(F.get("frags", F.size("frags") - 1)), F.lit(0))),
+    last = F.coalesce(end(F.get("frags", F.size("frags") - 1)), F.lit(0))
+    total = F.col("height") * F.col("width") * F.col("n_channels")
+    filled = F.concat(F.array_join(F.transform("frags", with_gap), ""), F.repeat(F.lit("00"), total - last))
+    return sized.select(
+        "id", "raster_id", *extra, "r0", "c0", "height", "width", "n_channels", F.unhex(filled).alias("data")
     )
-    data = F.when(F.col("frags").isNull(), F.unhex(F.repeat(F.lit("00"), total))).otherwise(F.unhex(filled))
-    joined = sized.join(pieces, ["id", "raster_id"], "left")
-    return joined.select("id", "raster_id", "r0", "c0", "height", "width", "n_channels", data.alias("data"))
 
 
 def zonal_pixels(
-    footprints: DataFrame, catalog: DataFrame, tiles: DataFrame, tile_size: int, id_col: str = "id", unique_ids: bool = False
+    footprints: DataFrame,
+    catalog: DataFrame,
+    tiles: DataFrame,
+    tile_size: int,
+    id_col: str = "id",
+    unique_ids: bool | None = None,
 ) -> DataFrame:
     """``id, raster_id, n_pixels, pixel_sum`` over the pixels in the oriented box; pairs without pixels left out."""
-    plan = crop_plan(crop_boxes(footprints, catalog, id_col), unique_ids)
-    frags = crop_fragments(plan, tiles, tile_size)
+    frags = crop_fragments(_plan_of(footprints, catalog, id_col, unique_ids), tiles, tile_size).where(F.size("frags") > 0)
 
     def total(frag: Column) -> Column:
         values = F.transform(
@@ -285,13 +333,18 @@ def crop_suffix(crops: DataFrame, earlier: DataFrame | None = None, with_suffix:
     if earlier is not None:
         used = earlier.groupBy("id").agg((F.max("suffix") + 1).alias("_used"))
         ranked = ranked.join(used, "id", "left").withColumn("suffix", F.col("suffix") + F.coalesce("_used", F.lit(0))).drop("_used")
-    named = ranked.withColumn("file_name", F.concat("id", F.lit(".jpg"))).withColumn(
-        "suffixed_name",
-        F.when(F.col("suffix") == 0, F.col("file_name")).otherwise(F.concat("id", F.lit("_"), F.col("suffix"), F.lit(".jpg"))),
-    )
+    named = with_names(ranked)
     return named if with_suffix else named.where(F.col("suffix") == 0)
 
 
+def with_names(ranked: DataFrame) -> DataFrame:
+    """File names from ``id`` and ``suffix``."""
+    numbered = F.concat("id", F.lit("_"), F.col("suffix").cast("string"), F.lit(".jpg"))
+    return ranked.withColumn("file_name", F.concat("id", F.lit(".jpg"))).withColumn(
+        "suffixed_name", F.when(F.col("suffix") == 0, F.col("file_name")).otherwise(numbered)
+    )
+
+
 def crop_manifest(named: DataFrame) -> DataFrame:
     """``raster_id, suffixed_name, file_name``, to be written partitioned by raster."""
     return named.select("raster_id", "suffixed_name", "file_name")

@@ -71,21 +71,15 @@ def add_roof_type(layer: DataFrame, roofs: DataFrame) -> DataFrame:
 def unknown_share(roofs: DataFrame) -> DataFrame:
     """``toiture, communes, share``: how many communes each type dominates."""
     per_type = dominant_roof(roofs).groupBy("toiture").agg(F.count(F.lit(1)).alias("communes"))
-    total = per_type.agg(F.sum("communes").alias("total"))  # a single row
-    return per_type.join(F.broadcast(total)).select(
-        "toiture", "communes", (F.col("communes") / F.col("total")).alias("share")
-    )
+    total = per_type.agg(F.sum("communes")).scalar()
+    return per_type.select("toiture", "communes", (F.col("communes") / total).alias("share"))
 
 
 def roof_counts(roofs: DataFrame) -> DataFrame:
     """``roof, n, share`` over rows with a commune, most frequent first."""
     per_type = roof_table(roofs).groupBy("roof").agg(F.count("commune").alias("n"))
-    total = per_type.agg(F.sum("n").alias("total"))
-    return (
-        per_type.join(F.broadcast(total))
-        .select("roof", "n", (F.col("n") / F.col("total")).alias("share"))
-        .orderBy(F.desc("n"), "roof")
-    )
+    total = per_type.agg(F.sum("n")).scalar()
+    return per_type.select("roof", "n", (F.col("n") / total).alias("share")).orderBy(F.desc("n"), "roof")
 
 
 # ---------------------------------------------------------------- updates by id

@@ -85,13 +85,21 @@ def sorted_paths(images: DataFrame, path_col: str = "path") -> DataFrame:
 
 
 def share_sample(images: DataFrame, share: float = 1.0, path_col: str = "path") -> DataFrame:
-    """The last ``floor(share * n)`` images in path order; ``share`` in (0, 1], 1 keeps all."""
+    """The last ``floor(share * n)`` images in path order; ``share`` in (0, 1], 1 keeps all.
+
+    Only the paths are sorted; the first path to keep comes back as one value, so the images themselves are read
+    with a plain filter.
+    """
     if not 0 < share <= 1:
         raise ValueError(f"share must satisfy 0 < share <= 1, got {share}")
     if share == 1:
         return images
-    indexed, total = with_row_index(images, [path_col], "_rank")
-    return indexed.where(F.col("_rank") >= total - int(share * total)).drop("_rank")
+    indexed, total = with_row_index(images.select(path_col), [path_col], "_rank")
+    keep = int(share * total)
+    if keep == 0:
+        return images.limit(0)
+    first = indexed.where(F.col("_rank") == total - keep).first()[path_col]
+    return images.where(F.col(path_col) >= first)
 
 
 def check_share(name: str, share: float) -> None:
@@ -138,10 +146,21 @@ def exact_split(images: DataFrame, key: str, training_share: float, validation_s
     check_share("validation_share", validation_share)
     if training_share + validation_share > 1:
         raise ValueError("the shares of one table must not add up to more than 1")
-    indexed, total = with_row_index(split_rank(images, key, seed), ["fraction", key], "_rank")
-    n_train, n_val = int(round(training_share * total, 9)), int(round(validation_share * total, 9))
-    split = F.when(F.col("_rank") < n_train, "train").when(F.col("_rank") < n_train + n_val, "validation")
-    return indexed.withColumn("split", split).where(F.col("split").isNotNull()).drop("_rank")
+    ranked = split_rank(images, key, seed)
+    indexed, total = with_row_index(ranked.select("fraction", key), ["fraction", key], "_rank")
+    n_train = int(round(training_share * total, 9))
+    ends = [n_train, n_train + int(round(validation_share * total, 9))]
+    found = {r["_rank"]: r for r in indexed.where(F.col("_rank").isin(ends)).collect()}  # two rows at most
+
+    def before(rank: int) -> Column:
+        edge = found.get(rank)  # none when the share reaches the last row
+        if edge is None:
+            return F.lit(True)
+        same = F.col("fraction") == edge["fraction"]
+        return (F.col("fraction") < edge["fraction"]) | (same & (F.col(key) < edge[key]))
+
+    split = F.when(before(ends[0]), "train").when(before(ends[1]), "validation")
+    return ranked.withColumn("split", split).where(F.col("split").isNotNull())
 
 
 def split_disjoint(split: DataFrame, key: str) -> DataFrame:

@@ -16,7 +16,7 @@ from ..functions.kernels import AREA_EPS, clip_area, overlap_area
 from ..session import cut
 from .components import connected_components
 from .preprocessing import require_columns, subset, with_geometry
-from .skew import broadcast_if_small, salted_pair
+from .skew import broadcast_if_small, salted_by, salted_pair
 from .spatial_join import (
     CELL,
     _SHAPE,
@@ -26,7 +26,8 @@ from .spatial_join import (
     _once,
     bbox_meets,
     cell_rows,
-    levels_of,
+    levels_in_use,
+    slim_shape,
     with_level,
 )
 
@@ -38,16 +39,21 @@ _DIVIDE = 4
 
 
 def _copies(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One row per distinct geometry, and ``id, rep`` links of the copies to it."""
-    keys = ["geom", *BBOX, "is_box"]
-    grouped = df.groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    reps = cut(grouped)
-    repeated = reps.where(F.col("n") > 1).select("geom", "rep")
+    """One row per distinct geometry, and ``id, rep`` links of the copies to it.
+
+    The hash comes first among the keys: rows are told apart by it before any geometry is compared.
+    """
+    hashed = df.withColumn("h", F.xxhash64(*BBOX, "geom"))
+    keys = ["h", *BBOX, "is_box", "geom"]
+    reps = cut(hashed.groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
+    repeated = reps.where(F.col("n") > 1).select(*keys, "rep")
     n = repeated.count()
+    reps = reps.withColumnRenamed("rep", "id").drop("n", "h")
     if n == 0:
-        return reps.withColumnRenamed("rep", "id").drop("n"), df.limit(0).select("id", F.col("id").alias("rep"))
-    links = df.select("id", "geom").join(broadcast_if_small(repeated, n), "geom").where(F.col("id") != F.col("rep"))
-    return reps.withColumnRenamed("rep", "id").drop("n"), links.select("id", "rep")
+        return reps, df.limit(0).select("id", F.col("id").alias("rep"))
+    same = [hashed[k].eqNullSafe(repeated[k]) if k == "geom" else hashed[k] == repeated[k] for k in keys]
+    links = hashed.join(broadcast_if_small(repeated, n), same).where(F.col("id") != F.col("rep"))
+    return reps, links.select("id", "rep")
 
 
 def _linked(pairs: DataFrame) -> DataFrame:
@@ -58,10 +64,10 @@ def _linked(pairs: DataFrame) -> DataFrame:
 
 def overlap_links(df: DataFrame, crowded: int = CROWDED_CELL) -> DataFrame:
     """``id_a, id_b`` links with the same connected components as all overlapping pairs."""
-    base = df.select("id", *_SHAPE)
+    base = df.select("id", *slim_shape()).where(F.col("xmin").isNotNull())
     reps, copy_links = _copies(base)
     shapes = with_level(reps)
-    levels = levels_of(shapes)
+    (levels,) = levels_in_use(shapes)
     members = cell_rows(shapes, _from_own_up(levels))
     own = F.col("level") == F.col("own_level")
     sizes = members.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"), F.sum(own.cast("int")).alias("n_own"))
@@ -148,8 +154,15 @@ def _cell_pairs(members: DataFrame, salted: bool = False) -> DataFrame:
 
 
 def _undecided(hot: DataFrame, links: DataFrame) -> DataFrame:
-    """Drops the cells whose members already belong to one component."""
-    named = hot.join(connected_components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    """Drops the cells whose members already belong to one component.
+
+    Links between members are enough to tell; leaving out the others only keeps a cell that could have gone.
+    """
+    ids = cut(hot.select("id").distinct())
+    known = links.join(ids.withColumnRenamed("id", "id_a"), "id_a", "left_semi").join(
+        ids.withColumnRenamed("id", "id_b"), "id_b", "left_semi"
+    )
+    named = hot.join(connected_components(known), "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = named.groupBy("x0", "y0", "side").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     return hot.join(split.where(F.col("lo") != F.col("hi")).select("x0", "y0", "side"), ["x0", "y0", "side"], "left_semi")
 
@@ -183,9 +196,13 @@ def _collected(parts: Column, id_col: str) -> Column:
 def with_leaders(groups: DataFrame, leaders: DataFrame, id_col: str = "id", limit: int = HOT_GROUP) -> DataFrame:
     """``id, group_id, leader_id, members`` per group member; large groups are spread over several tasks."""
     tops = leaders.withColumnRenamed("group_id", "g")
-    left, right, keys = salted_pair(
-        groups.withColumn("g", F.col("group_id")), tops, ["g"], id_col, "leader_id", limit
-    )
+    members = groups.withColumn("g", F.col("group_id"))
+    large = tops.where(F.col("members") > limit)
+    n = large.count()
+    if n == 0:
+        return members.join(tops, "g").select(id_col, "group_id", "leader_id", "members")
+    hot = large.select("g", F.ceil(F.col("members") / limit).cast("int").alias("sl"), F.lit(1).alias("sr"))
+    left, right, keys = salted_by(members, tops, ["g"], id_col, "leader_id", broadcast_if_small(hot, n))
     return left.join(right, keys).select(id_col, "group_id", "leader_id", "members")
 
 

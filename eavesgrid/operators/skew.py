@@ -1,7 +1,7 @@
 """Splitting hot keys before a join.
 
-A key with ``n_left`` and ``n_right`` rows becomes ``ceil(n_left/T) * ceil(n_right/T)`` blocks of at most about
-T x T candidate pairs.  Every pair still meets exactly once, in the block given by the two salts.
+A key with many rows becomes a grid of blocks of at most about ``limit * limit`` candidate pairs and ``200 * limit`` rows
+of one side.  Every pair still meets exactly once, in the block given by the two salts.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 BROADCAST_ROWS = 100_000
+LONG_SIDE = 200
 
 
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
@@ -21,21 +22,20 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def hot_keys(left: DataFrame, right: DataFrame | None, keys: Sequence[str], limit: int) -> DataFrame:
-    """``keys, sl, sr``: number of salts per side for the keys with more than ``limit`` rows on a side."""
+def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """``keys, sl, sr``: number of salts per side, for the keys that need more than one block."""
     both = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r"))
-    if right is not None:
-        both = both.unionByName(right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r")))
+    both = both.unionByName(right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r")))
     counts = both.groupBy(*keys).agg(F.sum("l").alias("nl"), F.sum("r").alias("nr"))
 
-    def salts(n: str):
-        return F.greatest(F.ceil(F.col(n) / F.lit(limit)), F.lit(1)).cast("int")
+    def salts(own: str, other: str):
+        # Against few partners a block may hold more rows of its own, up to LONG_SIDE times the limit.
+        partners = F.greatest(F.least(F.col(other), F.lit(limit)), F.lit(limit / LONG_SIDE))
+        return F.greatest(F.ceil(F.col(own) * partners / F.lit(float(limit) ** 2)), F.lit(1)).cast("int")
 
     # A key missing on one side joins nothing, however many rows it has.
-    live = (F.col("nl") > 0) & (F.col("nr") > 0) if right is not None else F.lit(True)
-    return counts.where(live & ((F.col("nl") > limit) | (F.col("nr") > limit))).select(
-        *keys, salts("nl").alias("sl"), salts("nr").alias("sr")
-    )
+    sized = counts.where((F.col("nl") > 0) & (F.col("nr") > 0)).select(*keys, salts("nl", "nr").alias("sl"), salts("nr", "nl").alias("sr"))
+    return sized.where((F.col("sl") > 1) | (F.col("sr") > 1))
 
 
 def salted_pair(
@@ -49,7 +49,13 @@ def salted_pair(
     n_hot = hot.count()
     if n_hot == 0:
         return left, right, list(keys)
-    hot = broadcast_if_small(cut(hot), n_hot)
+    return salted_by(left, right, keys, left_id, right_id, broadcast_if_small(cut(hot), n_hot))
+
+
+def salted_by(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str, right_id: str, hot: DataFrame
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Salt both sides by a known table ``keys, sl, sr``."""
 
     def salted(df: DataFrame, own: str, other: str, id_col: str, own_salt: str, other_salt: str) -> DataFrame:
         joined = df.join(hot, list(keys), "left")

@@ -42,10 +42,18 @@ def with_level(df: DataFrame) -> DataFrame:
     return df.withColumn("own_level", grid_level(*(F.col(c) for c in BBOX)))
 
 
-def levels_of(df: DataFrame) -> list[int]:
-    """Grids in use: at most 41 small integers, from the bbox columns alone."""
-    rows = df.where(F.col("xmin").isNotNull()).select("own_level").distinct().collect()
-    return sorted(r[0] for r in rows)
+def levels_in_use(*frames: DataFrame) -> list[list[int]]:
+    """Grids each frame uses, from the bbox columns alone: one job, one bit per level."""
+    bit = F.expr(f"shiftleft(1L, own_level - ({LEVEL_MIN}))")
+    tagged = [
+        f.where(F.col("xmin").isNotNull()).select(*[(bit if i == k else F.lit(0).cast("long")).alias(f"m{k}") for k in range(len(frames))])
+        for i, f in enumerate(frames)
+    ]
+    rows = tagged[0]
+    for other in tagged[1:]:
+        rows = rows.unionByName(other)
+    masks = rows.agg(*[F.bit_or(f"m{k}") for k in range(len(frames))]).first()
+    return [[LEVEL_MIN + i for i in range(LEVEL_MAX - LEVEL_MIN + 1) if (mask or 0) >> i & 1] for mask in masks]
 
 
 def cell_rows(df: DataFrame, levels: Column) -> DataFrame:
@@ -99,7 +107,7 @@ def bbox_join(
     Both inputs carry only the columns wanted in the result plus the bbox.
     """
     lv, rv = with_level(left), with_level(right)
-    l_levels, r_levels = levels_of(lv), levels_of(rv)
+    l_levels, r_levels = levels_in_use(lv, rv)
     # side 0: left looks up right's own cells; side 1: right looks up strictly coarser left cells.
     l_rows = cell_rows(lv, _from_own_up(r_levels)).withColumn("side", F.lit(0))
     r_rows = cell_rows(rv, F.array("own_level")).withColumn("side", F.lit(0))
@@ -114,7 +122,7 @@ def bbox_join(
 def self_bbox_join(df: DataFrame, id_col: str, hot_cell: int = HOT_CELL) -> DataFrame:
     """Pairs of one table whose bboxes overlap with positive area, each unordered pair once."""
     lv = with_level(df)
-    levels = levels_of(lv)
+    (levels,) = levels_in_use(lv)
     l_rows = cell_rows(lv, _from_own_up(levels))
     r_rows = cell_rows(lv, F.array("own_level"))
     l_rows, r_rows, keys = salted_pair(l_rows, r_rows, CELL, id_col, id_col, hot_cell)
@@ -129,6 +137,11 @@ def self_bbox_join(df: DataFrame, id_col: str, hot_cell: int = HOT_CELL) -> Data
 _SHAPE = [*BBOX, "geom", "is_box"]
 
 
+def slim_shape() -> list[Column]:
+    """Shape columns for a shuffle: a rectangle travels as its bbox alone, the kernels rebuild it if needed."""
+    return [*[F.col(c) for c in BBOX], F.when(~F.col("is_box"), F.col("geom")).alias("geom"), F.col("is_box")]
+
+
 def spatial_join(
     left: DataFrame,
     right: DataFrame,
@@ -139,7 +152,8 @@ def spatial_join(
 ) -> DataFrame:
     """``left_id, right_id`` of the pairs that intersect (contact counts) or overlap (positive area).
 
-    The two id columns need different names.  Both tables have ``geom``, ``is_box`` and the bbox columns.
+    The two id columns need different names.  Both tables have ``geom``, ``is_box`` and the bbox
+    columns.
     """
     if predicate not in ("intersects", "overlaps"):
         raise ValueError(f"predicate must be intersects or overlaps, got {predicate!r}")
@@ -147,7 +161,7 @@ def spatial_join(
         raise ValueError("the two id columns need different names")
     closed = predicate == "intersects"
     pairs = bbox_join(
-        left.select(left_id, *_SHAPE), right.select(right_id, *_SHAPE), left_id, right_id, closed, hot_cell
+        left.select(left_id, *slim_shape()), right.select(right_id, *slim_shape()), left_id, right_id, closed, hot_cell
     )
     test = intersects("l", "r") if closed else overlap_area("l", "r") > AREA_EPS
     return pairs.where(test).select(F.col(f"l.{left_id}"), F.col(f"r.{right_id}"))
@@ -155,7 +169,7 @@ def spatial_join(
 
 def self_overlap_pairs(df: DataFrame, id_col: str = "id", hot_cell: int = HOT_CELL) -> DataFrame:
     """``id_a, id_b, overlap`` with ``id_a < id_b``: every pair of rows that overlap with positive area."""
-    pairs = self_bbox_join(df.select(id_col, *_SHAPE), id_col, hot_cell)
+    pairs = self_bbox_join(df.select(id_col, *slim_shape()), id_col, hot_cell)
     a, b = F.col(f"l.{id_col}"), F.col(f"r.{id_col}")
     return (
         pairs.select(F.least(a, b).alias("id_a"), F.greatest(a, b).alias("id_b"), overlap_area("l", "r").alias("overlap"))

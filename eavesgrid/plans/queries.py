@@ -187,7 +187,7 @@ def subset_filter(spark, sf_dir):
 
 @query
 def drop_prefix(spark, sf_dir):
-    df = X.layer(spark, sf_dir).select("id", "score", F.lit("x").alias("joint_idTigre"), F.lit(1).alias("joint_n"))
+    df = X.layer(spark, sf_dir).select("id", "score", F.lit("x").alias("joint_zone"), F.lit(1).alias("joint_n"))
     return preprocessing.drop_prefixed(df)
 
 
@@ -414,7 +414,7 @@ def zonal_pixels(spark, sf_dir):
 @query
 def incremental_crops(spark, sf_dir):
     pairs = spatial_join.footprint_raster_join(X.layer(spark, sf_dir), X.rasters(spark, sf_dir)).select("id", "raster_id")
-    named = incremental_names(pairs, X.rasters(spark, sf_dir), X.ledger(spark, sf_dir))
+    named = incremental_names(pairs, X.ledger(spark, sf_dir))
     return named.select("id", "raster_id", "suffix", "suffixed_name")
 
 
@@ -461,7 +461,8 @@ def prepare_images(spark, sf_dir):
 
 @query
 def score_images(spark, sf_dir):
-    named = crops.crop_suffix(_crops(spark, sf_dir)).withColumn("path", F.concat(F.lit("images/"), "suffixed_name"))
+    named = crops.named_crops(X.layer(spark, sf_dir), X.rasters(spark, sf_dir), X.raster_tiles(spark, sf_dir), X.TILE)
+    named = named.withColumn("path", F.concat(F.lit("images/"), "suffixed_name"))
     return scoring.score_images(
         named, scoring.bytes_model(_mean_model), CLASSES2, (_SIDE, _SIDE), "grayscale", drop_suffixed=F.col("suffix") == 0
     )

@@ -6,11 +6,12 @@ written again over itself, so no raster is lost or cut twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.crops import crop_rasters, crop_suffix, pending_rasters
+from ..operators.crops import named_crops, pending_rasters, with_names
+from ..operators.spatial_join import footprint_raster_join
 
 CROPS, LEDGER = "crops", "ledger"
 
@@ -22,17 +23,17 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def incremental_names(pairs: DataFrame, catalog: DataFrame, ledger: DataFrame, with_suffix: bool = True) -> DataFrame:
+def incremental_names(pairs: DataFrame, ledger: DataFrame, with_suffix: bool = True) -> DataFrame:
     """Names of the crops of pending rasters, suffixes counted on from the rasters in the ledger.
 
-    ``pairs`` holds ``id, raster_id`` of all rasters.  With ``with_suffix=False`` a footprint that has an image
-    already gets no other one.
+    ``pairs`` holds ``id, raster_id`` of all rasters and is read once: finished rasters take the first ranks of a
+    footprint, pending ones the next.  With ``with_suffix=False`` a footprint that has an image already gets no other.
     """
-    todo = pending_rasters(catalog, ledger).select("raster_id")
-    done = pairs.join(ledger.select("raster_id"), "raster_id", "left_semi")
-    used = done.groupBy("id").agg((F.count(F.lit(1)) - 1).cast("int").alias("suffix"))
-    new = pairs.join(todo, "raster_id", "left_semi")
-    return crop_suffix(new, used, with_suffix)
+    marked = pairs.join(ledger.select("raster_id", F.lit(True).alias("done")), "raster_id", "left")
+    order = Window.partitionBy("id").orderBy(F.col("done").isNull(), "raster_id")
+    ranked = marked.withColumn("suffix", F.row_number().over(order) - 1).where(F.col("done").isNull()).drop("done")
+    named = with_names(ranked)
+    return named if with_suffix else named.where(F.col("suffix") == 0)
 
 
 def _finished(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None:
@@ -48,8 +49,12 @@ def cut_batch(
     spark = rasters.sparkSession
     ledger = read_or_none(spark, f"{out}/{LEDGER}")
     todo = rasters if ledger is None else pending_rasters(rasters, ledger.where(F.col("batch") < batch_id))
-    crops = crop_rasters(footprints, todo, tiles, tile_size)
-    named = crop_suffix(crops, _finished(spark, out, batch_id), with_suffix)
+    earlier = _finished(spark, out, batch_id)
+    if earlier is not None:
+        # Only footprints of this batch need their earlier names.
+        touched = footprint_raster_join(footprints, todo).select("id").distinct()
+        earlier = earlier.select("id", "suffix").join(touched, "id", "left_semi")
+    named = named_crops(footprints, todo, tiles, tile_size, earlier=earlier, with_suffix=with_suffix)
     named.write.mode("overwrite").parquet(f"{out}/{CROPS}/batch={batch_id}")
     # The ledger goes last: a raster counts as done only once its crops are there.
     todo.select("raster_id").write.mode("overwrite").parquet(f"{out}/{LEDGER}/batch={batch_id}")

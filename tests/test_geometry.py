@@ -242,3 +242,46 @@ def test_sql_functions(spark):
     layer(spark, [("a", TRIANGLE), ("b", poly(square(0, 0, 2)))]).createOrReplaceTempView("shapes")
     row = spark.sql("select geom_overlap_area(a.geom, b.geom) s, geom_intersects(a.geom, b.geom) t from shapes a, shapes b where a.id='a' and b.id='b'").first()
     assert row["s"] == pytest.approx(4) and row["t"] is True
+
+
+def _cross(box):
+    u, v = box[1] - box[0], box[3] - box[0]
+    return u[0] * v[1] - u[1] * v[0]
+
+
+def _turned(rng, n):
+    shapes = []
+    for _ in range(n):
+        x, y, w, h = rng.uniform(0, 50, 4)
+        ring = rotate(rect(x, y, w + 1, h + 1), rng.uniform(0, 90), x, y)
+        if rng.random() < 0.5:
+            ring = [*ring[:2], (ring[1][0] + 3, ring[1][1] + 9), *ring[2:]]
+        if rng.random() < 0.5:
+            ring = ring[::-1]
+        shapes.append(ring)
+    return shapes
+
+
+def test_batches_agree_with_single_shapes():
+    rings = _turned(np.random.default_rng(2), 60)
+    flat = K.Flat(arrow(*[poly(r) for r in rings], None, TRIANGLE, L_SHAPE, HOLED))
+    boxes = K.min_rotated_boxes(flat)
+    assert np.isnan(boxes[60]).all()
+    for ring, box in zip(rings, boxes):
+        one = K.min_rotated_box(np.array(ring))
+        assert abs(_cross(one)) == pytest.approx(abs(_cross(box)))
+    distance = np.full(flat.rows, 0.7)
+    geoms, simple = K.buffer_batch(flat, distance)
+    assert geoms[60] is None
+    for row in [i for i in range(flat.rows) if i != 60]:
+        parts, ok = K.buffer_parts(flat.parts_of(row), 0.7)
+        assert ok == simple[row]
+        got = sorted(map(tuple, np.round(np.concatenate([r[:-1] for p in geoms[row] for r in p]), 6)))
+        want = sorted(map(tuple, np.round(np.concatenate([r for p in parts for r in p]), 6)))
+        assert np.allclose(got, want, atol=1e-5)
+
+
+def test_box_of_many_points_takes_the_hull():
+    pts = [(math.cos(t / 10) * 5, math.sin(t / 10) * 2) for t in range(62)]
+    box = K.min_rotated_boxes(K.Flat(arrow(poly(pts))))[0]
+    assert abs(_cross(box)) == pytest.approx(40, rel=0.01)

@@ -45,7 +45,7 @@ def test_failed_batch_leaves_no_duplicate(spark, world, tmp_path):
     N.cut_batch(catalog.where("raster_id = 'r0'"), 0, fp, tiles, TILE, out)
     # The crops of batch 1 get written, its ledger does not.
     rest = catalog.where("raster_id <> 'r0'")
-    named = N.crop_suffix(crop_rasters(fp, rest, tiles, TILE), N._finished(spark, out, 1))
+    named = N.named_crops(fp, rest, tiles, TILE, earlier=N._finished(spark, out, 1))
     named.write.parquet(f"{out}/crops/batch=1")
     N.cut_batch(rest, 1, fp, tiles, TILE, out)
     N.cut_batch(rest, 1, fp, tiles, TILE, out)
