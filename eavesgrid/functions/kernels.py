@@ -529,15 +529,51 @@ def _mitred(pts: np.ndarray, distance: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate([new, new[:, :1]], 1) + origin, fits, ok
 
 
+# ---------------------------------------------------------------- cutting to a rectangle
+
+
+def clip_ring(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.ndarray | None:
+    """The closed ring inside a rectangle; pieces stay connected along the rectangle's sides.  None if nothing is left."""
+    pts = ring[:-1]
+    for axis, bound, sign in ((0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)):
+        if len(pts) == 0:
+            return None
+        side = (pts[:, axis] - bound) * sign
+        keep = side >= 0
+        if keep.all():
+            continue
+        after, side2 = np.roll(pts, -1, 0), np.roll(side, -1)
+        cross = keep != (side2 >= 0)
+        span = np.where(cross, side - side2, 1.0)
+        met = pts + (np.where(cross, side, 0.0) / span)[:, None] * (after - pts)
+        met[:, axis] = bound
+        both = np.stack([pts, met], 1).reshape(-1, 2)
+        pts = both[np.stack([keep, cross], 1).ravel()]
+    rel = pts - pts[:1] if len(pts) else pts
+    nxt = np.roll(rel, -1, 0)
+    area = (rel[:, 0] * nxt[:, 1] - nxt[:, 0] * rel[:, 1]).sum() if len(pts) > 2 else 0.0
+    return _closed(pts) if area != 0 else None
+
+
+def clip_parts(parts: list[list[np.ndarray]], x0: float, y0: float, x1: float, y1: float) -> list[list[np.ndarray]]:
+    out = []
+    for part in parts:
+        shell = clip_ring(part[0], x0, y0, x1, y1)
+        if shell is not None:
+            holes = (clip_ring(hole, x0, y0, x1, y1) for hole in part[1:])
+            out.append([shell, *[h for h in holes if h is not None]])
+    return out
+
+
 # ---------------------------------------------------------------- column builders
 
-_OVERLAP = _CLIP = _INTERSECTS = _OMBB = _BUFFER = None
+_OVERLAP = _CLIP = _INTERSECTS = _OMBB = _BUFFER = _CUT = None
 
 
 def _udfs():
     """Built on first use, when there is a session whose workers can be given the package."""
     ship_package()
-    global _OVERLAP, _CLIP, _INTERSECTS, _OMBB, _BUFFER
+    global _OVERLAP, _CLIP, _INTERSECTS, _OMBB, _BUFFER, _CUT
     if _OVERLAP is not None:
         return
 
@@ -566,9 +602,16 @@ def _udfs():
         geoms, simple = buffer_batch(flat, distance.to_numpy(zero_copy_only=False))
         return pa.StructArray.from_arrays([_to_arrow(geoms), pa.array(simple)], ["geom", "simple"], mask=pa.array(~flat.valid))
 
+    @F.arrow_udf(GEOM_TYPE)
+    def cut_to(g: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+        flat = Flat(g)
+        sides = [c.to_numpy(zero_copy_only=False) for c in (x0, y0, x1, y1)]
+        rows = [clip_parts(flat.parts_of(i), *(c[i] for c in sides)) if flat.valid[i] else None for i in range(flat.rows)]
+        return _to_arrow(rows)
+
     # Marked nondeterministic so that the optimizer evaluates each once instead of copying it into a filter as well.
-    _OVERLAP, _CLIP, _INTERSECTS, _OMBB, _BUFFER = (
-        f.asNondeterministic() for f in (overlap, clip, intersects, ombb, buffered)
+    _OVERLAP, _CLIP, _INTERSECTS, _OMBB, _BUFFER, _CUT = (
+        f.asNondeterministic() for f in (overlap, clip, intersects, ombb, buffered, cut_to)
     )
 
 
@@ -612,6 +655,12 @@ def clip_area(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.when(F.col("is_box"), w * h).otherwise(exact)
 
 
+def cut_to_rectangle(geom: str, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Geometry inside a rectangle, possibly empty.  Its border may run along the rectangle where the shape did not."""
+    _udfs()
+    return _CUT(F.col(geom), x0, y0, x1, y1)
+
+
 def min_rotated_rect(geom: str = "geom") -> Column:
     """Oriented minimum bounding box; a rectangle parallel to the axes is its own."""
     _udfs()

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -137,3 +138,33 @@ def test_components(spark, hot_minimum, parts):
 def test_components_of_nothing(spark):
     df = spark.createDataFrame([], "id_a string, id_b string")
     assert connected_components(df).count() == 0
+
+
+def star(rng, cx, cy, r, n):
+    ring = [(cx + r * rng.uniform(0.4, 1) * math.cos(2 * math.pi * i / n), cy + r * rng.uniform(0.4, 1) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    return ring
+
+
+@pytest.mark.parametrize("predicate", ["intersects", "overlaps"])
+@pytest.mark.parametrize("hot", [3, 5000])
+def test_divided_shapes_give_the_same_pairs(spark, predicate, hot):
+    rng = random.Random(9)
+    zones = [(f"z{i}", poly(star(rng, rng.uniform(-80, 80), rng.uniform(-80, 80), r, 60))) for i, r in enumerate((5, 20, 60, 90))]
+    zones.append(("holed", [[[*r, r[0]] for r in (star(rng, 0, 0, 100, 80), star(rng, 5, 5, 20, 30)[::-1])]]))
+    zones.append(("two", [poly(star(rng, -200, 0, 40, 50))[0], poly(star(rng, -90, 0, 40, 50))[0]]))
+    zones.append(("plain", poly(square(0, 0, 64))))
+    fps = [(f"f{i:03d}", poly(rotate(rect(x, y, w, h), rng.choice([0, 20]), x, y)))
+           for i in range(150) for x, y, w, h in [(rng.randrange(-240, 160), rng.randrange(-120, 120), rng.choice([1, 4, 16, 40, 200]), rng.choice([1, 4, 16, 64]))]]
+    left, right = layer(spark, fps), layer(spark, zones).withColumnRenamed("id", "zone")
+    whole = {tuple(r) for r in S.spatial_join(left, right, "id", "zone", predicate, max_points=10**6).collect()}
+    rows = S.spatial_join(left, right, "id", "zone", predicate, hot, max_points=20).collect()
+    assert len(rows) == len(set(rows)) and {tuple(r) for r in rows} == whole and len(whole) > 100
+
+
+def test_divided_shape_has_small_pieces(spark):
+    rng = random.Random(4)
+    zone = layer(spark, [("z", poly(star(rng, 10, 10, 300, 2000)))])
+    pieces = S.subdivide(zone.select("id", *S.BBOX, "geom"), 100)
+    points = F.aggregate(F.flatten("geom"), F.lit(0), lambda n, r: n + F.size(r))
+    leaf = pieces.where("leaf").select(points.alias("n"))
+    assert leaf.agg(F.max("n")).first()[0] < 700 and leaf.agg(F.avg("n")).first()[0] < 150
