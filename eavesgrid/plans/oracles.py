@@ -259,6 +259,12 @@ ORACLES: dict[str, str] = {
     "prepare_images": f"""{CROPS}, {PREPARED},
         s AS (SELECT id, raster_id, CAST(sum(v * (9 * pos + 6)) AS BIGINT) AS checksum FROM fit GROUP BY 1, 2)
         SELECT id, raster_id, 48 AS n_values, coalesce(checksum, 0) AS checksum FROM crop LEFT JOIN s USING (id, raster_id)""",
+    "prepare_fit_images": f"""{CROPS}, keyed AS (
+          SELECT raster_id || '/' || id AS path, CASE WHEN height * width >= 6 THEN 'PV' ELSE 'no_PV' END AS class_name FROM crop),
+        ranked AS (SELECT *, CAST(CAST('0x' || substr(md5('42' || path), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296 AS fraction FROM keyed)
+        SELECT CASE WHEN fraction < 0.6 THEN 'train' ELSE 'validation' END AS split, class_name, count(*) AS n,
+               count(*) * 48 AS n_values, min(path) AS first_path
+        FROM ranked WHERE fraction < 0.9 GROUP BY 1, 2""",
     "score_images": f"""{NAMED}, {PREPARED}, s AS (SELECT id, raster_id, sum(v) AS total FROM fit GROUP BY 1, 2),
         p AS (SELECT named.id, 1 / (1 + exp(-(coalesce(total, 0) / CAST(16 AS DOUBLE) - 20) / 10)) AS p
               FROM named LEFT JOIN s USING (id, raster_id) WHERE suffix = 0)

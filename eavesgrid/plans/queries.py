@@ -301,7 +301,7 @@ def pending_tiles(spark, sf_dir):
 
 @query
 def connected_components(spark, sf_dir):
-    return components.connected_components(spatial_join.self_overlap_pairs(X.layer(spark, sf_dir)))
+    return components.connected_components(merge.overlap_links(X.layer(spark, sf_dir)))
 
 
 @query
@@ -459,6 +459,22 @@ def prepare_images(spark, sf_dir):
     return ready.select("id", "raster_id", F.length("tensor").alias("n_values"), _weighted(F.col("tensor")).alias("checksum"))
 
 
+@query
+def prepare_fit_images(spark, sf_dir):
+    """Crops labelled by footprint area, split, augmented and written as tensors partitioned by split and class."""
+    labelled = (
+        _crops(spark, sf_dir)
+        .withColumn("path", F.concat_ws("/", "raster_id", "id"))
+        .withColumn("class_name", F.when(F.col("height") * F.col("width") >= 6, "PV").otherwise("no_PV"))
+    )
+    ready = images.prepare_fit_images(labelled, "path", 0.6, 0.3, epoch=1, img_size=(_SIDE, _SIDE))
+    path = scratch_path(spark, "tensors")
+    ready.select("path", "split", "class_name", "tensor").write.partitionBy("split", "class_name").parquet(path)
+    return spark.read.parquet(path).groupBy("split", "class_name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("tensor")).alias("n_values"), F.min("path").alias("first_path")
+    )
+
+
 @query
 def score_images(spark, sf_dir):
     named = crops.named_crops(X.layer(spark, sf_dir), X.rasters(spark, sf_dir), X.raster_tiles(spark, sf_dir), X.TILE)
