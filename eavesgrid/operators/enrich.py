@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.geometry import BBOX
 from ..functions.projection import reproject_lambert93
 from ..functions.scalars import UNKNOWN, commune_code, fill_unknown
 from .preprocessing import require_columns, with_geometry
@@ -26,13 +27,14 @@ def flag_protected(
 
     A zone counts whatever its attributes are.  ``lonlat`` zones are reprojected first.
     """
-    require_columns(layer, id_col, "geom")
+    require_columns(layer, id_col, "geom", "is_box", *BBOX)
     zones = reproject_zones(zones) if lonlat else zones
-    zones = zones.withColumn("_zone", F.xxhash64(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]))
-    hits = spatial_join(layer, zones, id_col, "_zone", "intersects", hot_cell).select(id_col).distinct()
-    return layer.join(hits.withColumn("protected", F.lit(True)), id_col, "left").withColumn(
-        "protected", F.coalesce("protected", F.lit(False))
-    )
+    zones = zones.withColumn("_zone", F.xxhash64(*BBOX))
+    # Id and shape together: rows that share an id are flagged each by its own shape.
+    keyed = layer.withColumn("_row", F.struct(id_col, *BBOX, F.xxhash64("geom").alias("shape")))
+    hits = spatial_join(keyed, zones, "_row", "_zone", "intersects", hot_cell).select("_row").distinct()
+    flagged = keyed.join(hits.withColumn("protected", F.lit(True)), "_row", "left").drop("_row")
+    return flagged.withColumn("protected", F.coalesce("protected", F.lit(False)))
 
 
 # ---------------------------------------------------------------- roof types

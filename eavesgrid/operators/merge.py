@@ -46,14 +46,21 @@ def _copies(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     hashed = df.withColumn("h", F.xxhash64(*BBOX, "geom"))
     keys = ["h", *BBOX, "is_box", "geom"]
     reps = cut(hashed.groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
-    repeated = reps.where(F.col("n") > 1).select(*keys, "rep")
-    n = repeated.count()
-    reps = reps.withColumnRenamed("rep", "id").drop("n", "h")
-    if n == 0:
-        return reps, df.limit(0).select("id", F.col("id").alias("rep"))
-    same = [hashed[k].eqNullSafe(repeated[k]) if k == "geom" else hashed[k] == repeated[k] for k in keys]
-    links = hashed.join(broadcast_if_small(repeated, n), same).where(F.col("id") != F.col("rep"))
-    return reps, links.select("id", "rep")
+    repeated = reps.where(F.col("n") > 1)
+    plain = reps.withColumnRenamed("rep", "id").drop("n", "h")
+    n_large, n_repeated = repeated.agg(F.sum((F.col("n") > HOT_GROUP).cast("int")), F.count(F.lit(1))).first()
+    if n_repeated == 0:
+        return plain, df.limit(0).select("id", F.col("id").alias("rep"))
+    left, right, on = hashed, repeated, ["h"]
+    if n_large:
+        salts = F.max(F.ceil(F.col("n") / HOT_GROUP).cast("int")).alias("sl")
+        hot = repeated.where(F.col("n") > HOT_GROUP).groupBy("h").agg(salts).withColumn("sr", F.lit(1))
+        left, right, on = salted_by(hashed, repeated, ["h"], "id", "rep", broadcast_if_small(hot, n_large))
+    left, right = left.alias("l"), right.alias("r")
+    # Rectangles come without a geometry: NULL equals NULL here, their bboxes are compared anyway.
+    same = _equi([*on, *BBOX, "is_box"]) & F.col("l.geom").eqNullSafe(F.col("r.geom"))
+    links = left.join(right, same & (F.col("l.id") != F.col("r.rep")))
+    return plain, links.select("l.id", "r.rep")
 
 
 def _linked(pairs: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ SERVICE = (
     "&SERVICE=WMS&VERSION=1.3.0&REQUEST=GetMap&STYLES&CRS=EPSG:3857"
 )
 MAX_ATTEMPTS = 5
+MANY_TILES = 100_000
 WORLD_3857 = 20037508.342789244  # half the side of the EPSG:3857 world square, metres
 
 
@@ -43,12 +44,18 @@ def tile_grid(boxes: DataFrame, img_height: int = 250, img_width: int = 250) ->
     res = F.col("resolution")
     nx, x0, w = _axis("min_x", "max_x", res, img_width)
     ny, y0, h = _axis("min_y", "max_y", res, img_height)
-    grid = (
-        boxes.select("box_id", "resolution", nx.alias("nx"), x0.alias("x0"), w.alias("used_width"),
-                     ny.alias("ny"), y0.alias("y0"), h.alias("used_height"))
-        .withColumn("col", F.explode(F.sequence(F.lit(0), F.col("nx") - 1)))
-        .withColumn("row", F.explode(F.sequence(F.lit(0), F.col("ny") - 1)))
+    sized = boxes.select(
+        "box_id", "resolution", nx.alias("nx"), x0.alias("x0"), w.alias("used_width"),
+        ny.alias("ny"), y0.alias("y0"), h.alias("used_height"),
     )
+    by_col = sized.withColumn("col", F.explode(F.sequence(F.lit(0), F.col("nx") - 1)))
+    wide = F.col("nx").cast("long") * F.col("ny") > MANY_TILES
+    # The columns of a huge box are spread over the cluster before each gives its tiles.  The number is given because
+    # the adaptive planner would put these few small rows together again.
+    parts = int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = by_col.where(wide).repartition(parts, "box_id", "col")
+    grid = by_col.where(~wide).unionByName(spread)
+    grid = grid.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("ny") - 1)))
     dx, dy = F.col("used_width") * res, F.col("used_height") * res
     return grid.select(
         "box_id",

@@ -38,6 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 _SHIPPED: set[str] = set()
+_OWN_FOLDERS: dict[str, str] = {}
 
 
 def ship_package(spark: SparkSession | None = None) -> None:
@@ -61,8 +62,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the cluster, also given to the Spark context."""
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="eavesgrid-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        app = spark.sparkContext.applicationId
+        folder = _OWN_FOLDERS.setdefault(app, _OWN_FOLDERS.get(app) or tempfile.mkdtemp(prefix="eavesgrid-"))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder

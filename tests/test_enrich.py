@@ -80,6 +80,14 @@ def test_flag_protected(spark):
     assert not any(r["protected"] for r in E.flag_protected(df, zones.limit(0)).collect())
 
 
+def test_flag_is_per_row(spark):
+    """Rows sharing an id, or without one, are flagged by their own shape."""
+    df = layer(spark, [("a", poly(square(0, 0, 1))), ("a", poly(square(50, 0, 1))), (None, poly(square(1, 1, 1))), (None, poly(square(60, 0, 1))), ("n", None)])
+    out = E.flag_protected(df, layer(spark, [("z", poly(square(0, 0, 4)))]))
+    got = sorted((r["id"] or "-", r["xmin"] if r["xmin"] is not None else -1, r["protected"]) for r in out.collect())
+    assert got == [("-", 1, True), ("-", 60, False), ("a", 0, True), ("a", 50, False), ("n", -1, False)]
+
+
 def test_flag_protected_in_degrees(spark):
     """A zone around 3 E 46.5 N lies around the Lambert-93 origin."""
     df = layer(spark, [("near", poly(square(700000, 6600000, 10))), ("away", poly(square(800000, 6600000, 10)))])

@@ -116,3 +116,12 @@ def test_group_of_leaders_survives_salting(spark):
     out = M.with_leaders(groups, leaders, limit=5)
     assert out.count() == 60 and out.where("leader_id = 'i1'").count() == 40
     assert out.select(F.sum("members")).first()[0] == 40 * 40 + 20 * 20
+
+
+def test_large_piles_of_copies_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(M, "HOT_GROUP", 4)
+    rows = [(f"a{i:02d}", poly(square(0, 0, 4)), 1.0) for i in range(30)]
+    rows += [(f"t{i}", poly(rotate(square(50, 50, 4), 10)), 1.0) for i in range(9)] + [("x", poly(square(90, 0, 4)), 1.0)]
+    reps, links = M._copies(layer(spark, rows).select("id", *M.slim_shape()))
+    assert sorted(r["id"] for r in reps.collect()) == ["a00", "t0", "x"]
+    assert sorted(map(tuple, links.collect())) == sorted([(f"a{i:02d}", "a00") for i in range(1, 30)] + [(f"t{i}", "t0") for i in range(1, 9)])

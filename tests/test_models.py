@@ -61,6 +61,13 @@ def test_tile_grid(spark):
     assert len(by[4]) == 100  # no extra tile from adding up floats
 
 
+def test_huge_box_is_spread(spark):
+    grid = T.tile_grid(box(spark, (0, 0, 400 * 50, 300 * 50, 0.2), (0, 0, 50, 50, 0.2)))
+    assert grid.count() == 120001 and grid.where("box_id = 0").select("tile_name").distinct().count() == 120000
+    by_task = grid.where("box_id = 0").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert by_task < 120000
+
+
 def test_manifest(spark):
     url = T.tile_manifest(T.tile_grid(box(spark, (0, 0, 30.1, 10, 0.2)))).first()["url"]
     assert "&WIDTH=151&HEIGHT=50&BBOX=0.0,0.0,30.1,10.0" in url
