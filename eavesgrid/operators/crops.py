@@ -99,25 +99,33 @@ def with_window(boxes: DataFrame) -> DataFrame:
     )
 
 
+def with_sides(windows: DataFrame) -> DataFrame:
+    """The box's four sides as ``side0`` .. ``side3``: start point, slope dx/dy, and whether the side runs up or down."""
+    corner = [F.get("box", F.lit(k)) for k in range(5)]
+
+    def side(p: Column, q: Column) -> Column:
+        dx, dy = q["x"] - p["x"], q["y"] - p["y"]
+        slope = F.when(dy != 0, dx / F.nullif(dy, F.lit(0.0)))
+        return F.struct(p["x"].alias("x"), p["y"].alias("y"), slope.alias("slope"), F.signum(dy).alias("way"))
+
+    return windows.withColumns({f"side{k}": side(corner[k], corner[k + 1]) for k in range(4)})
+
+
 def pixel_runs() -> Column:
-    """``array<struct<r, c0, c1>>``: per pixel row the columns with their centre in the convex box."""
-    edges = F.zip_with(
-        F.slice("box", 1, 4), F.slice("box", 2, 4),
-        lambda a, b: F.struct(
-            a["x"].alias("x"), a["y"].alias("y"), (b["x"] - a["x"]).alias("dx"), (b["y"] - a["y"]).alias("dy")
-        ),
-    )
-    infinite = F.lit(float("inf"))
+    """``array<struct<r, c0, c1>>``: per pixel row the columns with their centre in the convex box.
+
+    Going round counter-clockwise, sides that run up bound a row on the right, those that run down on the left.
+    """
+    sides = [F.col(f"side{k}") for k in range(4)]
 
     def run(r: Column) -> Column:
         y = F.col("raster_ymax") - (r + 0.5) * F.col("res")
-        at = lambda e: e["x"] + e["dx"] * (y - e["y"]) / e["dy"]
-        hi = F.array_min(F.transform(edges, lambda e: F.when(e["dy"] > 0, at(e)).otherwise(infinite)))
-        lo = F.array_max(F.transform(edges, lambda e: F.when(e["dy"] < 0, at(e)).otherwise(-infinite)))
-        flat = F.exists(edges, lambda e: (e["dy"] == 0) & (e["dx"] * (y - e["y"]) < 0))
+        at = [s["x"] + s["slope"] * (y - s["y"]) for s in sides]
+        hi = F.least(*[F.when(s["way"] > 0, x) for s, x in zip(sides, at)])
+        lo = F.greatest(*[F.when(s["way"] < 0, x) for s, x in zip(sides, at)])
         x = lambda v: (v - F.col("raster_xmin")) / F.col("res")
         c0 = F.greatest(_from(x(lo)), F.col("c0"))
-        c1 = F.when(flat, F.lit(-1)).otherwise(F.least(_from(x(hi)) - 1, F.col("c1")))
+        c1 = F.least(_from(x(hi)) - 1, F.col("c1"))
         return F.struct(r.alias("r"), c0.alias("c0"), c1.alias("c1"))
 
     rows = F.sequence(F.col("r0"), F.col("r1"))
@@ -153,7 +161,7 @@ def crop_plan(boxes: DataFrame, unique_ids: bool = False) -> DataFrame:
     Footprints sharing an id are cut together.  Their runs are joined pixel row by pixel row after removing
     repeated ones, so no group grows with the number of footprints.  ``unique_ids`` skips this.
     """
-    planned = with_window(boxes).withColumn("runs", pixel_runs())
+    planned = with_sides(with_window(boxes)).withColumn("runs", pixel_runs())
     keep = ["id", "raster_id", *_GRID, "r0", "r1", "c0", "c1", "runs"]
     if unique_ids:
         return planned.select(*keep)
@@ -201,18 +209,28 @@ def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int, extra: Seq
         lambda s: (s["r"] >= F.col("top")) & (s["r"] < F.col("top") + size)
         & (s["c1"] >= F.col("left")) & (s["c0"] < F.col("left") + size),
     )
-    wanted = wanted.withColumn("runs", inside)
+    wanted = (
+        wanted.withColumn("runs", inside)
+        .withColumn("first_r", F.get("runs", F.lit(0))["r"])
+        .withColumn("last_r", F.get("runs", F.size("runs") - 1)["r"])
+    )
     cells = tiles.select("raster_id", "tile_row", "tile_col", "cols", "data")
+    stride = F.col("cols") * bands
+    # First the pixel rows of the crop as one slice, in the generated code of the join: the tile itself is never copied
+    # into a joined row.  Then the runs out of that slice.
+    band = F.substring("data", (F.col("first_r") - F.col("top")) * stride + 1, (F.col("last_r") - F.col("first_r") + 1) * stride)
+    joined = wanted.join(cells, ["raster_id", "tile_row", "tile_col"], "left").select(
+        "id", "raster_id", *_SIZE, *extra, "runs", "left", "first_r", "cols", band.alias("band")
+    )
 
     def piece(s: Column) -> Column:
         a = F.greatest(s["c0"], F.col("left"))
         b = F.least(s["c1"], F.col("left") + F.col("cols") - 1)
-        start = ((s["r"] - F.col("top")) * F.col("cols") + (a - F.col("left"))) * bands
+        start = (s["r"] - F.col("first_r")) * stride + (a - F.col("left")) * bands
         off = ((s["r"] - F.col("r0")) * (F.col("c1") - F.col("c0") + 1) + (a - F.col("c0"))) * bands
-        return F.struct(off.cast("int").alias("off"), F.substring("data", start + 1, (b - a + 1) * bands).alias("data"))
+        return F.struct(off.cast("int").alias("off"), F.substring("band", start + 1, (b - a + 1) * bands).alias("data"))
 
-    joined = wanted.join(cells, ["raster_id", "tile_row", "tile_col"], "left")
-    frags = F.when(F.col("data").isNotNull(), F.transform("runs", piece))
+    frags = F.when(F.col("band").isNotNull(), F.transform("runs", piece))
     return joined.select("id", "raster_id", *_SIZE, *extra, frags.alias("frags"))
 
 
