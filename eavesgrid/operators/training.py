@@ -8,11 +8,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 DEFAULT_CLASSES = ("no_PV", "PV")  # Fixed values: default class names.
 DEFAULT_SIZE = (250, 250)  # Fixed value: default image size.
 
@@ -41,7 +43,11 @@ def train_classifier(
     family = "binomial" if info.mode == "BINARY" else "multinomial"
     data = rows.select(array_to_vector(F.col(features).cast("array<double>")).alias("features"), F.col(label).cast("double").alias("label"))
     model = LogisticRegression(family=family, maxIter=max_iter, regParam=reg).fit(data)
-    return PipelineModel(stages=[model])
+    # A freshly fitted model drags its training summary, and with it the session, into every task that predicts.  Saved
+    # and loaded, it holds the weights alone.
+    path = scratch_path(rows.sparkSession, "fitted")
+    model.save(path)
+    return PipelineModel(stages=[LogisticRegressionModel.load(path)])
 
 
 def predict_classifier(model: PipelineModel, rows: DataFrame, info: ModelInfo, features: str = "features") -> DataFrame:

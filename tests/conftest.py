@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,6 +12,7 @@ from eavesgrid.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, 4)
+    warehouse = tempfile.mkdtemp(prefix="eavesgrid-warehouse-")
+    session = local_session(8, 4, spark__sql__warehouse__dir=warehouse)
     yield session
     session.stop()

@@ -129,3 +129,24 @@ def test_plan_has_no_nested_loop(spark, capsys):
     C.crop_rasters(fp, catalog, tiles, TILE).explain()
     text = capsys.readouterr().out
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_bucketed_tiles_are_not_shuffled(spark):
+    from eavesgrid.sinks.tables import write_raster_tiles
+
+    catalog, tiles, _ = make_raster(spark, 1, {"r0": (0, 0), "r1": (40, 0)})
+    write_raster_tiles(tiles, "tiles_in_buckets", 4)
+    fp = layer(spark, [(n, poly(g[0])) for n, g in SHAPES.items()])
+    stored = spark.table("tiles_in_buckets")
+    plan = C.crop_plan(C.crop_boxes(fp, catalog), True)
+    want = {(r["id"], r["raster_id"]): r["data"] for r in C.crop_rasters(fp, catalog, tiles, TILE).collect()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = C.crop_fragments(plan, stored, TILE)._jdf.queryExecution().executedPlan().toString()
+        got = {(r["id"], r["raster_id"]): r["data"] for r in C.crop_rasters(fp, catalog, stored, TILE).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    tile_side = text[:text.index("tiles_in_buckets")].splitlines()[-8:]
+    assert not any("Exchange" in line for line in tile_side), text
+    assert got == want

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from eavesgrid.operators import metrics as M
@@ -95,6 +96,9 @@ def blobs(spark, k):
 def test_train_save_load(spark, tmp_path, k):
     info = L.ModelInfo("roofs", (100, 80), tuple("abc"[:k]))
     df = blobs(spark, k)
+    seen = Observation()  # a session that has observed something must still be able to predict
+    df.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 150}
     model = L.train_classifier(df, info)
     K.save_model(spark, model, info, str(tmp_path))
     again, meta = K.load_model(spark, str(tmp_path / "roofs.metadata"), str(tmp_path / "roofs.model"))
