@@ -90,3 +90,15 @@ SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND line_chars - lost_chars >= line_chars * CAST(0.3 AS DOUBLE) AS kept
 FROM m
 """
+
+ORACLES["op1_keep_bitmaps"] = f"""
+WITH l AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+k AS (
+  SELECT *, {ASCII_LOWER.format(r"trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM l),
+gone AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(g.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE g.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN gone g USING (key) GROUP BY doc_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, quality, url_filter
+from . import exact_dedup, line_dedup, mixing, packing, quality, url_filter
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_keep_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs), with_text=False)
+
+
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +34,18 @@ def op8_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer of op9."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 #: host, path, verdict of the rules of op10
 URL_RULES = [
     ("net", "/", "block"),
@@ -44,8 +61,10 @@ def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_keep_bitmaps": op1_keep_bitmaps,
     "op5_line_frequency": op5_line_frequency,
     "op6_fair_queueing": op6_fair_queueing,
     "op8_heavy_hitters": op8_heavy_hitters,
+    "op9_squares_packing": op9_squares_packing,
     "op10_filter_cascade": op10_filter_cascade,
 }
