@@ -46,3 +46,17 @@ def join_keyed(left: DataFrame, right: DataFrame, keys: list[str], how: str = "l
     for key in keys:
         on = on & F.col(key).eqNullSafe(F.col(f"__r_{key}"))
     return left.join(renamed, on, how).drop(*[f"__r_{k}" for k in keys])
+
+
+def keep_rows(docs: DataFrame, winners: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` named by ``winners``, with all their columns.
+
+    ``winners`` has ``id, text`` (hash of the text) and ``n``, the number of rows with that id and text.  Where there are
+    several, one of them stays.
+    """
+    right = winners.select(F.col("id").alias("__id"), F.col("text").alias("__text"), F.col("n").alias("__n"))
+    keyed = docs.withColumns({"__id": F.col(id_col), "__text": F.xxhash64(whole(F.col(text_col)))})
+    joined = join_keyed(keyed, right, ["__id", "__text"], "inner")
+    single = joined.where(F.col("__n") == 1)
+    repeated = joined.where(F.col("__n") > 1).dropDuplicates(["__id", "__text"])
+    return single.unionByName(repeated).select(*docs.columns)

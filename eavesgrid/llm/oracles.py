@@ -102,3 +102,21 @@ SELECT doc_id, count(*) AS n_lines, count(g.key) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE g.key IS NULL), '')) AS kept_sha256
 FROM k LEFT JOIN gone g USING (key) GROUP BY doc_id
 """
+
+ORACLES["op4_set_relations"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWER_TEXT}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(unnest(CASE
+    WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) END)) AS g
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, n.n
+"""
