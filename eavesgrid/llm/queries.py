@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, ngram_join, packing, quality, url_filter
+from . import exact_dedup, line_dedup, mixing, ngram_join, packing, quality, toxicity, url_filter
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -22,6 +22,15 @@ def op1_keep_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs), with_text=False)
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op4_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = ngram_join.near_groups(_table(spark, sf_dir, "documents"), size=4, percent=85)
     return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
@@ -67,6 +76,7 @@ def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_keep_bitmaps": op1_keep_bitmaps,
+    "op2_kneser_ney": op2_kneser_ney,
     "op4_set_relations": op4_set_relations,
     "op5_line_frequency": op5_line_frequency,
     "op6_fair_queueing": op6_fair_queueing,
