@@ -33,26 +33,34 @@ from ..session import ship_package
 WINDOW = 2048
 END_ID = 1
 MOST_OPEN = 4096
-MOST_WORDS = 300_000
+MOST_WORDS = 600_000
 LONG_WORD = 64
 TOGETHER = 500
+PLAIN = "\u0250"  # letters below are single code points with simple lower case
 ROWS_OUT = 2000
 
 
 class WordTokenizer:
     """Token ids of a text as little-endian 32-bit bytes, from remembered words.
 
-    A word of ASCII letters is remembered in lower case, and one mark behind a word of letters apart from it: the
-    vocabulary lower-cases, and never joins letters and marks.  Words of letters are tokenized many at a time, since each is
-    one unit that ends with a token of a word end; should the number of ends not agree, they are tokenized one by one.
-    Two generations of remembered words are kept, so that frequent ones survive.
+    A word of letters is remembered in lower case, and one mark behind it apart from it: the vocabulary lower-cases, and
+    never joins letters and marks.  Words of the letters below ``PLAIN`` need no further normalising and are one unit each, so they
+    are tokenized many at a time, split at the space; each ends with a token of a word end.  Should the number of ends not
+    agree, and for all other words, the whole tokenizer is asked.  Two generations of remembered words are kept, so that
+    frequent ones survive.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_str(definition)
+        self._ascii, self._latin = Tokenizer.from_str(definition), Tokenizer.from_str(definition)
+        at_space = pre_tokenizers.Split(" ", "removed")
+        self._ascii.normalizer = self._latin.normalizer = normalizers.Sequence([])
+        self._ascii.pre_tokenizer = at_space
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._latin.pre_tokenizer = pre_tokenizers.Sequence([at_space, byte_level])
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -63,41 +71,47 @@ class WordTokenizer:
     def _one(self, word: str) -> bytes:
         return np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _letters(self, words: list[str]) -> Iterator[bytes]:
+    def _together(self, tokenizer, words: list[str]) -> Iterator[bytes]:
         groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        encoded = self._tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        encoded = tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
         for group, e in zip(groups, encoded, strict=True):
             ids = np.array(e.ids, "<u4")
             ends = np.flatnonzero(self._ends[ids]) + 1
             if len(ends) == len(group):
                 data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-                yield from (data[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
+                yield from [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
             else:
                 yield from map(self._one, group)
 
     def _learn(self, words: set[str]) -> None:
         known, older, marks = self._known, self._older, self._marks
-        plain, made = set(), []
+        ascii_words, latin_words, made = set(), set(), []
         for word in words:
             if word in older:
                 known[word] = older[word]
                 continue
-            mark = word[-1:] if word[-1:] in marks else ""
-            base = word[: len(word) - len(mark)]
+            mark = word[-1:]
+            base = word[:-1] if mark in marks else word
             if not base.isalpha():
                 known[word] = self._one(word)
                 continue
-            if base.isascii():
-                base = base.lower()
-            made.append((word, base, mark))
-            if base in older:
-                known[base] = older[base]
-            elif base not in known:
-                plain.add(base)
-        fresh = list(plain)
-        known.update(zip(fresh, self._letters(fresh), strict=True))
-        for word, base, mark in made:
-            known[word] = known[base] + marks[mark] if mark else known[base]
+            lower = base.lower()
+            if lower in older:
+                known[lower] = older[lower]
+            elif lower not in known:
+                if lower.isascii():
+                    ascii_words.add(lower)
+                elif max(base) < PLAIN and lower.isalpha():
+                    latin_words.add(lower)
+                else:
+                    known[word] = self._one(word)
+                    continue
+            if lower != word:
+                made.append((word, lower, mark if base is not word else ""))
+        for tokenizer, some in ((self._ascii, list(ascii_words)), (self._latin, list(latin_words))):
+            known.update(zip(some, self._together(tokenizer, some), strict=True))
+        for word, lower, mark in made:
+            known[word] = known[lower] + marks[mark] if mark else known[lower]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
