@@ -120,3 +120,21 @@ reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN l
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, n.n
 """
+
+ORACLES["op7_induced_sorting"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+p AS (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM d WHERE n >= 100),
+w AS (SELECT doc_id, i, hash(substr(h, 2 * i + 1, 200)) AS k1, hash(substr(h, 2 * i + 1, 200) || 'x') AS k2 FROM p),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k1, k2 ORDER BY doc_id, i) AS o FROM w) WHERE o > 1),
+e AS (SELECT doc_id, i, max(i + 100) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r),
+g AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e),
+s AS (SELECT doc_id, k, min(i) AS a, max(i) + 100 AS b FROM g GROUP BY doc_id, k),
+t AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_ FROM s),
+x AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS last,
+         string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) AS kept
+  FROM t JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN x USING (doc_id)
+"""

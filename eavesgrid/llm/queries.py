@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, ngram_join, packing, quality, toxicity, url_filter
+from . import exact_dedup, line_dedup, mixing, ngram_join, packing, quality, repeats, toxicity, url_filter
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -44,6 +44,17 @@ def op6_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents")).drop("text_hash", "source")
 
 
+def op7_induced_sorting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -80,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_set_relations": op4_set_relations,
     "op5_line_frequency": op5_line_frequency,
     "op6_fair_queueing": op6_fair_queueing,
+    "op7_induced_sorting": op7_induced_sorting,
     "op8_heavy_hitters": op8_heavy_hitters,
     "op9_squares_packing": op9_squares_packing,
     "op10_filter_cascade": op10_filter_cascade,
