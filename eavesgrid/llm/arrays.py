@@ -11,7 +11,7 @@ import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-_BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
+_BYTES, _OTHER = np.random.default_rng(20240229).integers(1, 1 << 63, (2, 256), dtype=np.int64).astype(np.uint64)
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -63,11 +63,11 @@ def slices(column: pa.Array, most_bytes: int = _MAX_BYTES):
         first = min(last, len(column))
 
 
-def _running(data: np.ndarray) -> np.ndarray:
+def _running(data: np.ndarray, values: np.ndarray = _BYTES) -> np.ndarray:
     """Running sums of byte value times power, one more entry than bytes."""
     up, _ = _powers(len(data) + 1)
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * up[: len(data)], out=out[1:])
+    np.cumsum(values[data] * up[: len(data)], out=out[1:])
     return out
 
 
@@ -90,12 +90,41 @@ def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return first, last, counts
 
 
+def span_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray, other: bool = False) -> np.ndarray:
+    """Hash of the bytes from ``first`` to ``last``; ``other`` gives a second one, from other values of the bytes."""
+    sums = _running(data, _OTHER if other else _BYTES)
+    _, down = _powers(len(data) + 1)
+    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+
+
+def fold(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z lower-cased."""
+    return _FOLD[data]
+
+
+def line_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each line without the white space around it, and the number of lines in each row (one at least)."""
+    rows = len(starts) - 1
+    feeds = np.flatnonzero(data == 10)
+    row = np.searchsorted(starts, feeds, "right") - 1
+    before = np.searchsorted(feeds, starts)  # line feeds before each row
+    begin, end = np.empty(rows + len(feeds), np.int64), np.empty(rows + len(feeds), np.int64)
+    begin[np.arange(rows) + before[:-1]] = starts[:-1]
+    begin[np.arange(len(feeds)) + row + 1] = feeds + 1
+    end[np.arange(len(feeds)) + row] = feeds
+    end[np.arange(rows) + before[1:]] = starts[1:]
+    solid = np.flatnonzero(~_WHITE[data])
+    first, last = np.searchsorted(solid, begin), np.searchsorted(solid, end)
+    some = first < last
+    out = np.stack([end, end])
+    out[0][some], out[1][some] = solid[first[some]], solid[last[some] - 1] + 1
+    return out[0], out[1], np.diff(before) + 1
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, A-Z lower-cased, and the number of words in each row."""
     first, last, counts = word_spans(data, starts)
-    sums = _running(_FOLD[data])
-    _, down = _powers(len(data) + 1)
-    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)), counts
+    return span_hashes(_FOLD[data], first, last), counts
 
 
 def window_hashes(data: np.ndarray, length: int) -> np.ndarray:

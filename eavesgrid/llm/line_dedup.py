@@ -25,22 +25,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, ship_package
-from .common import WHITE, ascii_lower, join_keyed, whole
+from .arrays import buffer_of, fold, line_spans, slices, span_hashes
+from .common import join_keyed, whole
 
 LIMIT = 10  # documents in which a line may not be found
 ORDER = ["a", "b", "id", "text", "pos"]
+ROWS_OUT = 200_000
+
+
+def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, last in slices(batch.column("body")):
+            part = batch.slice(first, last - first)
+            data, starts = buffer_of(part.column("body"))
+            begin, end, n = line_spans(data, starts)
+            some = np.flatnonzero(begin < end)
+            row = np.repeat(np.arange(len(n)), n)
+            pos = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            folded = fold(data)
+            for at in range(0, len(some), ROWS_OUT):
+                take = some[at : at + ROWS_OUT]
+                mine = pa.array(row[take])
+                hashes = [
+                    pa.array(span_hashes(folded, begin[take], end[take], other).view(np.int64)) for other in (False, True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*hashes, part.column("id").take(mine), part.column("text").take(mine),
+                     pa.array(pos[take].astype(np.int32)), pa.array(n[row[take]].astype(np.int32))],
+                    names=[*ORDER, "n"],
+                )
 
 
 def line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``a, b, id, text, pos, n``: hashes of a line's key, document, position, and lines in the document."""
-    text = whole(F.col(text_col))
-    lines = F.split(text, "\n")
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(text).alias("text"), F.size(lines).alias("n"), F.posexplode(lines).alias("pos", "line")
-    )
-    key = ascii_lower(F.btrim("line", F.lit(WHITE)))
-    rows = rows.withColumn("key", key).where("key != ''")
-    return rows.select(F.xxhash64("key").alias("a"), F.xxhash64(F.lit(1), "key").alias("b"), "id", "text", "pos", "n")
+    body = whole(F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(body).alias("text"), body.alias("body"))
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(_line_rows, f"a long, b long, id {kind}, text long, pos int, n int")
 
 
 def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
@@ -161,8 +182,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     ship_package(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = line_rows(docs, id_col, text_col).repartitionByRange(parts, *ORDER[:4]).sortWithinPartitions(*ORDER)
-    rows = cut(rows)  # both passes below must see the same partitions
+    rows = cut(line_rows(docs, id_col, text_col))  # sampled for the ranges and then dealt out: the text is read once
+    rows = cut(rows.repartitionByRange(parts, *ORDER[:4]).sortWithinPartitions(*ORDER))  # both passes below see the same partitions
     totals = _totals(rows.mapInArrow(_ends, ENDS).collect())
     id_type = rows.schema["id"].dataType.simpleString()
     gone = rows.mapInArrow(_dropped(limit, totals), f"id {id_type}, text long, pos int, n int")
