@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, ngram_join, packing, quality, repeats, toxicity, url_filter
+from . import exact_dedup, line_dedup, mixing, ngram_join, packing, pii, quality, repeats, toxicity, url_filter
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -31,6 +31,23 @@ def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_shape_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+    def of_base(kind: str | None = None):
+        return F.filter("spans", lambda s: s["base"] & (F.lit(True) if kind is None else s["kind"] == kind))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(of_base(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(joined(of_base()).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = ngram_join.near_groups(_table(spark, sf_dir, "documents"), size=4, percent=85)
     return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
@@ -88,6 +105,7 @@ def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_keep_bitmaps": op1_keep_bitmaps,
     "op2_kneser_ney": op2_kneser_ney,
+    "op3_shape_field": op3_shape_field,
     "op4_set_relations": op4_set_relations,
     "op5_line_frequency": op5_line_frequency,
     "op6_fair_queueing": op6_fair_queueing,
