@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from eavesgrid.plans.oracles import ORACLES
+from eavesgrid.plans.queries import QUERIES
 from oracle_check import check, duck
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -30,5 +32,9 @@ def test_only_training_has_no_twin():
     assert set(QUERIES) - set(SQL) == {"train_classifier"}
 
 
+def test_entry_has_all_of_them():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
