@@ -8,14 +8,14 @@ while they still hold more than one component.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import BBOX, GEOM_TYPE
+from ..functions.geometry import BBOX, area as geometry_area
 from ..functions.kernels import AREA_EPS, clip_area, overlap_area
 from ..session import cut
 from .components import connected_components
-from .preprocessing import require_columns, subset, with_geometry
+from .preprocessing import require_columns, subset
 from .skew import broadcast_if_small, salted_by, salted_pair
 from .spatial_join import (
     CELL,
@@ -32,10 +32,10 @@ from .spatial_join import (
 )
 
 CROWDED_CELL = 256
-PARTS_PER_ROW = 10_000
 HOT_GROUP = 1_000_000
 MAX_DIVISIONS = 12
 _DIVIDE = 4
+_SUB_CELL = ["x0", "y0", "side"]
 
 
 def _copies(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -47,6 +47,10 @@ def _copies(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = ["h", *BBOX, "is_box", "geom"]
     reps = cut(hashed.groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
     repeated = reps.where(F.col("n") > 1)
+    # A copy overlaps its representative by its own area, so copies of flat shapes are not tied, like any two flat shapes.
+    solid = geometry_area(F.col("geom")) if "geom" in reps.columns else None
+    box = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
+    repeated = repeated.where(F.when(F.col("is_box"), box).otherwise(solid) > AREA_EPS)
     plain = reps.withColumnRenamed("rep", "id").drop("n", "h")
     n_large, n_repeated = repeated.agg(F.sum((F.col("n") > HOT_GROUP).cast("int")), F.count(F.lit(1))).first()
     if n_repeated == 0:
@@ -117,12 +121,20 @@ def _divide(hot: DataFrame, links: DataFrame, crowded: int) -> DataFrame:
             F.count(F.lit(1)).alias("n"), F.min(F.when(whole, F.col("id"))).alias("hub")
         )
         stats = cut(stats.where(F.col("n") > 1))
-        pieces = cut(pieces.join(stats, ["x0", "y0", "side"]).drop("piece"))
-        stars = pieces.where(F.col("hub").isNotNull() & (F.col("id") != F.col("hub")))
+        pieces = cut(pieces.join(stats, _SUB_CELL))
+        covered = pieces.where(F.col("hub").isNotNull())
+        # The hub fills the sub-cell, so a piece in it is an overlap with the hub.  Pieces too small to count as one are
+        # compared with all others there by their true overlap.
+        stars = covered.where((F.col("piece") > AREA_EPS) & (F.col("id") != F.col("hub")))
         stars = stars.select(F.col("id").alias("id_a"), F.col("hub").alias("id_b"))
-        open_cells = pieces.where(F.col("hub").isNull()).drop("hub")
+        slivers = covered.where(F.col("piece") <= AREA_EPS).drop("hub", "n", "piece")
+        others = covered.drop("hub", "n", "piece")
+        faint = _linked(slivers.alias("l").join(
+            others.alias("r"), _equi(_SUB_CELL) & (F.col("l.id") != F.col("r.id")) & bbox_meets(closed=False)
+        ))
+        open_cells = pieces.where(F.col("hub").isNull()).drop("hub", "piece")
         small = open_cells.where(F.col("n") <= crowded).drop("n")
-        links = cut(links.unionByName(stars).unionByName(_cell_pairs(small)).distinct())
+        links = cut(links.unionByName(stars).unionByName(faint).unionByName(_cell_pairs(small)).distinct())
         hot = open_cells.where(F.col("n") > crowded).drop("n")
         if hot.limit(1).count() == 0:
             return links
@@ -151,7 +163,7 @@ def _pieces(hot: DataFrame, noise: float) -> DataFrame:
 
 
 def _cell_pairs(members: DataFrame, salted: bool = False) -> DataFrame:
-    keys = ["x0", "y0", "side"]
+    keys = _SUB_CELL
     left, right = members, members
     if salted:
         left, right, keys = salted_pair(members, members, keys, "id", "id", CROWDED_CELL * 8)
@@ -195,11 +207,6 @@ def group_leaders(layer: DataFrame, groups: DataFrame, field: str = "score", id_
     )
 
 
-def _collected(parts: Column, id_col: str) -> Column:
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("id"), parts.alias("g"))))
-    return F.flatten(F.transform(ordered, lambda s: s["g"])).cast(GEOM_TYPE)
-
-
 def with_leaders(groups: DataFrame, leaders: DataFrame, id_col: str = "id", limit: int = HOT_GROUP) -> DataFrame:
     """``id, group_id, leader_id, members`` per group member; large groups are spread over several tasks."""
     tops = leaders.withColumnRenamed("group_id", "g")
@@ -213,47 +220,36 @@ def with_leaders(groups: DataFrame, leaders: DataFrame, id_col: str = "id", limi
     return left.join(right, keys).select(id_col, "group_id", "leader_id", "members")
 
 
-def merged_geometries(
-    layer: DataFrame, tagged: DataFrame, id_col: str = "id", parts_per_row: int = PARTS_PER_ROW
-) -> DataFrame:
-    """``group_id, leader_id, chunk, geom``: the members' parts collected, not dissolved, in id order.
+def merged_parts(layer: DataFrame, tagged: DataFrame, id_col: str = "id") -> DataFrame:
+    """``group_id, leader_id``, member id and ``geom``: the parts of each merged geometry, one row per member.
 
-    Groups beyond ``parts_per_row`` members are spread over several rows (``chunk`` 0, 1, ...), so no row and no
-    task ever holds an unbounded group.
+    Parts are kept as they are, not dissolved.  A group of any size has the same shape here, and none has to fit a row.
     """
-    chunks = F.ceil(F.col("members") / F.lit(parts_per_row))
-    members = layer.select(id_col, "geom").join(tagged, id_col)
-    members = members.withColumn("chunk", F.pmod(F.xxhash64(id_col), chunks).cast("int"))
-    return members.groupBy("group_id", "leader_id", "chunk").agg(_collected(F.col("geom"), id_col).alias("geom"))
-
-
-def merge_overlapped(
-    layer: DataFrame,
-    field: str = "score",
-    min_value: float | None = None,
-    id_col: str = "id",
-    parts_per_row: int = PARTS_PER_ROW,
-) -> DataFrame:
-    """The layer with every group of overlapping footprints replaced by its leader.
-
-    The leader keeps its attributes and gets the collected geometry; footprints without overlap are unchanged.
-    Overlapping parts are kept as they are, so areas of merged rows count overlaps twice.  ``members`` is 1 for
-    untouched rows; ``chunk`` is 0 unless the group needs more than one row.
+    return layer.select(id_col, "geom").join(tagged, id_col).select("group_id", "leader_id", id_col, "geom")
+
+
+def merge_overlapped(layer: DataFrame, field: str = "score", min_value: float | None = None, id_col: str = "id") -> DataFrame:
+    """The layer with every group of overlapping footprints replaced by its leader: one row per group.
+
+    The leader keeps its attributes and gets the group's bbox, the summed ``area`` of the parts (overlaps count twice) and
+    the number of ``members``, 1 for footprints without overlap.  The geometry of a group is the rows of ``merged_parts``;
+    ``geom`` is left to untouched rows and NULL for groups.
     """
     groups = cut(overlap_groups(layer, field, min_value, id_col))
     leaders = cut(group_leaders(layer, groups, field, id_col))
     tagged = cut(with_leaders(groups, leaders, id_col))
-    merged = merged_geometries(layer, tagged, id_col, parts_per_row).select(
-        F.col("leader_id").alias(id_col), "chunk", F.col("geom").alias("_merged")
-    )
-    kept = layer.join(tagged, id_col, "left").where(F.col("leader_id").isNull() | (F.col("leader_id") == F.col(id_col)))
-    shaped = kept.join(merged, id_col, "left")
-    attributes = [F.col(c) for c in layer.columns if c not in ("geom", *BBOX, "is_box")]
-    return with_geometry(
-        shaped.select(
-            *attributes,
-            F.coalesce("members", F.lit(1)).alias("members"),
-            F.coalesce("chunk", F.lit(0)).alias("chunk"),
-            F.coalesce("_merged", "geom").alias("geom"),
-        )
+    own = layer.withColumn("area", geometry_area(F.col("geom")))
+    members = own.select(id_col, "area", *BBOX).join(tagged, id_col)
+    edges = [(F.min if c.endswith("min") else F.max)(c).alias(f"_{c}") for c in BBOX]
+    totals = members.groupBy(F.col("leader_id").alias(id_col)).agg(*edges, F.sum("area").alias("_area"))
+    joined = own.join(tagged.select(id_col, "leader_id", "members"), id_col, "left")
+    kept = joined.where(F.col("leader_id").isNull() | (F.col("leader_id") == F.col(id_col))).join(totals, id_col, "left")
+    merged = F.col("leader_id").isNotNull()
+    return kept.select(
+        *[F.col(c) for c in layer.columns if c not in ("geom", "area", "members", "is_box", *BBOX)],
+        F.coalesce("members", F.lit(1)).cast("long").alias("members"),
+        F.coalesce("_area", "area").alias("area"),
+        *[F.coalesce(f"_{c}", c).alias(c) for c in BBOX],
+        (F.col("is_box") & ~merged).alias("is_box"),
+        F.when(~merged, F.col("geom")).alias("geom"),
     )

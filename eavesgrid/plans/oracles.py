@@ -230,6 +230,8 @@ ORACLES: dict[str, str] = {
     "connected_components": f"{GRAPH} SELECT id, component FROM comp",
     "merge_overlaps": f"""{GRAPH}, {LEADERS} SELECT component AS group_id, max(CASE WHEN rk = 1 THEN lead.id END) AS leader_id,
         count(*) AS members, count(*) AS n_parts, sum(area) AS part_area FROM lead JOIN f ON f.id = lead.id GROUP BY component""",
+    "merged_parts": f"""{GRAPH}, {LEADERS}, tops AS (SELECT component, lead.id AS leader_id FROM lead WHERE rk = 1)
+        SELECT lead.component AS group_id, leader_id, f.id, area FROM lead JOIN f ON f.id = lead.id JOIN tops ON tops.component = lead.component""",
     "merge_overlapped": f"""WITH RECURSIVE {F}, g AS (SELECT * FROM f WHERE score >= 5), {OVERLAPS.format(t='g')}, {GROUPS}, {LEADERS},
         tot AS (SELECT component, count(*) AS members, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax,
                        sum(area) AS area FROM comp JOIN f USING (id) GROUP BY component)

@@ -310,17 +310,26 @@ def merge_overlaps(spark, sf_dir):
     df = X.layer(spark, sf_dir)
     groups = cut(merge.overlap_groups(df))
     leaders = merge.group_leaders(df, groups)
-    shapes = merge.merged_geometries(df, merge.with_leaders(groups, leaders))
+    parts = merge.merged_parts(df, merge.with_leaders(groups, leaders))
     geom = F.col("geom")
-    return shapes.join(leaders.drop("leader_id"), "group_id").select(
-        "group_id", "leader_id", "members", F.size(geom).alias("n_parts"), G.area(geom).alias("part_area")
+    return parts.groupBy("group_id", "leader_id").agg(
+        F.count(F.lit(1)).alias("members"), F.sum(F.size(geom)).alias("n_parts"), F.sum(G.area(geom)).alias("part_area")
     )
 
 
+@query
+def merged_parts(spark, sf_dir):
+    """The parts of the merged geometries, one row per member."""
+    df = X.layer(spark, sf_dir)
+    groups = cut(merge.overlap_groups(df))
+    parts = merge.merged_parts(df, merge.with_leaders(groups, merge.group_leaders(df, groups)))
+    return parts.select("group_id", "leader_id", "id", G.area(F.col("geom")).alias("area"))
+
+
 @query
 def merge_overlapped(spark, sf_dir):
     merged = merge.merge_overlapped(X.layer(spark, sf_dir), "score", min_value=5)
-    return preprocessing.compute_area(merged).select("id", "commune", "score", "members", "xmin", "ymin", "xmax", "ymax", "area")
+    return merged.select("id", "commune", "score", "members", "xmin", "ymin", "xmax", "ymax", "area")
 
 
 # ---------------------------------------------------------------- geometry functions

@@ -5,23 +5,22 @@ from pyspark.sql import functions as F
 
 from eavesgrid.operators import merge as M
 from eavesgrid.operators.components import connected_components
-from eavesgrid.operators.preprocessing import compute_area
 from shapes import convex_overlap, general, groups_of, layer, poly, rect, rotate, square
 
 
 def merged(spark, rows, **kw):
     df = M.merge_overlapped(layer(spark, rows), **kw)
-    return {r["id"]: r for r in compute_area(df).collect()}
+    return {r["id"]: r for r in df.collect()}
 
 
 def test_chain_becomes_one_group(spark):
     rows = [("a", poly(square(0, 0, 2)), 1.0), ("b", poly(square(1, 0, 2)), 9.0), ("c", poly(square(2.5, 0, 2)), 3.0), ("d", poly(square(20, 0, 2)), 5.0)]
     out = merged(spark, rows)
     assert set(out) == {"b", "d"}
-    assert out["b"]["members"] == 3 and len(out["b"]["geom"]) == 3
+    assert out["b"]["members"] == 3 and out["b"]["geom"] is None
     assert out["b"]["area"] == 12  # parts are collected, overlaps count twice
     assert (out["b"]["xmin"], out["b"]["xmax"]) == (0, 4.5) and out["b"]["is_box"] is False
-    assert out["d"]["members"] == 1 and out["d"]["is_box"] is True
+    assert out["d"]["members"] == 1 and out["d"]["is_box"] is True and len(out["d"]["geom"]) == 1
 
 
 def test_contact_alone_does_not_merge(spark):
@@ -43,14 +42,25 @@ def test_min_value_needs_both(spark):
     assert set(merged(spark, rows, min_value=0.6)) == {"a", "b", "d"}
 
 
-def test_parts_in_id_order_and_chunks(spark):
-    rows = [(f"m{i}", poly(square(i, 0, 2)), float(i)) for i in range(9)]
-    out = merged(spark, rows)
-    assert [p[0][0]["x"] for p in out["m8"]["geom"]] == list(range(9))
-    pieces = M.merge_overlapped(layer(spark, rows), parts_per_row=3).collect()
-    assert {r["id"] for r in pieces} == {"m8"} and len(pieces) > 1
-    assert sorted(p[0][0]["x"] for r in pieces for p in r["geom"]) == list(range(9))
-    assert len({r["chunk"] for r in pieces}) == len(pieces)
+def test_one_row_per_group_and_a_row_per_part(spark):
+    df = layer(spark, [(f"m{i}", poly(square(i, 0, 2)), float(i)) for i in range(9)])
+    assert [r["id"] for r in M.merge_overlapped(df).collect()] == ["m8"]
+    groups = M.overlap_groups(df)
+    parts = M.merged_parts(df, M.with_leaders(groups, M.group_leaders(df, groups))).collect()
+    assert {r["leader_id"] for r in parts} == {"m8"}
+    assert sorted(r["geom"][0][0][0]["x"] for r in parts) == list(range(9))
+
+
+@pytest.mark.parametrize("crowded", [1, 4, 256, 10**9])
+def test_groups_do_not_depend_on_crowding(spark, crowded):
+    """Overlaps around the least one that counts, copies of flat shapes, and slivers in cells that others cover."""
+    shapes = {f"o{k}{side}": rect(100 * k + side * (2 - w), 0, 2, 2) for k, w in enumerate((5e-9, 5e-8, 4e-7, 6e-7, 5e-6)) for side in (0, 1)}
+    shapes |= {"flat1": rect(50, 50, 3, 0), "flat2": rect(50, 50, 3, 0), "hub": rect(900, 0, 64, 64)}
+    shapes |= {f"s{i}": rect(900 + 64 - (1e-8 if i % 2 else 1e-6), 3 * i, 5, 2) for i in range(12)}
+    df = layer(spark, [(k, poly(r), 1.0) for k, r in shapes.items()])
+    got = {r["id"]: r["component"] for r in connected_components(M.overlap_links(df, crowded=crowded)).collect()}
+    linked = {"o30", "o31", "o40", "o41", "hub", *(f"s{i}" for i in range(0, 12, 2))}
+    assert set(got) == linked and got["o30"] == "o30" and got["s2"] == "hub"
 
 
 def test_empty_layer(spark):
