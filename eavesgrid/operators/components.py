@@ -13,7 +13,7 @@ from ..session import cut
 
 HOT_SHARE = 1_000  # a node is hot with more than 1/1000 of all edges, so fewer than 2000 nodes can be hot
 HOT_MINIMUM = 100_000
-MAX_ROUNDS = 60
+EDGES_PER_TASK = 200_000
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -25,6 +25,11 @@ def _oriented(edges: DataFrame) -> DataFrame:
     )
 
 
+def _tasks(n_edges: int) -> int:
+    """Rounds over few edges are spread over few tasks, whatever the number of shuffle partitions is."""
+    return 1 + n_edges // EDGES_PER_TASK
+
+
 def _progress(edges: DataFrame) -> tuple[int, int]:
     """Number of edges, and of nodes that keep them from forming separate stars."""
     ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("hub")).unionByName(
@@ -58,10 +63,8 @@ def connected_components(
     """``id, component`` for every node of an edge; the component is named by its smallest id."""
     current = cut(_oriented(edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))))
     n_edges, loose = _progress(current)
-    rounds = 0
-    while loose:
-        if rounds == MAX_ROUNDS:
-            raise RuntimeError(f"components did not settle within {MAX_ROUNDS} rounds")
+    current = current.coalesce(_tasks(n_edges))
+    while loose:  # each round shortens every path to a minimum, so this ends after about log2 of the longest one
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_minimum(both, n_edges, hot_minimum)
         large = large.where((F.col("v") > F.col("u")) & (F.col("v") != F.col("m"))).select(
@@ -70,8 +73,7 @@ def connected_components(
         small = _with_minimum(large, n_edges, hot_minimum)
         # The neighbours and the node itself all point to the minimum.
         small = small.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        current = cut(_oriented(small))
+        current = cut(_oriented(small).coalesce(_tasks(n_edges)))
         n_edges, loose = _progress(current)
-        rounds += 1
     roots = current.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
