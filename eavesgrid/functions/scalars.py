@@ -52,12 +52,12 @@ def round7(score: Column) -> Column:
 
 
 def threshold_class(p: Column, threshold: float = 0.5) -> Column:
-    """1 where p lies strictly above the threshold, else 0."""
-    return F.when(p > threshold, F.lit(1)).otherwise(F.lit(0))
+    """1 where p lies strictly above the threshold, 0 where it doesn't, NULL where p is."""
+    return F.when(p > threshold, F.lit(1)).when(p.isNotNull(), F.lit(0))
 
 
 def class_name(index: Column, class_names: Sequence[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in class_names]), index.cast("int") + 1)
+    return F.get(F.array(*[F.lit(n) for n in class_names]), index.cast("int"))
 
 
 def class_index(name: Column, class_names: Sequence[str]) -> Column:

@@ -27,12 +27,14 @@ FRAG_TYPE = "array<struct<off:int,data:binary>>"
 
 
 def raster_catalog(files: DataFrame, path_col: str = "path", any_case: bool = False) -> DataFrame:
-    """Rows whose path ends in ``.jp2`` or ``.tiff``, with ``raster_id`` = file name; ``.tif`` is not a raster."""
+    """Rows whose path ends in ``.jp2`` or ``.tiff``; ``.tif`` is not a raster.
+
+    ``raster_id`` is the whole path, since file names repeat; ``raster_name`` is the file name without extension.
+    """
     ext = F.regexp_extract(path_col, r"\.([^./]+)$", 1)
     ext = F.lower(ext) if any_case else ext
-    return files.where(ext.isin(*RASTER_EXTENSIONS)).withColumn(
-        "raster_id", F.regexp_extract(path_col, r"([^/]+)\.[^./]+$", 1)
-    )
+    name = F.regexp_extract(path_col, r"([^/]+)\.[^./]+$", 1)
+    return files.where(ext.isin(*RASTER_EXTENSIONS)).withColumns({"raster_id": F.col(path_col), "raster_name": name})
 
 
 def require_rasters(catalog: DataFrame) -> DataFrame:
@@ -190,7 +192,7 @@ def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int, extra: Seq
     """One row per (crop, tile) with the bytes of its runs: ``frags array<struct<off, data>>``, and the window.
 
     ``off`` is the byte position in the finished crop.  Crops without pixels, or whose tile is missing, keep a row with
-    NULL ``frags``.  The tile side has one row per key, and a tile many footprints share is a skewed key the adaptive
+    NULL ``frags``; ``missing`` is 1 for a tile that isn't there.  The tile side has one row per key, and a tile many footprints share is a skewed key the adaptive
     join splits on the crop side.
     """
     size, bands = F.lit(tile_size), F.col("n_bands")
@@ -231,7 +233,8 @@ def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int, extra: Seq
         return F.struct(off.cast("int").alias("off"), F.substring("band", start + 1, (b - a + 1) * bands).alias("data"))
 
     frags = F.when(F.col("band").isNotNull(), F.transform("runs", piece))
-    return joined.select("id", "raster_id", *_SIZE, *extra, frags.alias("frags"))
+    missing = (F.col("band").isNull() & (F.size("runs") > 0)).cast("int")
+    return joined.select("id", "raster_id", *_SIZE, *extra, frags.alias("frags"), missing.alias("missing"))
 
 
 def crop_rasters(
@@ -242,7 +245,9 @@ def crop_rasters(
     id_col: str = "id",
     unique_ids: bool | None = None,
 ) -> DataFrame:
-    """``id, raster_id, r0, c0, height, width, n_channels, data``: the crops, black outside the oriented box.
+    """``id, raster_id, r0, c0, height, width, n_channels, missing_tiles, data``: the crops, black outside the oriented box.
+
+    Pixels of a tile that isn't there are black too; ``missing_tiles`` tells such crops apart.
 
     A footprint too small to hold a pixel centre still has its row, with no pixels.  ``unique_ids`` says whether ids may
     repeat; by default one pass over the ids finds out.
@@ -281,6 +286,7 @@ def _assembled(frags: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     whole = frags.groupBy("id", "raster_id").agg(
         *[F.first(c).alias(c) for c in (*_SIZE, *extra)],
         F.array_sort(F.flatten(F.collect_list(F.coalesce("frags", F.array().cast(FRAG_TYPE))))).alias("frags"),
+        F.sum("missing").cast("int").alias("missing_tiles"),
     )
     blank = (F.col("r1") < F.col("r0")) | (F.col("c1") < F.col("c0"))
     sized = whole.select(
@@ -288,6 +294,7 @@ def _assembled(frags: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         F.when(blank, 0).otherwise(F.col("r1") - F.col("r0") + 1).alias("height"),
         F.when(blank, 0).otherwise(F.col("c1") - F.col("c0") + 1).alias("width"),
         F.col("n_bands").alias("n_channels"),
+        "missing_tiles",
     )
 
     def end(f: Column) -> Column:
@@ -301,7 +308,7 @@ def _assembled(frags: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     total = F.col("height") * F.col("width") * F.col("n_channels")
     filled = F.concat(F.array_join(F.transform("frags", with_gap), ""), F.repeat(F.lit("00"), total - last))
     return sized.select(
-        "id", "raster_id", *extra, "r0", "c0", "height", "width", "n_channels", F.unhex(filled).alias("data")
+        "id", "raster_id", *extra, "r0", "c0", "height", "width", "n_channels", "missing_tiles", F.unhex(filled).alias("data")
     )
 
 
@@ -313,8 +320,13 @@ def zonal_pixels(
     id_col: str = "id",
     unique_ids: bool | None = None,
 ) -> DataFrame:
-    """``id, raster_id, n_pixels, pixel_sum`` over the pixels in the oriented box; pairs without pixels left out."""
-    frags = crop_fragments(_plan_of(footprints, catalog, id_col, unique_ids), tiles, tile_size).where(F.size("frags") > 0)
+    """``id, raster_id, n_pixels, pixel_sum, missing_tiles`` over the pixels in the oriented box.
+
+    Pairs without pixels are left out; pairs with a tile that isn't there stay, their counts lacking its pixels.
+    """
+    frags = crop_fragments(_plan_of(footprints, catalog, id_col, unique_ids), tiles, tile_size)
+    frags = frags.where((F.size("frags") > 0) | (F.col("missing") > 0))
+    frags = frags.withColumn("frags", F.coalesce("frags", F.array().cast(FRAG_TYPE)))
 
     def total(frag: Column) -> Column:
         values = F.transform(
@@ -327,8 +339,11 @@ def zonal_pixels(
         "id", "raster_id",
         F.aggregate("frags", F.lit(0).cast("long"), lambda a, f: a + F.length(f["data"])).alias("n"),
         F.aggregate(F.transform("frags", total), F.lit(0).cast("long"), lambda a, v: a + v).alias("s"),
+        "missing",
+    )
+    return per_tile.groupBy("id", "raster_id").agg(
+        F.sum("n").alias("n_pixels"), F.sum("s").alias("pixel_sum"), F.sum("missing").cast("int").alias("missing_tiles")
     )
-    return per_tile.groupBy("id", "raster_id").agg(F.sum("n").alias("n_pixels"), F.sum("s").alias("pixel_sum"))
 
 
 # ---------------------------------------------------------------- names and manifests

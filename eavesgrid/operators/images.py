@@ -41,8 +41,8 @@ def index_images(
 ) -> DataFrame:
     """Images with ``class_name``, ``label_idx`` and ``label``, classes taken from their folders.
 
-    ``class_names`` fixes the classes and their order; images of other folders are left out.  ``label_mode=None``
-    gives the images alone.
+    ``class_names`` fixes the classes and their order; images of other folders stay, with NULL labels.
+    ``label_mode=None`` gives the images alone.
     """
     images = image_paths(paths, path_col)
     if label_mode is None:
@@ -51,7 +51,7 @@ def index_images(
         raise ValueError(f"label mode must be int, binary, categorical or None, got {label_mode!r}")
     names = list(class_names) if class_names else inferred_class_names(paths, path_col)
     named = images.withColumn("class_name", class_of(F.col(path_col)))
-    named = named.withColumn("label_idx", class_index(F.col("class_name"), names)).where(F.col("label_idx").isNotNull())
+    named = named.withColumn("label_idx", class_index(F.col("class_name"), names))
     return named.withColumn("label", encode_label(F.col("label_idx"), label_mode, names))
 
 
@@ -91,7 +91,7 @@ def share_sample(images: DataFrame, share: float = 1.0, path_col: str = "path")
     with a plain filter.
     """
     if not 0 < share <= 1:
-        raise ValueError(f"share must satisfy 0 < share <= 1, got {share}")
+        raise ValueError(f"a share lies above 0 and is 1 at most; this one is {share}")
     if share == 1:
         return images
     indexed, total = with_row_index(images.select(path_col), [path_col], "_rank")
@@ -104,7 +104,7 @@ def share_sample(images: DataFrame, share: float = 1.0, path_col: str = "path")
 
 def check_share(name: str, share: float) -> None:
     if not 0 < share < 1:
-        raise ValueError(f"{name} must satisfy 0 < {name} < 1, got {share}")
+        raise ValueError(f"{name} lies between 0 and 1, both excluded; it is {share}")
 
 
 def split_rank(images: DataFrame, key: str, seed: int = 42) -> DataFrame:

@@ -35,7 +35,8 @@ def predict_probabilities(
     ship_package(images.sparkSession)
     n_out = 1 if n_classes == 2 else n_classes
     score = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size)
-    return images.withColumn("probs", score(F.col(tensor))).withColumn("probs", F.slice("probs", 1, n_out))
+    probs = F.slice(score(F.col(tensor)), 1, n_out)
+    return images.withColumn("probs", F.when(F.col(tensor).isNotNull(), probs))
 
 
 def postprocess(
@@ -43,33 +44,31 @@ def postprocess(
     class_names: Sequence[str],
     name: Column | None = None,
     double_softmax: bool = False,
-    drop_suffixed: bool | Column = True,
+    drop_suffixed: bool | Column | None = None,
+    keep: Sequence[str] = ("path",),
 ) -> DataFrame:
-    """``building_name, score, predicted_class`` from ``probs``.
+    """``building_name, score, predicted_class`` from ``probs``, and the columns to ``keep`` as far as there are any.
 
     Two classes: one probability, class 1 strictly above 0.5, the score is the probability itself.  More classes:
-    largest probability, first class on a tie.  ``drop_suffixed`` True drops suffixed names and names with a
-    dot; a boolean column (such as ``suffix = 0``) says instead which rows stay.
+    largest probability, first class on a tie.  An image without probabilities has a NULL score and class.
+
+    Rows with a ``suffix`` column stay where it is 0, others all stay.  ``drop_suffixed`` True goes by the name instead
+    and drops suffixed names and names with a dot; False keeps all rows; a boolean column says which rows stay.
     """
     binary = len(class_names) == 2
     best = threshold_class(F.col("probs")[0]) if binary else argmax_class(F.col("probs"))
     score = round7(F.col("probs")[0]) if binary else softmax_score(F.col("probs"), double_softmax)
     name = path_stem(F.col("path")) if name is None else name
     named = scored.withColumn("building_name", name)
+    if drop_suffixed is None and "suffix" in named.columns:
+        drop_suffixed = F.col("suffix") == 0
     if isinstance(drop_suffixed, Column):
         named = named.where(drop_suffixed)
     elif drop_suffixed:
         named = named.where(keep_plain_names(F.col("building_name")))
     return named.select(
-        "building_name", score.alias("score"), class_name(best, class_names).alias("predicted_class")
-    )
-
-
-def tensor_to_floats(tensor: Column) -> Column:
-    """Bytes as an array of 0..255 numbers, the input layout of numeric models."""
-    return F.transform(
-        F.sequence(F.lit(1), F.length(tensor)),
-        lambda i: F.conv(F.hex(F.substring(tensor, i, F.lit(1))), 16, 10).cast("float"),
+        "building_name", score.alias("score"), class_name(best, class_names).alias("predicted_class"),
+        *[c for c in keep if c in scored.columns],
     )
 
 
@@ -82,16 +81,33 @@ def score_images(
     share: float = 1.0,
     name: Column | None = None,
     double_softmax: bool = False,
-    drop_suffixed: bool | Column = True,
+    drop_suffixed: bool | Column | None = None,
     batch_size: int = BATCH_SIZE,
+    keep: Sequence[str] = ("path",),
 ) -> DataFrame:
-    """Prepare, predict, post-process.  The model gets raw tensor bytes per image (see ``bytes_model``)."""
+    """Prepare, predict, post-process.  The model gets raw tensor bytes per image (see ``bytes_model``).
+
+    With ``keep=("path", "data", ...)`` the images travel along and can be written by class without a join.
+    """
     if color_mode not in COLOR_CHANNELS:
         raise ValueError(f"color_mode must be one of {sorted(COLOR_CHANNELS)}")
     chosen = share_sample(images, share)
     prepared = prepare_images(chosen, img_size, color_mode)
     probs = predict_probabilities(prepared, make_predict_fn, len(class_names), batch_size=batch_size)
-    return postprocess(probs, class_names, name, double_softmax, drop_suffixed)
+    return postprocess(probs, class_names, name, double_softmax, drop_suffixed, keep)
+
+
+def _on_present(batch, run: Callable):
+    """``run`` on the rows that are there; the others get NaN, which ``predict_probabilities`` turns into NULL."""
+    import numpy as np
+
+    there = [i for i, b in enumerate(batch) if b is not None]
+    if not there:
+        return np.full((len(batch), 1), np.nan)
+    found = np.asarray(run([batch[i] for i in there]), dtype=np.float64)
+    out = np.full((len(batch), *found.shape[1:]), np.nan)
+    out[there] = found
+    return out
 
 
 def bytes_model(model: Callable) -> Callable:
@@ -101,8 +117,7 @@ def bytes_model(model: Callable) -> Callable:
         import numpy as np
 
         def predict(batch):
-            values = np.stack([np.frombuffer(b, np.uint8) for b in batch]).astype(np.float64)
-            return np.asarray(model(values), dtype=np.float64)
+            return _on_present(batch, lambda rows: model(np.stack([np.frombuffer(b, np.uint8) for b in rows]).astype(np.float64)))
 
         return predict
 
@@ -120,8 +135,10 @@ def onnx_model(model_bytes: bytes) -> Callable:
         feed = session.get_inputs()[0].name
 
         def predict(batch):
-            values = np.stack([np.frombuffer(b, np.uint8) for b in batch]).astype(np.float32)
-            return np.asarray(session.run(None, {feed: values})[0], dtype=np.float64)
+            def run(rows):
+                return session.run(None, {feed: np.stack([np.frombuffer(b, np.uint8) for b in rows]).astype(np.float32)})[0]
+
+            return _on_present(batch, run)
 
         return predict
 
@@ -129,8 +146,13 @@ def onnx_model(model_bytes: bytes) -> Callable:
 
 
 def route_by_class(scores: DataFrame, images: DataFrame) -> DataFrame:
-    """Scored images with their class, to be written partitioned by ``predicted_class``."""
-    return scores.select("building_name", "predicted_class").join(images, "building_name")
+    """Scored images with their class, to be written partitioned by ``predicted_class``.
+
+    Images are found by path where both sides have it: names repeat across folders, paths don't.
+    """
+    key = "path" if "path" in scores.columns and "path" in images.columns else "building_name"
+    wanted = [c for c in ("building_name", "predicted_class") if c != key]
+    return scores.select(key, *wanted).join(images.drop(*wanted), key)
 
 
 def formatted_scores(scores: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ from ..session import cut
 from .skew import salted_pair
 
 STEP = 4.0
-LEVEL_MIN, LEVEL_MAX = -20, 20
+LEVEL_MIN, LEVEL_MAX = -20, 25
+LARGEST = STEP**LEVEL_MAX / 2  # no box is larger than a cell of the coarsest grid
 CELL = ("level", "cx", "cy")
 HOT_CELL = 5_000
 MAX_POINTS = 512
@@ -28,7 +29,9 @@ DEPTH = 3
 
 
 def grid_level(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    side = F.greatest(xmax - xmin, ymax - ymin, F.lit(1e-12))
+    # Far from the origin the finest grids would need cell numbers beyond 64 bits.
+    reach = F.greatest(*[F.abs(c) for c in (xmin, ymin, xmax, ymax)]) / F.lit(2.0**60)
+    side = F.greatest(xmax - xmin, ymax - ymin, reach, F.lit(1e-12))
     level = F.ceil(F.ln(side) / F.lit(math.log(STEP))).cast("int")
     return F.greatest(F.least(level, F.lit(LEVEL_MAX)), F.lit(LEVEL_MIN))
 
@@ -41,8 +44,21 @@ def _cell_index(value: Column, level: Column) -> Column:
     return F.floor(value / _cell_side(level)).cast("long")
 
 
+def bbox_is_finite() -> Column:
+    """All four sides are numbers below the size a grid can number; an infinite box would cover cells without end."""
+    ok = F.lit(True)
+    for c in BBOX:
+        ok = ok & F.col(c).isNotNull() & (F.abs(F.col(c)) < F.lit(LARGEST))  # NaN is above all numbers
+    return ok
+
+
+def broken_boxes(df: DataFrame) -> DataFrame:
+    """The rows that no spatial join can place: empty, infinite or NaN extents.  All joins leave them out."""
+    return df.where(~bbox_is_finite())
+
+
 def with_level(df: DataFrame) -> DataFrame:
-    return df.withColumn("own_level", grid_level(*(F.col(c) for c in BBOX)))
+    return df.where(bbox_is_finite()).withColumn("own_level", grid_level(*(F.col(c) for c in BBOX)))
 
 
 def levels_in_use(*frames: DataFrame) -> list[list[int]]:

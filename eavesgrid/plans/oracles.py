@@ -184,8 +184,8 @@ ORACLES: dict[str, str] = {
         FROM files WHERE lower(ext) IN ('bmp', 'gif', 'jpeg', 'jpg', 'png')""",
     "image_labels_list": f"""WITH {FILES} SELECT path, CASE WHEN vec_id % 5 <> 0 THEN label END AS label
         FROM files WHERE lower(ext) IN ('bmp', 'gif', 'jpeg', 'jpg', 'png')""",
-    "raster_catalog": """SELECT '/r/R' || s_suppkey || '.' || ext AS path, 'R' || s_suppkey AS raster_id
-        FROM (SELECT s_suppkey, ['jp2', 'tiff', 'tif', 'JP2'][s_suppkey % 4 + 1] AS ext FROM supplier)
+    "raster_catalog": """SELECT '/r/R' || s_suppkey || '.' || ext AS path, '/r/R' || s_suppkey || '.' || ext AS raster_id,
+        'R' || s_suppkey AS raster_name FROM (SELECT s_suppkey, ['jp2', 'tiff', 'tif', 'JP2'][s_suppkey % 4 + 1] AS ext FROM supplier)
         WHERE ext IN ('jp2', 'tiff')""",
     "tile_manifest": f"""WITH {BOXES} SELECT box_id, tile_name, '{SERVICE}&WIDTH=' || uw || '&HEIGHT=' || uh || '&BBOX='
         || min_x || ',' || min_y || ',' || max_x || ',' || max_y AS url FROM grid""",
@@ -250,7 +250,7 @@ ORACLES: dict[str, str] = {
     "crop_rasters": f"""{CROPS}, s AS (SELECT id, raster_id, CAST(sum(((r - r0) * width + c - c0 + 1) * v) AS BIGINT) AS checksum FROM px GROUP BY 1, 2)
         SELECT id, raster_id, height, width, height * width AS n_bytes, coalesce(checksum, 0) AS checksum
         FROM crop LEFT JOIN s USING (id, raster_id)""",
-    "zonal_pixels": f"{CROPS} SELECT id, raster_id, count(*) AS n_pixels, CAST(sum(v) AS BIGINT) AS pixel_sum FROM px GROUP BY 1, 2",
+    "zonal_pixels": f"{CROPS} SELECT id, raster_id, count(*) AS n_pixels, CAST(sum(v) AS BIGINT) AS pixel_sum, 0 AS missing_tiles FROM px GROUP BY 1, 2",
     "incremental_crops": f"""{CROPS}, {LEDGER},
         done AS (SELECT id, count(*) AS n FROM fr JOIN ledger USING (raster_id) GROUP BY 1),
         ranked AS (SELECT fr.id, fr.raster_id, row_number() OVER (PARTITION BY fr.id ORDER BY fr.raster_id) - 1 + coalesce(done.n, 0) AS suffix

@@ -82,7 +82,7 @@ def raster_catalog(spark, sf_dir):
     s = F.col("s_suppkey")
     ext = F.element_at(F.array(*[F.lit(e) for e in ("jp2", "tiff", "tif", "JP2")]), (s % 4 + 1).cast("int"))
     files = X.table(spark, sf_dir, "supplier").select(F.concat(F.lit("/r/R"), s.cast("string"), F.lit("."), ext).alias("path"))
-    return crops.raster_catalog(files).select("path", "raster_id")
+    return crops.raster_catalog(files).select("path", "raster_id", "raster_name")
 
 
 @query
@@ -127,7 +127,7 @@ def crop_manifest(spark, sf_dir):
 
 
 def _post3(spark, sf_dir):
-    return scoring.postprocess(X.vectors(spark, sf_dir), CLASSES3)
+    return scoring.postprocess(X.vectors(spark, sf_dir), CLASSES3, drop_suffixed=True, keep=())
 
 
 @query
@@ -489,7 +489,7 @@ def score_images(spark, sf_dir):
     named = crops.named_crops(X.layer(spark, sf_dir), X.rasters(spark, sf_dir), X.raster_tiles(spark, sf_dir), X.TILE)
     named = named.withColumn("path", F.concat(F.lit("images/"), "suffixed_name"))
     return scoring.score_images(
-        named, scoring.bytes_model(_mean_model), CLASSES2, (_SIDE, _SIDE), "grayscale", drop_suffixed=F.col("suffix") == 0
+        named, scoring.bytes_model(_mean_model), CLASSES2, (_SIDE, _SIDE), "grayscale", keep=()
     )
 
 
@@ -504,7 +504,7 @@ def score_tiles(spark, sf_dir):
         F.lit(_SIDE).alias("height"), F.lit(_SIDE).alias("width"), F.lit(1).alias("n_channels"),
         F.unhex(F.array_join(pixels, "")).alias("data"),
     )
-    return scoring.score_images(fetched, scoring.bytes_model(_mean_model), CLASSES2, (_SIDE, _SIDE), "grayscale")
+    return scoring.score_images(fetched, scoring.bytes_model(_mean_model), CLASSES2, (_SIDE, _SIDE), "grayscale", keep=())
 
 
 @query

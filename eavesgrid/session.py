@@ -7,6 +7,7 @@ Both go to the folder named by ``spark.checkpoint.dir``.  Only where that settin
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -62,6 +63,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the cluster, also given to the Spark context."""
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"a cluster needs {CHECKPOINT_KEY}: a folder that all its machines share")
         app = spark.sparkContext.applicationId
         folder = _OWN_FOLDERS.setdefault(app, _OWN_FOLDERS.get(app) or tempfile.mkdtemp(prefix="eavesgrid-"))
     if not spark.sparkContext.getCheckpointDir():

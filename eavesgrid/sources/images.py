@@ -20,7 +20,9 @@ def list_images(spark: SparkSession, folder: str) -> DataFrame:
 def scan_image_folder(
     spark: SparkSession, folder: str, label_mode: str | None = "int", class_names: Sequence[str] | None = None
 ) -> DataFrame:
-    """Decoded images ``path, height, width, n_channels, data`` with labels from their folders.
+    """Decoded images ``path, height, width, n_channels, data, error`` with labels from their folders.
+
+    A file that can't be decoded stays, with ``error`` and NULL in place of size and pixels.
 
     Decoding runs in Spark's image source, which gives colour images in blue-green-red order (``bgr=True`` for
     ``prepare_images``).  Files of other extensions are not read.
@@ -30,15 +32,15 @@ def scan_image_folder(
         spark.read.format("image")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .option("dropInvalid", True)
+        .option("dropInvalid", False)
         .load(folder)
     )
+    readable = F.coalesce(F.col("image.height") > 0, F.lit(False))
+    parts = (("height", "height"), ("width", "width"), ("nChannels", "n_channels"), ("data", "data"))
     flat = df.select(
         F.col("image.origin").alias("path"),
-        F.col("image.height").alias("height"),
-        F.col("image.width").alias("width"),
-        F.col("image.nChannels").alias("n_channels"),
-        F.col("image.data").alias("data"),
+        *[F.when(readable, F.col(f"image.{c}")).alias(name) for c, name in parts],
+        F.when(~readable, "not a readable image").alias("error"),
     )
     return index_images(flat, label_mode, class_names)
 

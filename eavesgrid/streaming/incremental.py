@@ -17,10 +17,13 @@ CROPS, LEDGER = "crops", "ledger"
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None if nothing was written there yet; whatever else is wrong with it is raised."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def incremental_names(pairs: DataFrame, ledger: DataFrame, with_suffix: bool = True) -> DataFrame:
@@ -29,7 +32,7 @@ def incremental_names(pairs: DataFrame, ledger: DataFrame, with_suffix: bool = T
     ``pairs`` holds ``id, raster_id`` of all rasters and is read once: finished rasters take the first ranks of a
     footprint, pending ones the next.  With ``with_suffix=False`` a footprint that has an image already gets no other.
     """
-    marked = pairs.join(ledger.select("raster_id", F.lit(True).alias("done")), "raster_id", "left")
+    marked = pairs.join(ledger.select("raster_id").distinct().withColumn("done", F.lit(True)), "raster_id", "left")
     order = Window.partitionBy("id").orderBy(F.col("done").isNull(), "raster_id")
     ranked = marked.withColumn("suffix", F.row_number().over(order) - 1).where(F.col("done").isNull()).drop("done")
     named = with_names(ranked)

@@ -89,20 +89,28 @@ def test_copies_under_one_id_are_cut_once(spark):
     assert cut[0] == cut[1] and len(cut[0]) == 1
 
 
-def test_missing_tile_stays_black(spark):
+def test_missing_tile_is_black_and_reported(spark):
     catalog, tiles, pixels = make_raster(spark, 1, {"r0": (0, 0)})
     fp = layer(spark, [("a", poly(rect(14, 30, 4, 2)))])
     row = C.crop_rasters(fp, catalog, tiles.where("tile_col <> 1"), TILE).first()
     data = np.frombuffer(row["data"], np.uint8).reshape(2, 4)
     assert (data[:, 2:] == 0).all() and (data[:, :2] == pixels["r0"][8:10, 14:16, 0]).all()
+    assert row["missing_tiles"] == 1 and C.crop_rasters(fp, catalog, tiles, TILE).first()["missing_tiles"] == 0
     assert len(C.crop_rasters(fp, catalog, tiles.limit(0), TILE).first()["data"]) == 8
+    sums = C.zonal_pixels(fp, catalog, tiles.where("tile_col <> 1"), TILE).first()
+    assert (sums["n_pixels"], sums["missing_tiles"]) == (4, 1)
+    none = C.zonal_pixels(fp, catalog, tiles.limit(0), TILE).first()
+    assert (none["n_pixels"], none["pixel_sum"]) == (0, 0) and none["missing_tiles"] > 0
 
 
 def test_catalog(spark):
     paths = ["/d/a.jp2", "/d/b.tiff", "/d/c.tif", "/d/e.JP2", "/d/jp2", "/d/x.jp2.txt"]
     df = spark.createDataFrame([(p,) for p in paths], "path string")
-    assert {r["raster_id"] for r in C.raster_catalog(df).collect()} == {"a", "b"}
-    assert {r["raster_id"] for r in C.raster_catalog(df, any_case=True).collect()} == {"a", "b", "e"}
+    assert {r["raster_name"] for r in C.raster_catalog(df).collect()} == {"a", "b"}
+    assert {r["raster_name"] for r in C.raster_catalog(df, any_case=True).collect()} == {"a", "b", "e"}
+    twins = spark.createDataFrame([("/d/R1.jp2",), ("/d/R1.tiff",)], "path string")
+    ledger = C.raster_catalog(twins.limit(1))
+    assert C.pending_rasters(C.raster_catalog(twins), ledger).count() == 1  # one name, two rasters
     with pytest.raises(FileNotFoundError):
         C.require_rasters(C.raster_catalog(df.where("path like '%tif'")))
 

@@ -128,7 +128,7 @@ def test_index_images(spark):
     auto = {r["path"]: r["label"] for r in I.index_images(df.where("path like '/%'")).collect()}
     assert auto == {"/d/a/2.JPEG": 0, "/d/b/1.jpg": 1, "/d/c/3.gif": 2}
     picked = {r["path"]: r["label"] for r in I.index_images(df, "int", ("c", "a")).collect()}
-    assert picked == {"/d/a/2.JPEG": 1, "/d/c/3.gif": 0}
+    assert picked == {"/d/a/2.JPEG": 1, "/d/c/3.gif": 0, "/d/b/1.jpg": None, "5.jpg": None}
     hot = I.index_images(df, "categorical", ("c", "a")).where("class_name = 'a'").first()["label"]
     assert hot == [0.0, 1.0]
     assert I.index_images(df, None).count() == 4
@@ -180,10 +180,15 @@ def test_scores(spark, tmp_path):
         return 1 / (1 + np.exp(-(values.mean(axis=1, keepdims=True) - 100) / 20))
 
     rows = [(f"images/{n}.jpg", 2, 2, 1, bytearray([v] * 4)) for n, v in (("1", 50), ("2", 200), ("3_1", 200), ("4.x", 200), ("5", 100))]
-    df = spark.createDataFrame(rows, IMG)
+    df = spark.createDataFrame([*rows, ("images/broken.jpg", None, None, None, None)], IMG)
     scores = M.score_images(df, M.bytes_model(model), ("no_PV", "PV"), (2, 2), "grayscale")
     got = {r["building_name"]: r for r in scores.collect()}
-    assert set(got) == {"1", "2", "5"}
+    assert set(got) == {"1", "2", "3_1", "4.x", "5", "broken"}
+    assert got["broken"]["score"] is None and got["broken"]["predicted_class"] is None
+    plain = M.score_images(df, M.bytes_model(model), ("no_PV", "PV"), (2, 2), "grayscale", drop_suffixed=True)
+    assert {r["building_name"] for r in plain.collect()} == {"1", "2", "5", "broken"}
+    scores = plain.where("score is not null")
+    got = {r["building_name"]: got[r["building_name"]] for r in scores.collect()}
     assert got["2"]["predicted_class"] == "PV" and got["2"]["score"] == pytest.approx(1 / (1 + np.exp(-5)), abs=1e-7)
     assert got["5"]["predicted_class"] == "no_PV" and got["5"]["score"] == 0.5  # the threshold is strict
     K.export_prediction(scores, str(tmp_path / "o"), df.withColumn("building_name", S.path_stem(F.col("path"))))
@@ -209,11 +214,18 @@ def test_more_classes(spark):
 
 def test_suffix_column_instead_of_names(spark):
     df = spark.createDataFrame([("75_12.jpg", 0, [0.9]), ("76.jpg", 1, [0.9])], "path string, suffix int, probs array<double>")
-    out = M.postprocess(df, ("n", "y"), drop_suffixed=F.col("suffix") == 0)
-    assert [r["building_name"] for r in out.collect()] == ["75_12"]
+    for choice in (F.col("suffix") == 0, None):
+        out = M.postprocess(df, ("n", "y"), drop_suffixed=choice)
+        assert [(r["building_name"], r["path"]) for r in out.collect()] == [("75_12", "75_12.jpg")]
     assert M.postprocess(df, ("n", "y"), drop_suffixed=False).count() == 2
 
 
+def test_equal_names_are_routed_by_path(spark):
+    images = spark.createDataFrame([("/a/x.jpg", [0.9]), ("/b/x.jpg", [0.1])], "path string, probs array<double>")
+    routed = M.route_by_class(M.postprocess(images, ("n", "y")), images)
+    assert sorted((r["path"], r["predicted_class"]) for r in routed.collect()) == [("/a/x.jpg", "y"), ("/b/x.jpg", "n")]
+
+
 def test_three_class_model(spark):
     df = some_images(spark, 9)
 
