@@ -33,7 +33,7 @@ from .common import whole
 
 ORDER = 6
 FOLDS = 3
-TRAIN_PER_CLASS = 2000
+TRAIN_PER_CLASS = 1500
 TAUS = (2.0, 3.0, 4.0)
 CLASS_DISCOUNT = 2.0  # an n-gram must be in more documents of a class to count for it
 LONGEST = 24  # letters handled together; longer words are cut into such parts
@@ -53,12 +53,12 @@ def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points in rows, behind ``ORDER - 1`` start marks and before an end mark, and which places are to be predicted."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     width = int(lengths.max(initial=0)) + ORDER
-    grid = np.zeros((len(words), width), np.uint64)
+    grid = np.zeros((len(words), width), np.uint32)
     grid[:, : ORDER - 1] = _START
     flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     row = np.repeat(np.arange(len(words)), lengths)
     column = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + ORDER - 1
-    grid[row, column] = flat.astype(np.uint64) + np.uint64(3)
+    grid[row, column] = flat + np.uint32(3)
     grid[np.arange(len(words)), lengths + ORDER - 1] = _END
     places = np.arange(ORDER - 1, width)[None, :] <= (lengths + ORDER - 1)[:, None]
     return grid, places
@@ -69,7 +69,7 @@ def _gram(grid: np.ndarray, places: np.ndarray, first: int, last: int) -> np.nda
     out = np.full(int(places.sum()), np.uint64(first * 16 + last), np.uint64)
     width = grid.shape[1]
     for back in range(first, last - 1, -1):
-        out = mix(out * _BASE + grid[:, ORDER - 1 - back : width - back][places])
+        out = mix(out * _BASE + grid[:, ORDER - 1 - back : width - back][places].astype(np.uint64))
     return out
 
 
@@ -116,33 +116,73 @@ class KneserNey:
         """``counts`` has a row for each class (ordinary, toxic) and a column for each word."""
         model = cls()
         grid, places = _letters(words)
-        row = np.broadcast_to(np.arange(len(words))[:, None], places.shape)[places]
-        grams = [_gram(grid, places, m - 1, 0) for m in range(1, ORDER + 1)]
-        contexts = [_gram(grid, places, m - 1, 1) for m in range(1, ORDER + 1)]
-        for m in range(1, ORDER):
-            _, longer = np.unique(grams[m], return_index=True)  # one place for each distinct n-gram of the next order
-            kinds, first, n = np.unique(grams[m - 1][longer], return_index=True, return_counts=True)
-            model.lower.append(_tables(kinds, contexts[m - 1][longer][first], n.astype(float)))
-        kinds, first, at = np.unique(grams[-1], return_index=True, return_inverse=True)
+        gram = _gram(grid, places, 0, 0)
+        for m in range(1, ORDER):  # two orders at a time, to keep the driver's memory low
+            longer = _gram(grid, places, m, 0)
+            one = np.unique(longer, return_index=True)[1]  # one place for each distinct n-gram of the next order
+            kinds, first, n = np.unique(gram[one], return_index=True, return_counts=True)
+            model.lower.append(_tables(kinds, _gram(grid, places, m - 1, 1)[one][first], n.astype(float)))
+            gram = longer
+        context = _gram(grid, places, ORDER - 1, 1)
+        row = np.broadcast_to(np.arange(len(words), dtype=np.int32)[:, None], places.shape)[places]
+        kinds, first, at = np.unique(gram, return_index=True, return_inverse=True)
+        context = context[first]
         own = [np.bincount(at, weights=counts[c][row], minlength=len(kinds)) for c in range(2)]
         # Together each class counts for half, whatever the numbers of its documents.
         both = sum(n * (counts.sum() / 2 / max(1.0, counts[c].sum())) for c, n in enumerate(own))
-        model.lower.append(_tables(kinds, contexts[-1][first], both))
-        model.top.extend(_tables(kinds, contexts[-1][first], n, CLASS_DISCOUNT) for n in own)
+        model.lower.append(_tables(kinds, context, both))
+        model.top.extend(_tables(kinds, context, n, CLASS_DISCOUNT) for n in own)
         return model
 
-    def differences(self, words: list[str]) -> np.ndarray:
-        """Log-likelihood of each word as toxic minus that as ordinary."""
-        if not words:
-            return np.zeros(0)
-        grid, places = _letters(words)
+    def probabilities(self, grid: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of the letter at each predicted place in an ordinary and in a toxic document."""
         p = np.full(int(places.sum()), 1 / ALPHABET)
         for m, (share, left) in enumerate(self.lower, 1):
             p = share.get(_gram(grid, places, m - 1, 0)) + left.get(_gram(grid, places, m - 1, 1)) * p
         gram, context = _gram(grid, places, ORDER - 1, 0), _gram(grid, places, ORDER - 1, 1)
         ordinary, toxic = (share.get(gram) + left.get(context) * p for share, left in self.top)
+        return ordinary, toxic
+
+
+@dataclass
+class Differences:
+    """What scoring needs of both models: the difference of the logarithms of a letter's two probabilities.
+
+    An n-gram that counts for neither class has the same shared probability in both, times what its context leaves in each;
+    so only n-grams that count for a class, and the contexts they have, need an entry.
+    """
+
+    grams: Table
+    contexts: Table
+
+    @classmethod
+    def fit(cls, words: list[str], counts: np.ndarray) -> Differences:
+        model = KneserNey.fit(words, counts)
+        grid, places = _letters(words)
+        gram = _gram(grid, places, ORDER - 1, 0)
+        known = np.union1d(model.top[0][0].keys, model.top[1][0].keys)
+        keys, one = np.unique(gram, return_index=True)
+        at = one[np.isin(keys, known)]
+        row, column = np.nonzero(places)
+        some = np.zeros_like(places)
+        some[row[at], column[at]] = True  # one place for each n-gram
+        ordinary, toxic = model.probabilities(grid, some)
+        gram = _gram(grid, some, ORDER - 1, 0)
+        order = np.argsort(gram)
+        value = (np.log(toxic) - np.log(ordinary)).astype(np.float32)
+        contexts = np.union1d(model.top[0][1].keys, model.top[1][1].keys)
+        left = [np.log(t[1].get(contexts)) for t in model.top]
+        return cls(Table(gram[order], value[order], np.nan), Table(contexts, (left[1] - left[0]).astype(np.float32), 0.0))
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """Log-likelihood of each word as toxic minus that as ordinary."""
+        if not words:
+            return np.zeros(0)
+        grid, places = _letters(words)
+        value = self.grams.get(_gram(grid, places, ORDER - 1, 0))
+        value = np.where(np.isnan(value), self.contexts.get(_gram(grid, places, ORDER - 1, 1)), value)
         out = np.zeros(places.shape)
-        out[places] = np.log(toxic) - np.log(ordinary)
+        out[places] = value
         return out.sum(axis=1)
 
 
@@ -208,7 +248,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 2
 class Toxicity:
     """A fitted model; ``model`` is None if only one class was seen."""
 
-    model: KneserNey | None
+    model: Differences | None
     tau: float
     curve: np.ndarray
 
@@ -271,7 +311,7 @@ def train(
         rest = total - by_fold[fold]
         have, mine = np.flatnonzero(rest.sum(axis=0)), np.flatnonzero(by_fold[fold].sum(axis=0))
         names = [words[i] for i in mine]
-        known = KneserNey.fit([words[i] for i in have], rest[:, have]).differences(names) if len(have) else np.zeros(len(names))
+        known = Differences.fit([words[i] for i in have], rest[:, have]).of(names) if len(have) else np.zeros(len(names))
         unseen.append(dict(zip(names, known.astype(np.float32).tolist(), strict=True)))
     shipped = spark.sparkContext.broadcast(unseen)
 
@@ -289,7 +329,7 @@ def train(
     fits = [(*_logistic(x[order, k], y[order]), tau) for k, tau in enumerate(TAUS)]
     curve, _, tau = min(fits, key=lambda f: f[1])
     curve[-1] = min(curve[-1], -0.04)  # a text without words is no evidence
-    return Toxicity(KneserNey.fit(words, total), tau, curve)
+    return Toxicity(Differences.fit(words, total), tau, curve)
 
 
 def score_documents(docs: DataFrame, model: Toxicity, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -301,7 +341,7 @@ def score_documents(docs: DataFrame, model: Toxicity, text_col: str = "text", sc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shipped.value
-        scorer = Scorer(fitted.model.differences, [fitted.tau]) if fitted.model else None
+        scorer = Scorer(fitted.model.of, [fitted.tau]) if fitted.model else None
         for batch in batches:
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
             scores = np.zeros(len(texts))
