@@ -303,9 +303,21 @@ ORACLES: dict[str, str] = {
         SELECT round(avg(-(CASE WHEN y_true = 1 THEN ln(p) ELSE ln(1 - p) END)), 9) AS log_loss FROM c""",
     "evaluate": _evaluate3(),
     "confusion_matrix": f"WITH {VEC} SELECT truth AS y_true, pred AS y_pred, count(*) AS n FROM best GROUP BY 1, 2",
-    "enrich_chain": f"""WITH {F}, {Z}, {ROOF}, {DOM}
-        SELECT f.id, f.commune, area, round((xmin + xmax) / 2, 1) AS "X", round((ymin + ymax) / 2, 1) AS "Y",
-               EXISTS (SELECT 1 FROM z WHERE f.xmin <= z.xmax AND z.xmin <= f.xmax AND f.ymin <= z.ymax AND z.ymin <= f.ymax) AS protected,
-               coalesce(dom.toiture, 'UNKNOWN') AS toiture
-        FROM f LEFT JOIN dom ON dom.commune = f.commune WHERE area > 60""",
+    "enrich_chain": f"""WITH RECURSIVE {F}, {Z}, {ROOF}, {DOM},
+        e AS (SELECT *, CASE WHEN k % 3 = 0 THEN CAST(k AS DOUBLE) WHEN k % 7 = 0 THEN NULL ELSE k * CAST(0.5 AS DOUBLE) END AS new_score,
+                     '75' || (row_number() OVER (ORDER BY id) - 1) AS number FROM f WHERE area > 60),
+        {OVERLAPS.format(t='e')}, {GROUPS},
+        lead AS (SELECT id, component, row_number() OVER (PARTITION BY component ORDER BY coalesce(new_score, 0) DESC, id) AS rk
+                 FROM comp JOIN e USING (id)),
+        tot AS (SELECT component, count(*) AS members, sum(area) AS area FROM comp JOIN e USING (id) GROUP BY component)
+        SELECT e.id, number, e.commune, coalesce(tot.area, e.area) AS area, round((xmin + xmax) / 2, 1) AS "X", round((ymin + ymax) / 2, 1) AS "Y",
+               EXISTS (SELECT 1 FROM z WHERE e.xmin <= z.xmax AND z.xmin <= e.xmax AND e.ymin <= z.ymax AND z.ymin <= e.ymax) AS protected,
+               coalesce(dom.toiture, 'UNKNOWN') AS toiture, new_score, coalesce(tot.members, 1) AS members
+        FROM e LEFT JOIN dom ON dom.commune = e.commune LEFT JOIN lead ON lead.id = e.id LEFT JOIN tot ON tot.component = lead.component
+        WHERE coalesce(rk, 1) = 1""",
+    "train_classifier": """WITH s AS (
+          SELECT label % 2 AS label, CAST(('0x' || substr(md5('42' || vec_id), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS fraction
+          FROM embeddings)
+        SELECT CASE WHEN fraction < 0.8 THEN 'train' ELSE 'validation' END AS split, label, count(*) AS n, TRUE AS probabilities,
+               CAST(0 AS DOUBLE) AS gap FROM s WHERE fraction < 1 GROUP BY 1, 2""",
 }

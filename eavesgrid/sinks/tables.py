@@ -15,6 +15,10 @@ from ..operators.training import ModelInfo
 from ..sources.layers import finish_layer, read_layer, srid_of
 
 
+CELL_SIDE = 4096.0  # metres; the files of a layer are ranges of such cells
+FILES_PER_RASTER = 4
+
+
 def write_attributes(layer: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The attribute table alone, as CSV with a header; the path ends in ``csv``."""
     if not path.endswith("csv"):
@@ -25,10 +29,13 @@ def write_attributes(layer: DataFrame, path: str, mode: str = "errorifexists") -
 def write_layer(layer: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """Attributes and geometry: Parquet with the bbox columns, or CSV with a ``wkt`` column.
 
-    The Parquet rows are clustered by grid position within files, so that bbox filters skip row groups.
+    The Parquet files hold ranges of grid cells, their rows in order of the cells, so that bbox filters skip files and
+    row groups.
     """
     if fmt == "parquet":
-        layer.sortWithinPartitions("xmin", "ymin").write.mode(mode).parquet(path)
+        cells = [F.floor(F.col(c) / CELL_SIDE) for c in ("xmin", "ymin")]
+        ranged = layer.repartitionByRange(*cells).sortWithinPartitions(*cells, "xmin", "ymin")
+        ranged.write.mode(mode).parquet(path)
     elif fmt == "csv":
         text = layer.withColumn("wkt", to_wkt(F.col("geom"))).drop("geom", "is_box", *BBOX)
         text.write.mode(mode).option("header", True).option("escape", '"').csv(path)
@@ -50,7 +57,8 @@ def write_crop_manifest(named: DataFrame, path: str, mode: str = "errorifexists"
     out = crop_manifest(named).select(
         "raster_id", F.col("suffixed_name").alias("Suffixed file name"), F.col("file_name").alias("File name")
     )
-    out.write.mode(mode).partitionBy("raster_id").option("header", True).csv(path)
+    spread = F.pmod(F.xxhash64("Suffixed file name"), F.lit(FILES_PER_RASTER))
+    out.repartition("raster_id", spread).write.mode(mode).partitionBy("raster_id").option("header", True).csv(path)
 
 
 def write_scores(scores: DataFrame, path: str, mode: str = "errorifexists") -> None:
