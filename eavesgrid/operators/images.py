@@ -220,6 +220,54 @@ def augment(img: np.ndarray, seed: int) -> np.ndarray:
     return np.rint(np.clip((bright - mean) * factor + mean, 0, 255)).astype(np.uint8)
 
 
+BATCH_BYTES = 64 << 20  # Arrow batches of tensors end at this size: one binary array holds 2 GiB at most.
+
+
+def preparer(img_size: tuple[int, int], color_mode: str, bgr: bool = False, transform=None):
+    """A function (height, width, channels, raw bytes, seed or None) -> tensor bytes, None for no bytes."""
+    if color_mode not in COLOR_CHANNELS:
+        raise ValueError(f"color_mode must be one of {sorted(COLOR_CHANNELS)}, got {color_mode!r}")
+    (height, width), channels = img_size, COLOR_CHANNELS[color_mode]
+
+    def prepare(h, w, c, raw, seed):
+        if raw is None:
+            return None
+        img = np.frombuffer(raw, np.uint8).reshape(h, w, c)
+        if bgr and c >= 3:
+            img = img[:, :, [2, 1, 0, *range(3, c)]]
+        if transform is not None:
+            img = transform(img)
+        img = crop_or_pad(to_channels(img, channels), height, width)
+        return (img if seed is None else augment(img, seed)).tobytes()
+
+    return prepare
+
+
+def map_images(images: DataFrame, kept: Sequence[str], made: str, start, per_batch: int, seed: Column | None = None) -> DataFrame:
+    """``kept`` columns and one made in Python, in bounded batches.
+
+    ``made`` is the new column's definition.  ``start()`` runs once per task and returns a function from a list of
+    ``(height, width, n_channels, data, seed)`` to an Arrow array; it is given at most ``per_batch`` images at a time.
+    """
+    require_columns(images, "height", "width", "n_channels", "data")
+    ship_package(images.sparkSession)
+    name = made.split(" ")[0]
+    kept = [c for c in kept if c != name]
+    fields = ", ".join(f"`{c}` {images.schema[c].dataType.simpleString()}" for c in kept)
+    inputs = [F.col(c).alias(f"_in_{c}") for c in ("height", "width", "n_channels", "data")]
+    inputs.append((F.lit(None).cast("long") if seed is None else seed).alias("_in_seed"))
+
+    def run(batches):
+        convert = start()
+        for batch in batches:
+            for at in range(0, batch.num_rows, per_batch):
+                part = batch.slice(at, per_batch)
+                rows = list(zip(*(part.column(f"_in_{c}").to_pylist() for c in ("height", "width", "n_channels", "data", "seed")), strict=True))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), convert(rows)], names=[*kept, name])
+
+    return images.select(*kept, *inputs).mapInArrow(run, f"{fields}, {made}" if kept else made)
+
+
 def prepare_images(
     images: DataFrame,
     img_size: tuple[int, int] = (250, 250),
@@ -235,34 +283,14 @@ def prepare_images(
     key, so results do not hang on partitioning.  ``transform`` is a function (h, w, c) array -> array applied
     before colours and size are fixed.
     """
-    if color_mode not in COLOR_CHANNELS:
-        raise ValueError(f"color_mode must be one of {sorted(COLOR_CHANNELS)}, got {color_mode!r}")
-    require_columns(images, "height", "width", "n_channels", "data")
-    ship_package(images.sparkSession)
-    height, width = img_size
-    channels = COLOR_CHANNELS[color_mode]
-    with_seed = augment_key is not None
-
-    @F.arrow_udf("binary")
-    def prepare(h: pa.Array, w: pa.Array, c: pa.Array, data: pa.Array, seed: pa.Array) -> pa.Array:
-        out = []
-        for hh, ww, cc, raw, sd in zip(*(col.to_pylist() for col in (h, w, c, data, seed))):
-            if raw is None:
-                out.append(None)
-                continue
-            img = np.frombuffer(raw, np.uint8).reshape(hh, ww, cc)
-            if bgr and cc >= 3:
-                img = img[:, :, [2, 1, 0, *range(3, cc)]]
-            if transform is not None:
-                img = transform(img)
-            img = crop_or_pad(to_channels(img, channels), height, width)
-            if with_seed:
-                img = augment(img, sd)
-            out.append(img.tobytes())
-        return pa.array(out, type=pa.binary())
-
-    seed = F.xxhash64(augment_key) if with_seed else F.lit(0).cast("long")
-    return images.withColumn("tensor", prepare("height", "width", "n_channels", "data", seed))
+    prepare = preparer(img_size, color_mode, bgr, transform)
+
+    def start():
+        return lambda rows: pa.array([prepare(*row) for row in rows], type=pa.binary())
+
+    per_batch = max(1, BATCH_BYTES // (img_size[0] * img_size[1] * COLOR_CHANNELS[color_mode]))
+    seed = None if augment_key is None else F.xxhash64(augment_key)
+    return map_images(images, images.columns, "tensor binary", start, per_batch, seed)
 
 
 def prepare_fit_images(

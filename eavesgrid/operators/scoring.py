@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from ..functions.scalars import (
     threshold_class,
 )
 from ..session import ship_package
-from .images import COLOR_CHANNELS, prepare_images, share_sample
+from .images import COLOR_CHANNELS, map_images, preparer, share_sample
 
 BATCH_SIZE = 32
 
@@ -92,15 +94,27 @@ def score_images(
     if color_mode not in COLOR_CHANNELS:
         raise ValueError(f"color_mode must be one of {sorted(COLOR_CHANNELS)}")
     chosen = share_sample(images, share)
-    prepared = prepare_images(chosen, img_size, color_mode)
-    probs = predict_probabilities(prepared, make_predict_fn, len(class_names), batch_size=batch_size)
+    prepare, n_out = preparer(img_size, color_mode), 1 if len(class_names) == 2 else len(class_names)
+
+    def start():
+        # Preparing and predicting in one hop: tensors never leave the worker, only probabilities do.
+        predict = make_predict_fn()
+
+        def convert(rows):
+            tensors = [prepare(*row) for row in rows]
+            found = np.asarray(predict(tensors), dtype=np.float64).reshape(len(rows), -1)
+            probs = [None if t is None else p[:n_out].tolist() for t, p in zip(tensors, found, strict=True)]
+            return pa.array(probs, pa.list_(pa.float64()))
+
+        return convert
+
+    needed = {"path", "suffix", *keep} if name is None and not isinstance(drop_suffixed, Column) else set(chosen.columns)
+    probs = map_images(chosen, [c for c in chosen.columns if c in needed], "probs array<double>", start, batch_size)
     return postprocess(probs, class_names, name, double_softmax, drop_suffixed, keep)
 
 
 def _on_present(batch, run: Callable):
     """``run`` on the rows that are there; the others get NaN, which ``predict_probabilities`` turns into NULL."""
-    import numpy as np
-
     there = [i for i, b in enumerate(batch) if b is not None]
     if not there:
         return np.full((len(batch), 1), np.nan)
@@ -114,8 +128,6 @@ def bytes_model(model: Callable) -> Callable:
     """Wrap ``model(batch of (n, n_values) float arrays) -> (n, k)`` for tensors that arrive as bytes."""
 
     def make():
-        import numpy as np
-
         def predict(batch):
             return _on_present(batch, lambda rows: model(np.stack([np.frombuffer(b, np.uint8) for b in rows]).astype(np.float64)))
 
@@ -128,7 +140,6 @@ def onnx_model(model_bytes: bytes) -> Callable:
     """``make_predict_fn`` for an ONNX model whose first input takes (n, n_values) floats."""
 
     def make():
-        import numpy as np
         import onnxruntime
 
         session = onnxruntime.InferenceSession(model_bytes)
