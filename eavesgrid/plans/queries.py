@@ -15,8 +15,8 @@ from ..functions.projection import reproject_lambert93
 from ..operators import components, crops, enrich, images, merge, metrics, preprocessing, scoring, spatial_join, tiles, training
 from ..sinks import tables as sinks
 from ..session import cut, scratch_path
-from ..sources.layers import finish_layer, scan_roof_csv
-from ..streaming.incremental import CROPS, incremental_names, run_stream
+from ..sources.layers import read_layer as read_from_file, scan_roof_csv
+from ..streaming.incremental import CROPS, cut_batch, cut_pending, run_stream
 from . import fixtures as X
 from .enrichment import enrich_footprints
 
@@ -46,10 +46,13 @@ def _wkt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def read_layer(spark, sf_dir):
-    """WKT text parsed into geometry; every 9th row is malformed and keeps a NULL geometry."""
+    """A CSV layer written and read: WKT parsed into geometry; every 9th row is malformed and keeps a NULL geometry."""
     k = F.substring("id", 2, 10).cast("long")
     text = _wkt_rows(spark, sf_dir).withColumn("wkt", F.when(k % 9 == 0, F.lit("POLYGON ((0 0, 1")).otherwise(F.col("wkt")))
-    df = finish_layer(text.withColumn("geom", G.from_wkt(F.col("wkt"))).drop("wkt"), srid=2154)
+    path = scratch_path(spark, "wkt-layer")
+    text.write.option("header", True).option("escape", '"').csv(path)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in text.schema)
+    df = read_from_file(spark, path, ddl, "csv", "wkt", srid=2154)
     return df.select("id", "xmin", "ymin", "xmax", "ymax", F.size(G.points_of(F.col("geom"))).alias("n_points"))
 
 
@@ -422,8 +425,14 @@ def zonal_pixels(spark, sf_dir):
 
 @query
 def incremental_crops(spark, sf_dir):
-    pairs = spatial_join.footprint_raster_join(X.layer(spark, sf_dir), X.rasters(spark, sf_dir)).select("id", "raster_id")
-    named = incremental_names(pairs, X.ledger(spark, sf_dir))
+    """The rasters of the ledger cut in a first batch, then all others in one call that goes by the written ledger."""
+    out, tile_path = scratch_path(spark, "batches"), scratch_path(spark, "tiles")
+    layer, catalog = X.layer(spark, sf_dir), X.rasters(spark, sf_dir)
+    X.raster_tiles(spark, sf_dir).write.parquet(tile_path)
+    tiles_ = spark.read.parquet(tile_path)
+    cut_batch(catalog.join(X.ledger(spark, sf_dir), "raster_id", "left_semi"), 0, layer, tiles_, X.TILE, out)
+    batch = cut_pending(catalog, layer, tiles_, X.TILE, out)
+    named = spark.read.parquet(f"{out}/{CROPS}").where(F.col("batch") == batch)
     return named.select("id", "raster_id", "suffix", "suffixed_name")
 
 

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.crops import named_crops, pending_rasters, with_names
+from ..operators.skew import broadcast_if_small
 from ..operators.spatial_join import footprint_raster_join
+from ..session import cut
 
 CROPS, LEDGER = "crops", "ledger"
 
@@ -57,12 +59,26 @@ def cut_batch(
         # Only footprints of this batch need their earlier names.
         touched = footprint_raster_join(footprints, todo).select("id").distinct()
         earlier = earlier.select("id", "suffix").join(touched, "id", "left_semi")
+    # Tiles of other rasters go before anything is shuffled, as long as the batch's list of rasters is small.
+    wanted = cut(todo.select("raster_id").distinct())
+    tiles = tiles.join(broadcast_if_small(wanted, wanted.count()), "raster_id", "left_semi")
     named = named_crops(footprints, todo, tiles, tile_size, earlier=earlier, with_suffix=with_suffix)
     named.write.mode("overwrite").parquet(f"{out}/{CROPS}/batch={batch_id}")
     # The ledger goes last: a raster counts as done only once its crops are there.
     todo.select("raster_id").write.mode("overwrite").parquet(f"{out}/{LEDGER}/batch={batch_id}")
 
 
+def cut_pending(
+    catalog: DataFrame, footprints: DataFrame, tiles: DataFrame, tile_size: int, out: str, with_suffix: bool = True
+) -> int:
+    """All rasters of the catalog that the written ledger doesn't list, cut and entered as the next batch, whose id is returned."""
+    ledger = read_or_none(catalog.sparkSession, f"{out}/{LEDGER}")
+    last = None if ledger is None else ledger.agg(F.max("batch")).first()[0]
+    batch_id = 0 if last is None else int(last) + 1
+    cut_batch(catalog.dropDuplicates(["raster_id"]), batch_id, footprints, tiles, tile_size, out, with_suffix)
+    return batch_id
+
+
 def run_stream(
     spark: SparkSession,
     catalog_folder: str,
