@@ -50,7 +50,8 @@ class WordTokenizer:
     frequent ones survive.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, most_words: int = MOST_WORDS):
+        self.most_words = most_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -115,21 +116,21 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self._known) > MOST_WORDS:
+        if len(self._known) > self.most_words:
             self._known, self._older = {}, {w: i for w, i in self._known.items() if len(w) <= LONG_WORD}
         self._learn(set().union(*split).difference(self._known))
         return [b"".join(map(self._known.__getitem__, words)) for words in split]
 
 
-_TOKENIZERS: dict[int, WordTokenizer] = {}
+_TOKENIZERS: dict[tuple[int, int], WordTokenizer] = {}
 
 
-def _tokenizer(definition: str) -> WordTokenizer:
+def _tokenizer(definition: str, most_words: int) -> WordTokenizer:
     """One tokenizer per worker process, which serves many tasks."""
-    key = hash(definition)
+    key = hash(definition), most_words
     if key not in _TOKENIZERS:
         _TOKENIZERS.clear()
-        _TOKENIZERS[key] = WordTokenizer(definition)
+        _TOKENIZERS[key] = WordTokenizer(definition, most_words)
     return _TOKENIZERS[key]
 
 
@@ -200,9 +201,9 @@ class SquaresPacker:
         return self.window if left >= self.window else 1 << max(0, left.bit_length() - 1)
 
 
-def _packed(definition, id_col: str, text_col: str, window: int, end_id: int, id_type):
+def _packed(definition, id_col: str, text_col: str, window: int, end_id: int, id_type, most_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(definition.value)
+        tokenizer = _tokenizer(definition.value, most_words)
         packer = SquaresPacker(window)
         end = np.array([end_id], "<u4").tobytes()
         base, n_windows = TaskContext.get().partitionId() << 40, 0
@@ -247,11 +248,12 @@ def pack_documents(
     text_col: str = "text",
     window: int = WINDOW,
     end_id: int = END_ID,
+    most_words: int = MOST_WORDS,
 ) -> DataFrame:
     """One row per piece: ``id_col, start, length, ids, doc_tokens, sequence_id, offset``.
 
     ``ids`` are little-endian unsigned 32-bit token ids; ``start`` counts the document's tokens before the piece, ``offset`` the
-    window's.  The tokenizer file, a few MB, is read by the driver and broadcast.
+    window's.  A worker remembers up to twice ``most_words`` words, about 200 bytes each.  The tokenizer file, a few MB, is read by the driver and broadcast.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -260,6 +262,6 @@ def pack_documents(
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(f.read())
     kind = docs.schema[id_col].dataType
-    run = _packed(definition, id_col, text_col, window, end_id, to_arrow_type(kind))
+    run = _packed(definition, id_col, text_col, window, end_id, to_arrow_type(kind), most_words)
     schema = f"`{id_col}` {kind.simpleString()}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, schema)
