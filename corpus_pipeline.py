@@ -16,6 +16,7 @@ from eavesgrid.session import scratch_path
 THRESHOLD = 0.5
 SHINGLE = 5
 SIMILAR_PERCENT = 80
+REMEMBERED_WORDS = 150_000  # fewer than by default: the workers serve the other stages, too
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids in windows of at most 2048."""
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(docs, tokenizer_path(), most_words=REMEMBERED_WORDS)
 
 
 STAGES = [
