@@ -6,6 +6,7 @@ Both go to the folder named by ``spark.checkpoint.dir``.  Only where that settin
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -81,3 +82,9 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df``: survives the loss of any executor."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now; else they stay until the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
