@@ -16,7 +16,7 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
-_MAX_BYTES = 1 << 24
+_MAX_BYTES = 1 << 21
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -91,10 +91,21 @@ def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def span_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray, other: bool = False) -> np.ndarray:
-    """Hash of the bytes from ``first`` to ``last``; ``other`` gives a second one, from other values of the bytes."""
-    sums = _running(data, _OTHER if other else _BYTES)
-    _, down = _powers(len(data) + 1)
-    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+    """Hash of the bytes from ``first`` (ascending) to ``last``; ``other`` gives a second one, from other values of the bytes.
+
+    The running sums are taken over stretches of ``_MAX_BYTES``, so that memory doesn't follow the length of a text.
+    """
+    out = np.empty(len(first), np.uint64)
+    i = 0
+    while i < len(first):
+        base = first[i]
+        j = max(i + 1, int(np.searchsorted(first, base + _MAX_BYTES)))
+        a, b = first[i:j] - base, last[i:j] - base
+        sums = _running(data[base : base + int(b.max())], _OTHER if other else _BYTES)
+        _, down = _powers(len(sums))
+        out[i:j] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+        i = j
+    return out
 
 
 def fold(data: np.ndarray) -> np.ndarray:
