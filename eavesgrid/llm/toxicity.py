@@ -33,7 +33,7 @@ from .common import whole
 
 ORDER = 6
 FOLDS = 3
-TRAIN_PER_CLASS = 1500
+TRAIN_PER_CLASS = 1000
 TAUS = (2.0, 3.0, 4.0)
 CLASS_DISCOUNT = 2.0  # an n-gram must be in more documents of a class to count for it
 LONGEST = 24  # letters handled together; longer words are cut into such parts
@@ -163,9 +163,8 @@ class Differences:
         known = np.union1d(model.top[0][0].keys, model.top[1][0].keys)
         keys, one = np.unique(gram, return_index=True)
         at = one[np.isin(keys, known)]
-        row, column = np.nonzero(places)
         some = np.zeros_like(places)
-        some[row[at], column[at]] = True  # one place for each n-gram
+        some.reshape(-1)[np.flatnonzero(places)[at]] = True  # one place for each n-gram
         ordinary, toxic = model.probabilities(grid, some)
         gram = _gram(grid, some, ORDER - 1, 0)
         order = np.argsort(gram)
@@ -256,6 +255,10 @@ class Toxicity:
         return 1 / (1 + np.exp(-np.clip(features @ self.curve[:-1] + self.curve[-1], -30, 30)))
 
 
+def _one_array(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays([c.cast(column.type) for c in column.chunks] or [pa.array([], column.type)])
+
+
 def _word_counts(rows: DataFrame) -> DataFrame:
     """``fold, toxic, word, n``: documents with a word, of documents ``fold, toxic, body``."""
 
@@ -297,14 +300,16 @@ def train(
     spark = docs.sparkSession
     ship_package(spark)
     rows = cut(_training_rows(docs, labels, id_col, text_col, per_class))
-    found = _word_counts(rows).toPandas()
-    classes = set(found["toxic"])
+    found = _word_counts(rows).toArrow().combine_chunks()  # words of a bounded number of documents
+    fold, toxic, n = (found.column(c).to_numpy() for c in ("fold", "toxic", "n"))
+    classes = set(np.unique(toxic).tolist())
     if len(classes) < 2:
         return Toxicity(None, 0.0, np.array([0.0, 0.0, 0.0, 30.0 if classes == {1} else -30.0]))
-    words = sorted(found["word"].unique())
-    place = {w: i for i, w in enumerate(words)}
-    by_fold = np.zeros((FOLDS, 2, len(words)))
-    np.add.at(by_fold, (found["fold"].to_numpy(), found["toxic"].to_numpy(), found["word"].map(place).to_numpy()), found["n"].to_numpy())
+    coded = _one_array(found.column("word")).dictionary_encode()
+    words, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    by_fold = np.zeros((FOLDS, 2, len(words)), np.float32)
+    np.add.at(by_fold, (fold, toxic, place), n)
+    del found, coded, place, n
     total = by_fold.sum(axis=0)
     unseen = []  # differences of a fold's words by a model of the other folds
     for fold in range(FOLDS):
