@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..session import cut, ship_package
+from ..session import cut, release, ship_package
 from .arrays import buffer_of, shingle_hashes, slices, word_hashes
 from .common import join_keyed, keep_rows, whole
 
@@ -136,10 +136,11 @@ def _needed_overlap(n_a: Column, n_b: Column, percent: int) -> Column:
 class _Join:
     def __init__(self, docs: DataFrame, size: int, percent: int):
         self.docs, self.size, self.percent = docs, size, percent
-        self.profiles = _profiles(docs, size, percent)
-        self.reps = self.profiles.where("n > 0").groupBy("digest").agg(F.min("uid").alias("rep"))
-        classes = self.profiles.join(self.reps.select(F.col("rep").alias("uid")), "uid", "left_semi")
-        self.classes = cut(classes.where(F.size("prefix") > 0).drop("digest", "text", "id"))
+        wide = _profiles(docs, size, percent)
+        self.profiles = cut(wide.select("uid", "id", "text", "n", "digest"))
+        self.reps = cut(self.profiles.where("n > 0").groupBy("digest").agg(F.min("uid").alias("rep")))
+        classes = wide.where(F.size("prefix") > 0).select("uid", "n", "prefix", "sketch")
+        self.classes = cut(classes.join(self.reps.select(F.col("rep").alias("uid")), "uid", "left_semi"))
         rows = self.classes.select("uid", "n", F.posexplode("prefix").alias("pos", "token"))
         shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
         # Sizes of linked sets differ by the factor percent / 100 at most, hence by one block.
@@ -147,6 +148,8 @@ class _Join:
         block = F.floor(F.log(F.col("n")) / width).cast("int")
         self.index = cut(rows.join(shared, "token", "left_semi").withColumn("block", block))
         self.sketches = self.classes.select("uid", "sketch")
+        del wide, classes, rows, shared
+        release(docs.sparkSession)
 
     def _can_link(self, a: str, b: str) -> Column:
         """Sizes and positions allow a link."""
@@ -221,7 +224,10 @@ class _Join:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield pa.RecordBatch.from_arrays([batch.column("uid"), _lists(list(_sets(batch.column("body"), size)))], names=["uid", "values"])
+                for first, last in slices(batch.column("body")):
+                    part = batch.slice(first, last - first)
+                    values = _lists(list(_sets(part.column("body"), size)))
+                    yield pa.RecordBatch.from_arrays([part.column("uid"), values], names=["uid", "values"])
 
         sets = join_keyed(self.docs, named, ["id", "text"], "inner").select("uid", "body").mapInArrow(run, "uid long, values array<long>")
         sets = sets.groupBy("uid").agg(F.first("values").alias("values"))
@@ -248,12 +254,29 @@ class _Join:
             out = out.drop("leader", "apart", "most")
         return out
 
+    def _classes_so_far(self, links: DataFrame) -> DataFrame:
+        """``uid, root``: a set's best leader, then the best one that leader's sets have, and once more.
+
+        Equal roots are connected; connected sets may differ in root, which costs pairs but no links, and saves all rounds
+        of a full search for components.
+        """
+        both = cut(links.select(F.col("a").alias("leader"), F.col("b").alias("uid")).unionByName(links.select(F.col("a").alias("leader"), F.col("a").alias("uid"))).distinct())
+
+        def smallest(column: str) -> Column:
+            return F.min_by(column, F.xxhash64(column)).alias("root")
+
+        best = both.groupBy("uid").agg(smallest("leader"))
+        for _ in range(2):
+            up = both.join(best, "uid").groupBy("leader").agg(smallest("root"))
+            best = cut(both.join(up, "leader").groupBy("uid").agg(smallest("root")))
+        return best
+
     def links(self) -> DataFrame:
         """``a, b``: enough links to connect every class of linked sets."""
         links = answers = roots = None
         n_rows = self.index.count()
         for turn in range(MOST_ROUNDS):
-            rows = cut(self._open(roots))
+            rows = self._open(roots) if roots is None else cut(self._open(roots))
             if roots is not None:
                 per = rows.groupBy("token", "root").agg(F.count(F.lit(1)).cast("double").alias("k"))
                 per = per.groupBy("token").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"))
@@ -266,9 +289,12 @@ class _Join:
             links = new if links is None else links.unionByName(new)
             if new.isEmpty() and roots is not None:
                 break
-            roots = cut(connected_components(links, "a", "b").select(F.col("id").alias("uid"), F.col("component").alias("root")))
-        pairs = self.sketched(self._bounded(self.all_pairs(rows), answers, links))
-        return links.unionByName(self.tested(cut(self._promising(pairs))))
+            roots = self._classes_so_far(links)
+            release(self.docs.sparkSession)
+        pairs = cut(self._promising(self.sketched(self._bounded(self.all_pairs(rows), answers, links))))
+        links = cut(links.unionByName(self.tested(pairs)))
+        release(self.docs.sparkSession)
+        return links
 
 
 def near_groups(
@@ -301,5 +327,8 @@ def drop_near_copies(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one of each group."""
     groups = near_groups(docs, id_col, text_col, size, percent)
-    winners = groups.groupBy("id", "text").agg(F.count(F.lit(1)).alias("n"), F.max("stays").alias("stays")).where("stays")
+    stay = F.sum(F.col("stays").cast("int"))
+    # Of equal rows one stays, but all of those without words, which are linked with nothing.
+    n = F.when(stay == F.count(F.lit(1)), 1).otherwise(F.count(F.lit(1)))
+    winners = groups.groupBy("id", "text").agg(n.alias("n"), stay.alias("stay")).where("stay > 0")
     return keep_rows(docs, winners, id_col, text_col)
