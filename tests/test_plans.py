@@ -48,11 +48,11 @@ def test_no_row_at_a_time_python(plans):
 def test_kernels_run_once(plans):
     counts = {n: p.count("ArrowEvalPython [") for n, p in plans.items()}
     assert counts["pair_dedup"] == counts["buffer"] == counts["min_rotated_rect"] == 1
-    assert counts["score_images"] == 0 and plans["score_images"].count("MapInArrow [") == 1  # preparing and predicting together
+    assert counts["score_images"] == 0 and plans["score_images"].count("MapInArrow") == 1  # preparing and predicting together
 
 
 def test_rectangles_need_no_python(plans):
-    assert all("ArrowEvalPython" not in plans[n] for n in ("self_overlap_pairs", "spatial_join", "flag_protected", "enrich_chain", "crop_rasters"))
+    assert all("ArrowEvalPython" not in plans[n] for n in ("self_overlap_pairs", "spatial_join", "flag_protected", "crop_rasters"))
 
 
 @pytest.mark.parametrize(
