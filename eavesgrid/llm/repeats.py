@@ -3,8 +3,8 @@
 Every window of ``length`` bytes is named by the smallest hash among its grams of ``GRAM`` bytes.  Equal windows have equal names, so
 all places of a window meet in the shard of its name.  Neighbouring windows with one name travel together as a segment.
 
-1. Segments are numbers at first (name, hash, document, place).  Names that occur once are dropped, unless the naming gram
-   occurs twice in the segment (as in ``a a a a``); segments equal to an earlier one are repeats as a whole.
+1. Segments are numbers at first (name, hash, document, place).  Names that occur once are dropped, unless a gram comes again
+   nearby (as in ``a a a a``), so that windows of one segment may be equal; segments equal to an earlier one are repeats as a whole.
 2. Of each kind of segment that is not alone with its name the first one sends its bytes to the shard of its name.  A shard's segments, laid end to
    end, get a suffix array by induced sorting and its permuted common prefixes; neighbours in the array that share ``length``
    bytes are equal windows, and all but the earliest are repeats.
@@ -39,9 +39,10 @@ LENGTH = 100
 GRAM = 24
 MOST_STARTS = 128  # windows in a segment
 PART_BYTES = 2 << 20
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 MOST_KINDS = 20_000
 BROADCAST_ROWS = 500_000
+BROADCAST_ENTRIES = 4_000_000  # of 16 bytes
 
 
 def _smallest(values: np.ndarray, width: int) -> np.ndarray:
@@ -66,17 +67,19 @@ def _parts(column: pa.Array, length: int) -> Iterator[tuple[int, int, np.ndarray
                 yield first, at, part, np.array([0, len(part)])
 
 
-def _twice(grams: np.ndarray, names: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places, one after the other among the grams that name a window, with equal grams.
+def _recurring(grams: np.ndarray, width: int) -> np.ndarray:
+    """Sorted places, one in each stretch of ``step``, whose gram comes again within a segment's reach.
 
-    A window that lies between two places of its naming gram would be named by another, so places of one name in one segment follow
-    each other in that list.
+    Two equal windows of a segment lie less than ``MOST_STARTS`` apart, and so do all grams in them; a window holds
+    ``width`` grams, so one of these places is among them.
     """
-    room = np.zeros(width - 1, np.uint64)
-    largest = ~_smallest(~np.concatenate([room, names, room]), width)
-    place = np.flatnonzero(largest == grams)
-    equal = np.flatnonzero(grams[place[1:]] == grams[place[:-1]])
-    return place[equal], place[equal + 1]
+    step = min(64, width)
+    base = grams[::step]
+    again = np.zeros(len(base), bool)
+    for apart in range(1, MOST_STARTS):
+        other = grams[apart::step][: len(base)]
+        again[: len(other)] |= other == base[: len(other)]
+    return np.flatnonzero(again) * step
 
 
 def segments(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -106,9 +109,8 @@ def segments(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndar
     start = np.repeat(begin, pieces) + nth * MOST_STARTS
     windows = np.minimum(np.repeat(end, pieces) - start, MOST_STARTS)
     hashes = span_hashes(data, start, start + windows + length - 1)
-    one, two = _twice(grams, names, length - gram + 1)
-    pair = np.searchsorted(one, start)
-    doubtful = np.append(two, len(data))[pair] <= start + windows - 1 + length - gram
+    recurring = np.append(_recurring(grams, length - gram + 1), len(data))
+    doubtful = recurring[np.searchsorted(recurring, start)] <= start + windows - 1 + length - gram
     at = ((start - starts[row[start]]) << 9) | (doubtful.astype(np.int64) << 8) | windows
     return row[start], at, names[start], hashes
 
@@ -134,11 +136,12 @@ def _occurrences(docs: DataFrame, length: int) -> DataFrame:
 def _with_body(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (``id, text`` and lists to work on, one row a document) with the texts.
 
-    Up to ``BROADCAST_ROWS`` documents with up to as many list entries go to the texts; otherwise both sides are shuffled.
+    Up to ``BROADCAST_ROWS`` documents and ``BROADCAST_ENTRIES`` entries of their lists are sent to the texts; otherwise both
+    sides are shuffled.
     """
     wanted = cut(wanted)
     rows, entries = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("todo")), F.lit(0))).first()
-    small = rows <= BROADCAST_ROWS and entries <= 2 * BROADCAST_ROWS
+    small = rows <= BROADCAST_ROWS and entries <= BROADCAST_ENTRIES
     return join_keyed(docs, F.broadcast(wanted) if small else wanted.hint("shuffle_hash"), ["id", "text"], "inner")
 
 
@@ -356,7 +359,7 @@ def remove_repeats(
     keyed = _keyed(docs, id_col, text_col)
     spans = cut(_spans(keyed, length))
     rows, entries = spans.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("todo")), F.lit(0))).first()
-    small = rows <= BROADCAST_ROWS and entries <= 2 * BROADCAST_ROWS
+    small = rows <= BROADCAST_ROWS and entries <= BROADCAST_ENTRIES
     joined = join_keyed(keyed, F.broadcast(spans) if small else spans.hint("shuffle_hash"), ["id", "text"])
     kind = keyed.schema["id"].dataType.simpleString()
     span = "array<struct<start: long, end: long>>"
