@@ -16,7 +16,7 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
-_MAX_BYTES = 1 << 21
+_MAX_BYTES = 1 << 20
 _POWERS: dict[str, np.ndarray] = {}
 
 

@@ -37,7 +37,7 @@ TRAIN_PER_CLASS = 1000
 TAUS = (2.0, 3.0, 4.0)
 CLASS_DISCOUNT = 2.0  # an n-gram must be in more documents of a class to count for it
 LONGEST = 24  # letters handled together; longer words are cut into such parts
-MOST_WORDS = 200_000
+MOST_WORDS = 100_000
 ALPHABET = 1000.0
 LETTERS = re.compile(r"[^\W\d_]+")
 _START, _END = 1, 2
@@ -195,7 +195,7 @@ class Scorer:
 
     def __init__(self, differences, taus: Sequence[float]):
         self.differences, self.taus = differences, taus
-        self.tokens: dict[str, list[float]] = {}
+        self.tokens: dict[str, Sequence[float]] = {}
         self.parts: dict[str, float] = {}
 
     def _learn(self, tokens: set[str]) -> None:
@@ -210,7 +210,7 @@ class Scorer:
         for token, parts in split.items():
             found = [self.parts[p] for p in parts]
             values = [sum(max(0.0, d - t) - max(0.0, -d - t) for d in found) for t in self.taus]
-            self.tokens[token] = values if any(values) else []
+            self.tokens[token] = values if any(values) else ()
 
     def features(self, texts: list[str]) -> np.ndarray:
         """Per tau and document the sum by the number of words, by its square root, and by its logarithm."""
