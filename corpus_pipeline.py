@@ -16,7 +16,7 @@ from eavesgrid.session import scratch_path
 THRESHOLD = 0.5
 SHINGLE = 5
 SIMILAR_PERCENT = 80
-REMEMBERED_WORDS = 150_000  # fewer than by default: the workers serve the other stages, too
+REMEMBERED_WORDS = 50_000  # fewer than by default: the workers serve the other stages, too
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
