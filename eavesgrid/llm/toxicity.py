@@ -8,9 +8,11 @@ differences of up to ``tau`` count as none.  A document is judged by the sum of
 a logistic curve, fitted on differences from models that haven't seen the document, turns it into a score, and the best
 ``tau`` is chosen in the same way.
 
-Fitting takes at most ``TRAIN_PER_CLASS`` labelled documents of each class (those with the smallest hash of the id), with
-their whole texts.  Spark counts their words; models and curve are small and fitted on the driver.  Scoring covers every whole text
-of any number of documents in one pass without a shuffle; the model, some MB by the bound above, is broadcast.
+Fitting takes all labelled documents that aren't held out for the classes' counts, and all documents for the continuation counts.
+Spark counts the letter n-grams and works out their probabilities, order by order; the driver gets the n-grams that count for a
+class, with their differences.  Only the curve and the choice of ``tau`` rest on a sample, of at most ``TRAIN_PER_CLASS`` documents of
+each class (those with the smallest hash of the id).  Scoring covers every whole text of any number of documents in one pass without
+a shuffle; the model, 12 bytes for an n-gram that counts for a class, is broadcast.
 
 Defined results: empty and null texts have no words and score what the curve gives at 0, at most 0.49; documents without an id are not held out; repeated
 rows are scored one by one; without labels of both classes every score is the share of toxic labels (0 without any).
@@ -19,8 +21,10 @@ rows are scored one by one; without labels of both classes every score is the sh
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +37,18 @@ from .common import whole
 
 ORDER = 6
 FOLDS = 3
-TRAIN_PER_CLASS = 1000
+TRAIN_PER_CLASS = 1000  # documents that the curve is fitted on; the models count all
 TAUS = (2.0, 3.0, 4.0)
 CLASS_DISCOUNT = 2.0  # an n-gram must be in more documents of a class to count for it
 LONGEST = 24  # letters handled together; longer words are cut into such parts
 MOST_WORDS = 100_000
 ALPHABET = 1000.0
 LETTERS = re.compile(r"[^\W\d_]+")
+WORDS_AT_ONCE = 50_000
+BROADCAST_ROWS = 500_000
 _START, _END = 1, 2
+_BITS = 21  # of a letter; an n-gram is two numbers of three letters each, the predicted letter last
+_LETTER = (1 << _BITS) - 1
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -66,13 +74,26 @@ def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _gram(grid: np.ndarray, places: np.ndarray, first: int, last: int) -> np.ndarray:
     """Hash of the letters from ``first`` to ``last`` places before each predicted place."""
-    out = np.full(int(places.sum()), np.uint64(first * 16 + last), np.uint64)
-    width = grid.shape[1]
+    return _hash(lambda back: _letter(grid, places, back), int(places.sum()), first, last)
+
+
+def _letter(grid: np.ndarray, places: np.ndarray, back: int) -> np.ndarray:
+    return grid[:, ORDER - 1 - back : grid.shape[1] - back][places].astype(np.uint64)
+
+
+def _hash(letter: Callable[[int], np.ndarray], n: int, first: int, last: int) -> np.ndarray:
+    out = np.full(n, np.uint64(first * 16 + last), np.uint64)
     for back in range(first, last - 1, -1):
-        out = mix(out * _BASE + grid[:, ORDER - 1 - back : width - back][places].astype(np.uint64))
+        out = mix(out * _BASE + letter(back))
     return out
 
 
+def _unpacked(older: np.ndarray, newer: np.ndarray, last: int) -> np.ndarray:
+    """The hash that ``_gram`` gives to packed letters, from the oldest to ``last`` places before the predicted one."""
+    halves = newer.astype(np.uint64), older.astype(np.uint64)
+    return _hash(lambda back: halves[back // 3] >> np.uint64(back % 3 * _BITS) & np.uint64(_LETTER), len(older), ORDER - 1, last)
+
+
 @dataclass
 class Table:
     """Values by hash; ``empty`` for hashes it doesn't have."""
@@ -190,6 +211,10 @@ def _parts(token: str) -> list[str]:
     return [w[i : i + LONGEST] for w in LETTERS.findall(token) for i in range(0, len(w), LONGEST)]
 
 
+def _words(token: str) -> list[str]:
+    return [token] if len(token) <= LONGEST and token.isalpha() else _parts(token)
+
+
 class Scorer:
     """Sums of word differences in documents, with remembered words, for each ``tau``."""
 
@@ -203,7 +228,7 @@ class Scorer:
             self.tokens.clear()
         if len(self.parts) > MOST_WORDS:
             self.parts.clear()
-        split = {t: [t] if len(t) <= LONGEST and t.isalpha() else _parts(t) for t in tokens.difference(self.tokens)}
+        split = {t: _words(t) for t in tokens.difference(self.tokens)}
         new = list({p for parts in split.values() for p in parts}.difference(self.parts))
         for at in range(0, len(new), 20_000):
             self.parts.update(zip(new[at : at + 20_000], self.differences(new[at : at + 20_000]).tolist(), strict=True))
@@ -255,42 +280,171 @@ class Toxicity:
         return 1 / (1 + np.exp(-np.clip(features @ self.curve[:-1] + self.curve[-1], -30, 30)))
 
 
-def _one_array(column: pa.ChunkedArray) -> pa.Array:
-    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays([c.cast(column.type) for c in column.chunks] or [pa.array([], column.type)])
+_GROUPS = [f"n{fold}{c}" for fold in range(FOLDS) for c in range(2)]
+
 
+def _packed_grams(words: list[str], counts: np.ndarray) -> list[np.ndarray]:
+    """Distinct n-grams of the words as ``older, newer`` letters, and their counts by group."""
+    grid, places = _letters(words)
+    newer, older = (
+        sum(_letter(grid, places, at + i) << np.uint64(i * _BITS) for i in range(3)).astype(np.int64) for at in (0, 3)
+    )
+    row = np.broadcast_to(np.arange(len(words), dtype=np.int32)[:, None], places.shape)[places]
+    order = np.lexsort((newer, older))
+    newer, older = newer[order], older[order]
+    first = np.flatnonzero(np.append(True, (newer[1:] != newer[:-1]) | (older[1:] != older[:-1])))
+    return [older[first], newer[first], *(np.add.reduceat(n[row][order], first) for n in counts)]
 
-def _word_counts(rows: DataFrame) -> DataFrame:
-    """``fold, toxic, word, n``: documents with a word, of documents ``fold, toxic, body``."""
+
+def _gram_counts(rows: DataFrame) -> DataFrame:
+    """``older, newer`` and the number of documents and words with that n-gram for each fold and class, of ``fold, toxic, body``.
+
+    Rows without a class add their n-grams with counts of 0.
+    """
+
+    def flushed(found: list[dict[str, int]], others: set[str]) -> Iterator[pa.RecordBatch]:
+        words = list({p for t in others for p in _words(t)}.union(*found))
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            part = words[at : at + WORDS_AT_ONCE]
+            counts = np.array([[f.get(w, 0) for w in part] for f in found], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _packed_grams(part, counts)], names=["older", "newer", *_GROUPS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[dict[str, int]] = [Counter() for _ in _GROUPS]
+        others: set[str] = set()  # tokens that only tell of continuations
+        parts: dict[str, list[str]] = {}
         for batch in batches:
-            found: dict[tuple, int] = {}
-            for fold, toxic, text in zip(*(batch.column(c).to_pylist() for c in ("fold", "toxic", "body")), strict=True):
-                for word in {p for t in set(text.lower().split()) for p in _parts(t)}:
-                    found[fold, toxic, word] = found.get((fold, toxic, word), 0) + 1
-            keys = list(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()),
-                 pa.array([k[2] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())],
-                names=["fold", "toxic", "word", "n"],
-            )
-
-    counts = rows.mapInArrow(run, "fold int, toxic int, word string, n long")
-    return counts.groupBy("fold", "toxic", "word").agg(F.sum("n").alias("n"))
-
-
-def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per_class: int) -> DataFrame:
-    """``fold, toxic, body``: distinct texts of at most ``per_class`` documents of each class."""
+            for fold, toxic, text in zip(*(batch.column(c) for c in ("fold", "toxic", "body")), strict=True):
+                tokens = set(text.as_py().lower().split())
+                if toxic.is_valid:
+                    parts.update((t, _words(t)) for t in tokens.difference(parts))
+                    found[fold.as_py() * 2 + toxic.as_py()].update(set(chain.from_iterable(map(parts.__getitem__, tokens))))
+                else:
+                    others |= tokens
+                if len(parts) + len(others) > MOST_WORDS:
+                    yield from flushed(found, others)
+                    for kept in (*found, others, parts):
+                        kept.clear()
+        yield from flushed(found, others)
+
+    kinds = ", ".join(f"{c} long" for c in ("older", "newer", *_GROUPS))
+    return rows.mapInArrow(run, kinds).groupBy("older", "newer").agg(*[F.sum(c).alias(c) for c in _GROUPS])
+
+
+def _without_oldest(m: int) -> list[Column]:
+    """Packed letters of an n-gram without all but its ``m`` newest letters."""
+    older, newer = (1 << _BITS * max(0, m - 3)) - 1, (1 << _BITS * min(3, m)) - 1
+    return [F.col("older").bitwiseAND(older).alias("older"), F.col("newer").bitwiseAND(newer).alias("newer")]
+
+
+def _looked_up(grams: DataFrame, table: DataFrame, rows: int) -> DataFrame:
+    """``grams`` with the columns of ``table``, which has a row for each ``older`` and ``newer`` of theirs."""
+    return grams.join(F.broadcast(table) if rows <= BROADCAST_ROWS else table, ["older", "newer"])
+
+
+def _with_contexts(grams: DataFrame, sums: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """``grams`` with ``context`` and sums over all n-grams of that context, and the contexts alone."""
+    grams = grams.withColumn("context", F.col("newer").bitwiseAND(~_LETTER))
+    contexts = grams.groupBy("older", "context").agg(*[F.sum(c).cast("double").alias(name) for name, c in sums.items()])
+    return grams.join(contexts, ["older", "context"]), contexts
+
+
+def _discount(ones: float, twos: float) -> float:
+    return min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5
+
+
+def _lower_orders(grams: DataFrame) -> tuple[DataFrame, int]:
+    """``older, newer, p``: probabilities by continuation counts of all n-grams a letter shorter, and their number."""
+    kinds = []
+    for m in range(ORDER - 1, 0, -1):
+        grams = cut(grams.select(*_without_oldest(m)).groupBy("older", "newer").agg(F.count(F.lit(1)).alias("n")))
+        kinds.append(grams)
+    known, rows = None, 0
+    for m, grams in enumerate(reversed(kinds), 1):
+        size, ones, twos = grams.agg(F.count(F.lit(1)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
+        d = _discount(float(ones), float(twos))
+        grams, _ = _with_contexts(grams, {"total": F.col("n"), "left": F.least(F.col("n"), F.lit(d))})
+        if known is None:
+            grams = grams.withColumn("p", F.lit(1 / ALPHABET))
+        else:
+            grams = grams.withColumns({"full_older": F.col("older"), "full_newer": F.col("newer")})
+            grams = _looked_up(grams.withColumns(dict(zip(("older", "newer"), _without_oldest(m - 1), strict=True))), known, rows)
+            grams = grams.withColumns({"older": F.col("full_older"), "newer": F.col("full_newer")})
+        p = (F.greatest(F.col("n") - d, F.lit(0.0)) + F.col("left") * F.col("p")) / F.col("total")
+        known, rows = cut(grams.select("older", "newer", p.alias("p"))), size
+    return known, rows
+
+
+def _gathered(rows: DataFrame) -> tuple[list[Differences], list[float]]:
+    """Differences of the models of all folds, and of those without each fold; and the number of words in each class.
+
+    ``rows`` has ``fold, toxic, body``, without a class those that only tell of continuations.
+    """
+    grams = cut(_gram_counts(rows))
+    first = sum(_START << i * _BITS for i in range(3))  # each word has one n-gram of its first letter alone
+    of_word = (F.col("older") == first) & (F.col("newer").bitwiseAND(~_LETTER) == first & ~_LETTER)
+    sums = grams.where(of_word).agg(*[F.sum(c).alias(c) for c in _GROUPS]).first()
+    by_group = np.array([sums[c] or 0 for c in _GROUPS], float).reshape(FOLDS, 2)
+    totals = by_group.sum(axis=0)
+    if not totals.all():
+        return [], totals.tolist()
+    left_out = [None, *range(FOLDS)]
+    counts, sizes = {}, []
+    for v, fold in enumerate(left_out):
+        folds = [f for f in range(FOLDS) if f != fold]
+        words = [by_group[folds, c].sum() for c in range(2)]
+        own = [sum((F.col(f"n{f}{c}") for f in folds), F.lit(0)).cast("double") for c in range(2)]
+        both = own[0] * F.lit(sum(words) / 2 / max(1.0, words[0])) + own[1] * F.lit(sum(words) / 2 / max(1.0, words[1]))
+        counts |= {f"o{v}": own[0], f"t{v}": own[1], f"b{v}": both}
+        sizes.append(v)
+    top = grams.where(sum((F.col(c) for c in _GROUPS), F.lit(0)) > 0).select("older", "newer", *[c.alias(k) for k, c in counts.items()])
+    told = top.agg(*[F.count_if(F.col(f"b{v}") == n).alias(f"x{v}{n}") for v in sizes for n in (1, 2)]).first()
+    discounts = {f"b{v}": _discount(float(told[f"x{v}1"]), float(told[f"x{v}2"])) for v in sizes}
+    discounts |= {f"{k}{v}": CLASS_DISCOUNT for v in sizes for k in "ot"}
+    sums = {f"total_{k}": F.col(k) for k in discounts} | {f"left_{k}": F.least(F.col(k), F.lit(d)) for k, d in discounts.items()}
+    top, contexts = _with_contexts(top, sums)
+
+    def left(k: str) -> Column:
+        return F.when(F.col(f"total_{k}") > 0, F.col(f"left_{k}") / F.col(f"total_{k}")).otherwise(1.0)
+
+    def after(k: str, p: Column) -> Column:
+        share = F.when(F.col(f"total_{k}") > 0, F.greatest(F.col(k) - discounts[k], F.lit(0.0)) / F.col(f"total_{k}")).otherwise(0.0)
+        return share + left(k) * p
+
+    def counting(v: int) -> Column:
+        return (F.col(f"o{v}") > CLASS_DISCOUNT) | (F.col(f"t{v}") > CLASS_DISCOUNT)
+
+    lower, size = _lower_orders(grams)
+    top = top.where(counting(0)).withColumns({"full_older": F.col("older"), "full_newer": F.col("newer")})
+    top = _looked_up(top.withColumns(dict(zip(("older", "newer"), _without_oldest(ORDER - 1), strict=True))), lower, size)
+    values = []
+    for v in sizes:
+        p = after(f"b{v}", F.col("p"))
+        values.append(F.when(counting(v), F.log(after(f"t{v}", p)) - F.log(after(f"o{v}", p))).cast("float").alias(f"d{v}"))
+    found = top.select(F.col("full_older").alias("older"), F.col("full_newer").alias("newer"), *values).toArrow()
+    some = (left("o0") < 1) | (left("t0") < 1)
+    lefts = [(F.log(left(f"t{v}")) - F.log(left(f"o{v}"))).cast("float").alias(f"d{v}") for v in sizes]
+    ends = contexts.where(some).select("older", F.col("context").alias("newer"), *lefts).toArrow()
+
+    def table(of: pa.Table, last: int, v: int, empty: float) -> Table:
+        keys = _unpacked(of.column("older").to_numpy(), of.column("newer").to_numpy(), last)
+        value = of.column(f"d{v}").to_numpy().astype(np.float32)
+        have = np.flatnonzero(~np.isnan(value))
+        order = have[np.argsort(keys[have])]
+        return Table(keys[order], value[order], empty)
+
+    return [Differences(table(found, 0, v, np.nan), table(ends, 1, v, 0.0)) for v in sizes], totals.tolist()
+
+
+def _usable(labels: DataFrame, id_col: str) -> DataFrame:
+    """``id, toxic`` of labels that may be learnt from.  A repeated label counts once, contradicting ones not at all."""
     rows = labels.where(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    # A repeated label counts once, contradicting ones not at all.
-    rows = rows.groupBy(F.col(id_col).alias("id")).agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("hi")).where("toxic = hi")
-    chosen = [
-        rows.where(F.col("toxic") == c).select("id", F.col("toxic").cast("int"), F.xxhash64("id").alias("h")).orderBy("h", "id").limit(per_class)
-        for c in (0, 1)
-    ]
-    named = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).alias("body"))
-    named = named.join(F.broadcast(chosen[0].unionByName(chosen[1])), "id")  # at most 2 * per_class rows
-    return named.select(F.pmod(F.xxhash64("body"), F.lit(FOLDS)).cast("int").alias("fold"), "toxic", "body").distinct()
+    rows = rows.groupBy(F.col(id_col).alias("id")).agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("hi"))
+    return rows.where("toxic = hi").drop("hi")
+
+
+def _distinct_texts(rows: DataFrame) -> DataFrame:
+    return rows.select(F.pmod(F.xxhash64("body"), F.lit(FOLDS)).cast("int").alias("fold"), "toxic", "body").distinct()
 
 
 def train(
@@ -299,29 +453,24 @@ def train(
     """Fit on labelled rows that aren't held out; ``labels`` has ``id_col`` and ``toxic`` (0 or 1)."""
     spark = docs.sparkSession
     ship_package(spark)
-    rows = cut(_training_rows(docs, labels, id_col, text_col, per_class))
-    found = _word_counts(rows).toArrow().combine_chunks()  # words of a bounded number of documents
-    fold, toxic, n = (found.column(c).to_numpy() for c in ("fold", "toxic", "n"))
-    classes = set(np.unique(toxic).tolist())
-    if len(classes) < 2:
-        return Toxicity(None, 0.0, np.array([0.0, 0.0, 0.0, 30.0 if classes == {1} else -30.0]))
-    coded = _one_array(found.column("word")).dictionary_encode()
-    words, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-    by_fold = np.zeros((FOLDS, 2, len(words)), np.float32)
-    np.add.at(by_fold, (fold, toxic, place), n)
-    del found, coded, place, n
-    total = by_fold.sum(axis=0)
-    unseen = []  # differences of a fold's words by a model of the other folds
-    for fold in range(FOLDS):
-        rest = total - by_fold[fold]
-        have, mine = np.flatnonzero(rest.sum(axis=0)), np.flatnonzero(by_fold[fold].sum(axis=0))
-        names = [words[i] for i in mine]
-        known = Differences.fit([words[i] for i in have], rest[:, have]).of(names) if len(have) else np.zeros(len(names))
-        unseen.append(dict(zip(names, known.astype(np.float32).tolist(), strict=True)))
+    known = _usable(labels, id_col)
+    named = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).alias("body"))
+    if known.count() <= BROADCAST_ROWS:
+        labelled, others = named.join(F.broadcast(known), "id"), named.join(F.broadcast(known), "id", "left_anti")
+    else:  # texts are shuffled once; that the others' n-grams come twice adds counts of 0
+        labelled, others = named.join(known, "id"), named
+    none = F.lit(None).cast("int")
+    models, totals = _gathered(_distinct_texts(labelled).unionByName(others.select(none.alias("fold"), none.alias("toxic"), "body")))
+    if not models:
+        return Toxicity(None, 0.0, np.array([0.0, 0.0, 0.0, 30.0 if totals[1] else -30.0]))
+    chosen = [known.where(F.col("toxic") == c).withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(per_class) for c in (0, 1)]
+    sample = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * per_class rows
+    rows = _distinct_texts(named.join(sample, "id"))
+    full, *unseen = models
     shipped = spark.sparkContext.broadcast(unseen)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorers = [Scorer(lambda ws, d=d: np.array([d[w] for w in ws], float), TAUS) for d in shipped.value]
+        scorers = [Scorer(d.of, TAUS) for d in shipped.value]
         for batch in batches:
             for f, y, t in zip(*(batch.column(c).to_pylist() for c in ("fold", "toxic", "body")), strict=True):
                 x = scorers[f].features([t]).reshape(1, -1)
@@ -334,7 +483,7 @@ def train(
     fits = [(*_logistic(x[order, k], y[order]), tau) for k, tau in enumerate(TAUS)]
     curve, _, tau = min(fits, key=lambda f: f[1])
     curve[-1] = min(curve[-1], -0.04)  # a text without words is no evidence
-    return Toxicity(Differences.fit(words, total), tau, curve)
+    return Toxicity(full, tau, curve)
 
 
 def score_documents(docs: DataFrame, model: Toxicity, text_col: str = "text", score_col: str = "score") -> DataFrame:

@@ -78,6 +78,34 @@ def test_probabilities_sum_to_one():
     assert (total > 0.5).all() and (total <= 1.0001).all()
 
 
+def test_models_count_all_labelled_documents(labelled):
+    plain = [f"{r.text} filler" for r in labelled.where("toxic = 0").collect()]
+    rude = [r.text for r in labelled.where("toxic = 1").collect()]
+    rows = [(i, t, y) for i, (t, y) in enumerate([(t, 0) for t in plain] + [(f"{t} zorkfimp", 1) for t in rude])]
+    docs = labelled.sparkSession.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(5)
+    model = toxicity.train(docs, docs.select("doc_id", "toxic"), per_class=3)  # the sample is too small to tell them
+    known, ordinary = model.model.of(["zorkfimp", "filler"])
+    assert known > 4 and ordinary < -4
+
+
+def test_gathered_differences_are_those_of_the_driver(labelled, odd):
+    rows = labelled.selectExpr("cast(doc_id % 3 as int) as fold", "toxic", "text as body").repartition(7)
+    others = odd.selectExpr("cast(null as int) as fold", "cast(null as int) as toxic", "coalesce(text, '') as body")
+    gathered, totals = toxicity._gathered(rows.unionByName(others))
+    kinds = {}
+    for fold, c, text in [(r.fold, r.toxic, r.body) for r in rows.unionByName(others).collect()]:
+        for word in {p for t in set(text.lower().split()) for p in toxicity._parts(t)}:
+            kinds.setdefault(word, np.zeros((3, 2)))
+            if c is not None:
+                kinds[word][fold, c] += 1
+    words, by_fold = list(kinds), np.stack(list(kinds.values()), axis=2)
+    assert totals == by_fold.sum(axis=(0, 2)).tolist()
+    asked = [*words[:500], "grumblords", "qqqq", "étaon"]
+    for model, left_out in zip(gathered, [None, 0, 1, 2], strict=True):
+        plain = toxicity.Differences.fit(words, by_fold[[f for f in range(3) if f != left_out]].sum(axis=0))
+        assert np.allclose(model.of(asked), plain.of(asked), atol=1e-3)
+
+
 def test_one_class_or_no_labels(spark, labelled, odd):
     for labels, share in ((labelled.where("toxic = 1").select("doc_id", "toxic"), 1.0), (labelled.where("false").select("doc_id", "toxic"), 0.0)):
         model = toxicity.train(labelled, labels)
