@@ -6,12 +6,15 @@ import os
 import subprocess
 import sys
 
+from collections import Counter, defaultdict
+
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from eavesgrid.llm.queries import ORACLES, QUERIES
 from oracle_check import check, duck
+from test_joins_and_packing import UPPER, check_pieces, plain_groups, tokenizer  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
@@ -44,6 +47,30 @@ def test_stages(spark, odd):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).agg({"doc_tokens": "sum"}).first()[0] > 0
 
 
+def test_run_against_plain_stages(spark, tokenizer, monkeypatch):  # noqa: F811
+    paths, scratch = [], corpus_pipeline.scratch_path
+    monkeypatch.setattr(corpus_pipeline, "scratch_path", lambda *args: paths.append(scratch(*args)) or paths[-1])
+    pieces = corpus_pipeline.run(spark, SMALL).collect()
+    rows = {r.doc_id: tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    stages = [Counter(map(tuple, spark.read.parquet(p).collect())) for p in paths]
+
+    ids = {r.doc_id for r in QUERIES["op2_kneser_ney"](spark, SMALL).where("predicted = 0").collect()}  # scores as given
+    assert stages[0] == Counter(rows[i] for i in ids) and len(ids) < len(rows)
+    copies = defaultdict(list)
+    for i in ids:
+        copies[(text[i] or "").translate(UPPER)].append(i)
+    ids = {max(group) for group in copies.values()}
+    assert stages[1] == Counter(rows[i] for i in ids)
+    ids = {i for i, _, component in plain_groups([(i, text[i]) for i in sorted(ids)], 5, 80) if i == component}
+    assert stages[2] == Counter(rows[i] for i in ids)
+    tables = duck(SMALL)
+    tables.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('{paths[2]}/*.parquet')")
+    taken = tables.sql(ORACLES["op6_fair_queueing"]).select("doc_id, size, taken").fetchall()
+    assert stages[3] == Counter({rows[i]: n // size for i, size, n in taken if n})
+    check_pieces(pieces, [(i, text[i]) for i, size, n in taken if n for _ in range(n // size)], tokenizer)
+
+
 @pytest.mark.parametrize("frame", ["odd", "empty"])
 def test_stages_take_odd_documents(spark, frame, request):
     docs = request.getfixturevalue(frame)
