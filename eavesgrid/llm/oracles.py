@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .license_scan import PERCENT, PHRASES, TEMPLATES
+
 ASCII_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 LOWER_TEXT = ASCII_LOWER.format("text")
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -138,3 +140,77 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spa
        sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN x USING (doc_id)
 """
+
+ORACLES["op11_aho_corasick"] = rf"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all({LOWER_TEXT}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER_TEXT}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+n AS (SELECT doc_id, count(*)::BIGINT AS n FROM d GROUP BY doc_id),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS total FROM n),
+m AS (SELECT doc_id, 50 + ((50 * n * n_docs) // total) AS m FROM n, c),
+tf AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM d WHERE term IN (SELECT term FROM i) GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, c GROUP BY term),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM i JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50
+"""
+
+ORACLES["op12_rollup_phrases"] = f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex({LOWER_TEXT}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+g AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p), (VALUES (1), (2), (3)) AS sizes(k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, k, phrase, count(*)::BIGINT AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k AS size, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS cut FROM cand) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:size], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+around AS (
+  SELECT lang, phrase, max(longer) AS longer FROM (
+    SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a AS longer FROM cand WHERE size = 3
+    UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM cand WHERE size = 3) GROUP BY lang, phrase),
+r AS (
+  SELECT x.lang, row_number() OVER (PARTITION BY x.lang ORDER BY score DESC, a DESC, encode(x.phrase)) AS rank, x.phrase, a, l, r, score
+  FROM lowest x LEFT JOIN around o ON o.lang = x.lang AND o.phrase = x.phrase WHERE o.longer IS NULL OR 100 * o.longer < 50 * a)
+SELECT r.*, n FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+def _values(rows) -> str:
+    return ", ".join(f"({', '.join(repr(x) for x in row)})" for row in rows)
+
+
+ORACLES["op13_license_join"] = rf"""
+WITH d AS (SELECT doc_id, {LOWER_TEXT} AS t, regexp_extract_all({LOWER_TEXT}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+phrases AS (SELECT string_split(phrase, ' ') AS p, label FROM (VALUES {_values(PHRASES)}) AS v(phrase, label)),
+places AS (
+  SELECT doc_id, i - 1 AS place, label
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), phrases WHERE w[i:i + len(p) - 1] = p),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(place)::BIGINT AS first_word, max(place)::BIGINT AS last_word,
+         list_sort(list_distinct(list(label))) AS base FROM places GROUP BY doc_id),
+templates AS (SELECT label, list_distinct(string_split(words, ' ')) AS tw FROM (VALUES {_values(TEMPLATES)}) AS v(label, words)),
+blocks AS (
+  SELECT doc_id, regexp_extract_all(b, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS bw
+  FROM (SELECT doc_id, unnest(string_split_regex(t, '
+|[.!?][ 	-
+]')) AS b FROM d)),
+met AS (
+  SELECT doc_id, label, len(list_intersect(tw, bw)) AS shared, len(tw) AS size FROM blocks, templates
+  WHERE 100 * len(list_intersect(tw, bw)) >= {PERCENT} * len(tw)),
+more AS (SELECT doc_id, list(label) AS more, max(shared / size) AS best FROM met GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(coalesce(base, []), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(more, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1 ELSE coalesce(best, 0) END::DOUBLE AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
+"""

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, ngram_join, packing, pii, quality, repeats, toxicity, url_filter
+from . import (
+    collocations, exact_dedup, lexical_search, license_scan, line_dedup, mixing, ngram_join, packing, pii, quality, repeats,
+    toxicity, url_filter,
+)
 from .oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -102,6 +105,18 @@ def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op11_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_rollup_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_keep_bitmaps": op1_keep_bitmaps,
     "op2_kneser_ney": op2_kneser_ney,
@@ -113,4 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_heavy_hitters": op8_heavy_hitters,
     "op9_squares_packing": op9_squares_packing,
     "op10_filter_cascade": op10_filter_cascade,
+    "op11_aho_corasick": op11_aho_corasick,
+    "op12_rollup_phrases": op12_rollup_phrases,
+    "op13_license_join": op13_license_join,
 }
