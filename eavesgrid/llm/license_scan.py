@@ -102,7 +102,7 @@ def profiles(
 
 
 def matches(blocks: DataFrame, sets: Sequence[tuple[str, Sequence[str]]], percent: int = PERCENT) -> DataFrame:
-    """``uid, label, overlap, size`` for each pair of a block (``uid, words``) and a template (label, words) that meets the threshold."""
+    """``uid, label, overlap, size`` for each pair of a block (``uid, block, words``) and a template (label, words) that meets the threshold."""
     spark = blocks.sparkSession
     counts = dict(blocks.select(F.explode("words").alias("w")).groupBy("w").count().collect())  # a row for each word of the templates at most
     order = sorted({w for _, s in sets for w in s}, key=lambda w: (counts.get(w, 0), w))
@@ -115,7 +115,7 @@ def matches(blocks: DataFrame, sets: Sequence[tuple[str, Sequence[str]]], percen
     index = spark.createDataFrame(index, "word int, i int, size int, needed int, ranks array<int>, label string")
     ranks = spark.createDataFrame([(w, i) for w, i in rank.items()], "w string, r int")
     ranked = (
-        blocks.select("uid", F.monotonically_increasing_id().alias("block"), F.explode("words").alias("w"))
+        blocks.select("uid", "block", F.explode("words").alias("w"))
         .join(F.broadcast(ranks), "w").groupBy("uid", "block").agg(F.sort_array(F.collect_list("r")).alias("own"))
     )  # as many rows of a block as templates have words, at most
     probes = ranked.select("uid", "own", F.posexplode("own").alias("j", "word"))
@@ -147,7 +147,7 @@ def scan_licenses(
         raise ValueError(f"templates of more than {MOST_TEMPLATE_WORDS} words in all: scan in parts")
     least = min((_needed(len(words), percent) for _, words in sets), default=1)
     slim = cut(profiles(docs, phrases, vocabulary, least, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()))
-    met = matches(slim.select("uid", F.explode("blocks").alias("words")), sets, percent) if sets else None
+    met = matches(slim.select("uid", F.posexplode("blocks").alias("block", "words")), sets, percent) if sets else None
     out = slim.select("uid", "id", "n_words", "found", F.array_sort(F.array_distinct("found.label")).alias("base"))
     if met is None:
         out = out.withColumn("more", F.array().cast("array<string>")).withColumn("best", F.lit(0.0))
