@@ -1,9 +1,10 @@
-"""One image crop per footprint and raster, cut from a table of raster tiles without leaving the JVM.
+"""One image crop per footprint and raster, cut from a table of raster tiles.
 
 Rasters are rows of tiles: ``raster_id, tile_row, tile_col, row0, col0, rows, cols, data`` with pixels stored row by
-row and bands interleaved.  A crop needs, for every pixel row, the run of pixels whose centres lie in the oriented
+row and bands interleaved, of the sample type the catalog names (``pixels``).  A crop needs, for every pixel row, the run of pixels whose centres lie in the oriented
 box; a box is convex, so that is one run.  Runs are cut out of the tiles with ``substring`` right after the tile
-join, so only the pixels of the crops are shuffled, never whole tiles per footprint.
+join, so only the pixels of the crops are shuffled, never whole tiles per footprint.  Tiles no crop needs are dropped at
+the scan by a bitmap per raster.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.geometry import BBOX, first
 from ..functions.kernels import min_rotated_rect
 from ..session import cut
+from .pixels import assembled_crops, fragment_sums, sample_bytes, with_sample_type
 from .preprocessing import require_columns
 from .spatial_join import bbox_area_is_finite, bbox_join
 
@@ -51,7 +53,7 @@ def pending_rasters(catalog: DataFrame, ledger: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- boxes and pixel runs
 
-_GRID = ("raster_xmin", "raster_ymax", "res", "width", "height", "n_bands")
+_GRID = ("raster_xmin", "raster_ymax", "res", "width", "height", "n_bands", "dtype", "nodata")
 
 
 def crop_boxes(footprints: DataFrame, catalog: DataFrame, id_col: str = "id") -> DataFrame:
@@ -64,11 +66,11 @@ def crop_boxes(footprints: DataFrame, catalog: DataFrame, id_col: str = "id") ->
     left = footprints.where(F.col(id_col).isNotNull() & bbox_area_is_finite()).select(
         F.col(id_col).alias("id"), *BBOX, first(first(min_rotated_rect("geom"))).alias("box")
     )
-    right = catalog.select("raster_id", *BBOX, "res", "width", "height", "n_bands")
+    right = with_sample_type(catalog).select("raster_id", *BBOX, "res", "width", "height", "n_bands", "dtype", "nodata")
     pairs = bbox_join(left, right, "id", "raster_id", closed=False)
     return pairs.select(
         "l.id", "l.box", "r.raster_id", F.col("r.xmin").alias("raster_xmin"), F.col("r.ymax").alias("raster_ymax"),
-        "r.res", "r.width", "r.height", "r.n_bands",
+        "r.res", "r.width", "r.height", "r.n_bands", "r.dtype", "r.nodata",
     )
 
 
@@ -185,17 +187,47 @@ def crop_plan(boxes: DataFrame, unique_ids: bool = False) -> DataFrame:
 
 # ---------------------------------------------------------------- cutting
 
-_SIZE = ("r0", "c0", "r1", "c1", "n_bands")
+_SIZE = ("r0", "c0", "r1", "c1", "n_bands", "dtype", "nodata")
+MOST_BITMAP_BYTES = 128 << 20
+_WORD = 64
 
 
-def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int, extra: Sequence[str] = ()) -> DataFrame:
+def tile_bitmaps(wanted: DataFrame) -> DataFrame:
+    """``raster_id, n_cols, bits``: one row per raster, bit ``tile_row * n_cols + tile_col`` set for the tiles that crops need."""
+    number = F.col("tile_row") * F.col("n_cols") + F.col("tile_col")
+    words = (
+        wanted.select("raster_id", "n_cols", F.floor(number / _WORD).cast("int").alias("word"), (number % _WORD).cast("int").alias("bit"))
+        .groupBy("raster_id", "n_cols", "word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("bits"))
+    )
+    found = words.groupBy("raster_id", "n_cols").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))
+    steps = F.sequence(F.lit(0), F.array_max(F.map_keys("m")))
+    return found.select("raster_id", "n_cols", F.transform(steps, lambda w: F.coalesce(F.col("m")[w], F.lit(0).cast("long"))).alias("bits"))
+
+
+def wanted_only(tiles: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The tiles some crop needs, picked at the scan by a broadcast bitmap per raster, so that no other pixel is shuffled.
+
+    Bitmaps are measured first; beyond ``MOST_BITMAP_BYTES`` the tiles are joined as they are.
+    """
+    bitmaps = cut(tile_bitmaps(wanted))
+    n_bytes = bitmaps.agg(F.sum(F.size("bits") * 8 + F.length("raster_id") + 64)).first()[0] or 0
+    if n_bytes > MOST_BITMAP_BYTES:
+        return tiles
+    number = F.col("tile_row") * F.col("n_cols") + F.col("tile_col")
+    word = F.get("bits", F.floor(number / _WORD).cast("int"))
+    hit = F.getbit(F.coalesce(word, F.lit(0).cast("long")), (number % _WORD).cast("int")) == 1
+    return tiles.join(F.broadcast(bitmaps), "raster_id").where(hit & (F.col("tile_col") < F.col("n_cols"))).select(*tiles.columns)
+
+
+def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int, extra: Sequence[str] = (), places: bool = False) -> DataFrame:
     """One row per (crop, tile) with the bytes of its runs: ``frags array<struct<off, data>>``, and the window.
 
     ``off`` is the byte position in the finished crop.  Crops without pixels, or whose tile is missing, keep a row with
     NULL ``frags``; ``missing`` is 1 for a tile that isn't there.  The tile side has one row per key, and a tile many footprints share is a skewed key the adaptive
     join splits on the crop side.
     """
-    size, bands = F.lit(tile_size), F.col("n_bands")
+    plan = cut(plan)  # asked twice: for the bitmaps, and for the cutting
+    size, pixel = F.lit(tile_size), F.col("n_bands") * sample_bytes(F.col("dtype"))
 
     def cover(lo: Column, hi: Column) -> Column:
         return F.when(F.size("runs") > 0, F.sequence(F.floor(lo / size).cast("int"), F.floor(hi / size).cast("int")))
@@ -205,6 +237,7 @@ def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int, extra: Seq
         .withColumn("tile_col", F.explode_outer(cover(F.col("c0"), F.col("c1"))))
         .withColumn("top", F.col("tile_row") * size)
         .withColumn("left", F.col("tile_col") * size)
+        .withColumn("n_cols", F.ceil(F.col("width") / size).cast("int"))
     )
     inside = F.filter(
         "runs",
@@ -216,25 +249,26 @@ def crop_fragments(plan: DataFrame, tiles: DataFrame, tile_size: int, extra: Seq
         .withColumn("first_r", F.get("runs", F.lit(0))["r"])
         .withColumn("last_r", F.get("runs", F.size("runs") - 1)["r"])
     )
-    cells = tiles.select("raster_id", "tile_row", "tile_col", "cols", "data")
-    stride = F.col("cols") * bands
+    cells = wanted_only(tiles.select("raster_id", "tile_row", "tile_col", "cols", "data"), wanted.where(F.size("runs") > 0))
+    stride = F.col("cols") * pixel
     # First the pixel rows of the crop as one slice, in the generated code of the join: the tile itself is never copied
     # into a joined row.  Then the runs out of that slice.
     band = F.substring("data", (F.col("first_r") - F.col("top")) * stride + 1, (F.col("last_r") - F.col("first_r") + 1) * stride)
+    place = ("tile_row", "tile_col") if places else ()
     joined = wanted.join(cells, ["raster_id", "tile_row", "tile_col"], "left").select(
-        "id", "raster_id", *_SIZE, *extra, "runs", "left", "first_r", "cols", band.alias("band")
+        "id", "raster_id", *place, *_SIZE, *extra, "runs", "left", "first_r", "cols", band.alias("band")
     )
 
     def piece(s: Column) -> Column:
         a = F.greatest(s["c0"], F.col("left"))
         b = F.least(s["c1"], F.col("left") + F.col("cols") - 1)
-        start = (s["r"] - F.col("first_r")) * stride + (a - F.col("left")) * bands
-        off = ((s["r"] - F.col("r0")) * (F.col("c1") - F.col("c0") + 1) + (a - F.col("c0"))) * bands
-        return F.struct(off.cast("int").alias("off"), F.substring("band", start + 1, (b - a + 1) * bands).alias("data"))
+        start = (s["r"] - F.col("first_r")) * stride + (a - F.col("left")) * pixel
+        off = ((s["r"] - F.col("r0")) * (F.col("c1") - F.col("c0") + 1) + (a - F.col("c0"))) * pixel
+        return F.struct(off.cast("int").alias("off"), F.substring("band", start + 1, (b - a + 1) * pixel).alias("data"))
 
     frags = F.when(F.col("band").isNotNull(), F.transform("runs", piece))
     missing = (F.col("band").isNull() & (F.size("runs") > 0)).cast("int")
-    return joined.select("id", "raster_id", *_SIZE, *extra, frags.alias("frags"), missing.alias("missing"))
+    return joined.select("id", "raster_id", *place, *_SIZE, *extra, frags.alias("frags"), missing.alias("missing"))
 
 
 def crop_rasters(
@@ -245,9 +279,9 @@ def crop_rasters(
     id_col: str = "id",
     unique_ids: bool | None = None,
 ) -> DataFrame:
-    """``id, raster_id, r0, c0, height, width, n_channels, missing_tiles, data``: the crops, black outside the oriented box.
+    """``id, raster_id, r0, c0, height, width, n_channels, dtype, missing_tiles, data``: the crops, without data outside the oriented box.
 
-    Pixels of a tile that isn't there are black too; ``missing_tiles`` tells such crops apart.
+    No data is the catalog's ``nodata`` value, or black.  Pixels of a tile that isn't there are the same; ``missing_tiles`` tells such crops apart.
 
     A footprint too small to hold a pixel centre still has its row, with no pixels.  ``unique_ids`` says whether ids may
     repeat; by default one pass over the ids finds out.
@@ -290,29 +324,33 @@ def _assembled(frags: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     )
     blank = (F.col("r1") < F.col("r0")) | (F.col("c1") < F.col("c0"))
     sized = whole.select(
-        "id", "raster_id", "r0", "c0", *extra, "frags",
+        "id", "raster_id", "r0", "c0", *extra, "frags", "dtype", "nodata",
         F.when(blank, 0).otherwise(F.col("r1") - F.col("r0") + 1).alias("height"),
         F.when(blank, 0).otherwise(F.col("c1") - F.col("c0") + 1).alias("width"),
         F.col("n_bands").alias("n_channels"),
         "missing_tiles",
     )
+    kept = ["id", "raster_id", *extra, "r0", "c0", "height", "width", "n_channels", "dtype", "missing_tiles"]
+    return assembled_crops(sized, kept)
 
-    def end(f: Column) -> Column:
-        return f["off"] + F.length(f["data"])
 
-    def with_gap(f: Column, i: Column) -> Column:
-        before = F.when(i > 0, end(F.get("frags", i - 1))).otherwise(F.lit(0))
-        return F.concat(F.repeat(F.lit("00"), f["off"] - before), F.hex(f["data"]))
+def zonal_pixels(
+    footprints: DataFrame,
+    catalog: DataFrame,
+    tiles: DataFrame,
+    tile_size: int,
+    id_col: str = "id",
+    unique_ids: bool | None = None,
+) -> DataFrame:
+    """``id, raster_id, n_pixels, pixel_sum, missing_tiles`` over the samples in the oriented box, for rasters of whole numbers.
 
-    last = F.coalesce(end(F.get("frags", F.size("frags") - 1)), F.lit(0))
-    total = F.col("height") * F.col("width") * F.col("n_channels")
-    filled = F.concat(F.array_join(F.transform("frags", with_gap), ""), F.repeat(F.lit("00"), total - last))
-    return sized.select(
-        "id", "raster_id", *extra, "r0", "c0", "height", "width", "n_channels", "missing_tiles", F.unhex(filled).alias("data")
-    )
+    Pairs without pixels are left out; pairs with a tile that isn't there stay, their counts lacking its pixels.
+    """
+    found = zonal_statistics(footprints, catalog, tiles, tile_size, id_col, unique_ids)
+    return found.select("id", "raster_id", "n_pixels", F.col("pixel_sum").cast("long").alias("pixel_sum"), "missing_tiles")
 
 
-def zonal_pixels(
+def zonal_statistics(
     footprints: DataFrame,
     catalog: DataFrame,
     tiles: DataFrame,
@@ -320,29 +358,20 @@ def zonal_pixels(
     id_col: str = "id",
     unique_ids: bool | None = None,
 ) -> DataFrame:
-    """``id, raster_id, n_pixels, pixel_sum, missing_tiles`` over the pixels in the oriented box.
+    """``id, raster_id, n_pixels, n_nodata, pixel_sum, pixel_min, pixel_max, missing_tiles`` over the samples in the oriented box.
 
-    Pairs without pixels are left out; pairs with a tile that isn't there stay, their counts lacking its pixels.
+    Samples equal to the raster's ``nodata`` (and NaN) are only counted.  Sums of a crop's tiles are added in the order of the tiles, so results
+    of floating samples don't hang on partitioning; the tiles of one crop are as many as it covers.
     """
-    frags = crop_fragments(_plan_of(footprints, catalog, id_col, unique_ids), tiles, tile_size)
+    frags = crop_fragments(_plan_of(footprints, catalog, id_col, unique_ids), tiles, tile_size, places=True)
     frags = frags.where((F.size("frags") > 0) | (F.col("missing") > 0))
     frags = frags.withColumn("frags", F.coalesce("frags", F.array().cast(FRAG_TYPE)))
-
-    def total(frag: Column) -> Column:
-        values = F.transform(
-            F.sequence(F.lit(1), F.length(frag["data"])),
-            lambda i: F.conv(F.hex(F.substring(frag["data"], i, F.lit(1))), 16, 10).cast("long"),
-        )
-        return F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a + v)
-
-    per_tile = frags.select(
-        "id", "raster_id",
-        F.aggregate("frags", F.lit(0).cast("long"), lambda a, f: a + F.length(f["data"])).alias("n"),
-        F.aggregate(F.transform("frags", total), F.lit(0).cast("long"), lambda a, v: a + v).alias("s"),
-        "missing",
-    )
+    per_tile = fragment_sums(frags, ["id", "raster_id", "tile_row", "tile_col", "missing"])
+    in_order = F.array_sort(F.collect_list(F.struct("tile_row", "tile_col", "total")))
     return per_tile.groupBy("id", "raster_id").agg(
-        F.sum("n").alias("n_pixels"), F.sum("s").alias("pixel_sum"), F.sum("missing").cast("int").alias("missing_tiles")
+        F.sum("n").alias("n_pixels"), F.sum("n_nodata").alias("n_nodata"),
+        F.aggregate(in_order, F.lit(0.0), lambda a, t: a + t["total"]).alias("pixel_sum"),
+        F.min("least").alias("pixel_min"), F.max("most").alias("pixel_max"), F.sum("missing").cast("int").alias("missing_tiles"),
     )
 
 

@@ -100,8 +100,8 @@ def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raster_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tiles of the rasters; the pixel value hangs on the global column and row (rows counted upwards)."""
+def _tiles(spark: SparkSession, sf_dir: str, encode) -> DataFrame:
+    """Tiles of the rasters; ``encode`` makes the hex digits of a pixel from its global column and row (rows counted upwards)."""
     steps = F.sequence(F.lit(0), F.lit((RASTER_PIXELS - 1) // TILE))
     cells = (
         rasters(spark, sf_dir)
@@ -117,12 +117,39 @@ def raster_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     def value(p: Column) -> Column:
         col = F.col("i") * RASTER_PIXELS + F.col("col0") + p % F.col("cols")
         row = (F.col("j") + 1) * RASTER_PIXELS - 1 - (F.col("row0") + F.floor(p / F.col("cols")).cast("int"))
-        return F.lpad(F.hex((col * 7 + row * 13) % 256), 2, "0")
+        return encode(col, row)
 
     data = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.col("rows") * F.col("cols") - 1), value), ""))
     return cells.select("raster_id", "tile_row", "tile_col", "row0", "col0", "rows", "cols", data.alias("data"))
 
 
+def _hex_byte(value: Column) -> Column:
+    return F.lpad(F.hex(value), 2, "0")
+
+
+def raster_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """8-bit tiles; the value hangs on the global column and row."""
+    return _tiles(spark, sf_dir, lambda col, row: _hex_byte((col * 7 + row * 13) % 256))
+
+
+NODATA_16 = 65535
+
+
+def rasters_16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rasters with 16-bit samples and a value for no data."""
+    return rasters(spark, sf_dir).withColumns({"dtype": F.lit("u16"), "nodata": F.lit(float(NODATA_16))})
+
+
+def raster_tiles_16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16-bit tiles, little-endian; one pixel in eleven is without data."""
+
+    def encode(col: Column, row: Column) -> Column:
+        value = F.when((col + 2 * row) % 11 == 0, NODATA_16).otherwise((col * 701 + row * 1303) % 65521)
+        return F.concat(_hex_byte(value % 256), _hex_byte(F.floor(value / 256)))
+
+    return _tiles(spark, sf_dir, encode)
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rasters(spark, sf_dir).where((F.col("i") + F.col("j")) % 3 == 0).select("raster_id")
 

@@ -54,6 +54,9 @@ px AS (
   FROM (SELECT *, unnest(range(c0, c1 + 1)) AS c
         FROM (SELECT *, unnest(range(r0, r1 + 1)) AS r FROM crop WHERE height > 0 AND width > 0)))"""
 CROPS = f"WITH {F}, {R}, {PAIRS}"
+CROPS_16 = f"""{CROPS}, px16 AS (
+  SELECT *, CASE WHEN (gc + 2 * gr) % 11 = 0 THEN 65535 ELSE (gc * 701 + gr * 1303) % 65521 END AS v16
+  FROM (SELECT *, i * 100 + c AS gc, (j + 1) * 100 - 1 - r AS gr FROM px))"""
 NAMED = f"""{CROPS}, named AS (
   SELECT id, raster_id, height, width, suffix, id || '.jpg' AS file_name,
          CASE WHEN suffix = 0 THEN id || '.jpg' ELSE id || '_' || suffix || '.jpg' END AS suffixed_name
@@ -250,6 +253,17 @@ ORACLES: dict[str, str] = {
     "crop_rasters": f"""{CROPS}, s AS (SELECT id, raster_id, CAST(sum(((r - r0) * width + c - c0 + 1) * v) AS BIGINT) AS checksum FROM px GROUP BY 1, 2)
         SELECT id, raster_id, height, width, height * width AS n_bytes, coalesce(checksum, 0) AS checksum
         FROM crop LEFT JOIN s USING (id, raster_id)""",
+    "crop_rasters_16": f"""{CROPS_16}, s AS (SELECT id, raster_id, CAST(sum(((r - r0) * width + c - c0 + 1) * v16) AS BIGINT) AS checksum FROM px16 GROUP BY 1, 2)
+        SELECT id, raster_id, height, width, 'u16' AS dtype, 2 * height * width AS n_bytes, coalesce(checksum, 0) AS checksum
+        FROM crop LEFT JOIN s USING (id, raster_id)""",
+    "zonal_pixels_16": f"""{CROPS_16} SELECT id, raster_id, count(*) FILTER (WHERE v16 < 65535) AS n_pixels, count(*) FILTER (WHERE v16 = 65535) AS n_nodata,
+        coalesce(sum(v16) FILTER (WHERE v16 < 65535), 0)::DOUBLE AS pixel_sum, (min(v16) FILTER (WHERE v16 < 65535))::DOUBLE AS pixel_min,
+        (max(v16) FILTER (WHERE v16 < 65535))::DOUBLE AS pixel_max, 0 AS missing_tiles FROM px16 GROUP BY 1, 2""",
+    "stretch_pixels": f"""{CROPS_16}, s AS (
+          SELECT id, raster_id, CAST(sum(((r - r0) * width + c - c0 + 1) * CASE WHEN v16 = 65535 THEN 0 ELSE round_even(v16::DOUBLE / 65520.0::DOUBLE * 255.0::DOUBLE, 0) END) AS BIGINT) AS checksum
+          FROM px16 GROUP BY 1, 2)
+        SELECT id, raster_id, 'u8' AS dtype, height * width AS n_bytes, coalesce(checksum, 0) AS checksum
+        FROM crop LEFT JOIN s USING (id, raster_id)""",
     "zonal_pixels": f"{CROPS} SELECT id, raster_id, count(*) AS n_pixels, CAST(sum(v) AS BIGINT) AS pixel_sum, 0 AS missing_tiles FROM px GROUP BY 1, 2",
     "incremental_crops": f"""{CROPS}, {LEDGER},
         done AS (SELECT id, count(*) AS n FROM fr JOIN ledger USING (raster_id) GROUP BY 1),

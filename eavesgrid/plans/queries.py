@@ -12,7 +12,7 @@ from ..functions import geometry as G
 from ..functions import kernels as K
 from ..functions import scalars as S
 from ..functions.projection import reproject_lambert93
-from ..operators import components, crops, enrich, images, merge, metrics, preprocessing, scoring, spatial_join, tiles, training
+from ..operators import components, crops, enrich, images, merge, metrics, pixels, preprocessing, scoring, spatial_join, tiles, training
 from ..sinks import tables as sinks
 from ..session import cut, scratch_path
 from ..sources.layers import read_layer as read_from_file, scan_roof_csv
@@ -423,6 +423,36 @@ def zonal_pixels(spark, sf_dir):
     return crops.zonal_pixels(X.layer(spark, sf_dir), X.rasters(spark, sf_dir), X.raster_tiles(spark, sf_dir), X.TILE)
 
 
+def _crops_16(spark, sf_dir):
+    return crops.crop_rasters(X.layer(spark, sf_dir), X.rasters_16(spark, sf_dir), X.raster_tiles_16(spark, sf_dir), X.TILE)
+
+
+def _weighted_16(data: Column) -> Column:
+    """Sum of position times value over 16-bit samples, positions from 1."""
+    steps = F.sequence(F.lit(1), F.floor(F.length(data) / 2).cast("int"))
+    terms = F.when(F.length(data) > 0, F.transform(steps, lambda i: i * (_byte(data, 2 * i - 1) + 256 * _byte(data, 2 * i))))
+    return F.coalesce(F.aggregate(terms, F.lit(0).cast("long"), lambda a, v: a + v), F.lit(0))
+
+
+@query
+def crop_rasters_16(spark, sf_dir):
+    return _crops_16(spark, sf_dir).select(
+        "id", "raster_id", "height", "width", "dtype", F.length("data").alias("n_bytes"), _weighted_16(F.col("data")).alias("checksum")
+    )
+
+
+@query
+def zonal_pixels_16(spark, sf_dir):
+    return crops.zonal_statistics(X.layer(spark, sf_dir), X.rasters_16(spark, sf_dir), X.raster_tiles_16(spark, sf_dir), X.TILE)
+
+
+@query
+def stretch_pixels(spark, sf_dir):
+    """16-bit crops brought to bytes, as images are prepared and scored from."""
+    small = pixels.stretched(_crops_16(spark, sf_dir), 0.0, 65520.0, nodata=float(X.NODATA_16))
+    return small.select("id", "raster_id", "dtype", F.length("data").alias("n_bytes"), _weighted(F.col("data")).alias("checksum"))
+
+
 @query
 def incremental_crops(spark, sf_dir):
     """The rasters of the ledger cut in a first batch, then all others in one call that goes by the written ledger."""
