@@ -5,70 +5,208 @@ columns of following words (the words of the piece shifted by one, two, ...) and
 occurrence of a phrase of any length is the beginning of exactly one window, and Spark's ROLLUP over (language, first word, second word, ...) gives the
 frequency of all phrases and the number of words from the counts of the longest windows; no second n-gram explosion.
 
-Before the ROLLUP, what can no longer matter is folded level by level, from the last word on: a window in fewer places than ``least``
-gives its count to the window with its last word padded.  A phrase that reaches ``least`` keeps its full sum, since it adds what was folded
-into it and what stayed longer; so the ROLLUP meets frequent phrases and one rest per word instead of all windows.
+Windows are numbered and counted in Arrow tasks over stretches of a few MB, which end with a piece, and leave them sorted (so they compress);
+each becomes one row with its count.  These rows are shuffled once, by the window without its last word.  Before the ROLLUP, what can no
+longer matter is folded level by level, from the last word on: a window in fewer places than ``least`` gives its count to the
+window with its last word padded.  A phrase that reaches ``least`` keeps its full sum, since it adds what was folded into it and what stayed
+longer; so the ROLLUP meets frequent phrases and one rest per word instead of all windows.
 
-Every shuffle is by the whole key after partial sums, so a frequent word or word pair arrives as one row per task and
-length.  Frequencies of the parts of candidates come back by equi-joins, which Spark splits where a word is hot.  The
-ranking goes by slices of a language first, and each hands on at most ``most`` rows.  Products are decimals of 38 digits.
+*Hot beginnings.*  A first pass finds every beginning with one window in a hundred or more: each stretch names those above one in two hundred of its
+own, so what it leaves out sums to less than that.  The at most 200 found are spread over salts by their last word.  They are frequent for sure, so their
+sum needn't be known when others are folded.  All later shuffles come after partial sums.  Frequencies of the parts of candidates come
+back by equi-joins, which Spark splits where a word is hot.  The ranking goes by slices of a language first, and each hands on at most ``most``
+rows.  Products are decimals of 38 digits, exact for counts below 10^13.
 
 Defined results: a null text is empty, an empty text has no words; a null language is ``und`` (and so is one of that name); repeated
-rows count as often as they occur; an empty table gives an empty result.  A text of any length is one row; one text has to fit in a task.
+rows count as often as they occur; an empty table gives an empty result.  A long text is worked on in stretches; only a single piece has to fit
+in memory.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
-from .common import ascii_lower, whole
+from ..session import cut, ship_package
+from .arrays import buffer_of, fold, word_spans
 
-#: What ends a piece, what separates words
-PIECE_END = r"[.,;:!?\x0A-\x0D]"
-WORD_END = r"[\x20\x09]+"
+#: What ends a piece.  Words are separated by blanks and tabs.
+PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
 
 LONGEST = 3
 LEAST = 10
 MOST = 2000
 HIDING_PERCENT = 50
 MILLION = 1_000_000
+HOT_SHARE = 200
+_SALTS = 64
 _SLICES = 64
+_STRETCH = 8 << 20
+_ROWS = 100_000
+
+_ENDS = np.zeros(256, bool)
+_ENDS[[ord(c) for c in PIECE_ENDS]] = True
 
 
 def _words(longest: int) -> list[str]:
     return [f"w{i + 1}" for i in range(longest)]
 
 
-def windows(docs: DataFrame, longest: int = LONGEST, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang, w1 .. wL``: one row per word, with the words that follow it in its piece; empty words beyond its end."""
-    pieces = docs.select(
-        F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-        F.explode(F.split(ascii_lower(whole(F.col(text_col))), PIECE_END)).alias("piece"),
-    )
-    words = pieces.select("lang", F.array_remove(F.split("piece", WORD_END), "").alias("w")).where(F.size("w") > 0)
-    n = F.size("w")
-    shifted = [F.col("w").alias("w1")]
-    for i in range(1, longest):
-        rest = F.when(n > i, F.slice("w", F.lit(i + 1), F.greatest(n - i, F.lit(1)))).otherwise(F.array().cast("array<string>"))
-        shifted.append(rest.alias(f"w{i + 1}"))
-    out = words.select("lang", F.inline(F.arrays_zip(*shifted)))
-    return out.select("lang", "w1", *[F.coalesce(c, F.lit("")).alias(c) for c in _words(longest)[1:]])
+def _stretches(data: np.ndarray, starts: np.ndarray, step: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``step`` bytes that end with a row or behind the end of a piece."""
+    at, n = 0, len(data)
+    while at < n:
+        end = min(at + step, n)
+        if end < n:
+            ends = np.flatnonzero(_ENDS[data[at:end]])
+            best = max(int(starts[np.searchsorted(starts, end, "right") - 1]), at + int(ends[-1]) + 1 if len(ends) else 0)
+            if best <= at:  # one piece is longer than a step
+                row_end = int(starts[np.searchsorted(starts, end)])
+                ends = np.flatnonzero(_ENDS[data[end:row_end]])
+                best = end + int(ends[0]) + 1 if len(ends) else row_end
+            end = best
+        yield at, end
+        at = end
+
+
+def _keys(columns: list[np.ndarray]) -> np.ndarray:
+    """One number for each row of the columns (none negative), in the order of the rows' values."""
+    key, most = columns[0], int(columns[0].max(initial=0)) + 1
+    for column in columns[1:]:
+        base = int(column.max(initial=0)) + 1
+        if most * base >= 1 << 62:
+            key = np.unique(key, return_inverse=True)[1]
+            most = int(key.max(initial=0)) + 1
+        key, most = key * base + column, most * base
+    return key
+
+
+class _Numbered:
+    """The windows of a stretch of text: numbers of their words (0 for padding) in alphabetical order, and of their languages."""
+
+    def __init__(self, data: np.ndarray, row_starts: np.ndarray, langs: np.ndarray, longest: int):
+        ends = _ENDS[data]
+        text = np.where(ends, np.uint8(0x20), fold(data))
+        first, last, _ = word_spans(text, row_starts)
+        lengths = last - first
+        letters = np.zeros(len(text) + 1, np.int8)
+        np.add.at(letters, first, 1)
+        np.add.at(letters, last, -1)
+        solid = np.cumsum(letters[:-1], dtype=np.int8) > 0
+        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+        words = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(text[solid])).dictionary_encode()
+        order = pc.sort_indices(words.dictionary).to_numpy().astype(np.int64)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(1, len(order) + 1)
+        self.names = pa.concat_arrays([pa.array([""], pa.large_string()), words.dictionary.take(pa.array(order))])
+        number = rank[words.indices.to_numpy()] if len(first) else np.zeros(0, np.int64)
+        row = np.searchsorted(row_starts, first, "right") - 1
+        piece = np.cumsum(ends)[first] if len(first) else first
+        self.lang = langs[row] if len(first) else np.zeros(0, np.int64)
+        self.columns = [number]
+        for k in range(1, longest):
+            column = np.zeros(len(number), np.int64)
+            here = (piece[k:] == piece[:-k]) & (row[k:] == row[:-k])
+            column[:-k][here] = number[k:][here]
+            self.columns.append(column)
+
+    def counted(self, n_columns: int) -> tuple[np.ndarray, np.ndarray]:
+        """A place of each different beginning of ``n_columns`` words, in order of language and words, and their counts."""
+        key = _keys([self.lang, *self.columns[:n_columns]])
+        _, place, count = np.unique(key, return_index=True, return_counts=True)
+        return place, count
+
+    def begins_with(self, place: np.ndarray, langs: pa.Array, hot: list[tuple[str, ...]]) -> np.ndarray:
+        """Which of the windows at ``place`` have one of the beginnings ``(lang, first words)``."""
+        own = [c[place] for c in (self.lang, *self.columns[: len(hot[0]) - 1])]
+        looked_up = [pc.index_in(pa.array(x, names.type), value_set=names).fill_null(-1) for x, names in zip(zip(*hot), [langs] + [self.names] * len(hot[0]))]
+        sought = np.stack([x.to_numpy().astype(np.int64) for x in looked_up])
+        sought = sought[:, (sought >= 0).all(axis=0)]
+        key = _keys([np.concatenate(pair) for pair in zip(own, sought)])
+        return np.isin(key[: len(place)], key[len(place) :])
+
+
+def _numbered(batch: pa.RecordBatch, longest: int) -> Iterator[tuple[_Numbered, pa.Array]]:
+    """The windows of a batch of (lang, text), stretch by stretch, and the names of the languages."""
+    langs = batch.column(0).fill_null("und").dictionary_encode()
+    data, starts = buffer_of(batch.column(1))
+    number = langs.indices.to_numpy().astype(np.int64)
+    for a, b in _stretches(data, starts, _STRETCH):
+        first, last = np.searchsorted(starts, a, "right") - 1, np.searchsorted(starts, b)
+        inside = np.concatenate([[0], starts[first + 1 : last] - a, [b - a]])
+        yield _Numbered(data[a:b], inside, number[first:last], longest), langs.dictionary
+
+
+def _slim(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    ship_package(docs.sparkSession)
+    return docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+
+
+def hot_beginnings(slim: DataFrame, longest: int, least: int) -> list[tuple[str, ...]]:
+    """``(lang, first words)`` of the windows' beginnings without the last word that have one in ``HOT_SHARE`` windows or more, in ``least`` places at least.
+
+    Every beginning with twice that share is among them; there are ``HOT_SHARE`` at most.
+    """
+    words = _words(longest)[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, langs in _numbered(batch, longest):
+                place, count = part.counted(longest - 1)
+                total = int(count.sum())
+                place, count = place[count * HOT_SHARE >= total], count[count * HOT_SHARE >= total]
+                found = [langs.take(pa.array(part.lang[place])), *(part.names.take(pa.array(c[place])).cast(pa.string()) for c in part.columns[:-1])]
+                yield pa.RecordBatch.from_arrays([*found, pa.array(count)], ["lang", *words, "f"])
+                yield pa.RecordBatch.from_arrays([pa.array([None], pa.string())] * (1 + len(words)) + [pa.array([total])], ["lang", *words, "f"])
+
+    schema = ", ".join(f"{c} string" for c in ("lang", *words)) + ", f long"
+    sums = cut(slim.mapInArrow(run, schema).groupBy("lang", *words).agg(F.sum("f").alias("f")))
+    total = sums.where("lang IS NULL").agg(F.sum("f")).first()[0] or 0
+    rows = sums.where(F.col("lang").isNotNull() & (F.col("f") * HOT_SHARE >= total) & (F.col("f") >= least)).collect()
+    return [tuple(r[c] for c in ("lang", *words)) for r in rows]
+
+
+def windows(slim: DataFrame, longest: int, hot: list[tuple[str, ...]]) -> DataFrame:
+    """``lang, w1 .. wL, salt, f``: windows with their counts in a stretch of text; empty words beyond the end of a piece.
+
+    ``salt`` is 0 but for windows with a beginning in ``hot``.
+    """
+    words = _words(longest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, langs in _numbered(batch, longest):
+                place, count = part.counted(longest)
+                # the salt itself hangs on the last word, whose number differs from stretch to stretch
+                salt = part.begins_with(place, langs, hot).astype(np.int32) if hot else np.zeros(len(place), np.int32)
+                for a in range(0, len(place), _ROWS):
+                    some = place[a : a + _ROWS]
+                    columns = [part.names.take(pa.array(c[some])).cast(pa.string()) for c in part.columns]
+                    arrays = [langs.take(pa.array(part.lang[some])), *columns, pa.array(salt[a : a + _ROWS]), pa.array(count[a : a + _ROWS])]
+                    yield pa.RecordBatch.from_arrays(arrays, ["lang", *words, "salt", "f"])
+
+    schema = ", ".join(f"{c} string" for c in ("lang", *words)) + ", salt int, f long"
+    spread = F.col("salt") * (1 + F.pmod(F.hash(words[-1]), F.lit(_SALTS)))
+    return slim.mapInArrow(run, schema).withColumn("salt", spread)
 
 
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``lang, w1 .. wL, f, level`` for the phrases (empty words at the end) in at least ``least`` places, and the number of words (level 0) of each language."""
     words = _words(longest)
-    counts = windows(docs, longest, text_col, lang_col).groupBy("lang", *words).agg(F.count(F.lit(1)).alias("f"))
-    counts = counts.withColumn("stays", F.lit(False))
-    for k in range(longest, 1, -1):
-        counts = _fold(counts, words, k, least)
-    levels = counts.select("lang", *words, "f").rollup("lang", *words).agg(
-        F.sum("f").alias("f"), F.grouping_id().alias("gid"),
-    )
+    slim = _slim(docs, text_col, lang_col)
+    placed = windows(slim, longest, hot_beginnings(slim, longest, least)).repartition("lang", *words[:-1], "salt")
+    # From here to the end of the first fold all sums stay in their partition.
+    counts = placed.groupBy("lang", *words, "salt").agg(F.sum("f").alias("f")).withColumn("stays", F.lit(False))
+    counts = _fold(counts, words, longest, least, ["salt"]).withColumn("stays", F.col("stays") | (F.col("salt") > 0)).drop("salt")
+    for k in range(longest - 1, 1, -1):
+        counts = _fold(counts, words, k, least, [])
+    levels = counts.select("lang", *words, "f").rollup("lang", *words).agg(F.sum("f").alias("f"), F.grouping_id().alias("gid"))
     # A grouping id has a bit for each column that was summed over; the language itself is the highest bit.
-    out = None
     level = F.lit(longest) - F.round(F.log2(F.col("gid") + 1)).cast("int")
     out = levels.where(F.col("gid") < (1 << longest)).withColumn("level", level)
     out = out.select("lang", *[F.coalesce(w, F.lit("")).alias(w) for w in words], "f", "level")
@@ -78,19 +216,20 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, t
     return out.where(~padded & ((F.col("level") == 0) | (F.col("f") >= least)))
 
 
-def _fold(counts: DataFrame, words: list[str], k: int, least: int) -> DataFrame:
+def _fold(counts: DataFrame, words: list[str], k: int, least: int, beside: list[str]) -> DataFrame:
     """Windows of ``k`` words in fewer than ``least`` places become windows of ``k - 1`` words; those of ``k`` that stay keep their beginning.
 
     ``stays``: a longer window of this beginning has stayed, so this one must stay, too, for the sum of the beginning to be whole.
     """
-    here, last = F.col(words[k - 1]) != "", F.col(words[k - 1])
+    here = F.col(words[k - 1]) != ""
     longer = F.lit(False) if k == len(words) else F.col(words[k]) != ""
-    stays = longer | F.col("stays") | (F.col("f") >= least) | ~here
-    cut_off = F.struct(*[F.col(w) for w in words[: k - 1]], *[F.lit("").alias(w) for w in words[k - 1 :]], F.when(stays, F.lit(0)).otherwise(F.col("f")).alias("f"), (here & stays).alias("stays"))
-    whole_row = F.struct(*[F.col(w) for w in words], F.col("f"), F.col("stays"))
+    stays = longer | F.col("stays") | (F.col("f") >= least)
+    kept, tail = words[: k - 1], words[k - 1 :]
+    cut_off = F.struct(*[F.lit("").alias(w) for w in tail], F.when(stays, F.lit(0)).otherwise(F.col("f")).cast("long").alias("f"), stays.alias("stays"))
+    whole_row = F.struct(*[F.col(w) for w in tail], F.col("f"), F.col("stays"))
     rows = F.when(~here, F.array(whole_row)).when(stays, F.array(whole_row, cut_off)).otherwise(F.array(cut_off))
-    folded = counts.select("lang", F.inline(rows))
-    return folded.groupBy("lang", *words).agg(F.sum("f").alias("f"), F.max("stays").alias("stays"))
+    folded = counts.select("lang", *kept, *beside, F.inline(rows))
+    return folded.groupBy("lang", *words, *beside).agg(F.sum("f").alias("f"), F.max("stays").alias("stays"))
 
 
 def _exact_ratio(a: Column, left: Column, right: Column) -> Column:
