@@ -15,11 +15,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from . import sweep
 from .geometry import BBOX, GEOM_TYPE, box_geom
 
 # Overlaps of less than a square millimetre are rounding noise at Lambert-93 coordinates.
 AREA_EPS = 1e-6
 BOXES_PER_CHUNK = 1 << 18
+HEAVY = 1 << 14  # a row with more combinations of edges than this is swept
 
 
 class Flat:
@@ -163,6 +165,10 @@ def overlap_area_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
     for row in np.flatnonzero(ok):
         widest[row] = sizes[fb.row_ring[row]:fb.row_ring[row + 1]].max()
     rows = np.flatnonzero(ok)
+    heavy = n_edge[rows] * n_ring[rows] * widest[rows] > HEAVY
+    for row in rows[heavy]:
+        result[row] = _swept_overlap(fa.parts_of(row), fb.parts_of(row))
+    rows = rows[~heavy]
     rows = rows[np.argsort(widest[rows], kind="stable")]
     work = n_edge[rows] * n_ring[rows] * widest[rows]
     for s, e in _row_chunks(work):
@@ -194,6 +200,15 @@ def overlap_area_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
     return result
 
 
+def _swept_overlap(a: list[list[np.ndarray]], b: list[list[np.ndarray]]) -> float:
+    """Both shapes are cut to their common extent first, so that rounding goes with the size of the overlap."""
+    (ax0, ay0, ax1, ay1), (bx0, by0, bx1, by1) = sweep.Edges(a).extent(), sweep.Edges(b).extent()
+    box = max(ax0, bx0), max(ay0, by0), min(ax1, bx1), min(ay1, by1)
+    if box[0] >= box[2] or box[1] >= box[3]:
+        return 0.0
+    return sweep.overlap_area(*(sweep.Edges(clip_parts(parts, *box)).moved(*box[:2]) for parts in (a, b)))
+
+
 def clip_area_batch(geom: pa.Array, x0, y0, x1, y1) -> np.ndarray:
     """Area of each geometry inside its rectangle."""
     g = Flat(geom)
@@ -229,6 +244,10 @@ def intersects_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
     eb, _, row_eb = fb.edges()
     na, nb = np.diff(row_ea), np.diff(row_eb)
     rows = np.flatnonzero(ok)
+    heavy = na[rows] * nb[rows] > HEAVY
+    for row in rows[heavy]:
+        hit[row] = sweep.any_contact(sweep.Edges(fa.parts_of(row)), sweep.Edges(fb.parts_of(row)), _segments_meet)
+    rows = rows[~heavy]
     for s, e in _row_chunks(na[rows] * nb[rows]):
         sel = rows[s:e]
         combos = na[sel] * nb[sel]
@@ -354,7 +373,13 @@ def min_rotated_box(points: np.ndarray) -> np.ndarray:
     origin = points[0]
     hull = convex_hull(points - origin)
     edge = np.roll(hull, -1, 0) - hull
-    return _smallest_boxes(hull[None, :, 0], hull[None, :, 1], edge[None, :, 0], edge[None, :, 1])[0] + origin
+    step = max(1, BOXES_PER_CHUNK // len(hull))
+    found = [
+        _smallest_boxes(hull[None, :, 0], hull[None, :, 1], edge[None, k : k + step, 0], edge[None, k : k + step, 1])[0]
+        for k in range(0, len(hull), step)
+    ]  # a round shape has as many directions as points: in steps
+    area = [np.hypot(*(box[1] - box[0])) * np.hypot(*(box[3] - box[0])) for box in found]
+    return found[int(np.argmin(area))] + origin
 
 
 def _to_arrow(geoms: list) -> pa.Array:
@@ -445,12 +470,7 @@ def _keeps_directions(new: np.ndarray, owner: list[tuple[int, int]], unit: np.nd
 
 
 def _self_crossing(ring: np.ndarray) -> bool:
-    n = len(ring)
-    i, j = np.triu_indices(n, 2)
-    apart = ~((i == 0) & (j == n - 1))
-    i, j = i[apart], j[apart]
-    a, b, c, d = ring[i], ring[(i + 1) % n], ring[j], ring[(j + 1) % n]
-    return bool(_segments_meet(a[:, 0], a[:, 1], b[:, 0], b[:, 1], c[:, 0], c[:, 1], d[:, 0], d[:, 1]).any())
+    return sweep.ring_meets_itself(ring, _segments_meet)
 
 
 def buffer_parts(parts: list[list[np.ndarray]], distance: float) -> tuple[list, bool]:
