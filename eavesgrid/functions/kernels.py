@@ -235,13 +235,16 @@ def clip_area_batch(geom: pa.Array, x0, y0, x1, y1) -> np.ndarray:
     return result
 
 
-def intersects_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """Closed intersection per row: edges that cross or touch, or one shape inside the other."""
+def touch_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Per row whether an edge of one crosses or touches an edge of the other; rings may be open lines."""
     fa, fb = Flat(a), Flat(b)
     ok = fa.valid & fb.valid & (np.diff(fa.row_pt) > 0) & (np.diff(fb.row_pt) > 0)
+    return _touching(fa, fb, ok, fa.edges(), fb.edges())
+
+
+def _touching(fa: Flat, fb: Flat, ok: np.ndarray, edges_a, edges_b) -> np.ndarray:
     hit = np.zeros(fa.rows, dtype=bool)
-    ea, _, row_ea = fa.edges()
-    eb, _, row_eb = fb.edges()
+    (ea, _, row_ea), (eb, _, row_eb) = edges_a, edges_b
     na, nb = np.diff(row_ea), np.diff(row_eb)
     rows = np.flatnonzero(ok)
     heavy = na[rows] * nb[rows] > HEAVY
@@ -256,6 +259,25 @@ def intersects_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
         p, q = ea[row_ea[row] + within // nb[row]], eb[row_eb[row] + within % nb[row]]
         met = _segments_meet(fa.x[p], fa.y[p], fa.x[p + 1], fa.y[p + 1], fb.x[q], fb.y[q], fb.x[q + 1], fb.y[q + 1])
         hit[row[met]] = True
+    return hit
+
+
+def crossings_batch(geom: pa.Array, px: np.ndarray, py: np.ndarray) -> np.ndarray:
+    """Per row how many edges the ray from a point to the right crosses."""
+    g = Flat(geom)
+    first, _, row_edge = g.edges()
+    n = np.diff(row_edge)
+    row = np.repeat(np.arange(g.rows), n)
+    hits = _ray_crosses(px[row], py[row], g.x[first], g.y[first], g.x[first + 1], g.y[first + 1])
+    return np.bincount(row, weights=hits, minlength=g.rows).astype(np.int64)
+
+
+def intersects_batch(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Closed intersection per row: edges that cross or touch, or one shape inside the other."""
+    fa, fb = Flat(a), Flat(b)
+    ok = fa.valid & fb.valid & (np.diff(fa.row_pt) > 0) & (np.diff(fb.row_pt) > 0)
+    (ea, _, row_ea), (eb, _, row_eb) = fa.edges(), fb.edges()
+    hit = _touching(fa, fb, ok, (ea, None, row_ea), (eb, None, row_eb))
     # No boundary contact: each part lies wholly inside or outside the other shape, one vertex decides.
     for one, other, edges, row_edges in ((fa, fb, eb, row_eb), (fb, fa, ea, row_ea)):
         part_row = np.repeat(np.arange(one.rows), np.diff(one.row_part))
@@ -587,13 +609,13 @@ def clip_parts(parts: list[list[np.ndarray]], x0: float, y0: float, x1: float, y
 
 # ---------------------------------------------------------------- column builders
 
-_OVERLAP = _CLIP = _INTERSECTS = _OMBB = _BUFFER = _CUT = None
+_OVERLAP = _CLIP = _INTERSECTS = _OMBB = _BUFFER = _CUT = _TOUCH = _RAY = None
 
 
 def _udfs():
     """Built on first use, when there is a session whose workers can be given the package."""
     ship_package()
-    global _OVERLAP, _CLIP, _INTERSECTS, _OMBB, _BUFFER, _CUT
+    global _OVERLAP, _CLIP, _INTERSECTS, _OMBB, _BUFFER, _CUT, _TOUCH, _RAY
     if _OVERLAP is not None:
         return
 
@@ -629,9 +651,17 @@ def _udfs():
         rows = [clip_parts(flat.parts_of(i), *(c[i] for c in sides)) if flat.valid[i] else None for i in range(flat.rows)]
         return _to_arrow(rows)
 
+    @F.arrow_udf("boolean")
+    def touch(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array(touch_batch(a, b))
+
+    @F.arrow_udf("long")
+    def ray(g: pa.Array, px: pa.Array, py: pa.Array) -> pa.Array:
+        return pa.array(crossings_batch(g, px.to_numpy(zero_copy_only=False), py.to_numpy(zero_copy_only=False)))
+
     # Marked nondeterministic so that the optimizer evaluates each once instead of copying it into a filter as well.
-    _OVERLAP, _CLIP, _INTERSECTS, _OMBB, _BUFFER, _CUT = (
-        f.asNondeterministic() for f in (overlap, clip, intersects, ombb, buffered, cut_to)
+    _OVERLAP, _CLIP, _INTERSECTS, _OMBB, _BUFFER, _CUT, _TOUCH, _RAY = (
+        f.asNondeterministic() for f in (overlap, clip, intersects, ombb, buffered, cut_to, touch, ray)
     )
 
 
@@ -666,6 +696,18 @@ def intersects(a: str, b: str) -> Column:
     return boxes | _INTERSECTS(F.when(~boxes, _full_geom(ca)), F.when(~boxes, _full_geom(cb)))
 
 
+def edges_touch(a: str, b: str) -> Column:
+    """Whether edges of two aliased rows meet; their ``geom`` must be there, and may hold open lines."""
+    _udfs()
+    return _TOUCH(F.col(f"{a}.geom"), F.col(f"{b}.geom"))
+
+
+def ray_crossings(geom: str, px: str, py: str) -> Column:
+    """How many edges of ``geom`` the ray from a point to the right crosses."""
+    _udfs()
+    return _RAY(F.col(geom), F.col(px), F.col(py))
+
+
 def clip_area(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """Area inside a rectangle of a row having ``geom, is_box`` and the bbox columns."""
     _udfs()

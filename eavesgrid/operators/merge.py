@@ -20,7 +20,7 @@ from .skew import broadcast_if_small, salted_by, salted_pair
 from .spatial_join import (
     CELL,
     _SHAPE,
-    _cell_side,
+    cell_side,
     _equi,
     _from_own_up,
     _once,
@@ -91,7 +91,7 @@ def overlap_links(df: DataFrame, crowded: int = CROWDED_CELL) -> DataFrame:
     calm = members.join(cells, list(CELL), "left_anti")
     links = cut(links.unionByName(_sparse_links(calm, everywhere=True).distinct()))
     hot = members.join(cells, list(CELL), "left_semi")
-    side = _cell_side(F.col("level"))
+    side = cell_side(F.col("level"))
     hot = hot.select(
         "id", *_SHAPE, (F.col("cx") * side).alias("x0"), (F.col("cy") * side).alias("y0"), side.alias("side")
     )

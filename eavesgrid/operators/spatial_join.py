@@ -14,9 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import BBOX, with_bbox, with_box_flag
-from ..functions.kernels import AREA_EPS, cut_to_rectangle, intersects, overlap_area
-from ..session import cut
+from ..functions.geometry import BBOX
+from ..functions.kernels import AREA_EPS, intersects, overlap_area
+from . import divided
 from .skew import salted_pair
 
 STEP = 4.0
@@ -25,7 +25,6 @@ LARGEST = STEP**LEVEL_MAX / 2  # no box is larger than a cell of the coarsest gr
 CELL = ("level", "cx", "cy")
 HOT_CELL = 5_000
 MAX_POINTS = 512
-DEPTH = 3
 
 
 def grid_level(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
@@ -36,12 +35,12 @@ def grid_level(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column
     return F.greatest(F.least(level, F.lit(LEVEL_MAX)), F.lit(LEVEL_MIN))
 
 
-def _cell_side(level: Column) -> Column:
+def cell_side(level: Column) -> Column:
     return F.pow(F.lit(STEP), level.cast("double"))
 
 
 def _cell_index(value: Column, level: Column) -> Column:
-    return F.floor(value / _cell_side(level)).cast("long")
+    return F.floor(value / cell_side(level)).cast("long")
 
 
 def bbox_is_finite() -> Column:
@@ -125,18 +124,15 @@ def bbox_join(
     right_id: str,
     closed: bool,
     hot_cell: int = HOT_CELL,
-    left_not_finer: bool = False,
 ) -> DataFrame:
     """Pairs whose bboxes meet, as a frame of two structs aliased ``l`` and ``r``.
 
-    Both inputs carry only the columns wanted in the result plus the bbox.  ``left_not_finer`` gives only the pairs
-    whose left side is on the same or a coarser grid than the right one.
+    Both inputs carry only the columns wanted in the result plus the bbox.
     """
     lv, rv = with_level(left), with_level(right)
     l_levels, r_levels = levels_in_use(lv, rv)
     # side 0: left looks up right's own cells; side 1: right looks up strictly coarser left cells.
-    up = F.filter(F.array("own_level"), lambda v: v.isin(r_levels)) if left_not_finer else _from_own_up(r_levels)
-    l_rows = cell_rows(lv, up).withColumn("side", F.lit(0))
+    l_rows = cell_rows(lv, _from_own_up(r_levels)).withColumn("side", F.lit(0))
     r_rows = cell_rows(rv, F.array("own_level")).withColumn("side", F.lit(0))
     if any(a > b for a in l_levels for b in r_levels):
         l_rows = l_rows.unionByName(cell_rows(lv, F.array("own_level")).withColumn("side", F.lit(1)))
@@ -180,103 +176,54 @@ def spatial_join(
 ) -> DataFrame:
     """``left_id, right_id`` of the pairs that intersect (contact counts) or overlap (positive area).
 
-    The two id columns need different names.  Both tables have ``geom``, ``is_box`` and the bbox columns.  Right shapes
-    of more than ``max_points`` points (protected zones, say) are cut into pieces first, so that a candidate pair carries
-    and tests only the piece around the left shape.
+    The two id columns need different names, and ids name one row each.  Both tables have ``geom``, ``is_box`` and the bbox columns.
+    Shapes of more than ``max_points`` points, on either side, never travel or are tested whole (``divided``).
     """
     if predicate not in ("intersects", "overlaps"):
         raise ValueError(f"predicate must be intersects or overlaps, got {predicate!r}")
     if left_id == right_id:
         raise ValueError("the two id columns need different names")
     closed = predicate == "intersects"
-    lefts = left.select(left_id, *slim_shape())
-    points = F.aggregate(F.flatten("geom"), F.lit(0), lambda n, ring: n + F.size(ring))
-    heavy = ~F.col("is_box") & (points > max_points)
-    heavies = right.where(heavy).select(right_id, *BBOX, "geom")
-    if heavies.isEmpty():
-        pairs = bbox_join(lefts, right.select(right_id, *slim_shape()), left_id, right_id, closed, hot_cell)
-        return _tested(pairs, closed, left_id, right_id)
-    light = right.where(~heavy | F.col("geom").isNull()).select(right_id, *slim_shape())
-    pairs = bbox_join(lefts, light, left_id, right_id, closed, hot_cell)
-    whole = heavies.withColumn("is_box", F.lit(False))
-    large = bbox_join(lefts, whole, left_id, right_id, closed, hot_cell, left_not_finer=True)
-    pieces = piece_join(lefts, cut(subdivide(heavies, max_points)), left_id, right_id, closed, hot_cell)
-    results = [_tested(p, closed, left_id, right_id) for p in (pairs, large, pieces)]
-    return results[0].unionByName(results[1]).unionByName(results[2])
-
-
-def _tested(pairs: DataFrame, closed: bool, left_id: str, right_id: str) -> DataFrame:
+    lights, heavies = zip(*(_by_points(df, key, max_points) for df, key in ((left, left_id), (right, right_id))))
+    pairs = bbox_join(*lights, left_id, right_id, closed, hot_cell)
     test = intersects("l", "r") if closed else overlap_area("l", "r") > AREA_EPS
-    return pairs.where(test).select(F.col(f"l.{left_id}"), F.col(f"r.{right_id}"))
-
-
-# ---------------------------------------------------------------- shapes of many points
+    found = pairs.where(test).select(F.col(f"l.{left_id}"), F.col(f"r.{right_id}"))
+    if heavies[0].isEmpty() and heavies[1].isEmpty():
+        return found
+    if closed:
+        more = divided.contact_pairs(lights, heavies, left_id, right_id, hot_cell, max_points)
+    else:
+        more = divided.overlap_sums(lights, heavies, left_id, right_id, hot_cell, max_points).where(F.col("overlap") > AREA_EPS)
+    return found.unionByName(more.select(left_id, right_id))
+
+
+def _by_points(df: DataFrame, id_col: str, max_points: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with few points, slim, and those with many."""
+    points = F.aggregate(F.flatten("geom"), F.lit(0), lambda n, ring: n + F.size(ring))
+    heavy = F.coalesce(~F.col("is_box") & (points > max_points), F.lit(False))
+    return df.where(~heavy).select(id_col, *slim_shape()), df.where(heavy).select(id_col, *slim_shape())
 
 
-def subdivide(shapes: DataFrame, max_points: int = MAX_POINTS, depth: int = DEPTH) -> DataFrame:
-    """Pieces of shapes on finer and finer grids: the shape's columns, ``level, cx, cy, leaf`` and the piece's geometry.
+def self_overlap_pairs(df: DataFrame, id_col: str = "id", hot_cell: int = HOT_CELL, max_points: int = MAX_POINTS) -> DataFrame:
+    """``id_a, id_b, overlap`` with ``id_a < id_b``: every pair of rows that overlap with positive area.
 
-    The piece of a cell is the shape inside the cell grown by one cell side up and right and a margin all around.  A
-    smaller shape no larger than the cell, whose lower left corner lies in it, is strictly inside that rectangle, so
-    meeting the piece is the same as meeting the whole shape.  Pieces that still have many points are divided again;
-    the undivided ones stay for shapes too large for the finer cells.
+    Shapes of more than ``max_points`` points are divided; overlaps with these are sums of decimals, so they don't hang on the order of the parts.
     """
-    ids = [c for c in shapes.columns if c not in (*BBOX, "geom")]
-    coarse = with_level(shapes).withColumn("level", F.col("own_level") - 1)
-    side = _cell_side(F.col("level"))
-
-    def cells(lo: str, hi: str) -> Column:
-        return F.sequence(F.floor(F.col(lo) / side).cast("long") - 1, F.floor(F.col(hi) / side).cast("long"))
-
-    nodes = coarse.withColumn("cx", F.explode(cells("xmin", "xmax"))).withColumn("cy", F.explode(cells("ymin", "ymax")))
-    done = None
-    for step in range(depth):
-        x0, y0 = F.col("cx") * side, F.col("cy") * side
-        margin = side / 4
-        rect = (x0 - margin, y0 - margin, x0 + side * 2 + margin, y0 + side * 2 + margin)
-        nodes = nodes.select(*ids, "level", "cx", "cy", cut_to_rectangle("geom", *rect).alias("geom"))
-        nodes = with_box_flag(with_bbox(nodes.where(F.size("geom") > 0)))
-        points = F.aggregate(F.flatten("geom"), F.lit(0), lambda n, ring: n + F.size(ring))
-        last = step == depth - 1
-        nodes = nodes.withColumn("leaf", F.lit(True) if last else (points <= max_points))
-        nodes = nodes if last else cut(nodes)
-        done = nodes if done is None else done.unionByName(nodes)
-        if not last:
-            slots = F.sequence(F.lit(0).cast("long"), F.lit(int(STEP) - 1).cast("long"))
-            nodes = (
-                nodes.where(~F.col("leaf"))
-                .withColumn("level", F.col("level") - 1)
-                .withColumn("i", F.explode(slots))
-                .withColumn("j", F.explode(slots))
-                .withColumn("cx", F.col("cx") * int(STEP) + F.col("i"))
-                .withColumn("cy", F.col("cy") * int(STEP) + F.col("j"))
-            )
-    return done.select(*ids, "level", "cx", "cy", "leaf", *BBOX, "geom", "is_box")
-
-
-def piece_join(
-    left: DataFrame, pieces: DataFrame, left_id: str, right_id: str, closed: bool, hot_cell: int = HOT_CELL
-) -> DataFrame:
-    """Pairs of left shapes and pieces, each left shape with one piece at most of each divided shape."""
-    lv = with_level(left)
-    levels = sorted(r[0] for r in pieces.select("level").distinct().collect())  # at most DEPTH per grid in use
-    lv = lv.withColumn("level", F.explode(_from_own_up(levels)))
-    at = F.col("level")
-    l_rows = lv.withColumn("cx", _cell_index(F.col("xmin"), at)).withColumn("cy", _cell_index(F.col("ymin"), at))
-    r_rows = pieces.select(right_id, *CELL, "leaf", *BBOX, F.when(~F.col("is_box"), F.col("geom")).alias("geom"), "is_box")
-    l_rows, r_rows, keys = salted_pair(l_rows, r_rows, list(CELL), left_id, right_id, hot_cell)
-    finest = F.col("r.leaf") | (F.col("l.own_level") == F.col("l.level"))
-    return l_rows.alias("l").join(r_rows.alias("r"), _equi(keys) & finest & bbox_meets(closed))
-
-
-def self_overlap_pairs(df: DataFrame, id_col: str = "id", hot_cell: int = HOT_CELL) -> DataFrame:
-    """``id_a, id_b, overlap`` with ``id_a < id_b``: every pair of rows that overlap with positive area."""
-    pairs = self_bbox_join(df.select(id_col, *slim_shape()), id_col, hot_cell)
+    light, heavy = _by_points(df, id_col, max_points)
+    pairs = self_bbox_join(light, id_col, hot_cell)
     a, b = F.col(f"l.{id_col}"), F.col(f"r.{id_col}")
-    return (
+    found = (
         pairs.select(F.least(a, b).alias("id_a"), F.greatest(a, b).alias("id_b"), overlap_area("l", "r").alias("overlap"))
         .where(F.col("overlap") > AREA_EPS)
     )
+    if heavy.isEmpty():
+        return found
+    # Heavy with light, and heavy with heavy in one order: as a join of two tables whose ids have names of their own.
+    one, other = heavy.withColumnRenamed(id_col, "_a"), heavy.withColumnRenamed(id_col, "_b")
+    nothing = light.withColumnRenamed(id_col, "_a").limit(0)
+    sums = divided.overlap_sums((nothing, light.withColumnRenamed(id_col, "_b")), (one, other), "_a", "_b", hot_cell, max_points, in_order=True)
+    more = sums.select(F.least("_a", "_b").alias("id_a"), F.greatest("_a", "_b").alias("id_b"), "overlap").where(F.col("overlap") > AREA_EPS)
+    return found.unionByName(more)
 
 
 def footprint_raster_join(footprints: DataFrame, catalog: DataFrame, id_col: str = "id") -> DataFrame:

@@ -52,6 +52,28 @@ def layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return footprints(spark, sf_dir).drop("p_partkey")
 
 
+DENSE_POINTS = 5000  # on each side of a dense shape
+
+
+def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Large rectangles with 20,000 points on their sides, as shapes that no kernel may take whole."""
+    k = F.col("p_partkey")
+    base = table(spark, sf_dir, "part").where(k % 199 == 0).select(F.concat(F.lit("D"), k.cast("string")).alias("id"), k)
+    x0, y0 = ((k * k * 41 + k * 13) % 20011) / 8.0, ((k * k * 67 + k * 7 + 3) % 20011) / 8.0
+    w, h = (150 + k % 300).cast("double"), (100 + k % 250).cast("double")
+    steps = F.sequence(F.lit(0), F.lit(DENSE_POINTS - 1))
+
+    def side(x: Column, y: Column, dx: Column, dy: Column) -> Column:
+        return F.transform(steps, lambda i: F.struct((x + dx * i / DENSE_POINTS).alias("x"), (y + dy * i / DENSE_POINTS).alias("y")))
+
+    none = F.lit(0.0)
+    corners = (x0, y0, w, none), (x0 + w, y0, none, h), (x0 + w, y0 + h, -w, none), (x0, y0 + h, none, -h)
+    ring = F.concat(*[side(*c) for c in corners], F.array(F.struct(x0.alias("x"), y0.alias("y"))))
+    sides = {"xmin": x0, "ymin": y0, "xmax": x0 + w, "ymax": y0 + h}
+    shaped = base.withColumns(sides).withColumn("geom", F.array(F.array(ring)))
+    return shaped.select("id", *BBOX, "geom", F.lit(False).alias("is_box"))
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("s_suppkey")
     base = table(spark, sf_dir, "supplier").select("s_suppkey")

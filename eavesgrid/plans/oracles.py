@@ -30,6 +30,11 @@ DOM = """dom AS (
     SELECT commune, roof, n, row_number() OVER (PARTITION BY commune ORDER BY n DESC, roof) AS rk
     FROM (SELECT substr(batiment_groupe_id, 1, 5) AS commune, coalesce(mat_toit_txt, 'UNKNOWN') AS roof, count(*) AS n
           FROM roof GROUP BY 1, 2)) WHERE rk = 1)"""
+DENSE = """d AS (
+  SELECT id, xmin, ymin, xmax, ymax FROM f UNION ALL
+  SELECT 'D' || k, x0, y0, x0 + 150 + k % 300, y0 + 100 + k % 250
+  FROM (SELECT p_partkey AS k, CAST((p_partkey * p_partkey * 41 + p_partkey * 13) % 20011 AS DOUBLE) / 8 AS x0,
+               CAST((p_partkey * p_partkey * 67 + p_partkey * 7 + 3) % 20011 AS DOUBLE) / 8 AS y0 FROM part WHERE p_partkey % 199 = 0))"""
 R = """cells AS (
   SELECT i, unnest(range(CAST(floor(ymin / 500) AS BIGINT), CAST(floor(ymax / 500) AS BIGINT) + 1)) AS j
   FROM (SELECT ymin, ymax,
@@ -227,6 +232,13 @@ ORACLES: dict[str, str] = {
              ELSE p_partkey * CAST(0.5 AS DOUBLE) END AS new_score FROM part""",
     "footprint_raster_join": f"{CROPS} SELECT id, raster_id FROM fr",
     "self_overlap_pairs": f"WITH {F}, {OVERLAPS.format(t='f')} SELECT id_a, id_b, overlap FROM pairs",
+    "spatial_join_dense": f"""WITH {F}, {DENSE} SELECT l.id, r.id AS other, predicate FROM d l JOIN d r ON (r.id LIKE 'D%' OR r.id LIKE '%7'),
+        (VALUES ('intersects'), ('overlaps')) AS p(predicate)
+        WHERE CASE WHEN predicate = 'intersects' THEN l.xmin <= r.xmax AND r.xmin <= l.xmax AND l.ymin <= r.ymax AND r.ymin <= l.ymax
+                   ELSE l.xmin < r.xmax AND r.xmin < l.xmax AND l.ymin < r.ymax AND r.ymin < l.ymax END""",
+    "self_overlap_dense": f"""WITH {F}, {DENSE} SELECT least(a.id, b.id) AS id_a, greatest(a.id, b.id) AS id_b,
+        round((least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * (least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)), 3) AS overlap
+        FROM d a JOIN d b ON a.id < b.id AND a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax""",
     "pair_dedup": f"WITH {F}, {OVERLAPS.format(t='f')} SELECT id_a, id_b FROM pairs",
     "pending_rasters": f"WITH {F}, {R}, {LEDGER} SELECT raster_id FROM r WHERE raster_id NOT IN (SELECT raster_id FROM ledger)",
     "pending_tiles": f"WITH {BOXES} SELECT box_id, tile_name FROM grid WHERE NOT ({FETCHED})",

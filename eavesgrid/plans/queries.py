@@ -233,6 +233,28 @@ def spatial_intersects(spark, sf_dir):
 QUERIES["spatial_join"] = QUERIES.pop("spatial_intersects")
 
 
+def _with_dense(spark, sf_dir):
+    """Footprints and shapes of 20,000 points in one table."""
+    return X.layer(spark, sf_dir).select("id", *G.BBOX, "geom", "is_box").unionByName(X.dense(spark, sf_dir))
+
+
+@query
+def spatial_join_dense(spark, sf_dir):
+    """Shapes of many points on both sides; pairs that touch, and pairs that overlap."""
+    left, right = _with_dense(spark, sf_dir), _with_dense(spark, sf_dir).withColumnRenamed("id", "other")
+    right = right.where(F.col("other").startswith("D") | F.col("other").endswith("7"))
+    found = [
+        spatial_join.spatial_join(left, right, "id", "other", p).withColumn("predicate", F.lit(p)) for p in ("intersects", "overlaps")
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query
+def self_overlap_dense(spark, sf_dir):
+    pairs = spatial_join.self_overlap_pairs(_with_dense(spark, sf_dir))
+    return pairs.select("id_a", "id_b", F.round("overlap", 3).alias("overlap"))
+
+
 @query
 def flag_protected(spark, sf_dir):
     return enrich.flag_protected(X.layer(spark, sf_dir), X.zones(spark, sf_dir)).select("id", "protected")

@@ -4,6 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from eavesgrid.functions import geometry as G
+from eavesgrid.operators import divided as D
 from eavesgrid.operators import spatial_join as S
 from eavesgrid.operators.components import connected_components
 from eavesgrid.operators.skew import hot_keys, salted_pair
@@ -139,8 +141,9 @@ def test_components_of_nothing(spark):
 
 
 def star(rng, cx, cy, r, n):
-    ring = [(cx + r * rng.uniform(0.4, 1) * math.cos(2 * math.pi * i / n), cy + r * rng.uniform(0.4, 1) * math.sin(2 * math.pi * i / n)) for i in range(n)]
-    return ring
+    """A ring that doesn't cross itself: one distance for each angle."""
+    far = [r * rng.uniform(0.4, 1) for _ in range(n)]
+    return [(cx + d * math.cos(2 * math.pi * i / n), cy + d * math.sin(2 * math.pi * i / n)) for i, d in enumerate(far)]
 
 
 @pytest.mark.parametrize("predicate, hot", [("intersects", 5000), ("overlaps", 3)])
@@ -158,10 +161,44 @@ def test_divided_shapes_give_the_same_pairs(spark, predicate, hot):
     assert len(rows) == len(set(rows)) and {tuple(r) for r in rows} == whole and len(whole) > 100
 
 
-def test_divided_shape_has_small_pieces(spark):
+def test_pieces_are_small_and_keep_the_area(spark):
     rng = random.Random(4)
-    zone = layer(spark, [("z", poly(star(rng, 10, 10, 300, 2000)))])
-    pieces = S.subdivide(zone.select("id", *S.BBOX, "geom"), 100)
+    ring = star(rng, 10, 10, 300, 2000)
+    zone = layer(spark, [("z", poly(ring, star(rng, 10, 10, 40, 300)[::-1]))])
+    parts = D.pieces(zone.select("id", *S.BBOX, "geom"), "id", 100).withColumn("geom", F.coalesce("geom", G.box_geom(*[F.col(c) for c in S.BBOX])))
     points = F.aggregate(F.flatten("geom"), F.lit(0), lambda n, r: n + F.size(r))
-    leaf = pieces.where("leaf").select(points.alias("n"))
-    assert leaf.agg(F.max("n")).first()[0] < 700 and leaf.agg(F.avg("n")).first()[0] < 150
+    most, area = parts.agg(F.max(points), F.sum(G.area(F.col("geom")))).first()
+    assert most <= 100 and area == pytest.approx(zone.select(G.area(F.col("geom"))).first()[0], rel=1e-9)
+
+
+def test_edge_runs_cover_every_edge_once(spark):
+    shape = layer(spark, [("a", poly(star(random.Random(1), 0, 0, 9, 37), star(random.Random(2), 0, 0, 2, 10)))])
+    runs = [r["geom"][0][0] for r in D.edge_runs(shape, "id", 5).collect()]
+    edges = [(tuple(p), tuple(q)) for run in runs for p, q in zip(run, run[1:])]
+    rings = shape.first()["geom"][0]
+    assert sorted(edges) == sorted((tuple(p), tuple(q)) for ring in rings for p, q in zip(ring, ring[1:])) and max(map(len, runs)) == 6
+
+
+@pytest.mark.parametrize("predicate", ["intersects", "overlaps"])
+def test_shapes_divided_on_both_sides(spark, predicate):
+    """Either side, or both, with shapes above the limit of points; also inside each other, in a hole, and touching."""
+    rng = random.Random(12)
+    rows = [(f"s{i:02d}", poly(star(rng, rng.uniform(-60, 60), rng.uniform(-60, 60), rng.choice([4, 15, 40]), rng.choice([6, 50, 90])))) for i in range(40)]
+    rows += [("hole", poly(star(rng, 0, 0, 120, 80), square(-50, -50, 30))), ("in hole", poly(square(-45, -45, 10))), ("box", poly(square(-3, -3, 2)))]
+    rows += [("two", [poly(star(rng, -30, 0, 9, 60))[0], poly(star(rng, 40, 10, 9, 60))[0]]), ("none", []), ("flat", poly([(1, 1), (3, 1), (2, 1)]))]
+    left = layer(spark, rows)
+    right = left.withColumnRenamed("id", "other")
+    whole = {tuple(r) for r in S.spatial_join(left, right, "id", "other", predicate, max_points=10**6).collect()}
+    for limit in (20, 60):
+        got = [tuple(r) for r in S.spatial_join(left, right, "id", "other", predicate, 7, max_points=limit).collect()]
+        assert len(got) == len(set(got)) and set(got) == whole
+    assert len(whole) > 300
+
+
+def test_self_overlap_of_divided_shapes(spark):
+    rng = random.Random(8)
+    rows = [(f"s{i:02d}", poly(star(rng, rng.uniform(-40, 40), rng.uniform(-40, 40), rng.choice([4, 15, 40]), rng.choice([4, 50, 90])))) for i in range(30)]
+    df = layer(spark, rows)
+    whole = {(a, b): v for a, b, v in S.self_overlap_pairs(df, max_points=10**6).collect()}
+    got = [tuple(r) for r in S.self_overlap_pairs(df, max_points=30).collect()]
+    assert len(got) == len(whole) > 50 and {(a, b): pytest.approx(v, abs=1e-6) for a, b, v in got} == whole
