@@ -24,6 +24,7 @@ in memory.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, ship_package
-from .arrays import buffer_of, fold, word_spans
+from .arrays import buffer_of, fold
 
 #: What ends a piece.  Words are separated by blanks and tabs.
 PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
@@ -51,6 +52,9 @@ _ROWS = 100_000
 
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in PIECE_ENDS]] = True
+_KIND = np.where(_ENDS, np.uint8(2), np.uint8(0))  # 0 in a word, 1 between words, 2 end of a piece
+_KIND[[0x20, 0x09]] = 1
+_FOLDED = fold(np.arange(256, dtype=np.uint8))
 
 
 def _words(longest: int) -> list[str]:
@@ -87,34 +91,55 @@ def _keys(columns: list[np.ndarray]) -> np.ndarray:
 
 
 class _Numbered:
-    """The windows of a stretch of text: numbers of their words (0 for padding) in alphabetical order, and of their languages."""
-
-    def __init__(self, data: np.ndarray, row_starts: np.ndarray, langs: np.ndarray, longest: int):
-        ends = _ENDS[data]
-        text = np.where(ends, np.uint8(0x20), fold(data))
-        first, last, _ = word_spans(text, row_starts)
-        lengths = last - first
-        letters = np.zeros(len(text) + 1, np.int8)
-        np.add.at(letters, first, 1)
-        np.add.at(letters, last, -1)
-        solid = np.cumsum(letters[:-1], dtype=np.int8) > 0
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    """The windows of a stretch of text: numbers of their words (0 for padding) and of their languages.
+
+    With ``in_order`` the numbers of words are in alphabetical order.
+    """
+
+    def __init__(self, data: np.ndarray, row_starts: np.ndarray, langs: np.ndarray, longest: int, in_order: bool):
+        kind, text = _KIND[data], _FOLDED[data]
+        solid = kind == 0
+        flips = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+        heads = row_starts[1:-1]
+        heads = heads[(heads > 0) & (heads < len(data))]
+        between = np.unique(heads[solid[heads] & solid[heads - 1]])  # rows that meet inside letters
+        bounds = np.sort(np.concatenate([[0] if len(data) and solid[0] else [], flips, between, between, [len(data)] if len(data) and solid[-1] else []])).astype(np.int64)
+        first, last = bounds[0::2], bounds[1::2]
+        offsets = np.concatenate([[0], np.cumsum(last - first)]).astype(np.int64)
         words = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(text[solid])).dictionary_encode()
-        order = pc.sort_indices(words.dictionary).to_numpy().astype(np.int64)
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(1, len(order) + 1)
-        self.names = pa.concat_arrays([pa.array([""], pa.large_string()), words.dictionary.take(pa.array(order))])
-        number = rank[words.indices.to_numpy()] if len(first) else np.zeros(0, np.int64)
-        row = np.searchsorted(row_starts, first, "right") - 1
-        piece = np.cumsum(ends)[first] if len(first) else first
-        self.lang = langs[row] if len(first) else np.zeros(0, np.int64)
+        number = words.indices.to_numpy().astype(np.int64) + 1
+        names = words.dictionary
+        if in_order:
+            order = pc.sort_indices(names).to_numpy().astype(np.int64)
+            rank = np.empty(len(order) + 1, np.int64)
+            rank[order + 1] = np.arange(1, len(order) + 1)
+            number, names = rank[number], names.take(pa.array(order))
+        self.names = pa.concat_arrays([pa.array([""], pa.large_string()), names])
+        row_words = np.searchsorted(first, row_starts)
+        self.lang = np.repeat(langs, np.diff(row_words))
         self.columns = [number]
+        if len(first):
+            ended = np.zeros(len(first) + 1, np.int64)
+            ended[1:] = np.add.reduceat((kind == 2).view(np.int8), np.minimum(last, len(data) - 1)) > 0  # the end of a piece behind the word
+            ended[row_words[1:-1]] = 1
+            piece = np.cumsum(ended[:-1])
         for k in range(1, longest):
             column = np.zeros(len(number), np.int64)
-            here = (piece[k:] == piece[:-k]) & (row[k:] == row[:-k])
-            column[:-k][here] = number[k:][here]
+            if len(number) > k:
+                here = piece[k:] == piece[:-k]
+                column[:-k][here] = number[k:][here]
             self.columns.append(column)
 
+    def frequent(self, n_columns: int, share: int) -> tuple[np.ndarray, np.ndarray]:
+        """A place of each beginning of ``n_columns`` words with one in ``share`` windows or more, and their counts."""
+        total = len(self.lang)
+        some = np.arange(total)
+        for column in self.columns[:n_columns]:  # all its words are as frequent, or more
+            some = some[(np.bincount(column)[column[some]] * share) >= total]
+        _, place, count = np.unique(_keys([c[some] for c in (self.lang, *self.columns[:n_columns])]), return_index=True, return_counts=True)
+        enough = count * share >= total
+        return some[place[enough]], count[enough]
+
     def counted(self, n_columns: int) -> tuple[np.ndarray, np.ndarray]:
         """A place of each different beginning of ``n_columns`` words, in order of language and words, and their counts."""
         key = _keys([self.lang, *self.columns[:n_columns]])
@@ -131,7 +156,7 @@ class _Numbered:
         return np.isin(key[: len(place)], key[len(place) :])
 
 
-def _numbered(batch: pa.RecordBatch, longest: int) -> Iterator[tuple[_Numbered, pa.Array]]:
+def _numbered(batch: pa.RecordBatch, longest: int, in_order: bool = True) -> Iterator[tuple[_Numbered, pa.Array]]:
     """The windows of a batch of (lang, text), stretch by stretch, and the names of the languages."""
     langs = batch.column(0).fill_null("und").dictionary_encode()
     data, starts = buffer_of(batch.column(1))
@@ -139,7 +164,7 @@ def _numbered(batch: pa.RecordBatch, longest: int) -> Iterator[tuple[_Numbered,
     for a, b in _stretches(data, starts, _STRETCH):
         first, last = np.searchsorted(starts, a, "right") - 1, np.searchsorted(starts, b)
         inside = np.concatenate([[0], starts[first + 1 : last] - a, [b - a]])
-        yield _Numbered(data[a:b], inside, number[first:last], longest), langs.dictionary
+        yield _Numbered(data[a:b], inside, number[first:last], longest, in_order), langs.dictionary
 
 
 def _slim(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -156,10 +181,9 @@ def hot_beginnings(slim: DataFrame, longest: int, least: int) -> list[tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, langs in _numbered(batch, longest):
-                place, count = part.counted(longest - 1)
-                total = int(count.sum())
-                place, count = place[count * HOT_SHARE >= total], count[count * HOT_SHARE >= total]
+            for part, langs in _numbered(batch, longest, in_order=False):
+                place, count = part.frequent(longest - 1, HOT_SHARE)
+                total = len(part.lang)
                 found = [langs.take(pa.array(part.lang[place])), *(part.names.take(pa.array(c[place])).cast(pa.string()) for c in part.columns[:-1])]
                 yield pa.RecordBatch.from_arrays([*found, pa.array(count)], ["lang", *words, "f"])
                 yield pa.RecordBatch.from_arrays([pa.array([None], pa.string())] * (1 + len(words)) + [pa.array([total])], ["lang", *words, "f"])
@@ -172,39 +196,52 @@ def hot_beginnings(slim: DataFrame, longest: int, least: int) -> list[tuple[str,
 
 
 def windows(slim: DataFrame, longest: int, hot: list[tuple[str, ...]]) -> DataFrame:
-    """``lang, w1 .. wL, salt, f``: windows with their counts in a stretch of text; empty words beyond the end of a piece.
+    """``beginning, last, f``: windows with their counts in a stretch of text; empty words beyond the end of a piece.
 
-    ``salt`` is 0 but for windows with a beginning in ``hot``.
+    The beginning is one string, which makes slim rows: all words but the last, with blanks between, a tab and the language.  Those in ``hot``
+    have one more word, a salt that hangs on the last word.
     """
-    words = _words(longest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, langs in _numbered(batch, longest):
                 place, count = part.counted(longest)
-                # the salt itself hangs on the last word, whose number differs from stretch to stretch
-                salt = part.begins_with(place, langs, hot).astype(np.int32) if hot else np.zeros(len(place), np.int32)
+                salted = part.begins_with(place, langs, hot) if hot else np.zeros(len(place), bool)
+                salts = {0: " 0"}
+                for n in np.unique(part.columns[-1][place[salted]]).tolist():
+                    salts[n] = f" {zlib.crc32(part.names[n].as_buffer()) % _SALTS}"
                 for a in range(0, len(place), _ROWS):
-                    some = place[a : a + _ROWS]
-                    columns = [part.names.take(pa.array(c[some])).cast(pa.string()) for c in part.columns]
-                    arrays = [langs.take(pa.array(part.lang[some])), *columns, pa.array(salt[a : a + _ROWS]), pa.array(count[a : a + _ROWS])]
-                    yield pa.RecordBatch.from_arrays(arrays, ["lang", *words, "salt", "f"])
+                    some, extra = place[a : a + _ROWS], salted[a : a + _ROWS]
+                    words = [part.names.take(pa.array(c[some])).cast(pa.string()) for c in part.columns]
+                    tail = pa.array(np.full(len(some), "\t", object), pa.string())
+                    if extra.any():
+                        own = [salts[n] + "\t" if hit else "\t" for n, hit in zip(part.columns[-1][some].tolist(), extra.tolist())]
+                        tail = pa.array(own, pa.string())
+                    lang = langs.take(pa.array(part.lang[some])).cast(pa.string())
+                    beginning = pc.binary_join_element_wise(*words[:-1], " ") if longest > 2 else words[0]
+                    beginning = pc.binary_join_element_wise(beginning, tail, lang, "")
+                    yield pa.RecordBatch.from_arrays([beginning, words[-1], pa.array(count[a : a + _ROWS])], ["beginning", "last", "f"])
 
-    schema = ", ".join(f"{c} string" for c in ("lang", *words)) + ", salt int, f long"
-    spread = F.col("salt") * (1 + F.pmod(F.hash(words[-1]), F.lit(_SALTS)))
-    return slim.mapInArrow(run, schema).withColumn("salt", spread)
+    return slim.mapInArrow(run, "beginning string, last string, f long")
 
 
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``lang, w1 .. wL, f, level`` for the phrases (empty words at the end) in at least ``least`` places, and the number of words (level 0) of each language."""
     words = _words(longest)
     slim = _slim(docs, text_col, lang_col)
-    placed = windows(slim, longest, hot_beginnings(slim, longest, least)).repartition("lang", *words[:-1], "salt")
+    placed = windows(slim, longest, hot_beginnings(slim, longest, least)).repartition("beginning")
     # From here to the end of the first fold all sums stay in their partition.
-    counts = placed.groupBy("lang", *words, "salt").agg(F.sum("f").alias("f")).withColumn("stays", F.lit(False))
-    counts = _fold(counts, words, longest, least, ["salt"]).withColumn("stays", F.col("stays") | (F.col("salt") > 0)).drop("salt")
+    counts = placed.groupBy("beginning", "last").agg(F.sum("f").alias("f")).withColumn("stays", F.lit(False))
+    counts = _fold(counts, ["beginning", "last"], 2, least, [])
+    tab = F.instr("beginning", "\t")
+    parts = F.split(F.substring(F.col("beginning"), F.lit(1), tab - 1), " ")
+    counts = counts.select(
+        F.substring(F.col("beginning"), tab + 1, F.length("beginning")).alias("lang"),
+        *[F.get(parts, F.lit(i)).alias(w) for i, w in enumerate(words[:-1])], F.col("last").alias(words[-1]), "f",
+        (F.col("stays") | (F.size(parts) == longest)).alias("stays"),  # hot beginnings are frequent
+    )
     for k in range(longest - 1, 1, -1):
-        counts = _fold(counts, words, k, least, [])
+        counts = _fold(counts, words, k, least, ["lang"])
     levels = counts.select("lang", *words, "f").rollup("lang", *words).agg(F.sum("f").alias("f"), F.grouping_id().alias("gid"))
     # A grouping id has a bit for each column that was summed over; the language itself is the highest bit.
     level = F.lit(longest) - F.round(F.log2(F.col("gid") + 1)).cast("int")
@@ -228,8 +265,8 @@ def _fold(counts: DataFrame, words: list[str], k: int, least: int, beside: list[
     cut_off = F.struct(*[F.lit("").alias(w) for w in tail], F.when(stays, F.lit(0)).otherwise(F.col("f")).cast("long").alias("f"), stays.alias("stays"))
     whole_row = F.struct(*[F.col(w) for w in tail], F.col("f"), F.col("stays"))
     rows = F.when(~here, F.array(whole_row)).when(stays, F.array(whole_row, cut_off)).otherwise(F.array(cut_off))
-    folded = counts.select("lang", *kept, *beside, F.inline(rows))
-    return folded.groupBy("lang", *words, *beside).agg(F.sum("f").alias("f"), F.max("stays").alias("stays"))
+    folded = counts.select(*beside, *kept, F.inline(rows))
+    return folded.groupBy(*beside, *words).agg(F.sum("f").alias("f"), F.max("stays").alias("stays"))
 
 
 def _exact_ratio(a: Column, left: Column, right: Column) -> Column:
