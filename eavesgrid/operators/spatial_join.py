@@ -188,12 +188,13 @@ def spatial_join(
     pairs = bbox_join(*lights, left_id, right_id, closed, hot_cell)
     test = intersects("l", "r") if closed else overlap_area("l", "r") > AREA_EPS
     found = pairs.where(test).select(F.col(f"l.{left_id}"), F.col(f"r.{right_id}"))
-    if heavies[0].isEmpty() and heavies[1].isEmpty():
+    some = (not heavies[0].isEmpty(), not heavies[1].isEmpty())
+    if not any(some):
         return found
     if closed:
-        more = divided.contact_pairs(lights, heavies, left_id, right_id, hot_cell, max_points)
+        more = divided.contact_pairs(lights, heavies, some, left_id, right_id, hot_cell, max_points)
     else:
-        more = divided.overlap_sums(lights, heavies, left_id, right_id, hot_cell, max_points).where(F.col("overlap") > AREA_EPS)
+        more = divided.overlap_sums(lights, heavies, some, left_id, right_id, hot_cell, max_points).where(F.col("overlap") > AREA_EPS)
     return found.unionByName(more.select(left_id, right_id))
 
 
@@ -207,7 +208,7 @@ def _by_points(df: DataFrame, id_col: str, max_points: int) -> tuple[DataFrame,
 def self_overlap_pairs(df: DataFrame, id_col: str = "id", hot_cell: int = HOT_CELL, max_points: int = MAX_POINTS) -> DataFrame:
     """``id_a, id_b, overlap`` with ``id_a < id_b``: every pair of rows that overlap with positive area.
 
-    Shapes of more than ``max_points`` points are divided; overlaps with these are sums of decimals, so they don't hang on the order of the parts.
+    Ids name one row each.  Shapes of more than ``max_points`` points are divided; overlaps with these are sums of decimals, so they don't hang on the order of the parts.
     """
     light, heavy = _by_points(df, id_col, max_points)
     pairs = self_bbox_join(light, id_col, hot_cell)
@@ -219,9 +220,10 @@ def self_overlap_pairs(df: DataFrame, id_col: str = "id", hot_cell: int = HOT_CE
     if heavy.isEmpty():
         return found
     # Heavy with light, and heavy with heavy in one order: as a join of two tables whose ids have names of their own.
-    one, other = heavy.withColumnRenamed(id_col, "_a"), heavy.withColumnRenamed(id_col, "_b")
-    nothing = light.withColumnRenamed(id_col, "_a").limit(0)
-    sums = divided.overlap_sums((nothing, light.withColumnRenamed(id_col, "_b")), (one, other), "_a", "_b", hot_cell, max_points, in_order=True)
+    a_side, b_side = ([frame.withColumnRenamed(id_col, name) for frame in (light, heavy)] for name in ("_a", "_b"))
+    sums = divided.overlap_sums(
+        (None, b_side[0]), (a_side[1], b_side[1]), (True, True), "_a", "_b", hot_cell, max_points, in_order=True
+    )
     more = sums.select(F.least("_a", "_b").alias("id_a"), F.greatest("_a", "_b").alias("id_b"), "overlap").where(F.col("overlap") > AREA_EPS)
     return found.unionByName(more)
 
