@@ -38,7 +38,8 @@ def empty(spark):
 @pytest.fixture(scope="session")
 def corpus(spark):
     """200 documents of the given tables, enough for brute force."""
-    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet").cache()
+    read = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    return spark.createDataFrame([tuple(r) for r in read.collect()], read.schema)  # a cached read would stand in for every later plan on that file
 
 
 @pytest.fixture
@@ -46,5 +47,5 @@ def clashing(odd):
     """The odd rows with columns named like those the operators make or use inside."""
     from pyspark.sql import functions as F
 
-    names = ["id", "n", "key", "size", "score", "kept", "spans", "uid", "a", "b", "host", "t", "w", "n_lines", "target", "name", "at", "length"]
+    names = ["__id", "__text", "__digest", "__hash", "__source", "__n", "__row", "__score", "doc", "text_hash", "term", "tf", "beginning", "last", "f", "item", "rank", "blocks", "found", "labels", "id", "n", "key", "size", "score", "kept", "spans", "uid", "a", "b", "host", "t", "w", "n_lines", "target", "name", "at", "length"]
     return odd.withColumns({n: F.lit(f"own {n}") for n in names})

@@ -27,7 +27,7 @@ def test_against_sql(spark, name):
 
 def test_registered():
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES}
-    assert numbers == set(range(1, 11)) and len(QUERIES) == 10
+    assert numbers == set(range(1, 14)) and len(QUERIES) == 13
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
