@@ -2,6 +2,10 @@
 
 Each stage is a function of (spark, docs, sf_dir).  All but the last return the columns of ``documents``; between stages the
 documents are written as Parquet and read again, so no stage runs twice and a lost executor costs at most one stage's tasks.
+
+Defined results: null and empty texts are no evidence of toxicity and stay there, are one group of exact copies, are linked with nothing, have no
+words to mix (so the mixture takes none), and would be packed as one end token.  Rows equal in all columns are copies like any others; of rows with
+equal id and text one stays.  Very long texts pass whole.  Extra columns travel along unchanged, whatever their names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eavesgrid.llm import exact_dedup, mixing, ngram_join, packing, toxicity
+from eavesgrid.llm.common import fresh
 from eavesgrid.llm.queries import tokenizer_path
 from eavesgrid.session import scratch_path
 
@@ -22,8 +27,9 @@ REMEMBERED_WORDS = 50_000  # fewer than by default: the workers serve the other
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the Kneser-Ney models, trained on the labels of the corpus, don't call toxic."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_documents(docs, model, score_col="__score")
-    return scored.where(F.col("__score") < THRESHOLD).select(*docs.columns)
+    score = fresh("__score", docs)
+    scored = toxicity.score_documents(docs, model, score_col=score)
+    return scored.where(F.col(score) < THRESHOLD).drop(score)
 
 
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

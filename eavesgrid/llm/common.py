@@ -48,6 +48,18 @@ def join_keyed(left: DataFrame, right: DataFrame, keys: list[str], how: str = "l
     return left.join(renamed, on, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def one_column(docs: DataFrame) -> Column:
+    """All columns of a table as one, ``row``: whatever their names are, they can't meet those made beside it."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def fresh(name: str, docs: DataFrame) -> str:
+    """``name``, made longer until no column has it."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
 def keep_rows(docs: DataFrame, winners: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of ``docs`` named by ``winners``, with all their columns.
 
@@ -55,8 +67,8 @@ def keep_rows(docs: DataFrame, winners: DataFrame, id_col: str, text_col: str) -
     several, one of them stays.
     """
     right = winners.select(F.col("id").alias("__id"), F.col("text").alias("__text"), F.col("n").alias("__n"))
-    keyed = docs.withColumns({"__id": F.col(id_col), "__text": F.xxhash64(whole(F.col(text_col)))})
+    keyed = docs.select(one_column(docs), F.col(id_col).alias("__id"), F.xxhash64(whole(F.col(text_col))).alias("__text"))
     joined = join_keyed(keyed, right, ["__id", "__text"], "inner")
     single = joined.where(F.col("__n") == 1)
     repeated = joined.where(F.col("__n") > 1).dropDuplicates(["__id", "__text"])
-    return single.unionByName(repeated).select(*docs.columns)
+    return single.unionByName(repeated).select("row.*")

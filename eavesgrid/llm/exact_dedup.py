@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .common import ascii_lower, join_keyed, whole
+from .common import ascii_lower, join_keyed, one_column, whole
 
 SUPPORT = 0.001
 
@@ -51,8 +51,9 @@ def drop_exact_copies(
     # Rows equal in id and text count as often as they occur; such an id is settled below.
     winners = groups.where(F.col(id_col).eqNullSafe(F.col("keep_id")))
     winners = winners.groupBy(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__digest")).agg(F.count(F.lit(1)).alias("__n"))
-    keyed = docs.withColumn("__id", F.col(id_col)).withColumn("__digest", F.sha2(ascii_lower(whole(F.col(text_col))), 256))
+    digest = F.sha2(ascii_lower(whole(F.col(text_col))), 256)
+    keyed = docs.select(one_column(docs), F.col(id_col).alias("__id"), digest.alias("__digest"))
     joined = join_keyed(keyed, winners, ["__id", "__digest"], "inner")
     single = joined.where(F.col("__n") == 1)
     repeated = joined.where(F.col("__n") > 1).dropDuplicates(["__id", "__digest"])
-    return single.unionByName(repeated).select(*docs.columns)
+    return single.unionByName(repeated).select("row.*")

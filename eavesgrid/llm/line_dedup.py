@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import cut, ship_package
 from .arrays import buffer_of, fold, line_spans, slices, span_hashes
-from .common import join_keyed, whole
+from .common import join_keyed, one_column, whole
 
 LIMIT = 10  # documents in which a line may not be found
 ORDER = ["a", "b", "id", "text", "pos"]
@@ -201,20 +202,14 @@ def kept_lines(text: str, keep: bytes | None) -> tuple[str, int, int]:
     return "\n".join(left), len(lines), len(lines) - len(left)
 
 
-def _applied(text_col: str, with_text: bool):
+def _applied(made: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                kept_lines(t or "", k) for t, k in zip(batch.column(text_col).to_pylist(), batch.column("__keep").to_pylist(), strict=True)
-            ]
-            columns = {c: batch.column(c) for c in batch.schema.names if c not in (text_col, "__keep")}
-            if with_text:
-                columns[text_col] = pa.array([x[0] for x in found], pa.string())
-            else:
-                columns["kept_sha256"] = pa.array([hashlib.sha256(x[0].encode()).hexdigest() for x in found], pa.string())
-            columns["n_lines"] = pa.array([x[1] for x in found], pa.int64())
-            columns["n_dropped"] = pa.array([x[2] for x in found], pa.int64())
-            yield pa.RecordBatch.from_pydict(columns)
+            texts, keeps = batch.column("text").to_pylist(), batch.column("keep").to_pylist()
+            found = [kept_lines(t or "", k) for t, k in zip(texts, keeps, strict=True)]
+            out = [x[0] if made == "kept" else hashlib.sha256(x[0].encode()).hexdigest() for x in found]
+            columns = [batch.column("row"), pa.array(out, pa.string()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", made, "n_lines", "n_dropped"])
 
     return run
 
@@ -225,11 +220,14 @@ def apply_bitmaps(
     """``docs`` with its texts cut to the lines to keep, ``n_lines`` and ``n_dropped``; instead of the text
     ``kept_sha256`` if ``with_text`` is false.  All other columns stay, but for those with the new names."""
     ship_package(docs.sparkSession)
-    new = ["n_lines", "n_dropped", "kept_sha256"]
-    docs = docs.select(*[c for c in docs.columns if c not in new or c in (id_col, text_col)])
-    keyed = docs.withColumn("__text", F.xxhash64(whole(F.col(text_col)))).withColumn("__id", F.col(id_col))
-    right = bitmaps.select(F.col("id").alias("__id"), F.col("text").alias("__text"), F.col("keep").alias("__keep"))
-    joined = join_keyed(keyed, right.hint("shuffle_hash"), ["__id", "__text"]).drop("__id", "__text")
-    rest = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text_col]
-    made = f"`{text_col}` string" if with_text else "kept_sha256 string"
-    return joined.mapInArrow(_applied(text_col, with_text), ", ".join([*rest, made, "n_lines long", "n_dropped long"]))
+    new = ["n_lines", "n_dropped"] if with_text else ["n_lines", "n_dropped", "kept_sha256"]
+    rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text_col and (c not in new or c == id_col)])
+    text = F.col(text_col)
+    keyed = docs.select(one_column(rest), text.cast("string").alias("text"), F.xxhash64(whole(text)).alias("__text"), F.col(id_col).alias("__id"))
+    right = bitmaps.select(F.col("id").alias("__id"), F.col("text").alias("__text"), "keep")
+    joined = join_keyed(keyed, right.hint("shuffle_hash"), ["__id", "__text"]).select("row", "text", "keep")
+    made = "kept" if with_text else "kept_sha256"
+    schema = StructType([joined.schema["row"], StructField(made, StringType()), StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
+    out = joined.mapInArrow(_applied(made), schema)
+    own = [F.col(f"row.`{c}`") for c in rest.columns]
+    return out.select(*own, F.col(made).alias(text_col if with_text else made), "n_lines", "n_dropped")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .common import join_keyed, whole, words_of
+from .common import join_keyed, one_column, whole, words_of
 
 WEIGHTS = (3, 1, 2)
 BUDGET_PERCENT = 150
@@ -132,9 +132,10 @@ def mixed_documents(
         F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.col("text_hash").alias("__hash")
     ).agg(F.count(F.lit(1)).alias("__rows"), F.sum(F.try_divide("taken", "size")).cast("int").alias("__times"))
     plan = plan.where(F.col("__times") > 0)
-    keyed = docs.withColumns({"__id": F.col(id_col), "__source": F.col(source_col), "__hash": F.xxhash64(whole(F.col(text_col)))})
+    text_hash = F.xxhash64(whole(F.col(text_col)))
+    keyed = docs.select(one_column(docs), F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), text_hash.alias("__hash"))
     joined = join_keyed(keyed, plan, keys, "inner")
     single = joined.where(F.col("__rows") == 1)
     repeated = joined.where(F.col("__rows") > 1).dropDuplicates(keys)  # the copies of a row are taken together
     out = single.unionByName(repeated)
-    return out.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    return out.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times")))).select("row.*")

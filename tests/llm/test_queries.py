@@ -12,6 +12,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from eavesgrid.llm import line_dedup
 from eavesgrid.llm.queries import ORACLES, QUERIES
 from oracle_check import check, duck
 from test_joins_and_packing import UPPER, check_pieces, plain_groups, tokenizer  # noqa: F401
@@ -71,14 +72,26 @@ def test_run_against_plain_stages(spark, tokenizer, monkeypatch):  # noqa: F811
     check_pieces(pieces, [(i, text[i]) for i, size, n in taken if n for _ in range(n // size)], tokenizer)
 
 
-@pytest.mark.parametrize("frame", ["odd", "empty"])
+@pytest.mark.parametrize("frame", ["odd", "clashing", "empty"])
 def test_stages_take_odd_documents(spark, frame, request):
     docs = request.getfixturevalue(frame)
-    for _, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, SMALL)
+    own = [c for c in docs.columns if docs.count() and docs.first()[c] == f"own {c}"]
+    assert len(own) > 10 or frame != "clashing"
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stage(spark, docs, SMALL)
+        if name != "packing":
+            assert docs.columns == before.columns
+            rows = docs.collect()
+            assert {r[c] for r in rows for c in own} <= {f"own {c}" for c in own} and all(r[c] == f"own {c}" for r in rows for c in own)
     assert docs.count() >= 0
 
 
+def test_bitmaps_leave_other_columns_alone(clashing):
+    out = line_dedup.apply_bitmaps(clashing, line_dedup.keep_bitmaps(clashing, limit=2)).collect()
+    own = [c for c in clashing.columns if clashing.first()[c] == f"own {c}" and c != "n_lines"]
+    assert len(out) == clashing.count() and all(r[c] == f"own {c}" for r in out for c in own)
+
+
 def test_entry_without_the_corpus_package(tmp_path):
     """The other queries stand without this package and the pipeline."""
     for name in os.listdir(ROOT):
