@@ -5,7 +5,7 @@ columns of following words (the words of the piece shifted by one, two, ...) and
 occurrence of a phrase of any length is the beginning of exactly one window, and Spark's ROLLUP over (language, first word, second word, ...) gives the
 frequency of all phrases and the number of words from the counts of the longest windows; no second n-gram explosion.
 
-Windows are numbered and counted in Arrow tasks over stretches of a few MB, which end with a piece, and leave them sorted (so they compress);
+Windows are numbered and counted in Arrow tasks over stretches of 28 MB, which end with a piece, and leave them sorted (so they compress);
 each becomes one row with its count.  These rows are shuffled once, by the window without its last word.  Before the ROLLUP, what can no
 longer matter is folded level by level, from the last word on: a window in fewer places than ``least`` gives its count to the
 window with its last word padded.  A phrase that reaches ``least`` keeps its full sum, since it adds what was folded into it and what stayed
@@ -47,7 +47,7 @@ MILLION = 1_000_000
 HOT_SHARE = 200
 _SALTS = 64
 _SLICES = 64
-_STRETCH = 8 << 20
+_STRETCH = 28 << 20
 _ROWS = 100_000
 
 _ENDS = np.zeros(256, bool)
@@ -80,13 +80,15 @@ def _stretches(data: np.ndarray, starts: np.ndarray, step: int) -> Iterator[tupl
 
 def _keys(columns: list[np.ndarray]) -> np.ndarray:
     """One number for each row of the columns (none negative), in the order of the rows' values."""
-    key, most = columns[0], int(columns[0].max(initial=0)) + 1
+    key, most = columns[0].astype(np.int64), int(columns[0].max(initial=0)) + 1
     for column in columns[1:]:
         base = int(column.max(initial=0)) + 1
         if most * base >= 1 << 62:
             key = np.unique(key, return_inverse=True)[1]
             most = int(key.max(initial=0)) + 1
-        key, most = key * base + column, most * base
+        key *= base
+        key += column
+        most *= base
     return key
 
 
@@ -103,28 +105,31 @@ class _Numbered:
         heads = row_starts[1:-1]
         heads = heads[(heads > 0) & (heads < len(data))]
         between = np.unique(heads[solid[heads] & solid[heads - 1]])  # rows that meet inside letters
-        bounds = np.sort(np.concatenate([[0] if len(data) and solid[0] else [], flips, between, between, [len(data)] if len(data) and solid[-1] else []])).astype(np.int64)
+        bounds = np.concatenate([[0] if len(data) and solid[0] else [], flips, between, between, [len(data)] if len(data) and solid[-1] else []]).astype(np.int32)
+        bounds.sort()
         first, last = bounds[0::2], bounds[1::2]
-        offsets = np.concatenate([[0], np.cumsum(last - first)]).astype(np.int64)
-        words = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(text[solid])).dictionary_encode()
-        number = words.indices.to_numpy().astype(np.int64) + 1
-        names = words.dictionary
+        offsets = np.zeros(len(first) + 1, np.int32)
+        np.cumsum(last - first, out=offsets[1:])
+        words = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(text[solid])).dictionary_encode()
+        del text, solid, flips, offsets
+        number, names = words.indices.to_numpy() + np.int32(1), words.dictionary
+        del words
         if in_order:
             order = pc.sort_indices(names).to_numpy().astype(np.int64)
-            rank = np.empty(len(order) + 1, np.int64)
+            rank = np.zeros(len(order) + 1, np.int32)
             rank[order + 1] = np.arange(1, len(order) + 1)
             number, names = rank[number], names.take(pa.array(order))
-        self.names = pa.concat_arrays([pa.array([""], pa.large_string()), names])
+        self.names = pa.concat_arrays([pa.array([""], names.type), names])
         row_words = np.searchsorted(first, row_starts)
         self.lang = np.repeat(langs, np.diff(row_words))
         self.columns = [number]
         if len(first):
-            ended = np.zeros(len(first) + 1, np.int64)
+            ended = np.zeros(len(first) + 1, np.int32)
             ended[1:] = np.add.reduceat((kind == 2).view(np.int8), np.minimum(last, len(data) - 1)) > 0  # the end of a piece behind the word
             ended[row_words[1:-1]] = 1
-            piece = np.cumsum(ended[:-1])
+            piece = np.cumsum(ended[:-1], dtype=np.int32)
         for k in range(1, longest):
-            column = np.zeros(len(number), np.int64)
+            column = np.zeros(len(number), np.int32)
             if len(number) > k:
                 here = piece[k:] == piece[:-k]
                 column[:-k][here] = number[k:][here]
@@ -143,8 +148,10 @@ class _Numbered:
     def counted(self, n_columns: int) -> tuple[np.ndarray, np.ndarray]:
         """A place of each different beginning of ``n_columns`` words, in order of language and words, and their counts."""
         key = _keys([self.lang, *self.columns[:n_columns]])
-        _, place, count = np.unique(key, return_index=True, return_counts=True)
-        return place, count
+        place = np.argsort(key, kind="stable")
+        key = key[place]
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        return place[heads], np.diff(np.append(heads, len(key)))
 
     def begins_with(self, place: np.ndarray, langs: pa.Array, hot: list[tuple[str, ...]]) -> np.ndarray:
         """Which of the windows at ``place`` have one of the beginnings ``(lang, first words)``."""
@@ -160,7 +167,7 @@ def _numbered(batch: pa.RecordBatch, longest: int, in_order: bool = True) -> Ite
     """The windows of a batch of (lang, text), stretch by stretch, and the names of the languages."""
     langs = batch.column(0).fill_null("und").dictionary_encode()
     data, starts = buffer_of(batch.column(1))
-    number = langs.indices.to_numpy().astype(np.int64)
+    number = langs.indices.to_numpy()
     for a, b in _stretches(data, starts, _STRETCH):
         first, last = np.searchsorted(starts, a, "right") - 1, np.searchsorted(starts, b)
         inside = np.concatenate([[0], starts[first + 1 : last] - a, [b - a]])
