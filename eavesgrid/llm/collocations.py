@@ -48,6 +48,7 @@ HOT_SHARE = 200
 _SALTS = 64
 _SLICES = 64
 _STRETCH = 28 << 20
+_STEP = 2 << 20
 _ROWS = 100_000
 
 _ENDS = np.zeros(256, bool)
@@ -92,6 +93,22 @@ def _keys(columns: list[np.ndarray]) -> np.ndarray:
     return key
 
 
+def _spans(data: np.ndarray, row_starts: np.ndarray, a: int, b: int) -> tuple[np.ndarray, ...]:
+    """Of the words in ``data[a:b]``: their starts and lengths, whether a piece ends behind each, and all their letters."""
+    kind = _KIND[data[a:b]]
+    solid = kind == 0
+    flips = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+    heads = row_starts[np.searchsorted(row_starts, a, "right") : np.searchsorted(row_starts, b)] - a
+    between = np.unique(heads[solid[heads] & solid[heads - 1]])  # rows that meet inside letters
+    bounds = np.concatenate([[0] if solid[0] else [], flips, between, between, [b - a] if solid[-1] else []]).astype(np.int32)
+    bounds.sort()
+    first, last = bounds[0::2], bounds[1::2]
+    ended = np.zeros(0, bool)
+    if len(first):
+        ended = np.add.reduceat((kind == 2).view(np.int8), np.minimum(last, b - a - 1)) > 0
+    return first + np.int32(a), last - first, ended, _FOLDED[data[a:b][solid]]
+
+
 class _Numbered:
     """The windows of a stretch of text: numbers of their words (0 for padding) and of their languages.
 
@@ -99,19 +116,13 @@ class _Numbered:
     """
 
     def __init__(self, data: np.ndarray, row_starts: np.ndarray, langs: np.ndarray, longest: int, in_order: bool):
-        kind, text = _KIND[data], _FOLDED[data]
-        solid = kind == 0
-        flips = np.flatnonzero(solid[1:] != solid[:-1]) + 1
-        heads = row_starts[1:-1]
-        heads = heads[(heads > 0) & (heads < len(data))]
-        between = np.unique(heads[solid[heads] & solid[heads - 1]])  # rows that meet inside letters
-        bounds = np.concatenate([[0] if len(data) and solid[0] else [], flips, between, between, [len(data)] if len(data) and solid[-1] else []]).astype(np.int32)
-        bounds.sort()
-        first, last = bounds[0::2], bounds[1::2]
+        parts = [_spans(data, row_starts, a, b) for a, b in _stretches(data, row_starts, _STEP)]
+        first, lengths, ended, letters = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, t) for t in (np.int32, np.int32, bool, np.uint8))
+        del parts
         offsets = np.zeros(len(first) + 1, np.int32)
-        np.cumsum(last - first, out=offsets[1:])
-        words = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(text[solid])).dictionary_encode()
-        del text, solid, flips, offsets
+        np.cumsum(lengths, out=offsets[1:])
+        words = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
+        del lengths, letters, offsets
         number, names = words.indices.to_numpy() + np.int32(1), words.dictionary
         del words
         if in_order:
@@ -124,10 +135,9 @@ class _Numbered:
         self.lang = np.repeat(langs, np.diff(row_words))
         self.columns = [number]
         if len(first):
-            ended = np.zeros(len(first) + 1, np.int32)
-            ended[1:] = np.add.reduceat((kind == 2).view(np.int8), np.minimum(last, len(data) - 1)) > 0  # the end of a piece behind the word
-            ended[row_words[1:-1]] = 1
-            piece = np.cumsum(ended[:-1], dtype=np.int32)
+            starts_piece = np.concatenate([[False], ended])
+            starts_piece[row_words[1:-1]] = True
+            piece = np.cumsum(starts_piece[:-1], dtype=np.int32)
         for k in range(1, longest):
             column = np.zeros(len(number), np.int32)
             if len(number) > k:
@@ -150,6 +160,7 @@ class _Numbered:
         key = _keys([self.lang, *self.columns[:n_columns]])
         place = np.argsort(key, kind="stable")
         key = key[place]
+        place = place.astype(np.int32)
         heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         return place[heads], np.diff(np.append(heads, len(key)))
 
@@ -228,6 +239,8 @@ def windows(slim: DataFrame, longest: int, hot: list[tuple[str, ...]]) -> DataFr
                     beginning = pc.binary_join_element_wise(*words[:-1], " ") if longest > 2 else words[0]
                     beginning = pc.binary_join_element_wise(beginning, tail, lang, "")
                     yield pa.RecordBatch.from_arrays([beginning, words[-1], pa.array(count[a : a + _ROWS])], ["beginning", "last", "f"])
+                del part, place, count, salted
+                pa.default_memory_pool().release_unused()  # a worker serves other operators, too
 
     return slim.mapInArrow(run, "beginning string, last string, f long")
 
