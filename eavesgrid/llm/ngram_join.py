@@ -6,10 +6,11 @@ order (hash order, tokens that a sample shows to be frequent last), so an index
 *Block skipping by position.*  Each index list is divided into blocks of sizes.  From the position of a token in a set follows the
 largest set it can still link with; blocks beyond are never met, since the join is on (token, block).
 
-*Answers from similar sets.*  In each block one leader is compared with all others.  A set that links with its leader takes over the
-leader's class, so pairs inside a class are never made, however large it is.  For the other pairs the leader's answers bound the
-overlap: ``|x & y| <= |x - leader| + |leader & y|``.  Leaders change until few pairs between classes are left, and those are all made
-and tested.  So no link between classes is lost, and a pile of near copies costs one pair each.
+*Answers from similar sets.*  In each block one leader is chosen, first the set that meets the most others: of many copies, the original.  Each
+set is compared with one of its leaders.  A set that links with its leader takes over the leader's class, so pairs inside a class are
+never made, however large it is.  Leaders change as long as one in 20 of their pairs is a link and many pairs between classes are left.  Then the
+pairs between classes are all made, and the leaders' answers bound their overlap: ``|x & y| <= |x - leader| + |leader & y|``.  So no link between
+classes is lost, and a pile of near copies costs one pair each.
 
 Tests are graded: the bound from the leader, then parity sketches of ``n / 4`` bytes (the number of differing bits never
 exceeds the symmetric difference), then the exact overlap.  Only sets that pass are built again from their texts.
@@ -40,8 +41,10 @@ SAMPLE = 16  # one text of so many is looked at for frequent shingles
 HOT_IN_SAMPLE = 4
 MOST_HOT = 200_000
 BROADCAST_ROWS = 500_000
-PAIRS_PER_ROW = 4  # with more pairs than that left between classes, new leaders are tried first
-MOST_ROUNDS = 6
+PAIRS_PER_ROW = 4  # with more pairs than that left between classes, new leaders are tried first,
+LINKS_IN_PAIRS = 20  # as long as one in so many of their pairs is a link
+FEW_ROWS = 100_000  # pairs and links up to so many rows (of 40 bytes or less) are broadcast, or worked on by one task without a shuffle
+SKETCH_BYTES = 32 << 20  # leaders' sketches are broadcast up to this size
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -133,6 +136,11 @@ def _needed_overlap(n_a: Column, n_b: Column, percent: int) -> Column:
     return F.ceil(percent * (n_a + n_b) / F.lit(100.0 + percent) - 1e-6)
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """``rows``, to be broadcast if a count shows that they are few."""
+    return F.broadcast(rows) if rows.count() <= FEW_ROWS else rows
+
+
 class _Join:
     def __init__(self, docs: DataFrame, size: int, percent: int):
         self.docs, self.size, self.percent = docs, size, percent
@@ -142,11 +150,14 @@ class _Join:
         classes = wide.where(F.size("prefix") > 0).select("uid", "n", "prefix", "sketch")
         self.classes = cut(classes.join(self.reps.select(F.col("rep").alias("uid")), "uid", "left_semi"))
         rows = self.classes.select("uid", "n", F.posexplode("prefix").alias("pos", "token"))
-        shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+        shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         # Sizes of linked sets differ by the factor percent / 100 at most, hence by one block.
         width = -math.log(percent / 100 - 0.01)
         block = F.floor(F.log(F.col("n")) / width).cast("int")
-        self.index = cut(rows.join(shared, "token", "left_semi").withColumn("block", block))
+        rows = cut(rows.join(shared, "token").withColumn("block", block))
+        # How many rows a set meets in all its lists: the original of many copies has none of their changes, and meets the most.
+        middle = rows.groupBy("uid").agg(F.sum("c").alias("rank"))
+        self.index = cut(rows.drop("c").join(middle, "uid"))
         self.sketches = self.classes.select("uid", "sketch")
         del wide, classes, rows, shared
         release(docs.sparkSession)
@@ -176,16 +187,21 @@ class _Join:
         return rows.withColumn("at", F.explode(blocks))
 
     def leader_pairs(self, rows: DataFrame, turn: int) -> DataFrame:
-        """``a, b``: the leader of each block with all sets of other classes that can link with it."""
+        """``a, b``: each set with one leader of its blocks, of another class, that it can link with.
+
+        Leaders of a block are the sets that meet the most others, in later turns any; of its leaders a set takes the first.
+        """
         rows = self._reach(rows)
-        first = F.min(F.struct(F.xxhash64("uid", F.lit(turn)).alias("h"), "uid", "n", "pos", "root")).alias("l")
+        place = -F.col("rank") if turn == 0 else F.lit(0).cast("long")
+        first = F.min(F.struct(place.alias("place"), F.xxhash64("uid", F.lit(turn)).alias("h"), "uid", "n", "pos", "root")).alias("l")
         leaders = rows.groupBy("token", "at").agg(first).select("token", "at", "l.*")
         pairs = rows.alias("x").join(
             leaders.alias("l"),
             (F.col("x.token") == F.col("l.token")) & (F.col("x.at") == F.col("l.at")) & (F.col("x.root") != F.col("l.root"))
             & self._can_link("x", "l"),
         )
-        return pairs.select(F.col("l.uid").alias("a"), F.col("x.uid").alias("b"), F.col("l.n").alias("n_a"), F.col("x.n").alias("n_b")).distinct()
+        one = F.min(F.struct("l.place", "l.h", F.col("l.uid").alias("a"), F.col("l.n").alias("n_a"))).alias("one")
+        return pairs.groupBy(F.col("x.uid").alias("b"), F.col("x.n").alias("n_b")).agg(one).select("one.a", "b", "one.n_a", "n_b")
 
     def all_pairs(self, rows: DataFrame) -> DataFrame:
         """``a, b``: all pairs of different classes that can link."""
@@ -209,8 +225,12 @@ class _Join:
                 kept = [batch.column(c) for c in ("a", "b", "n_a", "n_b")]
                 yield pa.RecordBatch.from_arrays([*kept, most], names=["a", "b", "n_a", "n_b", "most"])
 
-        both = pairs.join(self.sketches.select(F.col("uid").alias("b"), F.col("sketch").alias("s_b")), "b")
-        both = both.join(self.sketches.select(F.col("uid").alias("a"), F.col("sketch").alias("s_a")), "a")
+        pairs = _few(cut(pairs))
+        firsts = cut(self.sketches.join(_few(cut(pairs.select(F.col("a").alias("uid")).distinct())), "uid"))
+        n_bytes = firsts.agg(F.sum(F.length("sketch") + 16)).first()[0] or 0
+        firsts = F.broadcast(firsts) if n_bytes <= SKETCH_BYTES else firsts
+        both = self.sketches.select(F.col("uid").alias("b"), F.col("sketch").alias("s_b")).join(pairs, "b")
+        both = both.join(firsts.select(F.col("uid").alias("a"), F.col("sketch").alias("s_a")), "a")
         return both.mapInArrow(run, "a long, b long, n_a int, n_b int, most int")
 
     def tested(self, pairs: DataFrame) -> DataFrame:
@@ -243,7 +263,8 @@ class _Join:
     def _bounded(self, pairs: DataFrame, answers: DataFrame, links: DataFrame) -> DataFrame:
         """``pairs`` without those that the answers of a leader of ``b`` rule out."""
         own = links.groupBy(F.col("b").alias("x")).agg(F.max_by(F.struct("a", "overlap"), "overlap").alias("own"))
-        known = answers.select(F.col("a").alias("leader"), F.col("b").alias("other"), "most")
+        known = _few(cut(answers.groupBy(F.col("a").alias("leader"), F.col("b").alias("other")).agg(F.min("most").alias("most"))))
+        own = _few(cut(own))
         out = pairs
         for x, y in (("a", "b"), ("b", "a")):
             out = out.join(own.withColumnRenamed("x", x), x, "left")
@@ -260,7 +281,8 @@ class _Join:
         Equal roots are connected; connected sets may differ in root, which costs pairs but no links, and saves all rounds
         of a full search for components.
         """
-        both = cut(links.select(F.col("a").alias("leader"), F.col("b").alias("uid")).unionByName(links.select(F.col("a").alias("leader"), F.col("a").alias("uid"))).distinct())
+        links = links.coalesce(1 + links.count() // FEW_ROWS)  # in one part there is nothing to shuffle
+        both = cut(links.select(F.explode(F.array("a", "b")).alias("uid"), F.col("a").alias("leader")).distinct())
 
         def smallest(column: str) -> Column:
             return F.min_by(column, F.xxhash64(column)).alias("root")
@@ -274,22 +296,22 @@ class _Join:
     def links(self) -> DataFrame:
         """``a, b``: enough links to connect every class of linked sets."""
         links = answers = roots = None
-        n_rows = self.index.count()
-        for turn in range(MOST_ROUNDS):
+        n_rows, turn, useful = self.index.count(), 0, True
+        while True:
             rows = self._open(roots) if roots is None else cut(self._open(roots))
             if roots is not None:
                 per = rows.groupBy("token", "root").agg(F.count(F.lit(1)).cast("double").alias("k"))
                 per = per.groupBy("token").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"))
                 left = per.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
-                if left <= PAIRS_PER_ROW * n_rows:
+                if left <= PAIRS_PER_ROW * n_rows or not useful:
                     break
             new_answers = cut(self.sketched(self.leader_pairs(rows, turn)))
             new = cut(self.tested(self._promising(new_answers)))
             answers = new_answers if answers is None else answers.unionByName(new_answers)
             links = new if links is None else links.unionByName(new)
-            if new.isEmpty() and roots is not None:
-                break
+            useful = new.count() * LINKS_IN_PAIRS >= new_answers.count()
             roots = self._classes_so_far(links)
+            turn += 1
             release(self.docs.sparkSession)
         pairs = cut(self._promising(self.sketched(self._bounded(self.all_pairs(rows), answers, links))))
         links = cut(links.unionByName(self.tested(pairs)))
