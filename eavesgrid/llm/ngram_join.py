@@ -305,11 +305,15 @@ class _Join:
                 left = per.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
                 if left <= PAIRS_PER_ROW * n_rows or not useful:
                     break
-            new_answers = cut(self.sketched(self.leader_pairs(rows, turn)))
+            asked = self.leader_pairs(rows, turn)
+            if answers is not None:  # connected sets whose roots differ would ask, and link, again and again
+                both = [answers.select("a", "b"), answers.select(F.col("b").alias("a"), F.col("a").alias("b"))]
+                asked = asked.join(_few(cut(both[0].unionByName(both[1]).distinct())), ["a", "b"], "left_anti")
+            new_answers = cut(self.sketched(asked))
             new = cut(self.tested(self._promising(new_answers)))
             answers = new_answers if answers is None else answers.unionByName(new_answers)
             links = new if links is None else links.unionByName(new)
-            useful = new.count() * LINKS_IN_PAIRS >= new_answers.count()
+            useful = new.count() * LINKS_IN_PAIRS > new_answers.count()
             roots = self._classes_so_far(links)
             turn += 1
             release(self.docs.sparkSession)
