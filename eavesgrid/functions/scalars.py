@@ -84,3 +84,8 @@ def seeded_fraction(key: Column, seed: int) -> Column:
     """A number in [0, 1) fixed by seed and key alone, so no ordering or partitioning can change it."""
     digest = F.md5(F.concat(F.lit(str(seed)), key.cast("string")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+
+
+def counted_uniform(key: Column, counter: int) -> Column:
+    """Random number in [0, 1) that hangs on the key and a counter alone; any SQL engine with ``md5`` gives the same."""
+    return F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit(f"#{counter}"))), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)

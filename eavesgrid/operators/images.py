@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import class_index, encode_label, seeded_fraction
+from ..functions.scalars import class_index, counted_uniform, encode_label, seeded_fraction
 from ..session import ship_package
 from .indexing import with_row_index
 from .preprocessing import require_columns
@@ -210,13 +210,12 @@ def crop_or_pad(img: np.ndarray, height: int, width: int) -> np.ndarray:
 BRIGHTNESS, CONTRAST = 0.125, 0.875  # Fixed values: ranges of the random brightness and contrast.
 
 
-def augment(img: np.ndarray, seed: int) -> np.ndarray:
-    """Random brightness (a shift of up to 12.5 % of 255) and contrast around the channel means."""
-    rng = np.random.default_rng(seed & 0xFFFFFFFFFFFFFFFF)
-    shift = rng.uniform(-BRIGHTNESS, BRIGHTNESS) * 255.0
+def augment(img: np.ndarray, for_brightness: float, for_contrast: float) -> np.ndarray:
+    """Random brightness (a shift of up to 12.5 % of 255) and contrast around the channel means, from two numbers in [0, 1)."""
+    shift = (2 * for_brightness - 1) * BRIGHTNESS * 255.0
     bright = np.clip(img.astype(np.float64) + shift, 0, 255)
     mean = bright.mean(axis=(0, 1), keepdims=True) if img.size else 0.0
-    factor = rng.uniform(1 - CONTRAST, 1 + CONTRAST)
+    factor = 1 - CONTRAST + 2 * CONTRAST * for_contrast
     return np.rint(np.clip((bright - mean) * factor + mean, 0, 255)).astype(np.uint8)
 
 
@@ -224,12 +223,12 @@ BATCH_BYTES = 64 << 20  # Arrow batches of tensors end at this size: one binary
 
 
 def preparer(img_size: tuple[int, int], color_mode: str, bgr: bool = False, transform=None):
-    """A function (height, width, channels, raw bytes, seed or None) -> tensor bytes, None for no bytes."""
+    """A function (height, width, channels, raw bytes, two random numbers or None) -> tensor bytes, None for no bytes."""
     if color_mode not in COLOR_CHANNELS:
         raise ValueError(f"color_mode must be one of {sorted(COLOR_CHANNELS)}, got {color_mode!r}")
     (height, width), channels = img_size, COLOR_CHANNELS[color_mode]
 
-    def prepare(h, w, c, raw, seed):
+    def prepare(h, w, c, raw, random):
         if raw is None:
             return None
         img = np.frombuffer(raw, np.uint8).reshape(h, w, c)
@@ -238,16 +237,16 @@ def preparer(img_size: tuple[int, int], color_mode: str, bgr: bool = False, tran
         if transform is not None:
             img = transform(img)
         img = crop_or_pad(to_channels(img, channels), height, width)
-        return (img if seed is None else augment(img, seed)).tobytes()
+        return (img if random is None else augment(img, *random)).tobytes()
 
     return prepare
 
 
-def map_images(images: DataFrame, kept: Sequence[str], made: str, start, per_batch: int, seed: Column | None = None) -> DataFrame:
+def map_images(images: DataFrame, kept: Sequence[str], made: str, start, per_batch: int, random: Column | None = None) -> DataFrame:
     """``kept`` columns and one made in Python, in bounded batches.
 
     ``made`` is the new column's definition.  ``start()`` runs once per task and returns a function from a list of
-    ``(height, width, n_channels, data, seed)`` to an Arrow array; it is given at most ``per_batch`` images at a time.
+    ``(height, width, n_channels, data, random)`` to an Arrow array; it is given at most ``per_batch`` images at a time.
     """
     require_columns(images, "height", "width", "n_channels", "data")
     ship_package(images.sparkSession)
@@ -255,14 +254,14 @@ def map_images(images: DataFrame, kept: Sequence[str], made: str, start, per_bat
     kept = [c for c in kept if c != name]
     fields = ", ".join(f"`{c}` {images.schema[c].dataType.simpleString()}" for c in kept)
     inputs = [F.col(c).alias(f"_in_{c}") for c in ("height", "width", "n_channels", "data")]
-    inputs.append((F.lit(None).cast("long") if seed is None else seed).alias("_in_seed"))
+    inputs.append((F.lit(None).cast("array<double>") if random is None else random).alias("_in_random"))
 
     def run(batches):
         convert = start()
         for batch in batches:
             for at in range(0, batch.num_rows, per_batch):
                 part = batch.slice(at, per_batch)
-                rows = list(zip(*(part.column(f"_in_{c}").to_pylist() for c in ("height", "width", "n_channels", "data", "seed")), strict=True))
+                rows = list(zip(*(part.column(f"_in_{c}").to_pylist() for c in ("height", "width", "n_channels", "data", "random")), strict=True))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), convert(rows)], names=[*kept, name])
 
     return images.select(*kept, *inputs).mapInArrow(run, f"{fields}, {made}" if kept else made)
@@ -279,8 +278,8 @@ def prepare_images(
     """Adds ``tensor``: the image as height x width x channels bytes of one fixed size.
 
     Input columns ``height, width, n_channels, data`` (pixels row by row, bands interleaved; ``bgr`` for the order
-    of Spark's image source).  ``augment_key`` turns on random brightness and contrast, seeded by the hash of the
-    key, so results do not hang on partitioning.  ``transform`` is a function (h, w, c) array -> array applied
+    of Spark's image source).  ``augment_key`` turns on random brightness and contrast, by numbers counted off the
+    key (``counted_uniform``), so results do not hang on partitioning and SQL can repeat them.  ``transform`` is a function (h, w, c) array -> array applied
     before colours and size are fixed.
     """
     prepare = preparer(img_size, color_mode, bgr, transform)
@@ -289,8 +288,8 @@ def prepare_images(
         return lambda rows: pa.array([prepare(*row) for row in rows], type=pa.binary())
 
     per_batch = max(1, BATCH_BYTES // (img_size[0] * img_size[1] * COLOR_CHANNELS[color_mode]))
-    seed = None if augment_key is None else F.xxhash64(augment_key)
-    return map_images(images, images.columns, "tensor binary", start, per_batch, seed)
+    random = None if augment_key is None else F.array(counted_uniform(augment_key, 0), counted_uniform(augment_key, 1))
+    return map_images(images, images.columns, "tensor binary", start, per_batch, random)
 
 
 def prepare_fit_images(

@@ -22,6 +22,7 @@ from ..functions.scalars import (
 )
 from ..session import ship_package
 from .images import COLOR_CHANNELS, map_images, preparer, share_sample
+from .tiles import MAX_ATTEMPTS, fetch_tiles, tile_grid
 
 BATCH_SIZE = 32
 
@@ -113,6 +114,31 @@ def score_images(
     return postprocess(probs, class_names, name, double_softmax, drop_suffixed, keep)
 
 
+def score_areas(
+    boxes: DataFrame,
+    fetch: Callable[[DataFrame, int], DataFrame],
+    path: str,
+    make_predict_fn: Callable,
+    class_names: Sequence[str],
+    img_size: tuple[int, int] = (250, 250),
+    color_mode: str = "rgb",
+    max_attempts: int = MAX_ATTEMPTS,
+) -> tuple[DataFrame, DataFrame]:
+    """Areas to scores: lay the tile grid, fetch its images with retries (see ``fetch_tiles``), prepare, predict, post-process.
+
+    Returns the scores with ``box_id, tile_name, attempt`` beside them, and the tiles that never came.
+    """
+    grid = tile_grid(boxes)
+    arrived, failed = fetch_tiles(grid, fetch, path, max_attempts)
+    if arrived is None:
+        nothing = "building_name string, score double, predicted_class string, box_id long, tile_name string, attempt int"
+        return boxes.sparkSession.createDataFrame([], nothing), failed
+    named = arrived.withColumn("path", F.concat(F.lit("images/"), F.col("box_id").cast("string"), F.lit("-"), "tile_name", F.lit(".jpg")))
+    kept = ("box_id", "tile_name", "attempt")
+    # tiles of a grid carry no suffix, whatever their names look like
+    return score_images(named, make_predict_fn, class_names, img_size, color_mode, drop_suffixed=False, keep=kept), failed
+
+
 def _on_present(batch, run: Callable):
     """``run`` on the rows that are there; the others get NaN, which ``predict_probabilities`` turns into NULL."""
     there = [i for i, b in enumerate(batch) if b is not None]

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut, read_or_none
+
 # The image service asked for tiles and its request parameters.
 SERVICE = (
     "https://data.geopf.fr/wms-r?LAYERS=HR.ORTHOIMAGERY.ORTHOPHOTOS&FORMAT=image/jpeg"
     "&SERVICE=WMS&VERSION=1.3.0&REQUEST=GetMap&STYLES&CRS=EPSG:3857"
 )
 MAX_ATTEMPTS = 5
+KEY = ["box_id", "tile_name"]
+TILES, LEDGER = "tiles", "ledger"
 MANY_TILES = 100_000
 WORLD_3857 = 20037508.342789244  # half the side of the EPSG:3857 world square, metres
 
@@ -84,10 +90,44 @@ def tile_manifest(tiles: DataFrame, service: str = SERVICE) -> DataFrame:
     return tiles.select("box_id", "tile_name", url.alias("url"))
 
 
-def pending_tiles(tiles: DataFrame, fetched: DataFrame, attempt: int = 0) -> DataFrame:
+def pending_tiles(tiles: DataFrame, fetched: DataFrame, attempt: int = 0, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """Tiles still to be asked for in this attempt (0-based); none after the last one."""
-    missing = tiles.join(fetched.select("box_id", "tile_name"), ["box_id", "tile_name"], "left_anti")
-    return missing if attempt < MAX_ATTEMPTS else missing.limit(0)
+    missing = tiles.join(fetched.select(*KEY), KEY, "left_anti")
+    return missing if attempt < max_attempts else missing.limit(0)
+
+
+def fetch_tiles(
+    tiles: DataFrame, fetch: Callable[[DataFrame, int], DataFrame], path: str, max_attempts: int = MAX_ATTEMPTS
+) -> tuple[DataFrame | None, DataFrame]:
+    """Ask for the missing tiles again and again until all have come or ``max_attempts`` are over.
+
+    ``fetch(pending, attempt)`` returns the rows of ``pending`` that came, with their image columns; how it gets them is its own matter (a
+    ``mapInArrow`` over HTTP, a table).  What came is written below ``path`` attempt by attempt, and an attempt counts only once its ledger row is
+    there: a run that broke off, or another call with the same path, goes on with the first attempt not in the ledger.  Returns the tiles
+    that came with the number of their ``attempt`` (None if there are none) and ``box_id, tile_name`` of those that failed.
+    """
+    spark = tiles.sparkSession
+    ledger = read_or_none(spark, f"{path}/{LEDGER}")
+    done = set() if ledger is None else {r["attempt"] for r in ledger.select("attempt").collect()}
+    arrived = _arrived(spark, path, done)
+    for attempt in range(max_attempts):
+        if attempt in done:
+            continue
+        pending = cut(tiles if arrived is None else pending_tiles(tiles, arrived, attempt, max_attempts))
+        if pending.isEmpty():
+            break
+        came = fetch(pending, attempt).join(pending.select(*KEY), KEY, "left_semi").dropDuplicates(KEY)
+        came.write.mode("overwrite").parquet(f"{path}/{TILES}/attempt={attempt}")
+        spark.createDataFrame([(attempt,)], "attempt int").write.mode("append").parquet(f"{path}/{LEDGER}")
+        done.add(attempt)
+        arrived = _arrived(spark, path, done)
+    return arrived, tiles.select(*KEY) if arrived is None else failed_tiles(tiles, arrived)
+
+
+def _arrived(spark: SparkSession, path: str, done: set[int]) -> DataFrame | None:
+    if not done:
+        return None
+    return spark.read.option("basePath", f"{path}/{TILES}").parquet(*[f"{path}/{TILES}/attempt={k}" for k in sorted(done)])
 
 
 def failed_tiles(tiles: DataFrame, fetched: DataFrame) -> DataFrame:

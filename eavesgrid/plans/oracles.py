@@ -287,22 +287,35 @@ ORACLES: dict[str, str] = {
     "prepare_images": f"""{CROPS}, {PREPARED},
         s AS (SELECT id, raster_id, CAST(sum(v * (9 * pos + 6)) AS BIGINT) AS checksum FROM fit GROUP BY 1, 2)
         SELECT id, raster_id, 48 AS n_values, coalesce(checksum, 0) AS checksum FROM crop LEFT JOIN s USING (id, raster_id)""",
-    "prepare_fit_images": f"""{CROPS}, keyed AS (
-          SELECT raster_id || '/' || id AS path, CASE WHEN height * width >= 6 THEN 'PV' ELSE 'no_PV' END AS class_name FROM crop),
-        ranked AS (SELECT *, CAST(CAST('0x' || substr(md5('42' || path), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296 AS fraction FROM keyed)
-        SELECT CASE WHEN fraction < 0.6 THEN 'train' ELSE 'validation' END AS split, class_name, count(*) AS n,
-               count(*) * 48 AS n_values, min(path) AS first_path
-        FROM ranked WHERE fraction < 0.9 GROUP BY 1, 2""",
+    "prepare_fit_images": f"""{CROPS}, {PREPARED}, keyed AS (
+          SELECT id, raster_id, raster_id || '/' || id AS path, CASE WHEN height * width >= 6 THEN 'PV' ELSE 'no_PV' END AS class_name FROM crop),
+        ranked AS (
+          SELECT *, CAST(CAST('0x' || substr(md5('42' || path), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296 AS fraction,
+                 CAST(CAST('0x' || substr(md5(path || '#1#0'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296 AS u0,
+                 CAST(CAST('0x' || substr(md5(path || '#1#1'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296 AS u1 FROM keyed),
+        bright AS (
+          SELECT k.path, class_name, fraction, u1, q.pos,
+                 least(greatest(coalesce(v, 0) + (2 * u0 - 1) * CAST(0.125 AS DOUBLE) * CAST(255 AS DOUBLE), 0), 255) AS b
+          FROM ranked k CROSS JOIN (SELECT unnest(range(0, 16)) AS pos) q
+          LEFT JOIN fit ON fit.id = k.id AND fit.raster_id = k.raster_id AND fit.pos = q.pos WHERE fraction < 0.9),
+        mean AS (SELECT *, avg(b) OVER (PARTITION BY path) AS m FROM bright),
+        made AS (
+          SELECT *, round_even(least(greatest((b - m) * (1 - CAST(0.875 AS DOUBLE) + 2 * CAST(0.875 AS DOUBLE) * u1) + m, 0), 255), 0) AS a FROM mean)
+        SELECT CASE WHEN fraction < 0.6 THEN 'train' ELSE 'validation' END AS split, class_name, count(DISTINCT path) AS n,
+               count(DISTINCT path) * 48 AS n_values, min(path) AS first_path, CAST(sum(a * (9 * pos + 6)) AS BIGINT) AS checksum
+        FROM made GROUP BY 1, 2""",
     "score_images": f"""{NAMED}, {PREPARED}, s AS (SELECT id, raster_id, sum(v) AS total FROM fit GROUP BY 1, 2),
         p AS (SELECT named.id, 1 / (1 + exp(-(coalesce(total, 0) / CAST(16 AS DOUBLE) - 20) / 10)) AS p
               FROM named LEFT JOIN s USING (id, raster_id) WHERE suffix = 0)
         SELECT id AS building_name, round(p, 7) AS score, CASE WHEN p > 0.5 THEN 'PV' ELSE 'no_PV' END AS predicted_class FROM p""",
-    "score_tiles": f"""WITH {BOXES}, px AS (
-          SELECT box_id, tile_name, (box_id * 7 + col * 13 + "row" * 29 + q * 3) % 64 AS v
-          FROM grid CROSS JOIN (SELECT unnest(range(0, 16)) AS q) WHERE {FETCHED}),
-        p AS (SELECT box_id || '-' || tile_name AS building_name, 1 / (1 + exp(-(avg(CAST(v AS DOUBLE)) - 20) / 10)) AS p
-              FROM px GROUP BY box_id, tile_name)
-        SELECT building_name, round(p, 7) AS score, CASE WHEN p > 0.5 THEN 'PV' ELSE 'no_PV' END AS predicted_class FROM p""",
+    "score_tiles": f"""WITH {BOXES}, turn AS (SELECT *, (box_id * 3 + col * 5 + "row" * 2) % 7 AS attempt FROM grid), px AS (
+          SELECT box_id, tile_name, attempt, (box_id * 7 + col * 13 + "row" * 29 + q * 3) % 64 AS v
+          FROM turn CROSS JOIN (SELECT unnest(range(0, 16)) AS q) WHERE attempt < 5),
+        p AS (SELECT box_id, tile_name, attempt, 1 / (1 + exp(-(avg(CAST(v AS DOUBLE)) - 20) / 10)) AS p
+              FROM px GROUP BY box_id, tile_name, attempt)
+        SELECT box_id || '-' || tile_name AS building_name, round(p, 7) AS score, CASE WHEN p > 0.5 THEN 'PV' ELSE 'no_PV' END AS predicted_class,
+               box_id, tile_name, attempt FROM p
+        UNION ALL SELECT NULL, NULL, NULL, box_id, tile_name, NULL FROM turn WHERE attempt >= 5""",
     "score_postprocess": f"{POST} SELECT building_name, score, predicted_class FROM post",
     "softmax_score": f"""WITH {VEC} SELECT vec_id, round(top, 7) AS plain,
         round(exp(top) / (exp(p1) + exp(p2) + exp(p3)), 7) AS twice FROM best""",

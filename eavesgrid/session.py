@@ -14,6 +14,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -88,3 +89,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now; else they stay until the driver collects its garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None if nothing was written there yet; whatever else is wrong with it is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

@@ -8,26 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.crops import named_crops, pending_rasters, with_names
 from ..operators.skew import broadcast_if_small
 from ..operators.spatial_join import footprint_raster_join
-from ..session import cut
+from ..session import cut, read_or_none
 
 CROPS, LEDGER = "crops", "ledger"
 
 
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None if nothing was written there yet; whatever else is wrong with it is raised."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def incremental_names(pairs: DataFrame, ledger: DataFrame, with_suffix: bool = True) -> DataFrame:
     """Names of the crops of pending rasters, suffixes counted on from the rasters in the ledger.
 

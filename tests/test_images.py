@@ -236,3 +236,13 @@ def test_three_class_model(spark):
 
     out = M.score_images(df, M.bytes_model(three), ("a", "b", "c"), (4, 4), "rgb").collect()
     assert len(out) == 9 and all(1 / 3 <= r["score"] <= 1 for r in out)
+
+
+def test_augmentation_by_numbers_counted_off_the_key(spark):
+    import hashlib
+
+    row = I.prepare_images(some_images(spark, 1), (4, 4), "rgb", F.lit("a key")).first()
+    plain = np.frombuffer(I.prepare_images(some_images(spark, 1), (4, 4), "rgb").first()["tensor"], np.uint8).reshape(4, 4, 3)
+    u = [int(hashlib.md5(f"a key#{k}".encode()).hexdigest()[:8], 16) / 2**32 for k in (0, 1)]
+    assert row["tensor"] == I.augment(plain, *u).tobytes()
+    assert I.augment(np.full((2, 2, 1), 100, np.uint8), 1.0, 0.5).tolist() == [[[132]] * 2] * 2  # brighter by 12.5 % of 255, no contrast
