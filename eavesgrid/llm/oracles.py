@@ -73,10 +73,7 @@ covered AS (
 l AS (
   SELECT doc_id, source, t, {ASCII_LOWER.format(r"trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS line
   FROM (SELECT doc_id, source, t, unnest(lines) AS line FROM d)),
-hosts AS (SELECT source, count(DISTINCT t) AS n FROM d GROUP BY source),
-frequent AS (
-  SELECT l.source, line FROM l JOIN hosts h ON h.source IS NOT DISTINCT FROM l.source
-  GROUP BY l.source, line HAVING count(DISTINCT t) > 100 AND count(DISTINCT t) > any_value(h.n) * 0.05),
+frequent AS (SELECT source, line FROM l GROUP BY source, line HAVING count(DISTINCT t) > 10),
 chars AS (
   SELECT doc_id, sum(length(l.line))::BIGINT AS line_chars, coalesce(sum(length(f.line)), 0)::BIGINT AS lost_chars
   FROM l LEFT JOIN frequent f ON f.source IS NOT DISTINCT FROM l.source AND f.line = l.line GROUP BY doc_id),

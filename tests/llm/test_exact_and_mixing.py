@@ -116,7 +116,7 @@ def plain_quality(text):
     )
 
 
-@pytest.mark.parametrize("name", ["odd", "corpus"])
+@pytest.mark.parametrize("name", ["odd", "corpus", "clashing"])
 def test_quality_metrics(name, request):
     docs = request.getfixturevalue(name)
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -139,6 +139,11 @@ def test_depleted_documents_go(spark, empty):
     got = {r.doc_id: (r.kept, r.lost_chars > 0) for r in quality.judge_quality(docs, limit=50).collect()}
     assert all(lost == (i < 60) for i, (_, lost) in got.items())  # copies of one text count once in h2
     assert quality.judge_quality(empty).count() == 0
+    menu = " ".join(f"item{k}" for k in range(60)) + "\n"
+    rows = [(i, (menu if i < 11 else "") + own.format(i), host) for host, n in (("many", 30), ("few", 10)) for i in range(n)]
+    docs = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(rows)], "doc_id long, text string, source string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality.judge_quality(docs, limit=10).collect()}
+    assert got == {i: (False, not (i < 11)) for i in range(40)}  # depleted documents are rejected, whatever the size of their host
 
 
 def plain_lines(rows, limit):
