@@ -5,9 +5,11 @@ second the keys of the corpus that pass the first by mistake, the third the list
 on until there are no mistakes.  Over the key universe it was built for, that is every key any page of the corpus can ask for, the
 answer is exact.  Looking up needs no join: the filters are constants of the plan.
 
-A filter has about ``BITS_PER_KEY`` bits for each key it encodes, and later levels encode about a hundredth of the keys each, so
-a cascade takes about 1.3 bytes for each listed key.  Up to ``MOST_KEYS`` listed keys it travels with the plan; a longer list is
-divided by the hash of the key into parts of that size, and each part has its own cascade.
+The first filter is sized by the list and by the corpus: for ``n`` listed keys and ``u`` keys asked for (counted before) it is large enough
+that about ``n`` keys, or 64, pass it by mistake.  That is ``1.5 log2(u / n)`` bits a listed key and more for short lists, up to some ten bits a key for every factor
+of ten in ``u / n``.  It is made larger until ``MISTAKES`` times that number is kept, so no later filter encodes more than ``MISTAKES * max(n, 64)``
+keys, at ``BITS_PER_KEY`` bits each.  Up to ``MOST_KEYS`` listed keys a cascade travels with the plan; a longer list is divided by the hash
+of the key into parts of that size, and each part has its own cascade.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path and fits no rule; repeated pages are judged one by
 one; an empty rule list lets everything pass; null rules are ignored.
@@ -15,6 +17,7 @@ one; an empty rule list lets everything pass; null rules are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -27,6 +30,8 @@ from .common import ascii_lower
 
 BITS_PER_KEY = 10
 HASHES = 5
+MISTAKES = 4
+LEAST_KEYS = 64
 MOST_KEYS = 1_000_000
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -61,9 +66,19 @@ def _positions(key: Column, salt: int, bits: int) -> list[Column]:
     return [F.pmod(first + F.lit(i) * step, F.lit(bits)) for i in range(HASHES)]
 
 
-def _encoded(keys: DataFrame, n: int, salt: int) -> Level:
-    """The filter of the ``n`` keys, its words put together by Spark."""
-    bits = -(-max(64, n * BITS_PER_KEY) // 64) * 64
+def first_bits(n: int, universe: int) -> int:
+    """Bits of the first filter: about ``n`` keys of the universe, or ``LEAST_KEYS``, pass it by mistake."""
+    wanted = max(n, LEAST_KEYS)
+    share = min(0.01, wanted / max(universe, 1))
+    filled = -HASHES * n / math.log(1 - share ** (1 / HASHES))
+    # All places of a key hang on two numbers below the size: so many keys look alike whatever is set.
+    alike = math.sqrt(universe * n / wanted)
+    return math.ceil(max(filled, alike))
+
+
+def _encoded(keys: DataFrame, bits: int, salt: int) -> Level:
+    """The filter of the keys, its words put together by Spark."""
+    bits = -(-max(64, bits) // 64) * 64
     spots = keys.select(F.explode(F.array(*_positions(F.col("key"), salt, bits))).alias("p"))
     word = F.bit_or(F.expr("shiftleft(1L, cast(pmod(p, 64) as int))")).alias("word")
     rows = spots.groupBy(F.shiftright("p", 6).alias("at")).agg(word).collect()  # bits / 64 numbers at most
@@ -89,16 +104,24 @@ class Cascade:
 def build_cascade(listed: DataFrame, universe: DataFrame, salt: int = 0) -> Cascade:
     """``listed`` and ``universe`` have a column ``key``; keys of the list that the universe lacks do no harm."""
     mine = cut(listed.select("key").where("key is not null").distinct())
-    others, levels, n = None, [], mine.count()
-    while n:
-        level = _encoded(mine, n, salt + len(levels))
+    n = mine.count()
+    if not n:
+        return Cascade(())
+    bits, most = first_bits(n, universe.count()), MISTAKES * max(n, LEAST_KEYS)
+    while True:
+        level = _encoded(mine, bits, salt)
+        passing = universe.select("key").where(level.passes(F.col("key"))).distinct()
+        wrong = cut(passing.join(mine, "key", "left_anti"))  # keys of the corpus that aren't listed
+        n_wrong = wrong.count()
+        if n_wrong <= most:
+            break
+        bits *= 2
+    levels, others = [level], mine
+    while n_wrong:
+        level = _encoded(wrong, n_wrong * BITS_PER_KEY, salt + len(levels))
         levels.append(level)
-        if others is None:  # all keys of the corpus but the listed ones
-            passing = universe.select("key").where(level.passes(F.col("key"))).distinct()
-            wrong = cut(passing.join(mine, "key", "left_anti"))
-        else:
-            wrong = cut(others.where(level.passes(F.col("key"))))
-        mine, others, n = wrong, mine, wrong.count()
+        wrong, others = cut(others.where(level.passes(F.col("key")))), wrong
+        n_wrong = wrong.count()
     return Cascade(tuple(levels))
 
 

@@ -312,6 +312,24 @@ def test_cascade_is_exact(spark, most_keys):
     assert universe.where(keys.has(F.col("key")) != F.col("key").like("%7")).count() == 0
 
 
+def test_filters_of_a_short_list_stay_small(spark):
+    """Two listed keys in a corpus of two million: no level grows with the corpus."""
+    universe = spark.range(2_000_000).select(F.concat(F.lit("host"), "id").alias("key"))
+    listed = spark.createDataFrame([("host77",), ("host1999999",)], "key string")
+    cascade = url_filter.build_cascade(listed, universe)
+    most = -(-url_filter.MISTAKES * url_filter.LEAST_KEYS * url_filter.BITS_PER_KEY // 64) * 64
+    assert cascade.levels[0].bits <= 512 and all(level.bits <= most for level in cascade.levels[1:])
+    assert {r.key for r in universe.where(cascade.has(F.col("key"))).collect()} == {"host77", "host1999999"}
+    assert url_filter.first_bits(10**6, 10**12) < 100 * 10**6 and url_filter.first_bits(2, 10**10) < 10**5
+
+
+def test_hosts_of_many_labels_and_long_paths(spark):
+    pages = [(1, "http://" + "a." * 300 + "example.com/de/" + "x" * 5000), (2, "http://" + "y" * 100_000), (3, "://example.com/de/")]
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), rules).collect()}
+    assert got == {1: ("example.com/de/", "block"), 2: (None, "allow"), 3: ("example.com/de/", "block")}
+
+
 def test_filter_queries_run_without_python(spark):
     pages = spark.createDataFrame([(1, URLS[0])], "page_id long, url string")
     plan = url_filter.judge_urls(pages, spark.createDataFrame(RULES, "host string, path string, verdict string"))._jdf.queryExecution().toString()
