@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import sweep
+from . import offset, sweep
 from .geometry import BBOX, GEOM_TYPE, box_geom
 
 # Overlaps of less than a square millimetre are rounding noise at Lambert-93 coordinates.
@@ -431,11 +431,11 @@ def _closed(ring: np.ndarray) -> np.ndarray:
 MITRE_LIMIT = 2.0  # Fixed value: mitre limit of the buffer.
 
 
-def offset_ring(ring: np.ndarray, distance: float) -> tuple[np.ndarray | None, bool]:
-    """Ring moved outwards (left side is inside) by ``distance``; (new ring, whether it is simple).
+def offset_ring(ring: np.ndarray, distance: float) -> list[list[np.ndarray]]:
+    """Ring moved outwards (left side is inside) by ``distance``: parts of open rings, the outer one first, none if it has vanished.
 
-    Corners sharper than the mitre limit are cut off square to their bisector.  ``None`` means that the ring
-    has vanished.
+    Corners sharper than the mitre limit are cut off square to their bisector.  Where the moved ring crosses itself it is cleaned
+    up (``offset``): a filled gap may leave a hole, a shrunk shape may fall apart.
     """
     pts = ring[:-1]
     step = np.roll(pts, -1, 0) - pts
@@ -443,20 +443,32 @@ def offset_ring(ring: np.ndarray, distance: float) -> tuple[np.ndarray | None, b
     pts = pts[keep]
     n = len(pts)
     if n < 3:
-        return None, True
+        return []
     x, y = pts[:, 0], pts[:, 1]
     if (x * np.roll(y, -1) - np.roll(x, -1) * y).sum() < 0:
         pts = pts[::-1]
     if distance == 0:
-        return pts, True
+        return [[pts]]
     if distance < 0 and 2 * -distance >= min(np.ptp(pts[:, 0]), np.ptp(pts[:, 1])):
-        return None, True
+        return []
     step = np.roll(pts, -1, 0) - pts
     unit = step / np.hypot(step[:, 0], step[:, 1])[:, None]
     normal = np.column_stack([unit[:, 1], -unit[:, 0]])
+    new, owner = _corners(pts, unit, normal, distance, through=False)
+    if new is not None and _keeps_directions(new, owner, unit, n) and not _self_crossing(new):
+        return [[new]]
+    return offset.outlines(_corners(pts, unit, normal, distance, through=True)[0])
+
+
+def _corners(pts: np.ndarray, unit: np.ndarray, normal: np.ndarray, distance: float, through: bool):
+    """The corners of the moved ring, and the edges (before, after) each lies on, -1 for none.
+
+    Where moved edges overlap they meet in one point, or each keeps its length and both are joined ``through`` the old corner.  Without
+    that a spike that folds back gives no ring.
+    """
     out: list[np.ndarray] = []
     owner: list[tuple[int, int]] = []
-    for i in range(n):
+    for i in range(len(pts)):
         before, after = normal[i - 1], normal[i]
         dot = float(before @ after)
         turn = float(unit[i - 1][0] * unit[i][1] - unit[i - 1][1] * unit[i][0])
@@ -471,14 +483,15 @@ def offset_ring(ring: np.ndarray, distance: float) -> tuple[np.ndarray | None, b
                 speed = float(u_ @ bis)
                 out.append(base + u_ * (float((cap - base) @ bis) / speed if abs(speed) > 1e-12 else 0.0))
             owner += [(i - 1, -1), (-1, i)]
+        elif through and (turn * distance < 0 or not np.isfinite(ratio)):
+            out += [pts[i] + before * distance, pts[i], pts[i] + after * distance]
+            owner += [(i - 1, -1), (-1, -1), (-1, i)]
         elif not np.isfinite(ratio):
-            return None, False
+            return None, owner
         else:
             out.append(pts[i] + (before + after) * (distance / (1 + dot)))
             owner.append((i - 1, i))
-    new = np.array(out)
-    simple = _keeps_directions(new, owner, unit, n) and not _self_crossing(new)
-    return new, simple
+    return np.array(out), owner
 
 
 def _keeps_directions(new: np.ndarray, owner: list[tuple[int, int]], unit: np.ndarray, n: int) -> bool:
@@ -495,25 +508,19 @@ def _self_crossing(ring: np.ndarray) -> bool:
     return sweep.ring_meets_itself(ring, _segments_meet)
 
 
-def buffer_parts(parts: list[list[np.ndarray]], distance: float) -> tuple[list, bool]:
-    result, simple = [], True
+def buffer_parts(parts: list[list[np.ndarray]], distance: float) -> list[list[np.ndarray]]:
+    result = []
     for part in parts:
-        shell, ok = offset_ring(part[0], distance)
-        simple &= ok
-        if shell is None:
-            continue
-        rings = [shell]
-        for hole in part[1:]:
-            moved, ok = offset_ring(hole, -distance)
-            simple &= ok
-            if moved is not None:
-                rings.append(moved[::-1])
-        result.append(rings)
-    return result, simple
+        shells = offset_ring(part[0], distance)
+        holes = [moved[0][::-1] for hole in part[1:] for moved in offset_ring(hole, -distance)]
+        for rings in shells:
+            own = [h for h in holes if len(shells) == 1 or offset._winding(h[:1, 0], h[:1, 1], rings[0])[0] > 0]
+            result.append([*rings, *own])
+    return result
 
 
 def buffer_batch(flat: Flat, distance: np.ndarray) -> tuple[list, np.ndarray]:
-    """Buffered rows (parts of closed rings, None for NULL) and whether each is simple.
+    """Buffered rows (parts of closed rings, None for NULL) and whether each is simple, which all are after clean-up.
 
     Single rings that grow and have no sharp corner are done together, by number of points; the others one by one.
     """
@@ -528,14 +535,12 @@ def buffer_batch(flat: Flat, distance: np.ndarray) -> tuple[list, np.ndarray]:
         rows = np.flatnonzero(plain & (size == n))
         at = flat.row_pt[rows][:, None] + np.arange(n)[None, :]
         new, fits, ok = _mitred(np.stack([flat.x[at], flat.y[at]], 2), distance[rows])
-        for k in np.flatnonzero(fits):
+        for k in np.flatnonzero(fits & ok):
             geoms[rows[k]] = [[new[k]]]
-        simple[rows] = ok
-        done[rows[fits]] = True
+        done[rows[fits & ok]] = True
     for row in np.flatnonzero(flat.valid & ~done):
-        parts, ok = buffer_parts(flat.parts_of(row), float(distance[row]))
+        parts = buffer_parts(flat.parts_of(row), float(distance[row]))
         geoms[row] = [[_closed(ring) for ring in part] for part in parts]
-        simple[row] = ok
     return geoms, simple
 
 
@@ -731,7 +736,7 @@ def min_rotated_rect(geom: str = "geom") -> Column:
 
 
 def buffer(distance: Column, geom: str = "geom") -> Column:
-    """``struct<geom, simple>``: mitred per-row buffer, ``simple = false`` where the offset crosses itself.
+    """``struct<geom, simple>``: mitred per-row buffer; a ring that would cross itself is cleaned up.
 
     A shape shrunk to nothing has an empty geometry.
     """

@@ -61,7 +61,8 @@ def removal_counts(df: DataFrame, min_area: float = 10) -> DataFrame:
 def add_buffer_distance(df: DataFrame, distance: float = 4) -> DataFrame:
     """Grows (or shrinks) every geometry by ``distance``, rows stay separate.
 
-    ``buffer_simple`` is false where the offset of a concave ring crosses itself and the geometry needs repair.
+    Gaps narrower than the buffer close, and shrunk shapes may fall apart; ``buffer_simple`` says that no ring crosses itself, which
+    is so for every geometry that was simple before.
     """
     require_columns(df, "geom")
     if not set(G.BBOX) <= set(df.columns) or "is_box" not in df.columns:

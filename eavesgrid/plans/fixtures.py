@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import BBOX, box_geom
+from ..operators.preprocessing import with_geometry
 
 RASTER_SIDE, PIXEL, RASTER_PIXELS, TILE = 500, 5.0, 100, 32
 
@@ -52,6 +53,21 @@ def layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return footprints(spark, sf_dir).drop("p_partkey")
 
 
+def courts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U-shaped footprints: a rectangle of four times the size with a notch from above, 2 to 14 m wide."""
+    base = footprints(spark, sf_dir)
+    k = F.col("p_partkey")
+    x0, y0 = F.col("xmin"), F.col("ymin")
+    w, h, gap = F.col("xmax") - x0, F.col("ymax") - y0, 2.0 + k % 13
+    corners = [
+        (x0, y0), (x0 + 4 * w, y0), (x0 + 4 * w, y0 + 4 * h), (x0 + w + gap, y0 + 4 * h), (x0 + w + gap, y0 + 2 * h),
+        (x0 + w, y0 + 2 * h), (x0 + w, y0 + 4 * h), (x0, y0 + 4 * h), (x0, y0),
+    ]
+    ring = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in corners])
+    shaped = base.select("id", F.array(F.array(ring)).alias("geom"))
+    return with_geometry(shaped)
+
+
 DENSE_POINTS = 5000  # on each side of a dense shape
 
 

@@ -239,6 +239,9 @@ ORACLES: dict[str, str] = {
     "self_overlap_dense": f"""WITH {F}, {DENSE} SELECT least(a.id, b.id) AS id_a, greatest(a.id, b.id) AS id_b,
         round((least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * (least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)), 3) AS overlap
         FROM d a JOIN d b ON a.id < b.id AND a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax""",
+    "buffer_concave": f"""WITH {F}, u AS (SELECT *, xmax - xmin AS w, ymax - ymin AS h FROM f)
+        SELECT id, xmin - 4 AS xmin, ymin - 4 AS ymin, xmin + 4 * w + 4 AS xmax, ymin + 4 * h + 4 AS ymax,
+               round((4 * w + 8) * (4 * h + 8) - greatest(k % 13 - 6, 0) * 2 * h, 6) AS area, 1 AS n_rings, TRUE AS buffer_simple FROM u""",
     "pair_dedup": f"WITH {F}, {OVERLAPS.format(t='f')} SELECT id_a, id_b FROM pairs",
     "pending_rasters": f"WITH {F}, {R}, {LEDGER} SELECT raster_id FROM r WHERE raster_id NOT IN (SELECT raster_id FROM ledger)",
     "pending_tiles": f"WITH {BOXES} SELECT box_id, tile_name FROM grid WHERE NOT ({FETCHED})",

@@ -387,6 +387,14 @@ def buffer(spark, sf_dir):
     return preprocessing.compute_area(grown).select("id", "xmin", "ymin", "xmax", "ymax", "area", "buffer_simple")
 
 
+@query
+def buffer_concave(spark, sf_dir):
+    """U-shapes whose notch the buffer narrows or closes."""
+    grown = preprocessing.compute_area(preprocessing.add_buffer_distance(X.courts(spark, sf_dir), 4))
+    rings = F.size(F.flatten("geom"))
+    return grown.select("id", "xmin", "ymin", "xmax", "ymax", F.round("area", 6).alias("area"), rings.alias("n_rings"), "buffer_simple")
+
+
 @query
 def reproject(spark, sf_dir):
     s = F.col("s_suppkey")
