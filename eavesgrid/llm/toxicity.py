@@ -21,6 +21,7 @@ rows are scored one by one; without labels of both classes every score is the sh
 from __future__ import annotations
 
 import re
+import string
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -41,9 +42,11 @@ TRAIN_PER_CLASS = 1000  # documents that the curve is fitted on; the models coun
 TAUS = (2.0, 3.0, 4.0)
 CLASS_DISCOUNT = 2.0  # an n-gram must be in more documents of a class to count for it
 LONGEST = 24  # letters handled together; longer words are cut into such parts
-MOST_WORDS = 100_000
+MOST_WORDS = 100_000  # gathered before they are counted
+MOST_SEEN = 300_000  # remembered while scoring
 ALPHABET = 1000.0
 LETTERS = re.compile(r"[^\W\d_]+")
+_EDGES = string.punctuation + string.digits
 WORDS_AT_ONCE = 50_000
 BROADCAST_ROWS = 500_000
 _START, _END = 1, 2
@@ -212,30 +215,39 @@ def _parts(token: str) -> list[str]:
 
 
 def _words(token: str) -> list[str]:
-    return [token] if len(token) <= LONGEST and token.isalpha() else _parts(token)
+    bare = token.strip(_EDGES)  # mostly a word with punctuation
+    return [bare] if len(bare) <= LONGEST and bare.isalpha() else _parts(token)
 
 
 class Scorer:
-    """Sums of word differences in documents, with remembered words, for each ``tau``."""
+    """Sums of word differences in documents, for each ``tau``; remembers which tokens say something, and which it has seen."""
 
     def __init__(self, differences, taus: Sequence[float]):
         self.differences, self.taus = differences, taus
-        self.tokens: dict[str, Sequence[float]] = {}
-        self.parts: dict[str, float] = {}
+        self.tokens: dict[str, np.ndarray] = {}  # those with a difference beyond a tau
+        self.seen: set[str] = set()
 
     def _learn(self, tokens: set[str]) -> None:
-        if len(self.tokens) > MOST_WORDS:
+        if len(self.seen) > MOST_SEEN:
+            self.seen.clear()
             self.tokens.clear()
-        if len(self.parts) > MOST_WORDS:
-            self.parts.clear()
-        split = {t: _words(t) for t in tokens.difference(self.tokens)}
-        new = list({p for parts in split.values() for p in parts}.difference(self.parts))
+        fresh = tokens.difference(self.seen)
+        self.seen |= fresh
+        split = {t: parts for t in fresh if (parts := _words(t)) != [t]}
+        new = list(fresh.difference(split).union(*split.values()))
+        loud: dict[str, np.ndarray] = {}
         for at in range(0, len(new), 20_000):
-            self.parts.update(zip(new[at : at + 20_000], self.differences(new[at : at + 20_000]).tolist(), strict=True))
+            part = new[at : at + 20_000]
+            found = self.differences(part)
+            beyond = np.stack([np.maximum(0.0, found - t) - np.maximum(0.0, -found - t) for t in self.taus], axis=1)
+            for k in np.flatnonzero(beyond.any(axis=1)).tolist():
+                loud[part[k]] = beyond[k]
+        for token in loud.keys() & fresh - split.keys():
+            self.tokens[token] = loud[token]
         for token, parts in split.items():
-            found = [self.parts[p] for p in parts]
-            values = [sum(max(0.0, d - t) - max(0.0, -d - t) for d in found) for t in self.taus]
-            self.tokens[token] = values if any(values) else ()
+            values = [loud[p] for p in parts if p in loud]
+            if values and (total := sum(values)).any():
+                self.tokens[token] = total
 
     def features(self, texts: list[str]) -> np.ndarray:
         """Per tau and document the sum by the number of words, by its square root, and by its logarithm."""
@@ -243,7 +255,7 @@ class Scorer:
         self._learn(set().union(*split))
         sums = np.zeros((len(self.taus), len(texts)))
         for i, words in enumerate(split):
-            for values in filter(None, map(self.tokens.__getitem__, words)):
+            for values in [self.tokens[w] for w in words if w in self.tokens]:
                 sums[:, i] += values
         n = np.maximum(1, np.array([len(words) for words in split], float))
         return np.stack([sums / n, sums / np.sqrt(n), sums / np.log1p(n)], axis=2)
