@@ -304,9 +304,13 @@ def named_crops(
     Names are given to the plan, before any pixel is cut: pixels are not shuffled by id, and images that are not kept
     are never cut.
     """
-    plan = crop_suffix(_plan_of(footprints, catalog, id_col, unique_ids), earlier, with_suffix)
+    return cut_planned(crop_suffix(_plan_of(footprints, catalog, id_col, unique_ids), earlier, with_suffix), tiles, tile_size)
+
+
+def cut_planned(named_plan: DataFrame, tiles: DataFrame, tile_size: int) -> DataFrame:
+    """The crops of a plan that has names already."""
     names = ("suffix", "file_name", "suffixed_name")
-    return _assembled(crop_fragments(plan, tiles, tile_size, names), names)
+    return _assembled(crop_fragments(named_plan, tiles, tile_size, names), names)
 
 
 def _plan_of(footprints: DataFrame, catalog: DataFrame, id_col: str, unique_ids: bool | None) -> DataFrame:

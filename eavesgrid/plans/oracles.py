@@ -280,12 +280,15 @@ ORACLES: dict[str, str] = {
         SELECT id, raster_id, 'u8' AS dtype, height * width AS n_bytes, coalesce(checksum, 0) AS checksum
         FROM crop LEFT JOIN s USING (id, raster_id)""",
     "zonal_pixels": f"{CROPS} SELECT id, raster_id, count(*) AS n_pixels, CAST(sum(v) AS BIGINT) AS pixel_sum, 0 AS missing_tiles FROM px GROUP BY 1, 2",
-    "incremental_crops": f"""{CROPS}, {LEDGER},
+    "incremental_crops": f"""{CROPS}, {LEDGER}, s AS (SELECT id, raster_id, CAST(sum(((r - r0) * width + c - c0 + 1) * v) AS BIGINT) AS checksum FROM px GROUP BY 1, 2),
         done AS (SELECT id, count(*) AS n FROM fr JOIN ledger USING (raster_id) GROUP BY 1),
         ranked AS (SELECT fr.id, fr.raster_id, row_number() OVER (PARTITION BY fr.id ORDER BY fr.raster_id) - 1 + coalesce(done.n, 0) AS suffix
                    FROM fr LEFT JOIN done ON done.id = fr.id WHERE fr.raster_id NOT IN (SELECT raster_id FROM ledger))
-        SELECT id, raster_id, suffix, CASE WHEN suffix = 0 THEN id || '.jpg' ELSE id || '_' || suffix || '.jpg' END AS suffixed_name FROM ranked""",
-    "incremental_stream": f"""{CROPS} SELECT id, count(*) AS n_crops, count(*) - 1 AS last_suffix, CAST(sum(height * width) AS BIGINT) AS n_bytes FROM crop GROUP BY 1""",
+        SELECT id, raster_id, suffix, CASE WHEN suffix = 0 THEN id || '.jpg' ELSE id || '_' || suffix || '.jpg' END AS suffixed_name,
+               coalesce(checksum, 0) AS checksum FROM ranked LEFT JOIN s USING (id, raster_id)""",
+    "incremental_stream": f"""{CROPS}, s AS (SELECT id, CAST(sum(((r - r0) * width + c - c0 + 1) * v) AS BIGINT) AS checksum FROM px GROUP BY 1)
+        SELECT id, count(*) AS n_crops, count(*) - 1 AS last_suffix, CAST(sum(height * width) AS BIGINT) AS n_bytes, coalesce(any_value(checksum), 0) AS checksum
+        FROM crop LEFT JOIN s USING (id) GROUP BY 1""",
     "tile_grid": f"WITH {BOXES} SELECT box_id, tile_name, min_x, min_y, max_x, max_y FROM grid",
     "prepare_images": f"""{CROPS}, {PREPARED},
         s AS (SELECT id, raster_id, CAST(sum(v * (9 * pos + 6)) AS BIGINT) AS checksum FROM fit GROUP BY 1, 2)

@@ -493,7 +493,7 @@ def incremental_crops(spark, sf_dir):
     cut_batch(catalog.join(X.ledger(spark, sf_dir), "raster_id", "left_semi"), 0, layer, tiles_, X.TILE, out)
     batch = cut_pending(catalog, layer, tiles_, X.TILE, out)
     named = spark.read.parquet(f"{out}/{CROPS}").where(F.col("batch") == batch)
-    return named.select("id", "raster_id", "suffix", "suffixed_name")
+    return named.select("id", "raster_id", "suffix", "suffixed_name", _weighted(F.col("data")).alias("checksum"))
 
 
 @query
@@ -509,7 +509,8 @@ def incremental_stream(spark, sf_dir):
         part.coalesce(1).write.mode("append").parquet(folder)
         run_stream(spark, folder, catalog.schema, X.layer(spark, sf_dir), stored, X.TILE, out)
     return spark.read.parquet(f"{out}/{CROPS}").groupBy("id").agg(
-        F.count(F.lit(1)).alias("n_crops"), F.max("suffix").alias("last_suffix"), F.sum(F.length("data")).alias("n_bytes")
+        F.count(F.lit(1)).alias("n_crops"), F.max("suffix").alias("last_suffix"), F.sum(F.length("data")).alias("n_bytes"),
+        F.sum(_weighted(F.col("data"))).alias("checksum"),
     )
 
 

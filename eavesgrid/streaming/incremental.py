@@ -6,15 +6,17 @@ written again over itself, so no raster is lost or cut twice.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.crops import named_crops, pending_rasters, with_names
+from ..operators.crops import crop_boxes, crop_plan, cut_planned, ids_are_unique, named_crops, pending_rasters, with_names
 from ..operators.skew import broadcast_if_small
-from ..operators.spatial_join import footprint_raster_join
-from ..session import cut, read_or_none
+from ..operators.spatial_join import bbox_overlap_filter, footprint_raster_join
+from ..session import cut, read_or_none, ship_package
 
-CROPS, LEDGER = "crops", "ledger"
+CROPS, LEDGER, PLANS = "crops", "ledger", "plans"
 
 
 def incremental_names(pairs: DataFrame, ledger: DataFrame, with_suffix: bool = True) -> DataFrame:
@@ -41,6 +43,7 @@ def cut_batch(
 ) -> None:
     """Crops and ledger rows of one batch of rasters, each in its own ``batch=<id>`` folder, written idempotently."""
     spark = rasters.sparkSession
+    footprints = _near(footprints, rasters)
     ledger = read_or_none(spark, f"{out}/{LEDGER}")
     todo = rasters if ledger is None else pending_rasters(rasters, ledger.where(F.col("batch") < batch_id))
     earlier = _finished(spark, out, batch_id)
@@ -68,6 +71,28 @@ def cut_pending(
     return batch_id
 
 
+def _near(footprints: DataFrame, rasters: DataFrame) -> DataFrame:
+    """The footprints in the common extent of some rasters, as a filter that reaches the scan."""
+    box = rasters.agg(F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax")).first()
+    return footprints.where(F.lit(False)) if box[0] is None else bbox_overlap_filter(footprints, *box)
+
+
+def plan_batch(rasters: DataFrame, batch_id: int, footprints: DataFrame, out: str) -> None:
+    """What to cut from one batch of rasters, written to its own folder; footprints elsewhere aren't looked at."""
+    near = _near(footprints, rasters)
+    plan = crop_plan(crop_boxes(near, rasters), ids_are_unique(near))
+    plan.write.mode("overwrite").parquet(f"{out}/{PLANS}/batch={batch_id}")
+
+
+def _number_on(key, frames, state):
+    """Suffixes of one footprint's new crops, counted on from those it has."""
+    rows = pd.concat(list(frames)).sort_values("raster_id")
+    (used,) = state.get if state.exists else (0,)
+    rows["suffix"] = np.arange(used, used + len(rows), dtype=np.int32)
+    state.update((used + len(rows),))
+    yield rows[["id", "raster_id", "batch", "suffix"]]
+
+
 def run_stream(
     spark: SparkSession,
     catalog_folder: str,
@@ -81,19 +106,40 @@ def run_stream(
 ) -> None:
     """Process the catalog files that arrived since the last call, then stop.
 
-    The stream's own checkpoint remembers the files, the batch id makes a repeated batch overwrite itself.
+    Two streams in a row.  The first plans the crops of the new rasters, which is one row per footprint and raster.  The second reads
+    these rows; its state store holds the number of crops of each footprint, so a batch touches the footprints it has and nothing that
+    was cut before; then it cuts and writes them.  Each stream's checkpoint remembers its files, and a repeated batch overwrites itself.
     """
-    stream = (
-        spark.readStream.schema(catalog_schema).option("maxFilesPerTrigger", files_per_batch).parquet(catalog_folder)
+    ship_package(spark)
+    rasters = spark.readStream.schema(catalog_schema).option("maxFilesPerTrigger", files_per_batch).parquet(catalog_folder)
+
+    def plan(batch: DataFrame, batch_id: int) -> None:
+        batch = cut(batch.dropDuplicates(["raster_id"]))
+        done = read_or_none(spark, f"{out}/{LEDGER}")
+        todo = batch if done is None else pending_rasters(batch, done.where(F.col("batch") < batch_id))
+        plan_batch(todo, batch_id, footprints, out)
+        todo.select("raster_id").write.mode("overwrite").parquet(f"{out}/{LEDGER}/batch={batch_id}")
+
+    _run(rasters.writeStream.foreachBatch(plan).option("checkpointLocation", f"{out}/_plan_stream"))
+    plans = read_or_none(spark, f"{out}/{PLANS}")
+    if plans is None:
+        return
+    new = spark.readStream.schema(plans.schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{out}/{PLANS}")
+    id_type = plans.schema["id"].dataType.simpleString()
+    numbered = new.select("id", "raster_id", "batch").groupBy("id").applyInPandasWithState(
+        _number_on, f"id {id_type}, raster_id string, batch int, suffix int", "used int", "append", "NoTimeout"
     )
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        cut_batch(batch.dropDuplicates(["raster_id"]), batch_id, footprints, tiles, tile_size, out, with_suffix)
+    def cut_named(batch: DataFrame, batch_id: int) -> None:
+        names = cut(batch if with_suffix else batch.where(F.col("suffix") == 0))
+        batches = [r[0] for r in names.select("batch").distinct().collect()]  # at most one for each file of this batch
+        # Only the plans of this batch are read: batch numbers are folders.
+        rows = plans.where(F.col("batch").isin(batches)).join(names, ["id", "raster_id", "batch"]).drop("batch")
+        crops = cut_planned(with_names(rows), tiles, tile_size)
+        crops.write.mode("overwrite").parquet(f"{out}/{CROPS}/batch={batch_id}")
 
-    query = (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", f"{out}/_stream")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _run(numbered.writeStream.outputMode("append").foreachBatch(cut_named).option("checkpointLocation", f"{out}/_cut_stream"))
+
+
+def _run(writer) -> None:
+    writer.trigger(availableNow=True).start().awaitTermination()

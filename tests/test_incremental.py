@@ -63,3 +63,28 @@ def test_first_image_only(spark, world, tmp_path):
     got = names(spark, out)
     assert [n for _, n in got] == ["a.jpg", "ab.jpg", "wide.jpg", "bc.jpg"]
     assert N.read_or_none(spark, str(tmp_path / "nothing")) is None
+
+
+def test_a_batch_touches_only_its_own_footprints(spark, world, tmp_path, monkeypatch):
+    """Suffixes come from the state store: earlier crops are never read, and footprints elsewhere are not planned."""
+    fp, catalog, tiles = world
+    src, out, seen, planned = str(tmp_path / "cat"), str(tmp_path / "out"), [], []
+    read, boxes = N.read_or_none, N.crop_boxes
+    monkeypatch.setattr(N, "read_or_none", lambda session, path: seen.append(path) or read(session, path))
+    monkeypatch.setattr(N, "crop_boxes", lambda some, rasters: planned.append(sorted(r["id"] for r in some.collect())) or boxes(some, rasters))
+    for name in ("r0", "r1", "r2"):
+        catalog.where(F.col("raster_id") == name).coalesce(1).write.mode("append").parquet(src)
+        N.run_stream(spark, src, catalog.schema, fp, tiles, TILE, out)
+    assert planned == [["a", "ab", "wide"], ["ab", "bc", "wide"], ["bc", "wide"]]
+    assert seen and not any(path.endswith(N.CROPS) for path in seen)
+    assert [n for r, n in names(spark, out) if "wide" in n] == ["wide.jpg", "wide_1.jpg", "wide_2.jpg"]
+    assert spark.read.parquet(f"{out}/crops").where("batch = 2").count() == 2
+
+
+def test_stream_of_first_images_only(spark, world, tmp_path):
+    fp, catalog, tiles = world
+    src, out = str(tmp_path / "cat"), str(tmp_path / "out")
+    for name in ("r2", "r0", "r1"):
+        catalog.where(F.col("raster_id") == name).coalesce(1).write.mode("append").parquet(src)
+        N.run_stream(spark, src, catalog.schema, fp, tiles, TILE, out, with_suffix=False)
+    assert names(spark, out) == [("r0", "a.jpg"), ("r0", "ab.jpg"), ("r2", "bc.jpg"), ("r2", "wide.jpg")]
