@@ -366,3 +366,39 @@ ORACLES: dict[str, str] = {
         SELECT CASE WHEN fraction < 0.8 THEN 'train' ELSE 'validation' END AS split, label, count(*) AS n, TRUE AS probabilities,
                CAST(0 AS DOUBLE) AS gap FROM s WHERE fraction < 1 GROUP BY 1, 2""",
 }
+
+
+def _training(n_epochs: int, steps: int, n_classes: int, width: int) -> str:
+    """Gradient descent on a softmax layer, a table of weights after each step."""
+    classes, inputs = range(n_classes), range(width + 1)
+    names = [f"w{c}_{i}" for c in classes for i in inputs]
+    parts = ["""d AS (
+  SELECT vec_id, x0, x1, x2, x3, 1::DOUBLE AS x4, CASE WHEN x0 + x1 > CAST(0.5 AS DOUBLE) THEN 0 WHEN x2 > 0 THEN 1 ELSE 2 END AS y
+  FROM (SELECT vec_id, """ + ", ".join(f"embedding[{i + 1}]::DOUBLE * 8 AS x{i}" for i in range(width)) + " FROM embeddings))"]
+    parts.append("s0 AS (SELECT " + ", ".join(f"0::DOUBLE AS {n}" for n in names) + ")")
+    rows, step = [], 0
+    for epoch in range(n_epochs):
+        losses = []
+        for turn in range(steps):
+            step += 1
+            u = f"CAST(CAST('0x' || substr(md5(vec_id || '#{epoch}'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296"
+            scores = ", ".join(f"exp({' + '.join(f'w{c}_{i} * x{i}' for i in inputs)}) AS e{c}" for c in classes)
+            total = " + ".join(f"e{c}" for c in classes)
+            parts.append(f"p{step} AS (SELECT *, {total} AS t FROM (SELECT *, {scores} FROM d, s{step - 1} WHERE floor(({u}) * {steps}) = {turn}))")
+            own = "CASE y " + " ".join(f"WHEN {c} THEN e{c}" for c in classes) + " END"
+            moved = ", ".join(
+                f"any_value(w{c}_{i}) - {1 / 2**epoch!r}::DOUBLE * avg((e{c} / t - CASE WHEN y = {c} THEN 1 ELSE 0 END) * x{i}) AS w{c}_{i}"
+                for c in classes for i in inputs
+            )
+            parts.append(f"s{step} AS (SELECT {moved} FROM p{step})")
+            parts.append(f"l{step} AS (SELECT sum(-ln({own} / t)) AS loss, count(*) AS n FROM p{step})")
+            losses.append(f"SELECT * FROM l{step}")
+        flat = "unnest([" + ", ".join(names) + "]) AS weight, unnest(range(" + str(len(names)) + ")) AS place"
+        rows.append(
+            f"SELECT {epoch} AS epoch, {1 / 2**epoch!r}::DOUBLE AS rate, (SELECT round(sum(loss) / sum(n), 6) FROM ({' UNION ALL '.join(losses)})) AS loss,"
+            f" (SELECT sum(n)::BIGINT FROM ({' UNION ALL '.join(losses)})) AS n, place, round(weight, 6) AS weight FROM (SELECT {flat} FROM s{step})"
+        )
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(rows)
+
+
+ORACLES["train_epochs"] = _training(3, 2, 3, 4)
