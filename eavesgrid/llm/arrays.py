@@ -6,6 +6,8 @@ and then mixed.  The base is odd, so that a power can be divided out again.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -20,6 +22,14 @@ _MAX_BYTES = 1 << 20
 _POWERS: dict[str, np.ndarray] = {}
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: a worker process serves one operator after another, beside a heap of fixed size."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64: a bijection that spreads every bit over the word."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, ship_package
-from .arrays import buffer_of, fold
+from .arrays import buffer_of, fold, give_back
 
 #: What ends a piece.  Words are separated by blanks and tabs.
 PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
@@ -240,7 +240,7 @@ def windows(slim: DataFrame, longest: int, hot: list[tuple[str, ...]]) -> DataFr
                     beginning = pc.binary_join_element_wise(beginning, tail, lang, "")
                     yield pa.RecordBatch.from_arrays([beginning, words[-1], pa.array(count[a : a + _ROWS])], ["beginning", "last", "f"])
                 del part, place, count, salted
-                pa.default_memory_pool().release_unused()  # a worker serves other operators, too
+                give_back()
 
     return slim.mapInArrow(run, "beginning string, last string, f long")
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import cut, release, ship_package
-from .arrays import buffer_of, shingle_hashes, slices, word_hashes
+from .arrays import buffer_of, give_back, shingle_hashes, slices, word_hashes
 from .common import join_keyed, keep_rows, whole
 
 SAMPLE = 16  # one text of so many is looked at for frequent shingles
@@ -120,12 +120,14 @@ def _profiles(docs: DataFrame, size: int, percent: int) -> DataFrame:
                         late = values[is_hot][np.argsort(hot_ranks[at[is_hot]])]
                         cold = np.concatenate([cold, late[: length - len(cold)]])
                     values = cold
-                prefixes.append(values[:length])
+                prefixes.append(values[:length].copy())  # not a view, which would keep the whole set
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text"), pa.array(n, pa.int32()), pa.array(digests, pa.binary()),
                  _lists(prefixes), pa.array(sketches, pa.binary())],
                 names=["id", "text", "n", "digest", "prefix", "sketch"],
             )
+            del n, digests, prefixes, sketches, batch
+            give_back()
 
     kind = docs.schema["id"].dataType.simpleString()
     rows = docs.mapInArrow(run, f"id {kind}, text long, n int, digest binary, prefix array<long>, sketch binary")
@@ -248,6 +250,8 @@ class _Join:
                     part = batch.slice(first, last - first)
                     values = _lists(list(_sets(part.column("body"), size)))
                     yield pa.RecordBatch.from_arrays([part.column("uid"), values], names=["uid", "values"])
+                    del part, values
+                give_back()
 
         sets = join_keyed(self.docs, named, ["id", "text"], "inner").select("uid", "body").mapInArrow(run, "uid long, values array<long>")
         sets = sets.groupBy("uid").agg(F.first("values").alias("values"))

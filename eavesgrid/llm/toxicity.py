@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, ship_package
-from .arrays import mix
+from .arrays import give_back, mix
 from .common import whole
 
 ORDER = 6
@@ -338,6 +338,9 @@ def _gram_counts(rows: DataFrame) -> DataFrame:
                     for kept in (*found, others, parts):
                         kept.clear()
         yield from flushed(found, others)
+        for kept in (*found, others, parts):
+            kept.clear()
+        give_back()
 
     kinds = ", ".join(f"{c} long" for c in ("older", "newer", *_GROUPS))
     return rows.mapInArrow(run, kinds).groupBy("older", "newer").agg(*[F.sum(c).alias(c) for c in _GROUPS])
@@ -515,6 +518,8 @@ def score_documents(docs: DataFrame, model: Toxicity, text_col: str = "text", sc
                 part = texts[at : at + 1000]
                 scores[at : at + 1000] = fitted.scores(scorer.features(part)[0] if scorer else np.zeros((len(part), 3)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, score_col])
+        del scorer
+        give_back()
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{kinds}, `{score_col}` double")
