@@ -48,7 +48,8 @@ def test_no_row_at_a_time_python(plans):
 def test_kernels_run_once(plans):
     counts = {n: p.count("ArrowEvalPython [") for n, p in plans.items()}
     assert counts["pair_dedup"] == counts["buffer"] == counts["min_rotated_rect"] == 1
-    assert counts["score_images"] == 0 and plans["score_images"].count("MapInArrow") == 1  # preparing and predicting together
+    # One step puts crops together, one prepares and predicts.
+    assert counts["score_images"] == 0 and plans["score_images"].count("MapInArrow") == 2 and plans["crop_rasters"].count("MapInArrow") == 1
 
 
 def test_rectangles_need_no_python(plans):
