@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .arrays import give_back
 
 WINDOW = 2048
 END_ID = 1
@@ -226,14 +227,15 @@ def _packed(definition, id_col: str, text_col: str, window: int, end_id: int, id
             return out
 
         for batch in batches:
-            names = batch.column(id_col).to_pylist()
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            for at in range(0, len(texts), 500):
-                for name, ids in zip(names[at : at + 500], tokenizer.encode(texts[at : at + 500]), strict=True):
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
+                texts = [t or "" for t in some.column(text_col).to_pylist()]
+                for name, ids in zip(some.column(id_col).to_pylist(), tokenizer.encode(texts), strict=True):
                     ids += end
                     number(packer.add((name, len(ids) // 4), ids))
                     if len(rows) >= ROWS_OUT:
                         yield batch_out()
+            give_back()
         number(packer.pour())
         if rows:
             yield batch_out()
