@@ -202,3 +202,15 @@ def test_self_overlap_of_divided_shapes(spark):
     whole = {(a, b): v for a, b, v in S.self_overlap_pairs(df, max_points=10**6).collect()}
     got = [tuple(r) for r in S.self_overlap_pairs(df, max_points=30).collect()]
     assert len(got) == len(whole) > 50 and {(a, b): pytest.approx(v, abs=1e-6) for a, b, v in got} == whole
+
+
+def test_growing_sides_are_shuffled(spark):
+    df = general(layer(spark, [(f"b{i}", poly(rect(i * 3 % 17, i * 5 % 13, 4, 3))) for i in range(30)]))
+    plan = S.self_overlap_pairs(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_cells_inside_rectangles(spark):
+    df = layer(spark, [("a", poly(rect(0.5, 0.25, 9, 5))), ("thin", poly(rect(0, 0, 90, 5))), ("flat", poly(rect(1, 1, 0, 4)))])
+    cells = sorted(tuple(r) for r in S.fill_cells(df, "id").collect())
+    assert cells == [("a", 1, x, y) for x in (1, 2, 3) for y in (1,)]
