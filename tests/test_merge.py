@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eavesgrid.operators import merge as M
-from eavesgrid.operators.components import connected_components
+from eavesgrid.operators.components import connected_components, contracted
 from shapes import convex_overlap, general, groups_of, layer, poly, rect, rotate, square
 
 
@@ -135,3 +135,28 @@ def test_large_piles_of_copies_are_salted(spark, monkeypatch):
     reps, links = M._copies(layer(spark, rows).select("id", *M.slim_shape()))
     assert sorted(r["id"] for r in reps.collect()) == ["a00", "t0", "x"]
     assert sorted(map(tuple, links.collect())) == sorted([(f"a{i:02d}", "a00") for i in range(1, 30)] + [(f"t{i}", "t0") for i in range(1, 9)])
+
+
+def test_edges_are_contracted_to_stars(spark):
+    rng = random.Random(4)
+    edges = [(f"n{rng.randrange(300)}", f"n{rng.randrange(300)}") for _ in range(200)]
+    found = contracted(spark.createDataFrame(edges, "u string, v string").coalesce(1)).collect()
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = set()
+    for node in near:
+        seen, todo = {node}, [node]
+        while todo:
+            for other in near[todo.pop()] - seen:
+                seen.add(other)
+                todo.append(other)
+        if node != min(seen):
+            want.add((node, min(seen)))
+    assert {tuple(r) for r in found} == want and len(found) == len(want)
+
+
+def test_rectangles_on_each_other_need_few_links(spark):
+    df = layer(spark, [(f"b{i:03d}", poly(rect(i % 20 * 0.125, i // 20 * 0.125, 8, 6))) for i in range(200)])
+    assert M.overlap_links(df).count() == 199
