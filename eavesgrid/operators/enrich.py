@@ -9,8 +9,10 @@ from pyspark.sql import types as T
 from ..functions.geometry import BBOX
 from ..functions.projection import reproject_lambert93
 from ..functions.scalars import UNKNOWN, commune_code, fill_unknown
+from ..session import cut
 from .preprocessing import require_columns, with_geometry
-from .spatial_join import HOT_CELL, spatial_join
+from .skew import broadcast_if_small, shuffled
+from .spatial_join import FILL, HOT_CELL, bbox_is_finite, fill_cells, fills_in_use, spatial_join, touched_cells
 
 # ---------------------------------------------------------------- protected zones
 
@@ -25,18 +27,45 @@ def flag_protected(
 ) -> DataFrame:
     """Adds ``protected``: the footprint meets some zone, contact included.
 
-    A zone counts whatever its attributes are.  ``lonlat`` zones are reprojected first.
+    A zone counts whatever its attributes are.  ``lonlat`` zones are reprojected first.  Most footprints are settled by a cell
+    that lies wholly inside a zone and holds a point of theirs, however many zones lie on each other; only the others are joined.
     """
     require_columns(layer, id_col, "geom", "is_box", *BBOX)
     zones = reproject_zones(zones) if lonlat else zones
     zones = zones.withColumn("_zone", F.xxhash64(*BBOX))
     # Id and shape together: rows that share an id are flagged each by its own shape.
     keyed = layer.withColumn("_row", F.struct(id_col, *BBOX, F.xxhash64("geom").alias("shape")))
-    hits = spatial_join(keyed, zones, "_row", "_zone", "intersects", hot_cell).select("_row").distinct()
-    flagged = keyed.join(hits.withColumn("protected", F.lit(True)), "_row", "left").drop("_row")
+    sure = _in_covered_cells(keyed, cut(fill_cells(zones).distinct()))
+    rest = keyed if sure is None else keyed.join(shuffled(sure), "_row", "left_anti")
+    hits = spatial_join(rest, zones, "_row", "_zone", "intersects", hot_cell).select("_row").distinct()
+    hits = hits if sure is None else hits.unionByName(sure)
+    flagged = keyed.join(shuffled(hits.withColumn("protected", F.lit(True))), "_row", "left").drop("_row")
     return flagged.withColumn("protected", F.coalesce("protected", F.lit(False)))
 
 
+def _in_covered_cells(keyed: DataFrame, cells: DataFrame) -> DataFrame | None:
+    """``_row`` of the footprints with a point in one of the cells, or None without cells.
+
+    Any point of a rectangle will do; other shapes are looked up by their first point alone.
+    """
+    fills = fills_in_use(cells)
+    if not fills:
+        return None
+    spot = {"x": F.col("geom")[0][0][0]["x"], "y": F.col("geom")[0][0][0]["y"]}
+    reach = F.greatest(*[F.abs(F.col(c)) for c in BBOX])
+    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+    # A large rectangle has too many small cells: it is looked up in the grids that it covers with few.
+    known = F.filter(
+        F.array(*[F.lit(f) for f in fills]),
+        lambda f: (side < F.pow(F.lit(2.0), f + 3)) & (reach < F.pow(F.lit(2.0), f + 50)),
+    )
+    ends = {f"_{c}": F.when(F.col("is_box"), F.col(c)).otherwise(spot[c[0]]) for c in BBOX}
+    spots = keyed.where(bbox_is_finite()).select("_row", *[v.alias(k) for k, v in ends.items()], known.alias("_fills"))
+    spots = spots.where(F.col("_xmin").isNotNull())
+    touched = touched_cells(spots, F.col("_fills"), ("_xmin", "_ymin"), ("_xmax", "_ymax")).select("_row", *FILL)
+    return cut(touched.join(broadcast_if_small(cells, cells.count()), list(FILL), "left_semi").select("_row").distinct())
+
+
 # ---------------------------------------------------------------- roof types
 
 
@@ -109,7 +138,7 @@ def update_on_id(layer: DataFrame, updates: DataFrame, id_col: str = "ID", key:
     )
     message = F.concat(F.lit("more than one update for id "), F.col("_key").cast("string"))
     checked = picked.select("_key", F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_u")).alias("_u"))
-    joined = layer.join(checked, layer[id_col] == checked["_key"], "left")
+    joined = layer.join(shuffled(checked), layer[id_col] == checked["_key"], "left")
     columns = []
     for name in layer.columns:
         if name in [f.name for f in fields]:

@@ -177,3 +177,14 @@ def test_path_stem(spark, path, stem):
 @pytest.mark.parametrize("name, kept", [("12", True), ("12_3", False), ("ab_1", True), ("x.y", False), ("75_12", False), ("a_b", True)])
 def test_plain_names(spark, name, kept):
     assert spark.createDataFrame([(name,)], "p string").select(S.keep_plain_names(F.col("p")).alias("s")).first()["s"] is kept
+
+
+def test_cells_inside_zones_settle_footprints(spark):
+    from eavesgrid.operators.spatial_join import fill_cells
+
+    zones = layer(spark, [(f"z{i}", poly(rect(0, 0, 60, 60 + i))) for i in range(5)])
+    df = layer(spark, [("in", poly(rect(20, 20, 5, 4))), ("edge", poly(rect(60, 20, 5, 4))), ("out", poly(rect(90, 20, 5, 4)))])
+    keyed = df.withColumn("_row", F.struct("id"))
+    sure = E._in_covered_cells(keyed, fill_cells(zones).distinct())
+    assert [r["_row"]["id"] for r in sure.collect()] == ["in"]
+    assert {r["id"]: r["protected"] for r in E.flag_protected(df, zones).collect()} == {"in": True, "edge": True, "out": False}
