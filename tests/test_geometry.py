@@ -336,6 +336,42 @@ def test_batches_agree_with_single_shapes():
         assert np.allclose(got, want, atol=1e-5)
 
 
+def _as_court(k, gap):
+    x, y, w, h = 650_000 + k * 31 % 977, 6_860_000 + k * 53 % 991, 5 + k % 20, 4 + k % 13
+    return [(x, y), (x + 4 * w, y), (x + 4 * w, y + 4 * h), (x + w + gap, y + 4 * h), (x + w + gap, y + 2 * h), (x + w, y + 2 * h), (x + w, y + 4 * h), (x, y + 4 * h)]
+
+
+def test_courts_are_cleaned_up_together(monkeypatch):
+    """Notches that close are no work of single rows, and batches give the very points of single rings."""
+    single, alone = K.buffer_parts, []
+    monkeypatch.setattr(K, "buffer_parts", lambda parts, distance: alone.append(1) or single(parts, distance))
+    courts = [_as_court(k, 2.0 + k % 13) for k in range(400)]
+    turned = [rotate(c, 7 * k, *c[0])[:: -1 if k % 2 else 1] for k, c in enumerate(courts[:60])]
+    rng = np.random.default_rng(3)
+    stars = []
+    for _ in range(60):
+        angle, far = np.sort(rng.random(9)) * 2 * np.pi, 4 + 6 * rng.random(9)
+        stars.append(list(zip(far * np.cos(angle), far * np.sin(angle))))
+    for rings, limit in ((courts, 0), (turned, 6), (stars, len(stars))):  # turned: places on the border of two squares
+        flat = K.Flat(arrow(*[poly(r) for r in rings]))
+        alone.clear()
+        geoms, _ = K.buffer_batch(flat, np.full(flat.rows, 4.0))
+        assert len(alone) <= limit
+        for row, geom in enumerate(geoms):
+            want = single(flat.parts_of(row), 4.0)
+            assert [len(p) for p in geom] == [len(p) for p in want]
+            for got, ring in zip((r for p in geom for r in p), (r for p in want for r in p)):
+                np.testing.assert_allclose(got[:-1], ring, rtol=0, atol=1e-6)
+
+
+def test_outlines_left_to_single_rings():
+    """A court behind a closed gate has two rings, and a ring turned inside out has none."""
+    court = np.array([(0, 0), (20, 0), (20, 20), (11, 20), (11, 15), (15, 15), (15, 5), (5, 5), (5, 15), (9, 15), (9, 20), (0, 20)], float)
+    geoms, _ = K.buffer_batch(K.Flat(arrow(poly(court), poly(court))), np.array([1.5, 6.0]))
+    assert areas_of([[r[:-1] for r in p] for g in geoms for p in g]) == [[pytest.approx(23 * 23), pytest.approx(7 * 7)], [pytest.approx(32 * 32)]]
+    assert offset.outlines_together(np.array([square(0, 0, 1)[::-1]] * 2, float)) == [None, None]
+
+
 def test_box_of_many_points_takes_the_hull():
     pts = [(math.cos(t / 10) * 5, math.sin(t / 10) * 2) for t in range(62)]
     box = K.min_rotated_boxes(K.Flat(arrow(poly(pts))))[0]
