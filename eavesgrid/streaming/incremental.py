@@ -6,8 +6,6 @@ written again over itself, so no raster is lost or cut twice.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -84,13 +82,16 @@ def plan_batch(rasters: DataFrame, batch_id: int, footprints: DataFrame, out: st
     plan.write.mode("overwrite").parquet(f"{out}/{PLANS}/batch={batch_id}")
 
 
-def _number_on(key, frames, state):
-    """Suffixes of one footprint's new crops, counted on from those it has."""
-    rows = pd.concat(list(frames)).sort_values("raster_id")
-    (used,) = state.get if state.exists else (0,)
-    rows["suffix"] = np.arange(used, used + len(rows), dtype=np.int32)
-    state.update((used + len(rows),))
-    yield rows[["id", "raster_id", "batch", "suffix"]]
+def _numbered(batch: DataFrame) -> DataFrame:
+    """Suffixes of the new crops of each footprint, counted on from those it has.
+
+    ``batch`` holds the new rows, and for each footprint of theirs a row with its ``total`` of crops, new ones included, and no raster.
+    """
+    own = Window.partitionBy("id")
+    used = F.max("total").over(own) - F.count("raster_id").over(own)
+    rank = F.row_number().over(own.orderBy(F.col("raster_id").asc_nulls_last()))
+    numbered = batch.withColumn("suffix", (used + rank - 1).cast("int"))
+    return numbered.where(F.col("raster_id").isNotNull()).drop("total", "batch")
 
 
 def run_stream(
@@ -107,7 +108,7 @@ def run_stream(
     """Process the catalog files that arrived since the last call, then stop.
 
     Two streams in a row.  The first plans the crops of the new rasters, which is one row per footprint and raster.  The second reads
-    these rows; its state store holds the number of crops of each footprint, so a batch touches the footprints it has and nothing that
+    these rows; its state store counts the crops of each footprint, so a batch touches the footprints it has and nothing that
     was cut before; then it cuts and writes them.  Each stream's checkpoint remembers its files, and a repeated batch overwrites itself.
     """
     ship_package(spark)
@@ -125,20 +126,18 @@ def run_stream(
     if plans is None:
         return
     new = spark.readStream.schema(plans.schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{out}/{PLANS}")
-    id_type = plans.schema["id"].dataType.simpleString()
-    numbered = new.select("id", "raster_id", "batch").groupBy("id").applyInPandasWithState(
-        _number_on, f"id {id_type}, raster_id string, batch int, suffix int", "used int", "append", "NoTimeout"
-    )
+    new = new.withColumn("total", F.lit(None).cast("long"))
+    totals = new.groupBy("id").agg(F.count(F.lit(1)).alias("total"))
 
     def cut_named(batch: DataFrame, batch_id: int) -> None:
-        names = cut(batch if with_suffix else batch.where(F.col("suffix") == 0))
-        batches = [r[0] for r in names.select("batch").distinct().collect()]  # at most one for each file of this batch
-        # Only the plans of this batch are read: batch numbers are folders.
-        rows = plans.where(F.col("batch").isin(batches)).join(names, ["id", "raster_id", "batch"]).drop("batch")
+        rows = _numbered(batch)
+        rows = rows if with_suffix else rows.where(F.col("suffix") == 0)
         crops = cut_planned(with_names(rows), tiles, tile_size)
         crops.write.mode("overwrite").parquet(f"{out}/{CROPS}/batch={batch_id}")
 
-    _run(numbered.writeStream.outputMode("append").foreachBatch(cut_named).option("checkpointLocation", f"{out}/_cut_stream"))
+    # In update mode only the totals that a batch changes come out.
+    numbered = new.unionByName(totals, allowMissingColumns=True)
+    _run(numbered.writeStream.outputMode("update").foreachBatch(cut_named).option("checkpointLocation", f"{out}/_cut_stream"))
 
 
 def _run(writer) -> None:

@@ -88,3 +88,18 @@ def test_stream_of_first_images_only(spark, world, tmp_path):
         catalog.where(F.col("raster_id") == name).coalesce(1).write.mode("append").parquet(src)
         N.run_stream(spark, src, catalog.schema, fp, tiles, TILE, out, with_suffix=False)
     assert names(spark, out) == [("r0", "a.jpg"), ("r0", "ab.jpg"), ("r2", "bc.jpg"), ("r2", "wide.jpg")]
+
+
+def test_the_stream_counts_without_a_call_for_each_footprint(spark, world, tmp_path, monkeypatch):
+    """A Python call for each footprint made the stream's time; the state is a plain count now."""
+    def refused(*_):
+        raise AssertionError("one Python call for each footprint")
+
+    monkeypatch.setattr("pyspark.sql.GroupedData.applyInPandasWithState", refused)
+    fp, catalog, tiles = world
+    src, out = str(tmp_path / "cat"), str(tmp_path / "out")
+    for some in (["r2"], ["r0", "r1"]):
+        catalog.where(F.col("raster_id").isin(some)).coalesce(1).write.mode("append").parquet(src)
+        N.run_stream(spark, src, catalog.schema, fp, tiles, TILE, out)
+    got = names(spark, out)
+    assert [n for _, n in got if "wide" in n] == ["wide_1.jpg", "wide_2.jpg", "wide.jpg"] and len(got) == crop_rasters(fp, catalog, tiles, TILE).count()
