@@ -19,6 +19,7 @@ from ..functions.kernels import min_rotated_rect
 from ..session import cut
 from .pixels import assembled_crops, fragment_sums, sample_bytes, with_sample_type
 from .preprocessing import require_columns
+from .skew import shuffled
 from .spatial_join import bbox_area_is_finite, bbox_join
 
 RASTER_EXTENSIONS = ("jp2", "tiff")  # Fixed values: file extensions of raster files.
@@ -398,7 +399,7 @@ def crop_suffix(crops: DataFrame, earlier: DataFrame | None = None, with_suffix:
     ranked = crops.withColumn("suffix", rank)
     if earlier is not None:
         used = earlier.groupBy("id").agg((F.max("suffix") + 1).alias("_used"))
-        ranked = ranked.join(used, "id", "left").withColumn("suffix", F.col("suffix") + F.coalesce("_used", F.lit(0))).drop("_used")
+        ranked = ranked.join(shuffled(used), "id", "left").withColumn("suffix", F.col("suffix") + F.coalesce("_used", F.lit(0))).drop("_used")
     named = with_names(ranked)
     return named if with_suffix else named.where(F.col("suffix") == 0)
 

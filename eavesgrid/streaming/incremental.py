@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.crops import crop_boxes, crop_plan, cut_planned, ids_are_unique, named_crops, pending_rasters, with_names
-from ..operators.skew import broadcast_if_small
+from ..operators.skew import broadcast_if_small, shuffled
 from ..operators.spatial_join import bbox_overlap_filter, footprint_raster_join
 from ..session import cut, read_or_none, ship_package
 
@@ -46,9 +46,9 @@ def cut_batch(
     todo = rasters if ledger is None else pending_rasters(rasters, ledger.where(F.col("batch") < batch_id))
     earlier = _finished(spark, out, batch_id)
     if earlier is not None:
-        # Only footprints of this batch need their earlier names.
+        # Only footprints of this batch need their earlier names; these are as many as the batch has, whatever their files are reckoned to hold.
         touched = footprint_raster_join(footprints, todo).select("id").distinct()
-        earlier = earlier.select("id", "suffix").join(touched, "id", "left_semi")
+        earlier = earlier.select("id", "suffix").join(shuffled(touched), "id", "left_semi")
     # Tiles of other rasters go before anything is shuffled, as long as the batch's list of rasters is small.
     wanted = cut(todo.select("raster_id").distinct())
     tiles = tiles.join(broadcast_if_small(wanted, wanted.count()), "raster_id", "left_semi")

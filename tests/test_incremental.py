@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from eavesgrid.operators.crops import crop_rasters
+from eavesgrid.operators.crops import crop_rasters, crop_suffix
 from eavesgrid.streaming import incremental as N
 from shapes import layer, poly, rect, square
 from test_crops import TILE, make_raster
@@ -103,3 +103,22 @@ def test_the_stream_counts_without_a_call_for_each_footprint(spark, world, tmp_p
         N.run_stream(spark, src, catalog.schema, fp, tiles, TILE, out)
     got = names(spark, out)
     assert [n for _, n in got if "wide" in n] == ["wide_1.jpg", "wide_2.jpg", "wide.jpg"] and len(got) == crop_rasters(fp, catalog, tiles, TILE).count()
+
+
+def test_a_batch_broadcasts_no_footprints(spark, world, tmp_path, monkeypatch):
+    """Footprints with earlier crops were gathered in the driver where their files looked small."""
+    fp, catalog, tiles = world
+    out = str(tmp_path / "out")
+    spark.createDataFrame([("wide", 0)], "id string, suffix int").write.parquet(f"{out}/crops/batch=0")
+    plans = []
+
+    def names_only(some, rasters, *_, earlier, with_suffix):
+        named = crop_suffix(rasters.select("raster_id", F.when(F.col("raster_id") == "r1", "wide").alias("id")), earlier)
+        plans.append(named._jdf.queryExecution().executedPlan().toString())
+        return named
+
+    monkeypatch.setattr(N, "named_crops", names_only)
+    N.cut_batch(catalog.where("raster_id = 'r1'"), 1, fp, tiles, TILE, out)
+    assert [r["suffix"] for r in spark.read.parquet(f"{out}/crops").where("batch = 1").collect()] == [1]
+    by_id = [line for line in plans[0].splitlines() if "Join [id#" in line or "Join [coalesce(id#" in line]
+    assert len(by_id) == 2 and all("SortMergeJoin" in line for line in by_id), by_id
