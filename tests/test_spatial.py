@@ -204,6 +204,20 @@ def test_self_overlap_of_divided_shapes(spark):
     assert len(got) == len(whole) > 50 and {(a, b): pytest.approx(v, abs=1e-6) for a, b, v in got} == whole
 
 
+def test_divided_shapes_are_cut_up_once_and_where_they_lie(spark, monkeypatch):
+    cut_up, dealt = [], []
+    pieces, pair = D.pieces, S.salted_pair
+    monkeypatch.setattr(D, "pieces", lambda *args: cut_up.append(pieces(*args)) or cut_up[-1])
+    monkeypatch.setattr(S, "salted_pair", lambda *args: dealt.append(pair(*args)) or dealt[-1])
+    ring = star(random.Random(3), 0, 0, 300, 3000)
+    df = layer(spark, [("big", poly(ring)), ("also", poly(star(random.Random(5), 50, 50, 300, 3000))), ("box", poly(square(-3, -3, 2)))])
+    assert S.self_overlap_pairs(df, max_points=100).count() == 3
+    assert len(cut_up) == 1  # the pieces serve both sides of the join
+    plan = cut_up[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    assert len(dealt) == 2 and dealt[-1][0].rdd.getNumPartitions() > 1  # pairs of pieces cost more than a bbox test
+
+
 def test_growing_sides_are_shuffled(spark):
     df = general(layer(spark, [(f"b{i}", poly(rect(i * 3 % 17, i * 5 % 13, 4, 3))) for i in range(30)]))
     plan = S.self_overlap_pairs(df)._jdf.queryExecution().executedPlan().toString()
