@@ -218,6 +218,16 @@ def test_divided_shapes_are_cut_up_once_and_where_they_lie(spark, monkeypatch):
     assert len(dealt) == 2 and dealt[-1][0].rdd.getNumPartitions() > 1  # pairs of pieces cost more than a bbox test
 
 
+def test_dense_shapes_are_spread_and_worked_out_once(spark, monkeypatch):
+    from eavesgrid.plans import queries as Q
+
+    made = []
+    dense = Q.X.dense
+    monkeypatch.setattr(Q.X, "dense", lambda *args: made.append(dense(*args)) or made[-1])
+    Q.spatial_join_dense(spark, "/root/testdata/sf0.01")
+    assert len(made) == 1 and made[0].rdd.getNumPartitions() == 2
+
+
 def test_growing_sides_are_shuffled(spark):
     df = general(layer(spark, [(f"b{i}", poly(rect(i * 3 % 17, i * 5 % 13, 4, 3))) for i in range(30)]))
     plan = S.self_overlap_pairs(df)._jdf.queryExecution().executedPlan().toString()
