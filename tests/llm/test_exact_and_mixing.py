@@ -146,6 +146,26 @@ def test_depleted_documents_go(spark, empty):
     assert got == {i: (False, not (i < 11)) for i in range(40)}  # depleted documents are rejected, whatever the size of their host
 
 
+def test_a_line_in_more_than_ten_texts_of_its_host_goes(spark, tmp_path):
+    """By default and in SQL alike, for small and large hosts."""
+    import duckdb
+
+    from eavesgrid.llm.queries import ORACLES, op5_line_frequency
+
+    menu = " ".join(f"item{k}" for k in range(60)) + "\n"
+    own = "these are ten words that only this document number {} has"
+    hosts = [("small", 12, 11), ("large", 400, 11), ("rare", 12, 10)]
+    rows = [((menu if i < with_menu else "") + own.format(f"{host}{i}"), host) for host, n, with_menu in hosts for i in range(n)]
+    docs = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "doc_id long, text string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    result = op5_line_frequency(spark, str(tmp_path))
+    got = {tuple(r) for r in result.collect()}
+    assert {r[0] for r in got if not r[-1]} == {i for i, (text, host) in enumerate(rows) if text.startswith("item") and host != "rare"}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert {tuple(r) for r in con.execute(f"SELECT {', '.join(result.columns)} FROM ({ORACLES['op5_line_frequency']})").fetchall()} == got
+
+
 def plain_lines(rows, limit):
     found = defaultdict(set)
     strip = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(UPPER)
