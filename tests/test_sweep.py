@@ -105,3 +105,25 @@ def test_box_of_a_round_shape():
     box = K.min_rotated_box(np.column_stack([3 * np.cos(angle), 2 * np.sin(angle)]))
     sides = sorted(np.hypot(*(box[1] - box[0])) for box in (box, np.roll(box, -1, 0)))
     assert sides == pytest.approx([4, 6], rel=1e-4)
+
+
+def test_strips_far_out_and_nearly_upright():
+    far = np.array([7e5 + 0.1, 6.6e6])
+    leaning = np.array([[0, 0], [4, 0], [4 + 1e-9, 4], [1e-9, 4], [0, 0]])
+    other = np.array([[1.0, 1], [9, 1], [9, 3], [1, 3], [1, 1]])
+    for ring in (leaning, leaning[::-1]):
+        got = K.overlap_area_batch(K._to_arrow([[[ring + far]], [[ring]], None]), K._to_arrow([[[other + far]], [[other]], [[other]]]))
+        assert got[:2] == pytest.approx(6.0, abs=1e-7) and np.isnan(got[2])
+
+
+def test_cut_up_shapes_keep_their_area_in_small_pieces():
+    turn = np.linspace(0, 2 * np.pi, 4001)
+    ring = np.column_stack([np.cos(turn), np.sin(turn)]) * (100 + 20 * np.cos(9 * turn))[:, None] + [7e5, 6.6e6]
+    ring[-1] = ring[0]
+    found = list(K.cut_up([[ring]], 200, 1e-6))
+    area = [sum(K.sweep._turn(r) * 0.5 * ((r[:-1, 0] - x0) * (r[1:, 1] - y0) - (r[1:, 0] - x0) * (r[:-1, 1] - y0)).sum() for part in parts for r in part)
+            for (x0, y0, _, _), parts in found]
+    whole = ring - ring[0]
+    assert sum(area) == pytest.approx(0.5 * (whole[:-1, 0] * whole[1:, 1] - whole[1:, 0] * whole[:-1, 1]).sum(), rel=1e-9)
+    assert 20 < len(found) < 200 and max(sum(len(r) for part in parts for r in part) for _, parts in found) <= 200
+    assert any(K.is_rectangle(*piece) for piece in found)
