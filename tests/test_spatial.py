@@ -215,7 +215,7 @@ def test_divided_shapes_are_cut_up_once_and_where_they_lie(spark, monkeypatch):
     assert len(cut_up) == 1  # the pieces serve both sides of the join
     plan = cut_up[0]._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
-    assert len(dealt) == 2 and dealt[-1][0].rdd.getNumPartitions() > 1  # pairs of pieces cost more than a bbox test
+    assert len(dealt) == 2 and dealt[-1][0].rdd.getNumPartitions() > 2  # pairs of pieces cost more than a bbox test
 
 
 def test_dense_shapes_are_spread_and_worked_out_once(spark, monkeypatch):
